@@ -48,9 +48,10 @@ def rotations(x: np.ndarray, number: int, seed: int = 11) -> np.ndarray:
 
 
 def plan(rows: int, dimension: int) -> list[int]:
-    """Axes of each hash in a table: the first has all, further ones as many as keep buckets near BUCKET rows."""
+    """Axes of each hash in a table: the first has all (fewer for few rows), further ones as many as keep buckets near BUCKET rows."""
     size = 1 << max(1, int(dimension - 1).bit_length())
-    axes, buckets = [size], 2 * size
+    first = min(size, max(4, 1 << max(0, int(rows // 64).bit_length() - 1)))
+    axes, buckets = [first], 2 * first
     while rows / buckets > 2 * BUCKET:
         more = min(size, max(1, 1 << int(np.log2(rows / buckets / BUCKET / 2))))
         axes.append(more)

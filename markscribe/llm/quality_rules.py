@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1 << 16
 #: Least mean log ratio that is kept, in thousandths.
-LEAST = -350
+LEAST = -250
 MOST_BROADCAST = 1 << 20
 SPACE = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
