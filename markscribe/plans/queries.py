@@ -1,6 +1,243 @@
-"""Registered queries of the answer-sheet engine and their oracle SQL."""
+"""Registered queries of the answer-sheet engine and their oracle SQL.
+
+The driver's tables hold no answer sheets, so sheets are derived from ``conversations`` by a rule on
+ids that both engines evaluate alike: each turn becomes a marked segment, with inner lists, noise and
+references in prose; whole conversations become whole sheets.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from markscribe.config import EngineConfig, Question
+from markscribe.functions.text import logical_lines, normalize_text, once, strip_tokens
+from markscribe.operators import decisions as D
+from markscribe.operators.assemble import debug_json, minimal_json
+from markscribe.operators.blocks import with_blocks
+from markscribe.operators.classify import accept, enriched
+from markscribe.operators.legacy import segment
+from markscribe.operators.mapping import boundary_contexts, boundary_prompt, distinct_prompts
+from markscribe.operators.markers import candidate_is_safe
+from markscribe.plans.pipeline import detect, structure_sheets
+from markscribe.sources.canon import parse_model_answers, parse_question_paper
+
+NUMBERS = (1, 2, 3, 4, 5)
+QUESTIONS = [Question(n, f"Question {n}") for n in NUMBERS]
+IDS = [q.question_id for q in QUESTIONS]
+OFF = EngineConfig(exam_id="exam")
+ON = EngineConfig(exam_id="exam", adjudicate=True)
+
+#: One SELECT for both engines: the segments of every sheet.
+SEGMENTS = """
+select conv_id as sheet_id, turn, concat(
+  case when turn = 0 and conv_id % 4 = 1 then ''
+       when turn % 6 = 0 then concat('Q', cast(turn + 1 as string), ' ')
+       when turn % 6 = 1 then concat('Q.', cast(turn + 1 as string), ') ')
+       when turn % 6 = 2 then concat('Question No. ', cast(turn + 1 as string), ' ')
+       when turn % 6 = 3 then concat(cast(turn + 1 as string), '. ')
+       when turn % 6 = 4 then concat(cast(turn + 1 as string), '→ ')
+       else '' end,
+  coalesce(text, ''),
+  case when conv_id % 3 = 0 then concat(chr(10), '1. first point', chr(10), '2. second point') else '' end,
+  case when conv_id % 5 = 0 then concat(chr(9), '<|im_end|>', '  ', chr(10), chr(10), chr(10)) else '' end,
+  case when conv_id % 7 = 0 then concat(' see Q', cast(turn + 2 as string), ' again') else '' end) as seg
+from conversations
+"""
+#: Rows of noise that the segments lack: no-break spaces, decomposed letters, other line ends, tokens.
+NOISE = f"""
+select -1 as sheet_id, concat('Q1', chr(160), chr(160), 'caf', 'e{chr(769)}', chr(13), chr(10), 'x', chr(13), 'y  z') as raw_text
+union all select -2, concat('<s>a</s>', chr(10), chr(10), chr(10), chr(10), '<|assistant|>b <|im_ start c ', chr(9), chr(10), ' ')
+union all select -3, concat(chr(160), ' ', chr(10))
+"""
+_SHEETS = f"sheets as (select sheet_id, string_agg(seg, chr(10) order by turn) as raw_text from ({SEGMENTS}) group by sheet_id)"
+_TOKENS = r"regexp_replace(regexp_replace({0}, '<\|(?:im_[A-Za-z0-9_]*|assistant|user|endoftext)(?:\|>)?', '', 'g'), '</?s>', '', 'g')"
+_STRIP = "trim({0}, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13), chr(28), chr(29), chr(30), chr(31), chr(133), chr(160)))"
+_FLAT = r"regexp_replace(replace(nfc_normalize(regexp_replace(raw_text, '\r\n?', chr(10), 'g')), chr(9), ' '), concat(chr(160), '+'), ' ', 'g')"
+_NORMAL = _STRIP.format(r"regexp_replace(regexp_replace(regexp_replace(" + _TOKENS.format(_FLAT) + r", ' {2,}', ' ', 'g'), '[ \t]+\n', chr(10), 'g'), '\n{3,}', concat(chr(10), chr(10)), 'g')")
+_LINES = f"""{_SHEETS},
+norm as (select sheet_id, {_NORMAL} as normalized from sheets),
+lines as (select sheet_id, unnest(string_split(normalized, chr(10))) as line_text, generate_subscripts(string_split(normalized, chr(10)), 1) as line_no from norm)"""
+_CANDIDATES = rf"""{_LINES},
+found as (select *, regexp_extract_all(concat(' ', regexp_replace(line_text, '(\s)', '\1\1\1', 'g'), ' '), '(?i)[^A-Za-z0-9](Q\s*\.?\s*\d+|Question\s*(?:No\.?\s*)?\d+)\s*[.) :\-→]?\s', 1) as strong,
+  regexp_extract(line_text, '^\s*(\d+\s*\.\)|\d+\s*[):\]]|\d+\s*\.|\(\s*\d+\s*\)|\d+\s*→|[①②③④⑤⑥⑦⑧⑨])\s*', 1) as weak from lines),
+each as (
+  select sheet_id, line_no, line_text, unnest(strong) as marker, generate_subscripts(strong, 1) as k, 'strong' as strength from found where len(strong) > 0
+  union all select sheet_id, line_no, line_text, weak, 1, 'weak' from found where len(strong) = 0 and weak <> ''),
+cand as (
+  select sheet_id, cast(row_number() over (partition by sheet_id order by line_no, k) as int) as pos, regexp_replace(marker, '(\s)\s\s', '\1', 'g') as marker,
+    try_cast(regexp_extract(marker, '\d+', 0) as bigint) as number, strength, line_text from each)"""
+
+
+# --- inputs --------------------------------------------------------------------------------------
+
+
+def marked_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """sheet_id, raw_text of every conversation."""
+    rows = spark.sql(SEGMENTS.replace("from conversations", "from {conversations}"), conversations=spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "seg"))), lambda x: x["seg"]), "\n")
+    return rows.groupBy("sheet_id").agg(joined.alias("raw_text"))
+
+
+def _noisy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marked_sheets(spark, sf_dir).unionByName(spark.sql(NOISE))
+
+
+def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per candidate with what the fold knows of it beforehand."""
+    df = detect(marked_sheets(spark, sf_dir))
+    each = enriched(F.col("normalized"), F.col("candidates"), list(NUMBERS))
+    return df.select("sheet_id", once(each).alias("e")).select("sheet_id", F.explode("e").alias("e")).select("sheet_id", "e.c.*", "e.ordinal", "e.suppressed", "e.run", "e.meaningful")
+
+
+#: Deterministic decisions, one SELECT for both engines; {cand} and {blocks} are (sheet_id, pos) lists.
+BOUNDARY_REPLIES = """
+select sheet_id, pos,
+  case (sheet_id + pos) % 4 when 0 then 'question_boundary' when 1 then 'continuation' when 2 then 'question_boundary' else 'internal' end as decision,
+  case (sheet_id + pos) % 5 when 0 then '9' when 1 then cast(pos % 5 + 1 as string) when 2 then concat('q', cast(pos % 5 + 1 as string), '.') when 3 then concat('Q ', cast(pos % 5 + 1 as string)) end as question_id,
+  case (sheet_id + pos) % 6 when 0 then cast(0.95 as double) when 1 then cast(1.5 as double) when 2 then cast(0.6 as double) when 3 then cast(null as double) when 4 then cast(-2 as double) else cast(0.9 as double) end as confidence,
+  case (sheet_id + pos) % 3 when 0 then false when 1 then cast(null as boolean) else (sheet_id + pos) % 9 = 8 end as requires_human_review,
+  cast(null as boolean) as subject_match
+from {0}
+"""
+MAPPING_REPLIES = """
+select sheet_id, pos,
+  case (sheet_id + pos) % 6 when 4 then 'unmapped' when 5 then 'mapped' else 'mapped' end as decision,
+  concat('Q', cast((pos - 1) % 5 + 1 as string)) as question_id,
+  case when (sheet_id + pos) % 6 = 5 then cast(null as double) else cast(0.9 as double) end as confidence,
+  false as requires_human_review,
+  (sheet_id + pos) % 6 <> 3 as subject_match
+from {0}
+"""
+
+
+def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions 1 to 40 of every sheet, more than any sheet's candidates or blocks that are asked for."""
+    return spark.read.parquet(f"{sf_dir}/conversations.parquet").select(F.col("conv_id").alias("sheet_id")).distinct().select("sheet_id", F.explode(F.sequence(F.lit(1), F.lit(40))).alias("pos"))
+
+
+_POSITIONS = "(select sheet_id, unnest(range(1, 41)) as pos from (select distinct conv_id as sheet_id from conversations))"
+
+
+def _replies(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    return spark.sql(sql.format("{rows}"), rows=_positions(spark, sf_dir))
+
+
+def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The validated decision table of both operations."""
+    parts = [D.validate(_replies(spark, sf_dir, sql), IDS, op).withColumn("operation", F.lit(op)) for op, sql in (("boundary", BOUNDARY_REPLIES), ("mapping", MAPPING_REPLIES))]
+    return parts[0].unionByName(parts[1])
+
+
+def _structured(spark: SparkSession, sf_dir: str, on: bool = True) -> DataFrame:
+    return structure_sheets(marked_sheets(spark, sf_dir), QUESTIONS, ON if on else OFF, _decisions(spark, sf_dir) if on else None)
+
+
+def _markdown(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    return spark.sql(f"select 'paper' as path, array_join(transform(array_sort(collect_list(struct(item_id, t))), x -> x.t), chr(10)) as text from (select item_id, {sql} as t from {{b}})", b=spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+_ONE_LINE = r"trim(regexp_replace(text, '\s+', ' ', 'g'))"
+_MODEL = "concat('## Q', cast(item_id + 1 as string), '. ', trim(regexp_replace(text, '\\\\s+', ' ')), ' [', cast(item_id % 9 + 1 as string), ' Marks]', chr(10), chr(10), 'Answer ', cast(item_id as string), '  ', chr(10), '### part', chr(10), '---')"
+_HEADED = "concat('# Question No. ', cast(item_id + 1 as string), ': ', trim(regexp_replace(text, '\\\\s+', ' ')), ' (', cast(item_id % 9 + 1 as string), ' marks)')"
+_INLINED = "concat('Question ', cast(item_id + 1 as string), ') ', trim(regexp_replace(text, '\\\\s+', ' ')), chr(10), 'and more [', cast(item_id % 9 + 1 as string), ']')"
+
+# --- queries -------------------------------------------------------------------------------------
+
+QUERIES = {
+    "marked_sheets": marked_sheets,
+    "normalize_text": lambda s, d: _noisy(s, d).select("sheet_id", normalize_text(F.col("raw_text")).alias("normalized")),
+    "scan_nonempty": lambda s, d: _noisy(s, d).select("sheet_id", normalize_text(F.col("raw_text")).alias("t")).filter("t <> ''").select("sheet_id", F.length("t").cast("long").alias("n_chars")),
+    "strip_tokens": lambda s, d: _noisy(s, d).select("sheet_id", strip_tokens(F.col("raw_text")).alias("stripped")),
+    "logical_lines": lambda s, d: marked_sheets(s, d).select("sheet_id", F.posexplode(logical_lines(normalize_text(F.col("raw_text")))).alias("line_no", "line")),
+    "strong_markers": lambda s, d: _candidates(s, d).filter("strength = 'strong'").select("sheet_id", "pos", "marker", "number", "line_text"),
+    "weak_markers": lambda s, d: _candidates(s, d).filter("strength = 'weak'").select("sheet_id", "pos", "marker", "number", "line_text"),
+    "marker_offsets": lambda s, d: _candidates(s, d).select("sheet_id", "pos", "start", "end", "marker"),
+    "marker_lookup": lambda s, d: _candidates(s, d).select("sheet_id", "pos", F.when(F.col("ordinal").isNotNull(), F.concat(F.lit("Q"), "number")).alias("question_id")),
+    "marker_safety": lambda s, d: _candidates(s, d).select("sheet_id", "pos", candidate_is_safe(F.col("strength"), F.col("number"), IDS).alias("safe")),
+    "unknown_strong": lambda s, d: _candidates(s, d).filter("strength = 'strong' and ordinal is null").select("sheet_id", "pos", "number"),
+    "suppressed_markers": lambda s, d: _candidates(s, d).filter("suppressed").select("sheet_id", "pos", "marker"),
+    "numbered_runs": lambda s, d: _candidates(s, d).filter("strength = 'weak' and run").select("sheet_id", "pos", "marker"),
+    "header_preamble": lambda s, d: _candidates(s, d).filter("pos = 1").select("sheet_id", "meaningful"),
+    "canonical_order": lambda s, d: s.read.parquet(f"{d}/benchmark.parquet").select((F.col("item_id") + 1).alias("number"), F.expr("row_number() over (order by item_id) - 1").cast("long").alias("ordinal")),
+    "boundary_fold": lambda s, d: accept(detect(marked_sheets(s, d)), QUESTIONS, OFF).select("sheet_id", F.explode("accepted").alias("a")).select("sheet_id", "a.pos", "a.marker"),
+    "boundary_review": lambda s, d: accept(detect(marked_sheets(s, d)), QUESTIONS, OFF).select("sheet_id", "boundary_calls", F.size("boundary_review").alias("n_review")),
+    "budget_overflow": lambda s, d: accept(detect(marked_sheets(s, d)), QUESTIONS, EngineConfig(max_boundary_calls=1)).select("sheet_id", "boundary_calls", F.size("boundary_review").alias("n_review")),
+    "boundary_context": lambda s, d: boundary_contexts(detect(marked_sheets(s, d)), OFF),
+    "cut_blocks": lambda s, d: with_blocks(accept(detect(marked_sheets(s, d)), QUESTIONS, OFF), True).select("sheet_id", F.explode("blocks").alias("b")).select("sheet_id", "b.source_order", "b.detected_marker", "b.source_start", "b.source_end", "b.text"),
+    "strong_only_blocks": lambda s, d: with_blocks(accept(detect(marked_sheets(s, d)), [], OFF), False).select("sheet_id", F.explode("blocks").alias("b")).select("sheet_id", "b.source_order", "b.detected_marker", "b.text"),
+    "prefix_blocks": lambda s, d: with_blocks(accept(detect(marked_sheets(s, d)), QUESTIONS, OFF), True).select("sheet_id", F.get("blocks", F.lit(0)).alias("b")).filter("b.detected_marker is null").select("sheet_id", "b.text"),
+    "structureless_docs": lambda s, d: with_blocks(accept(detect(marked_sheets(s, d)), QUESTIONS, OFF), True).select("sheet_id", "structureless"),
+    "parse_decisions": lambda s, d: D.parse_replies(_raw_replies(s, d)).select("sheet_id", "pos", "parsed", "decision", "question_id", "confidence", "requires_human_review", "subject_match"),
+    "validate_decisions": lambda s, d: D.validate(_replies(s, d, BOUNDARY_REPLIES), IDS, "boundary"),
+    "mapping_gate": lambda s, d: D.validate(_replies(s, d, MAPPING_REPLIES), IDS, "mapping").select("sheet_id", "pos", "decision", D.gate(0.85).alias("accepted")),
+    "prompt_dedup": lambda s, d: distinct_prompts(boundary_contexts(detect(marked_sheets(s, d)), OFF).select(boundary_prompt().alias("prompt"))),
+    "merge_adjacent": lambda s, d: _structured(s, d).select("sheet_id", F.explode("blocks").alias("b")).select("sheet_id", "b.source_order", "b.resolved_question_id", "b.source_start", "b.source_end", "b.confidence", "b.status"),
+    "answers_by_question": lambda s, d: _structured(s, d).select("sheet_id", F.explode("questions").alias("q")).select("sheet_id", "q.question_id", F.size("q.answers").alias("n_answers"), F.array_join("q.answers", "\n--\n").alias("answers")),
+    "unmapped_distinct": lambda s, d: _structured(s, d).select("sheet_id", F.posexplode("unmapped").alias("at", "text")),
+    "review_distinct": lambda s, d: _structured(s, d).select("sheet_id", F.posexplode("review").alias("at", "r")).select("sheet_id", "at", "r.text", F.array_join("r.possible_questions", ",").alias("possible")),
+    "unadjudicated": lambda s, d: _structured(s, d, on=False).select("sheet_id", F.size("unmapped").alias("n_unmapped"), F.size("review").alias("n_review")),
+    "audit_counts": lambda s, d: _structured(s, d).select("sheet_id", "audit.*"),
+    "minimal_json": lambda s, d: _structured(s, d).select("sheet_id", minimal_json(F.col("sheet_id")).alias("json")),
+    "debug_json": lambda s, d: _structured(s, d).select("sheet_id", debug_json(F.col("sheet_id"), "raw_text").alias("json")),
+    "model_answer_sections": lambda s, d: parse_model_answers(_markdown(s, d, _MODEL)).drop("path"),
+    "paper_headings": lambda s, d: parse_question_paper(_markdown(s, d, _HEADED)).drop("path", "model_answer"),
+    "paper_inline": lambda s, d: parse_question_paper(_markdown(s, d, _INLINED)).drop("path", "model_answer"),
+    "legacy_segments": lambda s, d: marked_sheets(s, d).select("sheet_id", once(normalize_text(F.col("raw_text"))).alias("t")).select("sheet_id", once(segment(F.col("t"))).alias("s")).select("sheet_id", F.posexplode("s").alias("at", "x")).select("sheet_id", "at", "x.question", "x.answer"),
+}
+
+#: Raw replies as an adjudicator might send them.
+RAW_REPLIES = """
+select sheet_id, pos, case (sheet_id + pos) % 8
+  when 0 then '{"decision": "mapped", "question_id": "Q1", "confidence": 0.9, "subject_match": true}'
+  when 1 then concat('```json', chr(10), '{"decision": "continuation", "confidence": "0.5", "needs_human_review": "true"}', chr(10), '```')
+  when 2 then 'Sure: {"decision": "mapped", "confidence": 1, "subject_compat": 0} as asked'
+  when 3 then 'no json at all'
+  when 4 then '{"decision": "mapped", "confidence": "high", "requires_human_review": "maybe"}'
+  when 5 then '{"question_id": "4.", "requires_human_review": 1}'
+  when 6 then '{"decision": "unmapped", "confidence": true, "requires_human_review": false}'
+  else '{"decision": "ambiguous", "confidence": 2.5, "subject_match": "False"}' end as reply
+from ROWS
+"""
+
+
+def _raw_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _positions(spark, sf_dir).createOrReplaceTempView("markscribe_positions")
+    return spark.sql(RAW_REPLIES.replace("ROWS", "markscribe_positions"))
+
+
+# --- oracles -------------------------------------------------------------------------------------
+
+_NOISY = f"with {_SHEETS}, noisy as (select * from sheets union all {NOISE})"
+_VALID = f"""with r as ({BOUNDARY_REPLIES.format(_POSITIONS)}),
+v as (select *, decision in ('question_boundary', 'continuation') as known,
+  case when regexp_full_match(upper(trim(question_id)), 'Q?\\s*\\d+\\.?') then concat('Q', regexp_extract(question_id, '\\d+', 0)) end as q0 from r),
+w as (select *, case when q0 in ('Q1', 'Q2', 'Q3', 'Q4', 'Q5') then q0 end as q1 from v)
+select sheet_id, pos, case when known then decision else 'ambiguous' end as decision, q1 as question_id, (case when confidence is null then 0 else greatest(0, least(1, confidence)) end)::double as confidence,
+  confidence is null or not known or (question_id is not null and q1 is null) or coalesce(requires_human_review, false) or (decision = 'question_boundary' and q1 is null) as requires_human_review, subject_match from w"""
+_C = f"with {_CANDIDATES} "
+_KNOWN = "number between 1 and 5"
+ORACLES = {
+    "marked_sheets": f"with {_SHEETS} select * from sheets",
+    "normalize_text": f"{_NOISY} select sheet_id, {_NORMAL} as normalized from noisy",
+    "scan_nonempty": f"{_NOISY} select sheet_id, length({_NORMAL}) as n_chars from noisy where {_NORMAL} <> ''",
+    "strip_tokens": f"{_NOISY} select sheet_id, {_TOKENS.format('raw_text')} as stripped from noisy",
+    "logical_lines": f"with {_LINES}, kept as (select sheet_id, line_no, {_STRIP.format('line_text')} as line from lines) select sheet_id, cast(row_number() over (partition by sheet_id order by line_no) - 1 as int) as line_no, line from kept where line <> ''",
+    "strong_markers": _C + "select sheet_id, pos, marker, number, line_text from cand where strength = 'strong'",
+    "weak_markers": _C + "select sheet_id, pos, marker, number, line_text from cand where strength = 'weak'",
+    "marker_lookup": _C + f"select sheet_id, pos, case when {_KNOWN} then concat('Q', cast(number as string)) end as question_id from cand",
+    "marker_safety": _C + f"select sheet_id, pos, strength = 'strong' and coalesce({_KNOWN}, false) as safe from cand",
+    "unknown_strong": _C + f"select sheet_id, pos, number from cand where strength = 'strong' and not coalesce({_KNOWN}, false)",
+    "suppressed_markers": _C + "select sheet_id, pos, marker from (select *, max(pos) over (partition by sheet_id, number) as last from cand) where number is not null and last > pos and not contains(marker, '→')",
+    "numbered_runs": _C + "select sheet_id, pos, marker from (select *, lead(strength) over w as s2, lead(number) over w as n2 from cand window w as (partition by sheet_id order by pos)) where strength = 'weak' and s2 = 'weak' and n2 = number + 1 and not contains(marker, '→')",
+    "canonical_order": "select item_id + 1 as number, row_number() over (order by item_id) - 1 as ordinal from benchmark",
+    "validate_decisions": _VALID,
+    "mapping_gate": f"with r as ({MAPPING_REPLIES.format(_POSITIONS)}) select sheet_id, pos, case when decision = 'mapped' and not subject_match then 'ambiguous' else decision end as decision, decision = 'mapped' and subject_match and coalesce(confidence, 0) >= 0.85 as accepted from r",
+    "parse_decisions": f"with r as (select *, (sheet_id + pos) % 8 as k from {_POSITIONS}) select sheet_id, pos, k <> 3 as parsed, "
+    "case k when 0 then 'mapped' when 1 then 'continuation' when 2 then 'mapped' when 4 then 'mapped' when 6 then 'unmapped' else 'ambiguous' end as decision, "
+    "case k when 0 then 'Q1' when 5 then '4.' end as question_id, case k when 0 then 0.9 when 1 then 0.5 when 2 then 1 when 3 then 0 when 5 then 0 when 7 then 2.5 end::double as confidence, "
+    "case k when 1 then true when 3 then true when 4 then null when 5 then true else false end as requires_human_review, case k when 0 then true when 2 then false when 7 then false end as subject_match from r",
+    "model_answer_sections": f"select cast(row_number() over (order by item_id) as int) as ord, concat('Q', cast(item_id + 1 as string)) as question_id, cast(item_id + 1 as int) as number, {_ONE_LINE} as question_text, cast(item_id % 9 + 1 as int) as max_marks, concat('Answer ', cast(item_id as string), chr(10), '### part', chr(10), '---') as model_answer from benchmark",
+    "paper_headings": f"select cast(row_number() over (order by item_id) as int) as ord, concat('Q', cast(item_id + 1 as string)) as question_id, cast(item_id + 1 as int) as number, {_ONE_LINE} as question_text, cast(item_id % 9 + 1 as int) as max_marks from benchmark",
+    "paper_inline": f"select cast(row_number() over (order by item_id) as int) as ord, concat('Q', cast(item_id + 1 as string)) as question_id, cast(item_id + 1 as int) as number, concat({_ONE_LINE}, ' and more') as question_text, cast(item_id % 9 + 1 as int) as max_marks from benchmark",
+}
