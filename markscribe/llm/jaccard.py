@@ -15,9 +15,9 @@ links between different sets are found:
    unless a set has so few groups without one (at most k // 2) that the guarantee would not hold;
    only such sets exchange empty signatures, among themselves.
 4. Candidates. Members of a signature are compared with its smallest member first; links are merged
-   to components; only members of different components are compared further, unless their distances
-   to the signature's smallest member differ too much (Jaccard distance is a metric). Equal member
-   lists are kept once. Every comparison is exact.
+   to components; only members of different components are compared further, and of these only pairs
+   whose sizes and parity sketches (a lower bound of the symmetric difference) allow a link. Equal
+   member lists are kept once. Every comparison is exact.
 
 Hot groups: copies collapse in 1, near copies through the star of 4, common passages fall to 2. No
 step collects a group in one task: blobs hold one entry per class and bucket, and joins on
@@ -40,6 +40,8 @@ from markscribe.llm.components import components
 
 WORDS, PERCENT = 5, 75
 PARTS = 4
+#: 64-bit words of a set's sketch.
+SKETCH = 32
 #: More groups than the bound on bad ones, as a ratio, so that empty subsets can be left out.
 SLACK = 1.5
 MOST_BROADCAST = 1 << 20
@@ -139,7 +141,7 @@ def _merged(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def bucket_number(df: DataFrame, bucket_bytes: int = 1 << 25) -> int:
     """Buckets that keep their content near a fixed size whatever the input's."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return int(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(1 << 20, size // bucket_bytes)))
+    return int(max(64, min(1 << 20, size // bucket_bytes)))
 
 
 def shared_counts(docs: DataFrame) -> DataFrame:
@@ -271,7 +273,7 @@ def links(tested: DataFrame) -> DataFrame:
 
 
 def set_table(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """id (digest), n, feats of the sets in ``classes(id, doc)``; their documents are broadcast only if they are few."""
+    """id (digest), n, feats and sketch of the sets in ``classes(id, doc)``; their documents are broadcast only if they are few."""
     wanted = classes.select(F.col("id").alias("key"), F.col("doc").alias("_doc"))
     few = classes.count() <= MOST_BROADCAST
     chosen = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").cast("string")).join(F.broadcast(wanted) if few else wanted, "_doc")
@@ -279,12 +281,21 @@ def set_table(docs: DataFrame, classes: DataFrame) -> DataFrame:
     def run(batch):
         rows = []
         for _, data, offsets in utf8_slices(batch.column(1)):
-            rows += [(digest(s)[0], len(s), s.tobytes()) for s in shingle_sets(data, offsets)]
-        key, n, feats = zip(*rows, strict=True)
-        arrays = [pa.array(key, pa.int64()), pa.array(n, pa.int64()), pa.array(feats, pa.binary()), batch.column(0)]
-        yield pa.RecordBatch.from_arrays(arrays, ["id", "n", "feats", "key"])
+            rows += [(digest(s)[0], len(s), s.tobytes(), sketch(s)) for s in shingle_sets(data, offsets)]
+        key, n, feats, sketches = zip(*rows, strict=True)
+        arrays = [pa.array(key, pa.int64()), pa.array(n, pa.int64()), pa.array(feats, pa.binary()), *(pa.array(c) for c in np.stack(sketches).T), batch.column(0)]
+        yield pa.RecordBatch.from_arrays(arrays, ["id", "n", "feats", *bits, "key"])
 
-    return map_arrow(chosen.select("key", "text"), run, "id long, n long, feats binary, key long").filter("id = key").drop("key").dropDuplicates(["id"])
+    bits = [f"s{k}" for k in range(SKETCH)]
+    shape = "id long, n long, feats binary, " + ", ".join(f"{b} long" for b in bits) + ", key long"
+    # a document's rows may hold several texts
+    return map_arrow(chosen.select("key", "text"), run, shape).filter("id = key").drop("key").dropDuplicates(["id"])
+
+
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """A parity bitmap: bit h is set if an odd number of shingles hash to h."""
+    odd = np.bincount((shingles & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def link_components(sets: DataFrame) -> DataFrame:
@@ -296,26 +307,34 @@ def link_components(sets: DataFrame) -> DataFrame:
     tested = written(compared(_fitting(star, sets.select("id", "n")), sets), "tested")
     edges = links(tested)
     found = components(edges)
-    # lists whose members are not all in one component yet
+    # lists whose members are not all in one component yet: members beside a list's largest component
+    # (minor) face all of that component, and each other
     named = lists.join(found, "id", "left").select("list", "id", F.coalesce("component", "id").alias("c"))
-    named = written(named, "named")
-    sizes = named.groupBy("list", "c").count().groupBy("list").agg(F.count("*").alias("parts"), F.max_by("c", "count").alias("major"))
-    rest = named.join(sizes.filter("parts > 1"), "list").join(hubs, "list").join(sets.select("id", "n"), "id")
-    distance = tested.select(F.col("a").alias("hub"), F.col("b").alias("id"), (1 - F.col("common") / F.col("total")).alias("d"))
-    rest = rest.join(distance, ["hub", "id"], "left").withColumn("d", F.when(F.col("hub") == F.col("id"), 0.0).otherwise(F.col("d")))
-    rest = written(rest.select("list", "id", "c", "n", "d", "hub", "far", "major"), "open")
-    one = rest.filter("c <> major").select("list", F.col("id").alias("x"), F.col("c").alias("cx"), F.col("n").alias("nx"), F.col("d").alias("dx"), "hub", "far", "major")
-    two = rest.select(F.col("list").alias("l2"), F.col("id").alias("y"), F.col("c").alias("cy"), F.col("n").alias("ny"), F.col("d").alias("dy"))
-    # Jaccard distance is a metric: what the hub is too unequally far from cannot link
-    near = F.coalesce(F.abs(F.col("dx") - F.col("dy")) <= 1 - PERCENT / 100 + 1e-9, F.lit(True))
-    new = (F.least("x", "y") != F.col("hub")) & (F.greatest("x", "y") != F.col("far"))
-    on = (F.col("list") == F.col("l2")) & (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("major")) | (F.col("x") < F.col("y"))) & _fits("nx", "ny") & near & new
-    cross = one.join(two, on).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    parts = named.groupBy("list", "c").count().groupBy("list").agg(F.count("*").alias("parts"), F.max_by("c", F.struct("count", "c")).alias("major"))
+    minor = written(named.join(parts.filter("parts > 1"), "list").filter("c <> major").select("list", "id", "c", "major"), "minor")
+    light = sets.drop("feats")
+    members = light.join(found, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
+    blocks = members.groupBy(F.col("c").alias("major")).agg(F.ceil(F.count("*") / 256).cast("int").alias("blocks"))
+    y = members.join(blocks, F.col("c") == F.col("major")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).drop("major", "blocks")
+    y = y.toDF(*(f"y_{x}" for x in y.columns))
+    x = minor.select("id", "major").distinct().join(blocks, "major").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks").join(light, "id")
+    facing = x.toDF(*(f"x_{c}" for c in x.columns)).join(y, (F.col("x_major") == F.col("y_c")) & (F.col("x_block") == F.col("y_block")) & _may_link()).select("x_id", "y_id")
+    m = minor.select("list", "id", "c").join(light, "id")
+    one, two = m.toDF(*(f"x_{c}" for c in m.columns)), m.toDF(*(f"y_{c}" for c in m.columns))
+    among = one.join(two, (F.col("x_list") == F.col("y_list")) & (F.col("x_id") < F.col("y_id")) & (F.col("x_c") != F.col("y_c")) & _may_link()).select("x_id", "y_id")
+    cross = facing.unionAll(among).select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct()
+    cross = cross.join(tested.select("a", "b"), ["a", "b"], "left_anti")
     more = written(links(compared(cross, sets)), "more")
-    forget(lists, named, rest)
+    forget(lists, minor)
     return components(edges.unionAll(more)) if more.limit(1).count() else found
 
 
+def _may_link():
+    """What the sizes and sketches of x and y allow: flipped sketch bits never outnumber the sets' differences."""
+    flipped = sum((F.bit_count(F.col(f"x_s{k}").bitwiseXOR(F.col(f"y_s{k}"))) for k in range(SKETCH)), F.lit(0))
+    return _fits("x_n", "y_n") & ((100 + PERCENT) * flipped <= (100 - PERCENT) * (F.col("x_n") + F.col("y_n")))
+
+
 def _fits(a: str, b: str):
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
