@@ -101,7 +101,7 @@ def test_papers(spark):
     ("text", "want"),
     [
         ("Q1 Apple\nQ2 Pear\nQ3 Fig", {"Q1": "Apple", "Q2": "Pear", "Q3": "Fig"}),
-        ("Q1. Explain trees. They grow.\nQ2. ok", {"Q1": "They grow.", "Q2": "ok"}),
+        ("Q1 Explain trees. They grow.\nQ2 ok", {"Q1": "They grow.", "Q2": "ok"}),
         ("Q1\nExplain trees. They grow.", {"Q1": "Explain trees. They grow."}),
         ("Q1 a\nQ1 b", {"Q1": "a b"}),
         ("no marker  here", {"UNKNOWN": "no marker here"}),
