@@ -20,6 +20,8 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from markscribe.functions.text import once
+
 BUCKETS = 1 << 16
 #: Least mean log ratio that is kept, in thousandths.
 LEAST = -250
@@ -58,7 +60,8 @@ def repeated_words(hashes: Column) -> Column:
         step = lambda acc, p: F.struct((acc["n"] + p + 3 - F.greatest(acc["end"], p)).alias("n"), (p + 3).alias("end"))
         return F.aggregate(starts, zero, step, lambda acc: acc["n"])
 
-    return let(_windows(hashes, 3), lambda g: F.when(F.size(F.array_distinct(g)) == F.size(g), 0).otherwise(covered(g)))
+    grams = let(hashes, lambda h: _windows(h, 3))
+    return let(grams, lambda g: F.when(F.size(F.array_distinct(g)) == F.size(g), 0).otherwise(covered(g)))
 
 
 def with_base_counts(docs: DataFrame) -> DataFrame:
@@ -71,7 +74,7 @@ def with_base_counts(docs: DataFrame) -> DataFrame:
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
     )
-    out = docs.withColumn("_words", words_of(F.col("text"))).withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
+    out = docs.withColumn("_words", words_of(F.col("text"))).withColumn("_hashes", once(F.transform("_words", lambda w: F.xxhash64(w))))
     return out.select(*docs.columns, counts.alias("_c"), "_hashes").select(*docs.columns, "_c.*", "_hashes")
 
 
@@ -115,6 +118,6 @@ def score_documents(docs: DataFrame, trusted: DataFrame, least: int = LEAST) ->
         .drop("_hashes")
         .withColumn("base_failed", failed)
         .withColumn("score", F.when(n > 0, F.col("_sum") / n))
-        .withColumn("kept", ~F.col("base_failed") & (F.col("_sum") >= least * n))
+        .withColumn("kept", once(~F.col("base_failed") & (F.col("_sum") >= least * n)))
         .drop("_sum")
     )
