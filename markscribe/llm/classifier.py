@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from markscribe.llm.common import hash_words, map_arrow, mix, utf8_slices
+from markscribe.llm.common import hash_words, map_arrow, map_batches, mix, utf8_slices
 
 BITS = 18
 PER_CLASS = 3000
@@ -160,7 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
         m = fit_rows([rows[i] for i in by_hash], np.array(y, dtype=np.int64)[by_hash], share)
         yield pa.RecordBatch.from_pydict({"ratio": [m.ratio.tobytes()], "weight": [m.weight.tobytes()], "rest": [[m.bias, m.slope, m.shift]]})
 
-    got = joined.select("id", "text", "y").repartition(1).mapInArrow(train, "ratio binary, weight binary, rest array<double>").collect()
+    got = map_batches(joined.select("id", "text", "y").repartition(1), train, "ratio binary, weight binary, rest array<double>").collect()
     if not got:
         return fit_rows([], np.zeros(0), share)
     return Model(np.frombuffer(bytes(got[0][0]), np.float32), np.frombuffer(bytes(got[0][1]), np.float32), *got[0][2])

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
@@ -49,16 +51,34 @@ def forget(*tables: DataFrame) -> None:
         path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
-    """``mapInArrow`` of a function that takes a RecordBatch and yields RecordBatches."""
+def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
+    """``mapInArrow`` that gives memory back when a task ends."""
 
     def run(batches):
-        for batch in batches:
-            yield from function(batch)
+        try:
+            yield from function(batches)
+        finally:
+            release()
 
     return df.mapInArrow(run, schema)
 
 
+def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
+    """``mapInArrow`` of a function that takes a RecordBatch and yields RecordBatches."""
+    return map_batches(df, lambda batches: (out for batch in batches for out in function(batch)), schema)
+
+
+def release() -> None:
+    """Give freed memory back to the system at a task's end: executors keep their idle Python workers."""
+    _POWERS.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 # --- vectorised word hashing -------------------------------------------------------------------
 
 _RNG = np.random.Generator(np.random.PCG64(20240607))
@@ -89,7 +109,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def utf8_slices(column: pa.Array, most: int = 1 << 21):
+def utf8_slices(column: pa.Array, most: int = 1 << 19):
     """Yield (first row, UTF-8 bytes, offsets) over runs of rows of at most ``most`` bytes (one row at least)."""
     column = pc.fill_null(column, "")
     if isinstance(column, pa.ChunkedArray):

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from markscribe.llm.common import forget, hash_words, map_arrow, mix, utf8_slices, written
+from markscribe.llm.common import forget, hash_words, map_arrow, map_batches, mix, utf8_slices, written
 from markscribe.llm.components import components
 
 WORDS, PERCENT = 5, 75
@@ -169,7 +169,7 @@ def shared_counts(docs: DataFrame) -> DataFrame:
         n = np.bincount(owner[twice], minlength=len(names))
         return pa.table({"key": names[n > 0], "shared": n[n > 0].astype(np.int64)})
 
-    parts = docs.select(F.col("text").cast("string")).mapInArrow(blobs, BLOB)
+    parts = map_batches(docs.select(F.col("text").cast("string")), blobs, BLOB)
     return parts.groupBy("bucket").applyInArrow(count, "key long, shared long").groupBy("key").agg(F.sum("shared").alias("shared"))
 
 
@@ -245,7 +245,7 @@ def member_lists(sets: DataFrame) -> DataFrame:
         at = np.concatenate([np.arange(start[g], start[g] + size[g]) for g in chosen]) if len(chosen) else np.zeros(0, np.int64)
         return pa.table({"list": np.repeat(mix(total[chosen]).view(np.int64), size[chosen]), "id": names[owner[at]]})
 
-    parts = sets.select("id", "feats").mapInArrow(blobs, BLOB)
+    parts = map_batches(sets.select("id", "feats"), blobs, BLOB)
     return parts.groupBy("bucket").applyInArrow(lists, "list long, id long").distinct()
 
 

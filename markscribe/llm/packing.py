@@ -14,6 +14,7 @@ table gives no piece; extra columns are ignored.
 from __future__ import annotations
 
 import heapq
+import os
 import zlib
 
 import numpy as np
@@ -22,6 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from markscribe.llm.common import map_batches
+
 CAPACITY = 4096
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long, padded_length long"
 _MOST_WORDS = 300_000
@@ -35,6 +38,7 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -127,4 +131,4 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capaci
         if ids:
             yield flush()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SCHEMA)
+    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, SCHEMA)

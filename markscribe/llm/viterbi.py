@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from markscribe.llm.common import map_batches
+
 MARK = "▁"
 SCHEMA = "doc_id long, n_ids long, ids_crc32 long, decoded_chars long, round_trip boolean"
 _MOST_SEGMENTS = 300_000
@@ -196,4 +198,4 @@ def encoded_digest(docs: DataFrame, model_path: str) -> DataFrame:
                 kinds = [pa.int64()] * 4 + [pa.bool_()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], [x.split()[0] for x in SCHEMA.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SCHEMA)
+    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, SCHEMA)

@@ -29,6 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from markscribe.llm.common import map_batches
+
 BLOCK = 1 << 18
 LEVEL = 1
 ARCHIVES = "archive string, data binary, index array<struct<record string, offset long, length long>>"
@@ -158,7 +160,7 @@ def write_archives(records: DataFrame, archive_bytes: int = 1 << 23) -> DataFram
         if size:
             yield finish()
 
-    return records.mapInArrow(run, ARCHIVES)
+    return map_batches(records, run, ARCHIVES)
 
 
 def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
@@ -181,4 +183,4 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
                     rows.append((_page_of(headers["warc-record-id"]), length, digest, kind, refers_to, headers["warc-target-uri"], payload if payloads else None))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    return archives.select("data", "index").mapInArrow(run, RECORDS)
+    return map_batches(archives.select("data", "index"), run, RECORDS)
