@@ -21,8 +21,9 @@ MOST_BROADCAST = 1 << 20
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier predicts to be of quality stay."""
     model = classifier.fit(docs, classifier.learning_rows(table(spark, sf_dir, "labels")))
-    bare = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("text"))
-    return classifier.score_documents(bare, model).filter(F.col("score") >= classifier.THRESHOLD).select("row.*")
+    bare = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    scored = classifier.score_documents(bare, model, text=f"c{docs.columns.index('text')}")
+    return scored.filter(F.col("score") >= classifier.THRESHOLD).drop("score").toDF(*docs.columns)
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
