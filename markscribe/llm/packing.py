@@ -61,6 +61,16 @@ class WordTokenizer:
         return [b"".join(map(get, words)) for words in split]
 
 
+_TOKENIZERS: dict[str, WordTokenizer] = {}
+
+
+def word_tokenizer(path: str) -> WordTokenizer:
+    """This process's tokenizer of a file: a worker keeps it, with its memo, from task to task."""
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = WordTokenizer(path)
+    return _TOKENIZERS[path]
+
+
 class _Both(dict):
     """The memo, with this batch's new words behind it."""
 
@@ -105,7 +115,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capaci
     names = [x.split()[0] for x in SCHEMA.split(", ")]
 
     def run(batches):
-        tokenizer, base = WordTokenizer(tokenizer_path), TaskContext.get().partitionId() << 32
+        tokenizer, base = word_tokenizer(tokenizer_path), TaskContext.get().partitionId() << 32
         ids, keys, size = [], [], 0
 
         def flush():
