@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from markscribe.llm.common import map_arrow, mix
+from markscribe.llm.common import forget, map_arrow, mix, written
 
 _TAG = re.compile(r"<(?:(!--)|([!?])[^>]*>?|(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>)")
 _NAME = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -202,7 +202,9 @@ def extract_text(page: str | None, main: str | None = None, fixed: list[str] | N
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text of every row of ``pages(page_id, url, html)``."""
-    templates = host_templates(host_tokens(pages)).withColumnRenamed("host", "_host")
+    tokens = written(host_tokens(pages), "host-tokens")
+    templates = written(host_templates(tokens).withColumnRenamed("host", "_host"), "templates")  # its size decides how Spark joins
+    forget(tokens)
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
     rows = pages.select(F.col("page_id").cast("long"), "url", "html").join(templates, host == F.col("_host"), "left").select("page_id", "url", "html", "main", "fixed")
 
