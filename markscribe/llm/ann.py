@@ -3,7 +3,10 @@
 Unit vectors go through fast pseudo-rotations (three rounds of random signs and a Hadamard
 transform); a table's hash is the signed axis nearest to the rotated vector, for large inputs joined
 by the nearest signed axes of further rotations cut to fewer dimensions, so that the mean bucket
-keeps its size as the input grows. Queries probe the axes next in magnitude as well. All candidates
+keeps its size as the input grows. Queries probe the axes next in magnitude as well. How many tables
+and probes are needed is read off the input: the true neighbours of ``SAMPLE`` queries are found by a
+scan, and the cheapest setting that finds ``TARGET`` of them is taken (the last one offered probes
+every bucket). A query that still finds fewer than ``k`` rows is answered by a scan. All candidates
 of a bucket are scored exactly (double precision, original vectors), in blocks: a bucket of more
 than ``BLOCK`` rows is dealt over several blocks and its queries go to each, so no task holds a hot
 bucket. Identical vectors are one candidate that carries its smallest ids, as ties go to smaller ids.
@@ -21,9 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from markscribe.llm.common import map_arrow
+from markscribe.llm.common import map_arrow, map_batches, written
 
+#: Least tables and probes; rows of a block and of the mean bucket.
 TABLES, PROBES, BLOCK, BUCKET = 10, 10, 512, 400
+#: Queries whose true neighbours are scanned for, and the share of those that has to be found.
+SAMPLE, TARGET = 96, 0.95
 
 
 def _hadamard(x: np.ndarray) -> np.ndarray:
@@ -47,13 +53,13 @@ def rotations(x: np.ndarray, number: int, seed: int = 11) -> np.ndarray:
     return y
 
 
-def plan(rows: int, dimension: int) -> list[int]:
-    """Axes of each hash in a table: the first has all (fewer for few rows), further ones as many as keep buckets near BUCKET rows."""
+def plan(rows: int, dimension: int, bucket: int = BUCKET) -> list[int]:
+    """Axes of each hash in a table: the first has all (fewer for few rows), further ones as many as keep buckets near ``bucket`` rows."""
     size = 1 << max(1, int(dimension - 1).bit_length())
     first = min(size, max(4, 1 << max(0, int(rows // 64).bit_length() - 1)))
     axes, buckets = [first], 2 * first
-    while rows / buckets > 2 * BUCKET:
-        more = min(size, max(1, 1 << int(np.log2(rows / buckets / BUCKET / 2))))
+    while rows / buckets > 2 * bucket:
+        more = min(size, max(1, 1 << int(np.log2(rows / buckets / bucket / 2))))
         axes.append(more)
         buckets *= 2 * more
     return axes
@@ -72,13 +78,77 @@ def codes(x: np.ndarray, table: int, axes: list[int], probes: int) -> np.ndarray
         if best is None:
             best, cost = top.astype(np.int64), loss
         else:
-            both = (best[:, :, None] * (2 * n) + top[:, None, :]).reshape(len(x), -1)
-            cost = (cost[:, :, None] + loss[:, None, :]).reshape(len(x), -1)
+            # The i-th and j-th nearest together are at best the (i * j)-th nearest pair.
+            i, j = np.nonzero(np.outer(np.arange(1, best.shape[1] + 1), np.arange(1, keep + 1)) <= probes)
+            both, cost = best[:, i] * (2 * n) + top[:, j], cost[:, i] + loss[:, j]
             order = np.argsort(cost, axis=1, kind="stable")[:, :probes]
             best, cost = np.take_along_axis(both, order, axis=1), np.take_along_axis(cost, order, axis=1)
     return best
 
 
+def settings(queries: np.ndarray, neighbours: np.ndarray, of: np.ndarray, rows: int, asked: int, tables: int = TABLES, probes: int = PROBES) -> tuple[list[int], int, int, float]:
+    """Axes, tables and probes that cost least of those finding TARGET of the neighbours (unit rows; neighbour i is one of query ``of[i]``), and the share they find."""
+    offered = []
+    for bucket in (BUCKET, 4 * BUCKET, rows):
+        if (axes := plan(rows, queries.shape[1], bucket)) not in offered:
+            offered.append(axes)
+    best = None
+    for axes in offered:
+        buckets = int(np.prod([2 * n for n in axes]))
+        widths = sorted({min(buckets, probes << i) for i in range(5)} | ({buckets} if axes is offered[-1] else set()))
+        place = np.full(len(of), widths[-1])  # of the neighbour's bucket among the query's probes, best of the tables so far
+        for t in range(4 * tables):
+            own, asks = codes(neighbours, t, axes, 1)[:, 0], codes(queries, t, axes, widths[-1])
+            hit = asks[of] == own[:, None]
+            place = np.minimum(place, np.where(hit.any(axis=1), hit.argmax(axis=1), widths[-1]))
+            if t + 1 < tables or (t + 1 - tables) % 5:
+                continue
+            for width in widths:
+                share = float((place < width).mean()) if len(of) else 1.0
+                mean = max(1.0, rows / buckets)
+                cost = (t + 1) * (rows + asked * width * (-(-mean // BLOCK) + mean / BLOCK))
+                if share >= TARGET and (best is None or cost < best[0]):
+                    best = cost, axes, t + 1, width, share
+            if widths[-1] == buckets:  # every bucket is probed: further tables find nothing new
+                break
+    return best[1:]
+
+
+def _top(score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the k largest scores of every row, largest first, ties by id."""
+    if score.shape[1] > k:
+        row, column = np.nonzero(score >= np.partition(score, -k, axis=1)[:, -k, None])
+    else:
+        row, column = (x.ravel() for x in np.indices(score.shape))
+    order = np.lexsort((ids[column], -score[row, column], row))
+    row, column = row[order], column[order]
+    rank = np.arange(len(row)) - np.searchsorted(row, row)
+    return row[rank < k], column[rank < k]
+
+
+def true_neighbours(unique: DataFrame, x: np.ndarray, k: int) -> list:
+    """n (row of ``x``), u and raw of the k best scores of every row of ``x`` among ``unique(u, v)``, by a scan."""
+
+    def run(batches):
+        ids, rows = np.zeros(0, np.int64), np.zeros((0, x.shape[1]))
+        kept = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros((0, x.shape[1])))
+        for batch in batches:
+            rows = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, x.shape[1])
+            ids = batch.column(0).to_numpy()
+            score = np.einsum("ij,kj->ik", x, rows)
+            n, at = _top(score, ids, k)
+            n, u, s, v = (np.concatenate(p) for p in zip(kept, (n, ids[at], score[n, at], rows[at]), strict=True))
+            order = np.lexsort((u, -s, n))
+            order = order[np.arange(len(order)) - np.searchsorted(n[order], n[order]) < k]
+            kept = n[order], u[order], s[order], v[order]
+        if len(kept[0]):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in kept[:3]] + [pa.array([r.tobytes() for r in kept[3]], pa.binary())], ["n", "u", "score", "raw"])
+
+    found = map_batches(unique.select("u", "v"), run, "n long, u long, score double, raw binary")
+    ranked = found.withColumn("r", F.row_number().over(Window.partitionBy("n").orderBy(F.desc("score"), "u")))
+    return ranked.filter(F.col("r") <= k).select("n", "u", "raw").collect()
+
+
 def valid_vectors(rows: DataFrame) -> DataFrame:
     """vec_id and v (array<double>) of the rows that take part."""
     v = rows.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("v")).filter("vec_id is not null and v is not null")
@@ -94,18 +164,28 @@ def distinct_vectors(valid: DataFrame, k: int) -> DataFrame:
 
 
 def nearest(rows: DataFrame, every: int = 20, k: int = 20, tables: int = TABLES, probes: int = PROBES) -> DataFrame:
-    """The k nearest found of each query (vec_id divisible by ``every``): query_id, rank, vec_id, score."""
+    """The k nearest found of each query (vec_id divisible by ``every``): query_id, rank, vec_id, score.
+
+    ``tables`` and ``probes`` are the least that are used.
+    """
     valid = valid_vectors(rows)
     sizes = valid.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
     schema = "query_id long, rank int, vec_id long, score double"
     if not sizes:
         return rows.sparkSession.createDataFrame([], schema)
     dimension, total = sizes[0]
-    axes = plan(total, dimension)
     valid = valid.filter(F.size("v") == dimension)
     unique = distinct_vectors(valid, k)
     asked = valid.filter(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v").dropDuplicates()
     queries = asked.groupBy("v").agg(F.min("query_id").alias("u"))
+    some = queries.orderBy(F.xxhash64("u"), "u").limit(SAMPLE).collect()
+    if not some:
+        return rows.sparkSession.createDataFrame([], schema)
+    x = np.array([r.v for r in some])
+    pairs = [r for r in true_neighbours(unique, x, k + 1) if r.raw != x[r.n].tobytes()]
+    y = np.frombuffer(b"".join(r.raw for r in pairs)).reshape(len(pairs), dimension)
+    unit = lambda a: a / np.linalg.norm(a, axis=1, keepdims=True)
+    axes, tables, probes, _ = settings(unit(x), unit(y), np.array([r.n for r in pairs], np.int64), total, max(1, total // every), tables, probes)
 
     def hashed(number: int, kind: int):
         def run(batch):
@@ -121,6 +201,15 @@ def nearest(rows: DataFrame, every: int = 20, k: int = 20, tables: int = TABLES,
 
         return run
 
+    def bare(kind: int):
+        def run(batch):
+            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, dimension)
+            zero = np.zeros(len(x), np.int32)
+            columns = [pa.array(zero), pa.array(zero.astype(np.int64)), pa.array(zero + np.int32(kind)), batch.column(0), pa.array([r.tobytes() for r in x], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["t", "code", "kind", "id", "raw"])
+
+        return run
+
     shape = "t int, code long, kind int, id long, raw binary"
     own = map_arrow(unique.select("u", "v"), hashed(1, 0), shape)
     asks = map_arrow(queries.select("u", "v"), hashed(probes, 1), shape)
@@ -135,14 +224,28 @@ def nearest(rows: DataFrame, every: int = 20, k: int = 20, tables: int = TABLES,
         qi, ci = ids[kind == 1], ids[kind == 0]
         if not len(q) or not len(c):
             return pa.table({"q": pa.array([], pa.int64()), "u": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        score = np.einsum("ij,kj->ik", q, c)
-        top = np.lexsort((np.broadcast_to(ci, score.shape), -score), axis=1)[:, : k + 1]
-        return pa.table({"q": np.repeat(qi, top.shape[1]), "u": ci[top].ravel(), "score": np.take_along_axis(score, top, axis=1).ravel()})
-
-    both = own.select("t", "code", "part", "kind", "id", "raw").unionByName(asks.select("t", "code", "part", "kind", "id", "raw"))
-    found = both.groupBy("t", "code", "part").applyInArrow(block, "q long, u long, score double").groupBy("q", "u").agg(F.max("score").alias("score"))
-    best = found.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "u"))).filter(F.col("r") <= k + 1)
+        parts = []
+        for at in range(0, len(q), BLOCK):
+            score = np.einsum("ij,kj->ik", q[at : at + BLOCK], c)
+            row, column = _top(score, ci, k + 1)
+            parts.append((qi[at + row], ci[column], score[row, column]))
+        return pa.table(dict(zip(("q", "u", "score"), (np.concatenate(p) for p in zip(*parts, strict=True)), strict=True)))
+
+    def ranked(own: DataFrame, asks: DataFrame) -> DataFrame:
+        both = own.select("t", "code", "part", "kind", "id", "raw").unionByName(asks.select("t", "code", "part", "kind", "id", "raw"))
+        found = both.groupBy("t", "code", "part").applyInArrow(block, "q long, u long, score double").groupBy("q", "u").agg(F.max("score").alias("score"))
+        return found.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "u"))).filter(F.col("r") <= k + 1)
+
+    best = written(ranked(own, asks), "nearest")
     ids = unique.select(F.col("u"), "ids")
+    enough = best.join(ids, "u").groupBy("q").agg(F.sum(F.size("ids")).alias("n")).filter(F.col("n") > k).select("q")
+    short = written(queries.join(enough, F.col("u") == F.col("q"), "left_anti").select("u", "v"), "short")
+    if short.limit(1).count():
+        parts = -(-total // BLOCK)
+        place = [F.lit(-1).alias("t"), F.lit(0).cast("long").alias("code"), "kind", "id", "raw"]
+        own = map_arrow(unique.select("u", "v"), bare(0), shape).select(*place, F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"))
+        asks = map_arrow(short, bare(1), shape).select(*place, F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+        best = best.join(short.select(F.col("u").alias("q")), "q", "left_anti").unionByName(ranked(own, asks))
     wide = best.join(ids, "u").select("q", "score", F.explode("ids").alias("vec_id"))
     wide = wide.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))).filter(F.col("r") <= k + 1).drop("r")
     out = asked.join(queries.withColumnRenamed("u", "q"), "v").select("query_id", "q").join(wide, "q").filter("vec_id <> query_id")

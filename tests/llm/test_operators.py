@@ -250,3 +250,21 @@ def test_pipeline(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         kept = stage(spark, docs.limit(0), SF)
         assert kept.count() == 0 and kept.columns == docs.columns, name
+
+
+def test_nearest_grows_with_the_input(spark, monkeypatch):
+    rng = np.random.Generator(np.random.PCG64(7))
+    x = rng.normal(size=(12000, 256)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    found = {}
+    for r in ann.nearest(df, every=200).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    score = x[::200] @ x.T
+    score[np.arange(60), np.arange(0, 12000, 200)] = -np.inf
+    want = np.argsort(-score, axis=1)[:, :20]
+    assert sum(len(found[200 * i] & set(w.tolist())) for i, w in enumerate(want)) >= 0.9 * 20 * 60
+    monkeypatch.setattr(ann, "TARGET", 0.0)  # one bucket of one table: what it lacks is filled by a scan
+    few = ann.nearest(df.filter("vec_id < 1500"), every=10, tables=1, probes=1).groupBy("query_id").count().collect()
+    assert len(few) == 150 and all(r["count"] == 20 for r in few)
+    assert ann.nearest(df.filter("vec_id = 0")).count() == 0
