@@ -1,13 +1,14 @@
 """Quality rules: hashed n-gram log-likelihood ratio between trusted and raw corpus, with SQL functions only.
 
-Words are runs of ``[^\\x20\\x09-\\x0D]``. Unigrams and bigrams are hashed (XXH64) to ``BUCKETS``
-buckets; two multinomials, over the trusted rows and over all rows, are counted in one pass with
+Words are runs of ``[^\\x20\\x09-\\x0D]``. Unigrams and bigrams are hashed (XXH64) to buckets, whose
+number grows with the n-grams counted (at most ``PER_BUCKET`` for each, repeats included); two multinomials, over the trusted rows and over all rows, are counted in one pass with
 add-one smoothing. A document's score is the sum of its n-grams' log ratios over their number, in
 thousandths as integers, so that it does not depend on the order of summation. A document is kept
 if no base rule fails and its score reaches ``least``.
 
-The ratio table has a fixed size (BUCKETS integers) and reaches the rows as a literal; trusted ids are
-broadcast up to ``MOST_BROADCAST`` rows and joined by a shuffle beyond.
+A ratio table of at most ``MOST_ARRAY`` buckets reaches the rows as one array; a larger one stays a table
+that the n-grams of the distinct texts are joined to by bucket. Trusted ids are broadcast up to
+``MOST_BROADCAST`` rows and joined by a shuffle beyond.
 
 Defined cases: null or empty text has no words, fails the base rules and has a null score; repeated
 rows count each; with no trusted rows the target is uniform; extra columns of the input are ignored.
@@ -15,14 +16,14 @@ rows count each; with no trusted rows the target is uniform; extra columns of th
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from markscribe.functions.text import once
+from markscribe.llm.common import written
 
-BUCKETS = 1 << 16
+#: Least buckets, n-grams counted for each bucket at most, most buckets that reach the rows as an array, buckets of one inner array.
+BUCKETS, PER_BUCKET, MOST_ARRAY, CHUNK = 1 << 16, 8, 1 << 24, 1 << 12
 #: Least mean log ratio that is kept, in thousandths.
 LEAST = -250
 MOST_BROADCAST = 1 << 20
@@ -78,8 +79,15 @@ def with_base_counts(docs: DataFrame) -> DataFrame:
     return out.select(*docs.columns, counts.alias("_c"), "_hashes").select(*docs.columns, "_c.*", "_hashes")
 
 
-def _buckets(hashes: Column) -> Column:
-    fold = lambda h: F.pmod(h, F.lit(BUCKETS)).cast("int")
+def bucket_count(docs: DataFrame) -> int:
+    """The buckets for these rows: a power of two that grows with their n-grams."""
+    n = F.size(words_of(F.col("text"))).cast("long")
+    grams = docs.agg(F.sum(F.greatest(F.lit(0), 2 * n - 1))).first()[0] or 0
+    return max(BUCKETS, 1 << (-(-grams // PER_BUCKET) - 1).bit_length() if grams else 0)
+
+
+def _buckets(hashes: Column, buckets: int) -> Column:
+    fold = lambda h: F.pmod(h, F.lit(buckets)).cast("int" if buckets <= 1 << 31 else "long")
     return let(hashes, lambda h: F.concat(F.transform(h, fold), F.transform(_windows(h, 2), fold)))
 
 
@@ -91,30 +99,59 @@ def marked_trusted(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     return docs.join(ids, docs["doc_id"] == ids["_id"], "left").withColumn("_trusted", F.coalesce("_t", F.lit(0))).drop("_id", "_t")
 
 
-def ratio_table(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """One row with ``ratios`` array<int>: per bucket the log ratio in thousandths, counted over all rows."""
-    spark = docs.sparkSession
+def ratio_table(docs: DataFrame, trusted: DataFrame, buckets: int) -> DataFrame:
+    """``b`` and ``ratio`` (log ratio in thousandths, counted over all rows) of every bucket, beyond MOST_ARRAY of those with n-grams."""
     hashes = F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w))
-    grams = marked_trusted(docs.select("doc_id", "text"), trusted).select("_trusted", F.explode(_buckets(hashes)).alias("b"))
-    every = spark.range(BUCKETS, numPartitions=1).select(F.lit(0).alias("t"), F.lit(0).alias("r"), F.col("id").cast("int").alias("b"))
-    counts = grams.groupBy("b").agg(F.sum("_trusted").alias("t"), F.count("*").alias("r"))
-    counts = counts.unionByName(every).groupBy("b").agg(F.sum("t").alias("t"), F.sum("r").alias("r"))
-    one = counts.agg(F.array_sort(F.collect_list(F.struct("b", "t", "r"))).alias("c"), F.sum("t").alias("nt"), F.sum("r").alias("nr"))
-    logs = lambda n, total: F.log((n + 1) / (total + BUCKETS))
-    return one.select(F.transform("c", lambda x: F.round(1000 * (logs(x["t"], F.col("nt")) - logs(x["r"], F.col("nr")))).cast("int")).alias("ratios"))
+    grams = marked_trusted(docs.select("doc_id", "text"), trusted).select("_trusted", F.explode(_buckets(hashes, buckets)).alias("b"))
+    grams = grams.select("b", F.col("_trusted").cast("long").alias("t"), F.lit(1).cast("long").alias("r"))
+    if buckets <= MOST_ARRAY:  # an array has all of them
+        zero = F.lit(0).cast("long")
+        grams = grams.unionByName(docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("b"), zero.alias("t"), zero.alias("r")))
+    counts = written(grams.groupBy("b").agg(F.sum("t").alias("t"), F.sum("r").alias("r")), "gram-counts")
+    nt, nr = counts.agg(F.coalesce(F.sum("t"), F.lit(0)), F.coalesce(F.sum("r"), F.lit(0))).first()
+    logs = lambda n, total: F.log((n + 1) / F.lit(total + buckets))
+    return counts.select("b", F.round(1000 * (logs(F.col("t"), nt) - logs(F.col("r"), nr))).cast("short").alias("ratio"))
+
+
+def ratio_array(ratios: DataFrame) -> Column:
+    """The table as array<array<smallint>>: the ratio of bucket b is at [b div CHUNK][b mod CHUNK]."""
+    ordered = lambda key, value: F.transform(F.array_sort(F.collect_list(F.struct(key, value))), lambda x: x[value])
+    chunks = ratios.groupBy(F.floor(F.col("b") / CHUNK).cast("int").alias("chunk")).agg(ordered("b", "ratio").alias("inner"))
+    return chunks.agg(ordered("chunk", "inner").alias("ratios")).scalar()
+
+
+def text_key(text: Column) -> Column:
+    """128 bits that stand for the text."""
+    return F.struct(F.xxhash64(text).alias("x"), F.xxhash64(F.lit(1), text).alias("y"))
+
+
+def joined_sums(docs: DataFrame, table: DataFrame, buckets: int) -> DataFrame:
+    """``_key`` of every distinct text with words and ``_sum``, its n-grams' ratios, by a join on the bucket."""
+    texts = docs.filter("text is not null").select(text_key(F.col("text")).alias("_key"), "text").dropDuplicates(["_key"])
+    grams = texts.select("_key", F.explode(_buckets(F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)), buckets)).alias("b"))
+    each = grams.groupBy("_key", "b").count()
+    return each.join(table, "b").groupBy("_key").agg(F.sum(F.col("count") * F.col("ratio")).alias("_sum"))
 
 
 def score_documents(docs: DataFrame, trusted: DataFrame, least: int = LEAST) -> DataFrame:
     """``docs`` with base counts, ``base_failed``, ``score`` (mean log ratio, thousandths) and ``kept``."""
-    row = ratio_table(docs, trusted).first()
-    ratios = F.from_json(F.lit(json.dumps(list(row[0]))), "array<int>")  # folded to one literal
+    buckets = bucket_count(docs)
+    ratios = ratio_table(docs, trusted, buckets)
     counted = with_base_counts(docs)
-    total = F.transform(F.array(ratios), lambda t: F.aggregate(_buckets(F.col("_hashes")), F.lit(0).cast("long"), lambda acc, b: acc + t[b]))[0]
+    if buckets <= MOST_ARRAY:
+        at = lambda t, b: t[F.shiftright(b, CHUNK.bit_length() - 1)][b.bitwiseAND(F.lit(CHUNK - 1))]
+        # A column of its own, as a function with a lambda may not hold a subquery; referred to once, it is put in place, not copied to the rows.
+        counted = counted.withColumn("_ratios", ratio_array(ratios))
+        total = F.transform(F.array("_ratios"), lambda t: F.aggregate(_buckets(F.col("_hashes"), buckets), F.lit(0).cast("long"), lambda acc, b: acc + at(t, b)))[0]
+    else:
+        sums = written(joined_sums(docs.select("text"), ratios, buckets), "gram-sums")
+        counted = counted.withColumn("_key", text_key(F.col("text"))).join(sums.withColumnRenamed("_sum", "_joined"), "_key", "left").drop("_key")
+        total = F.coalesce("_joined", F.lit(0).cast("long"))
     n = F.greatest(F.lit(0), 2 * F.col("n_words") - 1)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (
-        counted.withColumn("n_repeat_words", repeated_words(F.col("_hashes")).cast("long"))
-        .withColumn("_sum", total)
+        counted.select(*counted.columns, total.alias("_sum")).drop("_ratios", "_joined")
+        .withColumn("n_repeat_words", repeated_words(F.col("_hashes")).cast("long"))
         .drop("_hashes")
         .withColumn("base_failed", failed)
         .withColumn("score", F.when(n > 0, F.col("_sum") / n))
