@@ -5,10 +5,11 @@ Tokens are the structural tags of a page, named by their path (``body/article``,
 order-free fingerprint, so a host with a third of all pages is one map-side-combined aggregate.
 Tokens of equal vectors form an equivalence class. Classes on at least half of the host's pages are
 valid; their paths nest into the host's template. Its slots hold the pages' data: the main slot is
-the template token named article or main, else the innermost one that holds most of the host's text
-outside menus, adverts and the like; slots inside it whose text never changes over three or more
-pages are part of the template. Extraction returns the main slot's remaining text. A page without
-its host's main slot uses its own article or main element, else its body.
+the template token named article or main, else the whole page; what lies beside it (menus, adverts
+and the like) and slots inside it whose text never changes over three or more pages are left out. A
+class word of an element around the outermost article or main does not put that element beside.
+Extraction returns the main slot's remaining text. A page without its host's main slot uses its own
+article or main element, else its body.
 
 Text between block tags is one block: character references decoded, white space runs turned into one
 space, trimmed; empty blocks are left out, the others joined by one line end.
@@ -59,16 +60,23 @@ def _label(tag: str, attributes: str) -> str:
     return ".".join([tag, *words[:4]])
 
 
-def _beside(tag: str, attributes: str, inside_main: bool) -> bool:
+def _beside(tag: str, attributes: str, inside_main: bool) -> int:
+    """2 for an element that is beside by its tag, 1 for one that is by a word, else 0."""
     if tag in BESIDE or (tag == "header" and not inside_main):
-        return True
-    return bool(attributes) and tag not in ("html", "body", *MAIN) and bool(_words(attributes) & BESIDE_WORDS)
+        return 2
+    return int(bool(attributes) and tag not in ("html", "body", *MAIN) and bool(_words(attributes) & BESIDE_WORDS))
+
+
+def _inside_beside(stack: list[tuple[str, str, int]]) -> bool:
+    """Whether the innermost element is beside: words count only from the outermost article or main on."""
+    first = next((i for i, s in enumerate(stack) if s[0] in MAIN), 0)
+    return any(s[2] > (i < first) for i, s in enumerate(stack))
 
 
 def blocks(page: str) -> list[tuple[tuple[str, ...], bool, str]]:
     """(path, beside, text) of every block of a page, empty ones left out; paths also of empty elements."""
     out: list[tuple[tuple[str, ...], bool, str]] = []
-    stack: list[tuple[str, str, bool]] = []  # tag, label, beside
+    stack: list[tuple[str, str, int]] = []  # tag, label, beside
     path: tuple[str, ...] = ()
     beside, text, at = False, [], 0
 
@@ -113,7 +121,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], bool, str]]:
                 if tag not in ("html", "body", "head") or not any(s[0] == tag for s in stack):
                     stack.append((tag, _label(tag, m[5]), _beside(tag, m[5], inside)))
             path = tuple(s[1] for s in stack)
-            beside = any(s[2] for s in stack)
+            beside = _inside_beside(stack)
             if not m[3]:
                 end_block(keep=True)
     end_block()
@@ -174,17 +182,15 @@ def equivalence_classes(tokens: DataFrame) -> DataFrame:
 
 
 def host_templates(tokens: DataFrame) -> DataFrame:
-    """One row per host: ``main`` (path of the main slot, or null) and ``fixed`` (paths of slots whose text never changes).
+    """One row per host: ``main`` (path of the main slot, null for the whole page) and ``fixed`` (paths of slots whose text never changes).
 
     Tokens that fewer than half of a host's pages have are no template; that bounds a host's
     template by twice its mean number of tokens per page.
     """
-    whole = tokens.filter("path = ''").select(F.col("host").alias("h"), F.col("pages").alias("all_pages"), F.col("chars").alias("all_chars"))
+    whole = tokens.filter("path = ''").select(F.col("host").alias("h"), F.col("pages").alias("all_pages"))
     valid = equivalence_classes(tokens).join(whole, F.col("host") == F.col("h")).filter(2 * F.col("pages") >= F.col("all_pages"))
-    each = valid.select("host", "pages", "all_pages", "all_chars", F.explode("tokens").alias("t")).select("host", "pages", "all_pages", "all_chars", "t.*").filter("path <> ''")
-    most = ~F.col("beside") & (F.col("chars") > 0) & (10 * F.col("chars") >= 6 * F.col("all_chars"))
-    rank = F.when(F.col("named") & ~F.col("beside"), F.struct(F.lit(2).alias("kind"), (-F.col("depth")).alias("depth"), "pages", "chars", "path"))
-    rank = rank.otherwise(F.when(most, F.struct(F.lit(1).alias("kind"), F.col("depth"), "pages", "chars", "path")))
+    each = valid.select("host", "pages", F.explode("tokens").alias("t")).select("host", "pages", "t.*").filter("path <> ''")
+    rank = F.when(F.col("named") & ~F.col("beside"), F.struct((-F.col("depth")).alias("depth"), "pages", "chars", "path"))
     fixed = F.collect_list(F.when(F.col("fixed") & (F.col("pages") >= 3) & (F.col("chars") > 0), F.col("path")))
     return each.groupBy("host").agg(F.max_by("path", rank).alias("main"), fixed.alias("fixed"))
 
@@ -196,7 +202,9 @@ def extract_text(page: str | None, main: str | None = None, fixed: list[str] | N
     under = lambda path, top: path == top or path.startswith(top + "/")
     if not (main and any(under(j, main) and t for j, _, _, t in joined)):
         main = next((j for j, p, b, t in joined if not b and p and p[-1].split(".")[0] in MAIN), None)
-    drop = [] if main is None or main in (fixed or []) else [f for f in fixed or [] if under(f, main) and f != main]
+    drop = [f for f in fixed or [] if main is None or (under(f, main) and f != main)]
+    if main in (fixed or []) or all(any(under(j, f) for f in drop) for j, _, b, t in joined if t and not b and (main is None or under(j, main))):
+        drop = []
     return "\n".join(t for j, _, b, t in joined if t and not b and (main is None or under(j, main)) and not any(under(j, f) for f in drop))
 
 

@@ -280,3 +280,11 @@ def test_quality_rules_grow_with_the_input(spark, monkeypatch):
     assert not any(whole[i][2] for i in range(0, 6000, 4)) and all(whole[i][2] for i in range(6000) if i % 4)
     monkeypatch.setattr(quality_rules, "MOST_ARRAY", 1)
     assert ask() == whole
+
+
+def test_extraction_keeps_whole_content(spark):
+    two = "<html><body><div class=content><div class=intro><p>intro {0}</div><div class=body><p>{1}</div></div><div class=legal>always the same</div></body></html>"
+    wrapped = "<html><body><div class='layout has-sidebar'><div class=sidebar>s</div><article><p>story {0}<div class=ad>buy</div></article></div></body></html>"
+    rows = [(i, f"http://a/{i}", two.format(i, f"body {i} " * 9)) for i in range(4)] + [(10 + i, f"http://b/{i}", wrapped.format(i)) for i in range(4)]
+    got = {r.page_id: r.text for r in extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[2] == "intro 2\n" + ("body 2 " * 9).strip() and got[12] == "story 2"
