@@ -6,7 +6,7 @@ order-free fingerprint, so a host with a third of all pages is one map-side-comb
 Tokens of equal vectors form an equivalence class. Classes on at least half of the host's pages are
 valid; their paths nest into the host's template. Its slots hold the pages' data: the main slot is
 the template token named article or main, else the whole page; what lies beside it (menus, adverts
-and the like) and slots inside it whose text never changes over three or more pages are left out. A
+and the like) and slots inside it whose text never changes over pages of three or more contents are left out. A
 class word of an element around the outermost article or main does not put that element beside.
 Extraction returns the main slot's remaining text. A page without its host's main slot uses its own
 article or main element, else its body.
@@ -47,7 +47,9 @@ BESIDE_WORDS = frozenset(
     "contentinfo complementary".split()
 )
 MAIN = ("article", "main")
-TOKENS = "host string, path string, pages long, fingerprint long, named boolean, beside boolean, chars long, least string, most string"
+#: Different page texts, not copies of one page, that must hold a slot before its text counts as fixed.
+LEAST_CONTENTS = 3
+TOKENS = "host string, path string, pages long, fingerprint long, named boolean, beside boolean, chars long, least string, most string, contents array<string>"
 
 
 def _words(attributes: str) -> set[str]:
@@ -155,29 +157,34 @@ def host_tokens(pages: DataFrame) -> DataFrame:
         for page_id, url, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             host = host_of(url)
             key = int.from_bytes(hashlib.blake2b(f"{page_id}\n{url}".encode(), digest_size=8).digest(), "big")
-            for path, (count, beside, chars, texts) in _page_tokens(page or "").items():
-                row = found.setdefault((host, path), [0, 0, beside, 0, None, None])
+            tokens = _page_tokens(page or "")
+            content = hashlib.blake2b("\n".join(tokens[""][3]).encode(), digest_size=12).hexdigest()
+            for path, (count, beside, chars, texts) in tokens.items():
+                row = found.setdefault((host, path), [0, 0, beside, 0, None, None, []])
+                if content not in row[6]:
+                    row[6] = sorted([*row[6], content])[:LEAST_CONTENTS]
                 row[0] += 1
                 row[1] ^= int(mix(np.array([(key + count * 0x9E3779B97F4A7C15) % 2**64], np.uint64)).view(np.int64)[0])
                 row[3] += chars
                 digest = hashlib.blake2b("\n".join(texts).encode(), digest_size=12).hexdigest() if texts else ""
                 row[4] = digest if row[4] is None else min(row[4], digest)
                 row[5] = digest if row[5] is None else max(row[5], digest)
-        rows = [(h, p, r[0], r[1], p.rpartition("/")[2].split(".")[0] in MAIN, r[2], r[3], r[4], r[5]) for (h, p), r in found.items()]
+        rows = [(h, p, r[0], r[1], p.rpartition("/")[2].split(".")[0] in MAIN, r[2], r[3], r[4], r[5], r[6]) for (h, p), r in found.items()]
         if rows:
-            kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.string(), pa.string()]
+            kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.string())]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], [x.split()[0] for x in TOKENS.split(", ")])
 
     parts = map_arrow(pages.select(F.col("page_id").cast("long"), "url", "html"), run, TOKENS)
     return parts.groupBy("host", "path").agg(
         F.sum("pages").alias("pages"), F.bit_xor("fingerprint").alias("fingerprint"), F.first("named").alias("named"), F.first("beside").alias("beside"),
         F.sum("chars").alias("chars"), F.min("least").alias("least"), F.max("most").alias("most"),
+        F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("contents")))), 1, LEAST_CONTENTS).alias("contents"),
     )
 
 
 def equivalence_classes(tokens: DataFrame) -> DataFrame:
     """Classes of tokens with equal occurrence vectors: host, pages, fingerprint, paths (nested: shortest first)."""
-    token = F.struct(F.size(F.split("path", "/")).alias("depth"), "path", "named", "beside", "chars", (F.col("least") == F.col("most")).alias("fixed"))
+    token = F.struct(F.size(F.split("path", "/")).alias("depth"), "path", "named", "beside", "chars", ((F.col("least") == F.col("most")) & (F.size("contents") >= LEAST_CONTENTS)).alias("fixed"))
     return tokens.groupBy("host", "fingerprint", "pages").agg(F.array_sort(F.collect_list(token)).alias("tokens"))
 
 
@@ -191,7 +198,7 @@ def host_templates(tokens: DataFrame) -> DataFrame:
     valid = equivalence_classes(tokens).join(whole, F.col("host") == F.col("h")).filter(2 * F.col("pages") >= F.col("all_pages"))
     each = valid.select("host", "pages", F.explode("tokens").alias("t")).select("host", "pages", "t.*").filter("path <> ''")
     rank = F.when(F.col("named") & ~F.col("beside"), F.struct((-F.col("depth")).alias("depth"), "pages", "chars", "path"))
-    fixed = F.collect_list(F.when(F.col("fixed") & (F.col("pages") >= 3) & (F.col("chars") > 0), F.col("path")))
+    fixed = F.collect_list(F.when(F.col("fixed") & (F.col("chars") > 0), F.col("path")))
     return each.groupBy("host").agg(F.max_by("path", rank).alias("main"), fixed.alias("fixed"))
 
 

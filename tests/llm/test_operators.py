@@ -288,3 +288,11 @@ def test_extraction_keeps_whole_content(spark):
     rows = [(i, f"http://a/{i}", two.format(i, f"body {i} " * 9)) for i in range(4)] + [(10 + i, f"http://b/{i}", wrapped.format(i)) for i in range(4)]
     got = {r.page_id: r.text for r in extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[2] == "intro 2\n" + ("body 2 " * 9).strip() and got[12] == "story 2"
+
+
+def test_extraction_counts_contents_not_copies(spark):
+    copy = "<html><body><article><p>one<ul><li>point</ul></article></body></html>"
+    other = "<html><body><article><p>other {0}</article></body></html>"
+    rows = [(i, f"http://a/{i}", copy) for i in range(6)] + [(10 + i, f"http://a/x{i}", other.format(i)) for i in range(4)]
+    got = {r.page_id: r.text for r in extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0] == got[5] == "one\npoint" and got[11] == "other 1"
