@@ -1,10 +1,10 @@
-"""Main-text extraction by equivalence-class template deduction over pages of the same host.
+"""Main-text extraction by tag and class-word lists and the slots that pages of the same host share.
 
 Tokens are the structural tags of a page, named by their path (``body/article``,
 ``body/div.ad``). Per host each token's occurrence vector (its count on every page) is folded into an
 order-free fingerprint, so a host with a third of all pages is one map-side-combined aggregate.
-Tokens of equal vectors form an equivalence class. Classes on at least half of the host's pages are
-valid; their paths nest into the host's template. Its slots hold the pages' data: the main slot is
+Tokens of equal vectors form an equivalence class, but classes select nothing: each token decides for
+itself. Those on at least half of the host's pages are valid; their paths nest into the host's template. Its slots hold the pages' data: the main slot is
 the template token named article or main, else the whole page; what lies beside it (menus, adverts
 and the like) and slots inside it whose text never changes over pages of three or more contents are left out. A
 class word of an element around the outermost article or main does not put that element beside.
