@@ -3,9 +3,11 @@
 The piece scores of a public vocabulary are read as unigram log scores. The encoder reads one
 character at a time and keeps scores and back pointers only for the window that later pieces can
 still reach (the longest piece). Whenever the paths of all surviving nodes meet at one boundary, the
-ids before it are committed and forgotten, so memory does not grow with the text. Where no piece can
-cross a position (before a word mark that follows another character, around characters outside the
-vocabulary) all paths meet by construction; such segments are looked up in a bounded memo.
+ids before it are committed and forgotten, so memory does not grow with the text. Where no piece of
+the vocabulary can cross a position (before a word mark that follows another character, around a
+line end that no piece holds) all paths meet by construction, so the ids before it are committed:
+the text falls into segments there. Segments that fit into two windows are solved together, all
+distinct ones of a slice at once, position by position over the pieces' trie; longer ones stream.
 
 Ties go to the piece that begins first. Characters outside the vocabulary become byte pieces.
 Defined cases: null or empty text has no ids; a text that holds U+2581 itself decodes to a space
@@ -14,28 +16,29 @@ there, as in the public format, and ``round_trip`` is false.
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from markscribe.llm.common import map_batches
+from markscribe.llm.common import Table, code_points, distinct_strings, gather, map_batches, spread, tokenizer_path, utf8_slices
 
 MARK = "▁"
+#: Bytes of text that are encoded together.
+SLICE = 1 << 21
 SCHEMA = "doc_id long, n_ids long, ids_crc32 long, decoded_chars long, round_trip boolean"
-_MOST_SEGMENTS = 300_000
 
 
 class PieceModel:
     """Pieces, scores and byte pieces of a vocabulary file."""
 
-    def __init__(self, path: str):
+    def __init__(self, name: str):
         import sentencepiece
 
-        sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        sp = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path(name))
         self.ids: dict[str, int] = {}
         self.scores: list[float] = []
         self.surface: list[bytes] = []
@@ -55,10 +58,22 @@ class PieceModel:
         self.longest = max(map(len, self.ids))
         self.suffixes = {p[k:] for p in self.ids for k in range(len(p))}
         self.unknown_score = min(self.scores[i] for i in self.ids.values()) - 10
-        known = {c for p in self.ids for c in p}
         self.segmented = not any(MARK in p.lstrip(MARK) for p in self.ids)
-        line = "" if "\n" in known else "\n"
-        self.segment = re.compile((f"{line}|" if line else "") + f"{MARK}*[^{MARK}{line}]+|{MARK}+")
+        self.lines_apart = not any("\n" in p for p in self.ids)
+        self.surfaces = np.frombuffer(b"".join(self.surface), np.uint8)
+        self.surface_sizes = np.array([len(x) for x in self.surface])
+        self.surface_starts = np.cumsum(self.surface_sizes) - self.surface_sizes
+        self.score = np.array(self.scores)
+        children: dict[tuple[int, str], int] = {}
+        ends = {}
+        for piece, i in self.ids.items():
+            node = 0
+            for char in piece:
+                node = children.setdefault((node, char), len(children) + 1)
+            ends[node] = i
+        self.children = Table(np.array([n << 21 | ord(c) for n, c in children], np.int64), np.array([*children.values()], np.int32))
+        self.piece = np.full(len(children) + 1, -1, np.int32)
+        self.piece[list(ends)] = list(ends.values())
 
 
 class StreamingViterbi:
@@ -77,8 +92,8 @@ class StreamingViterbi:
             self.text += char
             self._extend()
             self.widest = max(self.widest, len(self.best))
-            if len(self.best) > 2 * m.longest and k % 4 == 0:
-                yield from self._commit(self._meeting())
+            if k % 16 == 15 and (at := self._meeting()):
+                yield from self._commit(at)
 
     def finish(self):
         yield from self._commit(len(self.best) - 1)
@@ -123,79 +138,164 @@ class StreamingViterbi:
             yield from group
 
 
+def solved(model: PieceModel, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the best paths of rows of code points, one row after another (a character outside the vocabulary: -1 - its code point), and how many each row has."""
+    n, length = points.shape
+    found, node = [], np.zeros((n, length), np.int64)
+    for depth in range(1, min(length, model.longest) + 1):
+        node = node[:, : length - depth + 1]
+        alive = node >= 0
+        after = np.full(node.shape, -1, np.int64)
+        after[alive] = model.children.get(node[alive] << 21 | points[:, depth - 1 :][alive])
+        node = after
+        found.append(np.where(node >= 0, model.piece[node], -1))
+    best = np.full((length + 1, n), -np.inf)
+    best[0] = 0
+    width, ids = np.zeros((length + 1, n), np.int64), np.zeros((length + 1, n), np.int64)
+    for end in range(1, length + 1):
+        for depth in range(1, min(end, len(found)) + 1):
+            i = found[depth - 1][:, end - depth]
+            score = np.where(i >= 0, best[end - depth] + model.score[i], -np.inf)
+            take = (i >= 0) & (score >= best[end])
+            best[end][take], width[end][take], ids[end][take] = score[take], depth, i[take]
+        alone = best[end - 1] + model.unknown_score
+        take = (found[0][:, end - 1] < 0) & (alone > best[end])
+        best[end][take], width[end][take], ids[end][take] = alone[take], 1, -1 - points[take, end - 1]
+    out, placed = np.zeros((n, length), np.int64), np.zeros((n, length), dtype=bool)
+    rows, end = np.arange(n), np.full(n, length)
+    while len(rows):
+        out[rows, end - 1], placed[rows, end - 1] = ids[end, rows], True
+        end = end - width[end, rows]
+        rows, end = rows[end > 0], end[end > 0]
+    return out[placed], placed.sum(axis=1)
+
+
 class Codec:
     """Encode whole texts to ids and decode ids to texts."""
 
-    def __init__(self, path: str):
-        self.model = PieceModel(path)
-        self.memo: dict[str, bytes] = {}
+    def __init__(self, name: str):
+        self.model = PieceModel(name)
 
-    def stream(self, text: str) -> list[int]:
+    def stream(self, marked: str) -> list[int]:
+        """Ids of a text with its marks, through the window."""
         v = StreamingViterbi(self.model)
-        return [*v.feed(text), *v.finish()]
-
-    def encode(self, text: str) -> bytes:
-        """Little-endian uint32 ids; the text gets a leading word mark and marks for spaces."""
-        if not text:
-            return b""
-        marked = MARK + text.replace(" ", MARK)
-        if not self.model.segmented:
-            return np.array(self.stream(marked), "<u4").tobytes()
-        memo, out = self.memo, []
-        for s in self.model.segment.findall(marked):
-            ids = memo.get(s)
-            if ids is None:
-                ids = np.array(self.stream(s), "<u4").tobytes()
-                if len(memo) < _MOST_SEGMENTS and len(s) < 64:
-                    memo[s] = ids
-            out.append(ids)
-        return b"".join(out)
-
-    def decode(self, ids: bytes) -> str:
-        joined = b"".join(map(self.model.surface.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-        return joined.decode("utf-8", "replace").removeprefix(" ")
-
-
-def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
+        return [*v.feed(marked), *v.finish()]
+
+    def _segments(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct segments, and where each segment's begin and how many they are."""
+        points, at = code_points(data, offsets)
+        points[points == 32] = ord(MARK)
+        length = np.diff(at)
+        starts, sizes, parts, total = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64), [], 0
+        for k in np.unique(length).tolist():
+            own = np.flatnonzero(length == k)
+            for rows in np.array_split(own, 1 + len(own) * k // (1 << 18)):
+                if k <= 2 * self.model.longest:
+                    ids, n = self._with_bytes(*solved(self.model, points[at[rows, None] + np.arange(k)]))
+                else:
+                    each = [self.stream("".join(map(chr, points[at[i] : at[i + 1]].tolist()))) for i in rows]
+                    ids, n = np.array([i for x in each for i in x], np.int64), np.array([len(x) for x in each], np.int64)
+                sizes[rows] = n
+                starts[rows] = total + np.cumsum(n) - n
+                total += len(ids)
+                parts.append(ids.astype("<u4"))
+        return np.concatenate([*parts, np.zeros(0, "<u4")]), starts, sizes
+
+    def _with_bytes(self, ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Characters outside the vocabulary become the pieces of their bytes."""
+        odd = ids < 0
+        if not odd.any():
+            return ids, n
+        chars, codes = np.unique(-1 - ids[odd], return_inverse=True)
+        each = [[self.model.bytes[b] for b in chr(c).encode()] for c in chars.tolist()]
+        sizes = np.array([len(x) for x in each])
+        repeats = np.ones(len(ids), np.int64)
+        repeats[odd] = sizes[codes]
+        out = np.repeat(ids, repeats)
+        out[np.repeat(odd, repeats)] = gather(np.concatenate([np.array(x) for x in each]), np.cumsum(sizes) - sizes, sizes, codes)[0]
+        total = np.concatenate([[0], np.cumsum(repeats)])
+        ends = np.cumsum(n)
+        return out, total[ends] - total[ends - n]
+
+    def encode(self, column: pa.Array):
+        """Yield (first row, ids one after another, where each row's begin): texts get a leading mark, and marks for spaces."""
+        column = pc.fill_null(column, "")
+        if pc.any(pc.match_substring(column, MARK)).as_py():
+            column = pc.replace_substring(column, MARK, " ")
+        empty = pc.equal(pc.binary_length(column), 0)
+        for first, data, offsets in utf8_slices(pc.if_else(empty, "", pc.binary_join_element_wise("", column, " ")), SLICE):
+            start = np.zeros(len(data) + 1, dtype=bool)
+            if self.model.segmented:
+                start[1:-1] = (data[1:] == 32) & (data[:-1] != 32)
+                if self.model.lines_apart:
+                    line = data == 10
+                    start[:-1] |= line
+                    start[1:] |= line
+            start[offsets] = True
+            at = np.flatnonzero(start)
+            codes, segments, own = distinct_strings(data, at)
+            ids, bounds = gather(*self._segments(segments, own), codes)
+            yield first, ids, bounds[np.searchsorted(at, offsets)]
+
+    def decode(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """UTF-8 of the texts one after another, and where each one's begin; a text's leading mark goes."""
+        data, of = gather(self.model.surfaces, self.model.surface_starts, self.model.surface_sizes, ids.astype(np.int64))
+        starts = of[bounds]
+        marked = np.zeros(len(bounds) - 1, dtype=bool)
+        some = starts[1:] > starts[:-1]
+        marked[some] = data[starts[:-1][some]] == 32
+        keep = np.ones(len(data), dtype=bool)
+        keep[starts[:-1][marked]] = False
+        return data[keep], starts - np.concatenate([[0], np.cumsum(marked)])
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return spread(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
+def encode_documents(docs: DataFrame, model: str) -> DataFrame:
     """Each document's key and ``ids`` array<int>."""
 
     def run(batches):
-        codec = Codec(model_path)
+        codec = Codec(model)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = [np.frombuffer(codec.encode(t or ""), "<i4") for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+            for first, ids, bounds in codec.encode(batch.column(1)):
+                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.view(np.int32)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(lists)), lists], ["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, ids array<int>")
+    return map_batches(_texts(docs), run, "doc_id long, ids array<int>")
 
 
-def decode_documents(encoded: DataFrame, model_path: str) -> DataFrame:
-    """The texts of ``encode_documents``' rows."""
+def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
+    """The texts of ``encode_documents``' rows; bytes that are no UTF-8 are replaced, null ids give an empty text."""
 
     def run(batches):
-        codec = Codec(model_path)
+        codec = Codec(model)
         for batch in batches:
-            texts = [codec.decode(np.array(x or [], "<u4").tobytes()) for x in batch.column(1).to_pylist()]
+            lists = pc.fill_null(batch.column(1), pa.scalar([], batch.column(1).type))
+            data, at = codec.decode(lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())]).astype(np.int64))
+            raw = data.tobytes()
+            texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(at, at[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return map_batches(encoded.select("doc_id", "ids"), run, "doc_id long, text string")
 
 
-def encoded_digest(docs: DataFrame, model_path: str) -> DataFrame:
+def encoded_digest(docs: DataFrame, model: str) -> DataFrame:
     """Per document: number and CRC-32 of its ids, code points decoded, and whether decoding gives the text back."""
+    kinds = [pa.int64()] * 4 + [pa.bool_()]
 
     def run(batches):
-        codec = Codec(model_path)
+        codec = Codec(model)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                rows = []
-                for key, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    ids = codec.encode(text or "")
-                    decoded = codec.decode(ids)
-                    rows.append((key, len(ids) // 4, zlib.crc32(ids), len(decoded), decoded == (text or "")))
-                kinds = [pa.int64()] * 4 + [pa.bool_()]
+            for first, ids, bounds in codec.encode(batch.column(1)):
+                data, at = codec.decode(ids, bounds)
+                chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[at]
+                own = batch.column(1).slice(first, len(bounds) - 1)
+                rows, decoded = [], memoryview(data)
+                for i, (key, text) in enumerate(zip(batch.column(0).slice(first, len(own)).to_pylist(), own, strict=True)):
+                    raw = memoryview(text.as_buffer() if text.is_valid else b"").cast("B")
+                    rows.append((key, bounds[i + 1] - bounds[i], zlib.crc32(ids[bounds[i] : bounds[i + 1]]), chars[i + 1] - chars[i], decoded[at[i] : at[i + 1]] == raw))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], [x.split()[0] for x in SCHEMA.split(", ")])
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, SCHEMA)
+    return map_batches(_texts(docs), run, SCHEMA)
