@@ -7,13 +7,11 @@ from pyspark.sql import functions as F
 
 from markscribe.llm import ann, chat, classifier, extraction, jaccard, packing, quality_rules, secret_scan, viterbi, warc
 from markscribe.llm.common import table, written
+from markscribe.llm.oracles import ORACLES  # noqa: F401
 
 
-def tokenizer_file(name: str) -> str:
-    """The place of a public tokenizer's file on this machine."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
+#: Public tokenizers, looked up by name where they are opened.
+WORDS, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,11 +19,11 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return packing.pack_documents(table(spark, sf_dir, "documents"), WORDS)
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return viterbi.encoded_digest(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+    return viterbi.encoded_digest(table(spark, sf_dir, "documents"), PIECES)
 
 
 def trusted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,4 +82,3 @@ QUERIES = {
         op10_nearest_neighbours,
     )
 }
-ORACLES: dict[str, str] = {}
