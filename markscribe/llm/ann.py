@@ -6,10 +6,13 @@ by the nearest signed axes of further rotations cut to fewer dimensions, so that
 keeps its size as the input grows. Queries probe the axes next in magnitude as well. How many tables
 and probes are needed is read off the input: the true neighbours of ``SAMPLE`` queries are found by a
 scan, and the cheapest setting that finds ``TARGET`` of them is taken (the last one offered probes
-every bucket). A query that still finds fewer than ``k`` rows is answered by a scan. All candidates
-of a bucket are scored exactly (double precision, original vectors), in blocks: a bucket of more
-than ``BLOCK`` rows is dealt over several blocks and its queries go to each, so no task holds a hot
-bucket. Identical vectors are one candidate that carries its smallest ids, as ties go to smaller ids.
+every bucket); as each table ships every vector once, while probes ship queries only, few tables and
+many probes are cheap. Scores within a bounded sample of the vectors give every query a least score
+that its nearest ones cannot fall below, so blocks return only rows that reach it. A query that still finds fewer than ``k`` rows is answered by a scan. All
+candidates of a bucket are scored exactly (double precision, original vectors), in blocks: a bucket
+of more than ``BLOCK`` rows is dealt over several blocks and its queries go to each, so no task holds
+a hot bucket. Identical vectors (by a 128-bit digest) are one candidate that carries its smallest
+ids, as ties go to smaller ids.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components take no part, as
 query or candidate, nor do rows of another dimension than the most common one or without an id;
@@ -26,10 +29,14 @@ from pyspark.sql import functions as F
 
 from markscribe.llm.common import map_arrow, map_batches, written
 
-#: Least tables and probes; rows of a block and of the mean bucket.
-TABLES, PROBES, BLOCK, BUCKET = 10, 10, 512, 400
+#: Least and most tables, least probes; most rows of a block, least rows of the mean bucket.
+TABLES, MOST_TABLES, PROBES, BLOCK, BUCKET = 2, 40, 10, 4096, 100
+#: Rows of small tables (repeated vectors, large buckets) that are broadcast at most.
+MOST_BROADCAST = 1 << 18
 #: Queries whose true neighbours are scanned for, and the share of those that has to be found.
 SAMPLE, TARGET = 96, 0.95
+#: Vectors, chosen by hash of their ids, that give queries their least scores.
+LEAST_FROM = 4096
 
 
 def _hadamard(x: np.ndarray) -> np.ndarray:
@@ -54,14 +61,14 @@ def rotations(x: np.ndarray, number: int, seed: int = 11) -> np.ndarray:
 
 
 def plan(rows: int, dimension: int, bucket: int = BUCKET) -> list[int]:
-    """Axes of each hash in a table: the first has all (fewer for few rows), further ones as many as keep buckets near ``bucket`` rows."""
+    """Axes of each hash in a table, as many as bring the mean bucket near ``bucket`` rows: first those of one rotation, then of further ones."""
     size = 1 << max(1, int(dimension - 1).bit_length())
-    first = min(size, max(4, 1 << max(0, int(rows // 64).bit_length() - 1)))
-    axes, buckets = [first], 2 * first
+    power = lambda x: 1 << max(0, int(np.log2(max(1.0, x))))
+    axes = [min(size, max(2, power(rows / bucket / 2)))]
+    buckets = 2 * axes[0]
     while rows / buckets > 2 * bucket:
-        more = min(size, max(1, 1 << int(np.log2(rows / buckets / bucket / 2))))
-        axes.append(more)
-        buckets *= 2 * more
+        axes.append(min(size, power(rows / buckets / bucket / 2)))
+        buckets *= 2 * axes[-1]
     return axes
 
 
@@ -87,57 +94,74 @@ def codes(x: np.ndarray, table: int, axes: list[int], probes: int) -> np.ndarray
 
 
 def settings(queries: np.ndarray, neighbours: np.ndarray, of: np.ndarray, rows: int, asked: int, tables: int = TABLES, probes: int = PROBES) -> tuple[list[int], int, int, float]:
-    """Axes, tables and probes that cost least of those finding TARGET of the neighbours (unit rows; neighbour i is one of query ``of[i]``), and the share they find."""
+    """Axes, tables and probes that cost least of those finding TARGET of the neighbours (unit rows; neighbour i is one of query ``of[i]``), and the share they find.
+
+    The cost is in vectors sent: a table sends each row once and each query to every block of the
+    buckets it probes; scoring a whole block costs
+    as much as sending 64. Probing every bucket is the last resort.
+    """
     offered = []
-    for bucket in (BUCKET, 4 * BUCKET, rows):
+    for bucket in (BUCKET, 4 * BUCKET, 16 * BUCKET, 64 * BUCKET, rows):
         if (axes := plan(rows, queries.shape[1], bucket)) not in offered:
             offered.append(axes)
     best = None
     for axes in offered:
+        if best and axes is offered[-1]:
+            break
         buckets = int(np.prod([2 * n for n in axes]))
-        widths = sorted({min(buckets, probes << i) for i in range(5)} | ({buckets} if axes is offered[-1] else set()))
+        widths = sorted({min(buckets, probes << i) for i in range(8)} | ({buckets} if axes is offered[-1] else set()))
         place = np.full(len(of), widths[-1])  # of the neighbour's bucket among the query's probes, best of the tables so far
-        for t in range(4 * tables):
+        for t in range(max(tables, MOST_TABLES)):
             own, asks = codes(neighbours, t, axes, 1)[:, 0], codes(queries, t, axes, widths[-1])
             hit = asks[of] == own[:, None]
             place = np.minimum(place, np.where(hit.any(axis=1), hit.argmax(axis=1), widths[-1]))
-            if t + 1 < tables or (t + 1 - tables) % 5:
+            if t + 1 < tables or t + 1 > 10 and t % 5:
                 continue
             for width in widths:
                 share = float((place < width).mean()) if len(of) else 1.0
                 mean = max(1.0, rows / buckets)
-                cost = (t + 1) * (rows + asked * width * (-(-mean // BLOCK) + mean / BLOCK))
+                cost = (t + 1) * (rows + asked * width * (-(-mean // BLOCK) + 64 * mean / BLOCK))
                 if share >= TARGET and (best is None or cost < best[0]):
                     best = cost, axes, t + 1, width, share
             if widths[-1] == buckets:  # every bucket is probed: further tables find nothing new
                 break
+            if best and (t + 2) * rows > best[0]:  # further tables cost more than the best setting
+                break
     return best[1:]
 
 
-def _top(score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column of the k largest scores of every row, largest first, ties by id."""
+def _top(q: np.ndarray, c: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row of ``q``, row of ``c`` and score of the k largest inner products of every row of ``q``, largest first, ties by id.
+
+    A matrix product picks them with room for its rounding; the scores returned do not depend on the block.
+    """
+    score = q @ c.T
     if score.shape[1] > k:
-        row, column = np.nonzero(score >= np.partition(score, -k, axis=1)[:, -k, None])
+        room = 1e-12 * np.abs(score).max(axis=1, keepdims=True)
+        row, column = np.nonzero(score >= np.partition(score, -k, axis=1)[:, -k, None] - room)
     else:
         row, column = (x.ravel() for x in np.indices(score.shape))
-    order = np.lexsort((ids[column], -score[row, column], row))
-    row, column = row[order], column[order]
-    rank = np.arange(len(row)) - np.searchsorted(row, row)
-    return row[rank < k], column[rank < k]
+    exact = np.einsum("ij,ij->i", q[row], c[column])
+    order = np.lexsort((ids[column], -exact, row))
+    row, column, exact = row[order], column[order], exact[order]
+    kept = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[kept], column[kept], exact[kept]
+
+
+def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
+    """The vectors of a list column, in double precision."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dimension).astype(np.float64)
 
 
 def true_neighbours(unique: DataFrame, x: np.ndarray, k: int) -> list:
-    """n (row of ``x``), u and raw of the k best scores of every row of ``x`` among ``unique(u, v)``, by a scan."""
+    """n (row of ``x``), u and raw (doubles) of the k best scores of every row of ``x`` among ``unique(u, v)``, by a scan."""
 
     def run(batches):
-        ids, rows = np.zeros(0, np.int64), np.zeros((0, x.shape[1]))
         kept = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros((0, x.shape[1])))
         for batch in batches:
-            rows = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, x.shape[1])
-            ids = batch.column(0).to_numpy()
-            score = np.einsum("ij,kj->ik", x, rows)
-            n, at = _top(score, ids, k)
-            n, u, s, v = (np.concatenate(p) for p in zip(kept, (n, ids[at], score[n, at], rows[at]), strict=True))
+            rows, ids = _matrix(batch.column(1), x.shape[1]), batch.column(0).to_numpy()
+            n, at, score = _top(x, rows, ids, k)
+            n, u, s, v = (np.concatenate(p) for p in zip(kept, (n, ids[at], score, rows[at]), strict=True))
             order = np.lexsort((u, -s, n))
             order = order[np.arange(len(order)) - np.searchsorted(n[order], n[order]) < k]
             kept = n[order], u[order], s[order], v[order]
@@ -150,17 +174,32 @@ def true_neighbours(unique: DataFrame, x: np.ndarray, k: int) -> list:
 
 
 def valid_vectors(rows: DataFrame) -> DataFrame:
-    """vec_id and v (array<double>) of the rows that take part."""
-    v = rows.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("v")).filter("vec_id is not null and v is not null")
+    """vec_id, v (array of float or double) and key (x, y: a digest of v) of the rows that take part."""
+    kind = "float" if dict(rows.dtypes)["embedding"] == "array<float>" else "double"
+    v = rows.select(F.col("vec_id").cast("long"), F.col("embedding").cast(f"array<{kind}>").alias("v")).filter("vec_id is not null and v is not null")
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return v.filter(~F.coalesce(bad, F.lit(False)) & F.exists("v", lambda x: x != 0))
+    v = v.filter(~F.coalesce(bad, F.lit(False)) & F.exists("v", lambda x: x != 0))
+    return v.select("vec_id", "v", F.struct(F.xxhash64("v").alias("x"), F.xxhash64(F.lit(1), "v").alias("y")).alias("key"))
+
+
+def small(table: DataFrame) -> DataFrame:
+    """A table to join with: broadcast if it has at most MOST_BROADCAST rows."""
+    return F.broadcast(table) if table.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else table
 
 
-def distinct_vectors(valid: DataFrame, k: int) -> DataFrame:
-    """One row per vector: u (its smallest id), v, ids (its k + 1 smallest ids), and q (its ids divisible by ``every``)."""
-    first = valid.dropDuplicates(["vec_id", "v"])
-    ranked = first.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).filter(F.col("r") <= k + 1)
-    return ranked.groupBy("v").agg(F.min("vec_id").alias("u"), F.array_sort(F.collect_list("vec_id")).alias("ids"))
+def distinct_vectors(valid: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """One row per vector (u: its smallest id, v), and the repeated ones' u and ids (their k + 1 smallest).
+
+    Only digests and ids are shuffled, but for the vectors of repeated rows.
+    """
+    again = valid.groupBy("key").agg(F.count("*").alias("n"), F.min("vec_id").alias("u")).filter("n > 1").select("key", "u")
+    again = small(written(again, "repeated"))
+    ids = valid.select("vec_id", "key").join(again, "key").select("u", "vec_id").distinct()
+    ids = ids.withColumn("r", F.row_number().over(Window.partitionBy("u").orderBy("vec_id"))).filter(F.col("r") <= k + 1)
+    ids = written(ids.groupBy("u").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")), "repeated-ids")
+    once = valid.join(again, "key", "left_anti").select(F.col("vec_id").alias("u"), "v")
+    first = valid.join(again, "key").filter("vec_id = u").groupBy("u").agg(F.first("v").alias("v"))
+    return once.unionByName(first), ids
 
 
 def nearest(rows: DataFrame, every: int = 20, k: int = 20, tables: int = TABLES, probes: int = PROBES) -> DataFrame:
@@ -175,79 +214,97 @@ def nearest(rows: DataFrame, every: int = 20, k: int = 20, tables: int = TABLES,
         return rows.sparkSession.createDataFrame([], schema)
     dimension, total = sizes[0]
     valid = valid.filter(F.size("v") == dimension)
-    unique = distinct_vectors(valid, k)
-    asked = valid.filter(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v").dropDuplicates()
-    queries = asked.groupBy("v").agg(F.min("query_id").alias("u"))
+    unique, repeated = distinct_vectors(valid, k)
+    asked = written(valid.filter(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "key", "v").dropDuplicates(["query_id", "key"]), "asked")
+    queries = asked.groupBy("key").agg(F.min("query_id").alias("u"), F.first("v").alias("v"))
+    queries = written(queries, "queries")
     some = queries.orderBy(F.xxhash64("u"), "u").limit(SAMPLE).collect()
     if not some:
         return rows.sparkSession.createDataFrame([], schema)
-    x = np.array([r.v for r in some])
+    x = np.array([r.v for r in some], np.float64)
     pairs = [r for r in true_neighbours(unique, x, k + 1) if r.raw != x[r.n].tobytes()]
     y = np.frombuffer(b"".join(r.raw for r in pairs)).reshape(len(pairs), dimension)
     unit = lambda a: a / np.linalg.norm(a, axis=1, keepdims=True)
     axes, tables, probes, _ = settings(unit(x), unit(y), np.array([r.n for r in pairs], np.int64), total, max(1, total // every), tables, probes)
-
-    def hashed(number: int, kind: int):
+    kind_of = np.float32 if dict(valid.dtypes)["v"] == "array<float>" else np.float64
+    shape = "t int, code long, kind int, id long, least double, raw binary"
+    basis = np.array([r.v for r in unique.orderBy(F.xxhash64("u"), "u").limit(LEAST_FROM).select("v").collect()], np.float64)
+
+    def least(x):
+        """The (k + 1)-th largest score of each row among the basis: candidates all, so the nearest k + 1 reach it."""
+        if len(basis) <= k:
+            return pa.array(np.full(len(x), -np.inf))
+        score = np.concatenate([x[at : at + 256] @ basis.T for at in range(0, len(x), 256)])
+        return pa.array(np.partition(score, -k - 1, axis=1)[:, -k - 1] - 1e-12 * np.abs(score).max(axis=1))
+    names = [c.split()[0] for c in shape.split(", ")]
+
+    def raws(x):
+        return pa.array([r.tobytes() for r in x.astype(kind_of)], pa.binary())
+
+    def hashed(number: int, kind: int, vectors: bool = True):
         def run(batch):
-            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, dimension)
+            x = _matrix(batch.column(1), dimension)
             unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-            raw = [r.tobytes() for r in x]
+            raw = raws(x) if vectors else pa.nulls(len(x), pa.binary())
+            bound = least(x) if kind else pa.nulls(len(x), pa.float64())
             for t in range(tables):
                 for column in codes(unit, t, axes, number).T:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(x), t, np.int32)), pa.array(column), pa.array(np.full(len(x), kind, np.int32)), batch.column(0), pa.array(raw, pa.binary())],
-                        ["t", "code", "kind", "id", "raw"],
+                        [pa.array(np.full(len(x), t, np.int32)), pa.array(column), pa.array(np.full(len(x), kind, np.int32)), batch.column(0), bound, raw], names
                     )
 
         return run
 
     def bare(kind: int):
         def run(batch):
-            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, dimension)
+            x = _matrix(batch.column(1), dimension)
             zero = np.zeros(len(x), np.int32)
-            columns = [pa.array(zero), pa.array(zero.astype(np.int64)), pa.array(zero + np.int32(kind)), batch.column(0), pa.array([r.tobytes() for r in x], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["t", "code", "kind", "id", "raw"])
+            yield pa.RecordBatch.from_arrays([pa.array(zero), pa.array(zero.astype(np.int64)), pa.array(zero + np.int32(kind)), batch.column(0), least(x) if kind else pa.nulls(len(x), pa.float64()), raws(x)], names)
 
         return run
 
-    shape = "t int, code long, kind int, id long, raw binary"
-    own = map_arrow(unique.select("u", "v"), hashed(1, 0), shape)
-    asks = map_arrow(queries.select("u", "v"), hashed(probes, 1), shape)
-    counts = own.groupBy("t", "code").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    own = own.join(counts, ["t", "code"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).drop("parts")
-    asks = asks.join(counts, ["t", "code"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    # Buckets of more than a block's rows: counted over codes alone, so that vectors are sent once a table.
+    counted = map_arrow(unique.select("u", "v"), hashed(1, 0, vectors=False), shape).groupBy("t", "code").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    large = small(written(counted.filter("parts > 1"), "large-buckets"))
+    parts = F.coalesce("parts", F.lit(1))
+    own = map_arrow(unique.select("u", "v"), hashed(1, 0), shape).join(large, ["t", "code"], "left")
+    own = own.withColumn("part", F.pmod(F.xxhash64("id"), parts).cast("int")).drop("parts")
+    asks = map_arrow(queries.select("u", "v"), hashed(probes, 1), shape).join(large, ["t", "code"], "left")
+    asks = asks.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
 
     def block(group: pa.Table) -> pa.Table:
         kind, ids = group.column("kind").to_numpy(), group.column("id").to_numpy()
-        x = np.frombuffer(b"".join(group.column("raw").to_pylist()), dtype=np.float64).reshape(len(ids), dimension)
+        x = np.frombuffer(b"".join(group.column("raw").to_pylist()), dtype=kind_of).reshape(len(ids), dimension).astype(np.float64)
         q, c = x[kind == 1], x[kind == 0]
         qi, ci = ids[kind == 1], ids[kind == 0]
+        bound = group.column("least").to_numpy()[kind == 1]
         if not len(q) or not len(c):
             return pa.table({"q": pa.array([], pa.int64()), "u": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         parts = []
-        for at in range(0, len(q), BLOCK):
-            score = np.einsum("ij,kj->ik", q[at : at + BLOCK], c)
-            row, column = _top(score, ci, k + 1)
-            parts.append((qi[at + row], ci[column], score[row, column]))
+        for at in range(0, len(q), 256):
+            row, column, score = _top(q[at : at + 256], c, ci, k + 1)
+            far = score < bound[at + row]
+            parts.append((qi[at + row][~far], ci[column][~far], score[~far]))
         return pa.table(dict(zip(("q", "u", "score"), (np.concatenate(p) for p in zip(*parts, strict=True)), strict=True)))
 
     def ranked(own: DataFrame, asks: DataFrame) -> DataFrame:
-        both = own.select("t", "code", "part", "kind", "id", "raw").unionByName(asks.select("t", "code", "part", "kind", "id", "raw"))
+        both = own.select("t", "code", "part", "kind", "id", "least", "raw").unionByName(asks.select("t", "code", "part", "kind", "id", "least", "raw"))
         found = both.groupBy("t", "code", "part").applyInArrow(block, "q long, u long, score double").groupBy("q", "u").agg(F.max("score").alias("score"))
         return found.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "u"))).filter(F.col("r") <= k + 1)
 
-    best = written(ranked(own, asks), "nearest")
-    ids = unique.select(F.col("u"), "ids")
-    enough = best.join(ids, "u").groupBy("q").agg(F.sum(F.size("ids")).alias("n")).filter(F.col("n") > k).select("q")
+    repeated = small(repeated)
+    best = written(ranked(own, asks).join(repeated, "u", "left"), "nearest")
+    enough = best.groupBy("q").agg(F.sum(F.coalesce(F.size("ids"), F.lit(1))).alias("n")).filter(F.col("n") > k).select("q")
     short = written(queries.join(enough, F.col("u") == F.col("q"), "left_anti").select("u", "v"), "short")
     if short.limit(1).count():
         parts = -(-total // BLOCK)
-        place = [F.lit(-1).alias("t"), F.lit(0).cast("long").alias("code"), "kind", "id", "raw"]
+        place = [F.lit(-1).alias("t"), F.lit(0).cast("long").alias("code"), "kind", "id", "least", "raw"]
         own = map_arrow(unique.select("u", "v"), bare(0), shape).select(*place, F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"))
         asks = map_arrow(short, bare(1), shape).select(*place, F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
-        best = best.join(short.select(F.col("u").alias("q")), "q", "left_anti").unionByName(ranked(own, asks))
-    wide = best.join(ids, "u").select("q", "score", F.explode("ids").alias("vec_id"))
+        scanned = ranked(own, asks).join(repeated, "u", "left")
+        best = best.join(short.select(F.col("u").alias("q")), "q", "left_anti").unionByName(scanned)
+    wide = best.select("q", "score", F.explode(F.coalesce("ids", F.array("u"))).alias("vec_id"))
     wide = wide.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))).filter(F.col("r") <= k + 1).drop("r")
-    out = asked.join(queries.withColumnRenamed("u", "q"), "v").select("query_id", "q").join(wide, "q").filter("vec_id <> query_id")
+    out = asked.join(queries.select("key", F.col("u").alias("q")), "key").select("query_id", "q").join(wide, "q").filter("vec_id <> query_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return out.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
