@@ -4,7 +4,7 @@ Two documents link when 100 * |A and B| >= 75 * |A or B| over their sets of five
 links between different sets are found:
 
 1. Sets. Words and shingles are hashed to 64 bits; documents of equal sets (128-bit digest) are one
-   class, represented by its smallest doc_id.
+   class, represented by its smallest (doc_id, text digest).
 2. Support. A set that links with another shares at least 75 % of its shingles with it. Shingles are
    dealt to buckets, in packed blobs, and counted by class; classes with less than 75 % of shingles
    that some other class has cannot link and go no further.
@@ -14,14 +14,18 @@ links between different sets are found:
    Each three-part subset of each group is a signature. Empty subsets say nothing: they are left out
    unless a set has so few groups without one (at most k // 2) that the guarantee would not hold;
    only such sets exchange empty signatures, among themselves.
-4. Candidates. Members of a signature are compared with its smallest member first; links are merged
-   to components; only members of different components are compared further, and of these only pairs
-   whose sizes and parity sketches (a lower bound of the symmetric difference) allow a link. Equal
-   member lists are kept once. Every comparison is exact.
-
-Hot groups: copies collapse in 1, near copies through the star of 4, common passages fall to 2. No
-step collects a group in one task: blobs hold one entry per class and bucket, and joins on
-signatures and on hubs are plain shuffles that adaptive execution can split.
+4. Candidates. Members of a signature form lists (equal lists are kept once). Members are compared
+   with their list's smallest and largest first; links are merged to components. Where members of a
+   signature are still in different components, finer keys decide which of its members are compared:
+   a set's rarest shingles, of which links must share one early enough to reach the overlap that
+   their sizes and support demand (prefix filter). Every comparison is exact.
+
+Hot groups: copies collapse in 1. A shingle or signature that several sets of one map task share is
+settled there and sent on once, so a bucket gets one entry of it for each map task, not for each
+set: a signature's members are the lists of the map tasks, tied by a list of one member of each.
+A component is never compared with itself, and joins on hubs and keys are plain shuffles that
+adaptive execution can split. Sets that share early rare shingles with many others without linking
+are compared with each of them, as their sizes and shingles leave no other way.
 
 Defined cases: null or empty text has the empty set, 0 shingles, and is its own component; fewer
 than five words are one shingle; rows that repeat an id are documents of their own with that id;
@@ -32,19 +36,19 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from markscribe.llm.common import forget, hash_words, map_arrow, map_batches, mix, utf8_slices, written
+from markscribe.llm.common import forget, hash_words, map_arrow, map_batches, mix, spread, utf8_slices, written
 from markscribe.llm.components import components
 
 WORDS, PERCENT = 5, 75
 PARTS = 4
-#: 64-bit words of a set's sketch.
-SKETCH = 32
 #: More groups than the bound on bad ones, as a ratio, so that empty subsets can be left out.
 SLACK = 1.5
-MOST_BROADCAST = 1 << 20
+#: Class ids that are broadcast at most; entries of a bucket and least entries of a map task's blobs.
+MOST_BROADCAST, PER_BUCKET, LEAST_BLOB = 1 << 18, 1 << 20, 1 << 20
 _SEEDS = [np.uint64(x) for x in (0x9AE16A3B2F90404F, 0xC3A5C85C97CB3127, 0xB492B66FBE98F273, 0x8EBC6AF09C88C6E3, 0xD6D018F5A1B2C3D5)]
 _LENGTH = np.uint64(0xA24BAED4963EE407)
 
@@ -75,29 +79,44 @@ def digest(shingles: np.ndarray) -> tuple[int, int]:
     return int(mix(a[None])[0].view(np.int64)), int(mix(b[None])[0].view(np.int64))
 
 
+def text_key() -> tuple:
+    """128 bits, ``t1`` and ``t2``, that stand for a row's text."""
+    text = F.col("text").cast("string")
+    return F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2")
+
+
 def set_sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, d1, d2 of ``docs(doc_id, text)``."""
+    """doc_id, t1, t2, n_shingles, d1, d2 of ``docs(doc_id, text)``."""
 
     def run(batch):
         rows = []
-        for _, data, offsets in utf8_slices(batch.column(1)):
+        for _, data, offsets in utf8_slices(batch.column(3)):
             rows += [(len(s), *digest(s)) for s in shingle_sets(data, offsets)]
-        columns = [batch.column(0), *(pa.array(c, pa.int64()) for c in zip(*rows, strict=True))]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "d1", "d2"])
+        columns = [*batch.columns[:3], *(pa.array(c, pa.int64()) for c in zip(*rows, strict=True))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "t1", "t2", "n_shingles", "d1", "d2"])
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, "doc_id long, n_shingles long, d1 long, d2 long")
+    rows = docs.select(F.col("doc_id").cast("long"), *text_key(), F.col("text").cast("string"))
+    return map_arrow(rows, run, "doc_id long, t1 long, t2 long, n_shingles long, d1 long, d2 long")
 
 
 # --- blobs: (owner, 64-bit value) pairs dealt to buckets by value --------------------------------
 
-BLOB = "bucket int, owners binary, counts binary, vals binary"
+BLOB = "bucket int, kind int, flush long, owners binary, counts binary, vals binary"
+#: Kinds of blobs: values that one owner of a map task's flush has, one owner of each value that
+#: several have, and what the flush says of those itself (owners and a number for each).
+ALONE, SHARED, SAID = 0, 1, 2
 
 
 class Blobs:
-    """Collects (owner, values) and gives one packed row per bucket; 32 bits of each value are kept beside the bucket."""
+    """Collects (owner, distinct values) and gives packed rows by bucket; 32 bits of each value are kept beside the bucket.
+
+    ``settle(ids, owner, value)`` gets the owners (numbers into ``ids``) of values that several
+    owners have, by value, and gives owners and a number for each.
+    """
 
-    def __init__(self, buckets: int, most: int = 1 << 21):
-        self.buckets, self.most = buckets, most
+    def __init__(self, buckets: int, most: int, settle):
+        self.buckets, self.most, self.settle = buckets, most, settle
+        self.task, self.flushes = TaskContext.get().partitionId() << 32, 0
         self.owners, self.values, self.size = [], [], 0
 
     def add(self, owner: int, values: np.ndarray):
@@ -105,51 +124,87 @@ class Blobs:
         self.values.append(values)
         self.size += len(values)
         if self.size >= self.most:
-            yield self.rows()
+            yield self.flush()
 
-    def rows(self) -> pa.RecordBatch:
+    def flush(self) -> pa.RecordBatch:
         values = np.concatenate(self.values) if self.values else np.zeros(0, np.uint64)
-        owner = np.repeat(np.arange(len(self.owners), dtype=np.int64), [len(v) for v in self.values])
+        owner = np.repeat(np.arange(len(self.owners), dtype=np.int32), [len(v) for v in self.values])
         ids = np.array(self.owners, dtype=np.int64)
         self.owners, self.values, self.size = [], [], 0
-        bucket = ((values >> np.uint64(32)) % np.uint64(self.buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
+        order = np.argsort(values, kind="stable")
+        by_value = values[order]
+        again = np.zeros(len(values) + 1, dtype=bool)
+        again[1:-1] = by_value[1:] == by_value[:-1]
+        several = again[:-1] | again[1:]
+        out = {"bucket": [], "kind": [], "flush": [], "owners": [], "counts": [], "vals": []}
+        name = self.task + self.flushes
+        self.flushes += 1
+        for kind, chosen in ((ALONE, np.sort(order[~several])), (SHARED, order[several & ~again[:-1]])):
+            self._pack(out, kind, name, ids, owner[chosen], values[chosen])
+        said, number = self.settle(ids, owner[order[several]], by_value[several])
+        for at in range(0, len(said), 1 << 18):
+            row = (name + at) % self.buckets, SAID, name, said[at : at + (1 << 18)].tobytes(), b"", number[at : at + (1 << 18)].tobytes()
+            for column, value in zip(out.values(), row, strict=True):
+                column.append(value)
+        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out.values(), kinds, strict=True)], list(out))
+
+    def _pack(self, out: dict, kind: int, name: int, ids: np.ndarray, owner: np.ndarray, values: np.ndarray) -> None:
+        bucket = ((values >> np.uint64(32)) * np.uint64(self.buckets)) >> np.uint64(32)
+        bucket = bucket.astype(np.uint16 if self.buckets <= 1 << 16 else np.int64)
+        order = np.lexsort((owner, bucket)) if kind == SHARED else np.argsort(bucket, kind="stable")
         bucket, owner, low = bucket[order], owner[order], (values[order] & np.uint64(0xFFFFFFFF)).astype("<u4")
-        cuts = np.flatnonzero(np.diff(bucket)) + 1
-        out = {"bucket": [], "owners": [], "counts": [], "vals": []}
+        cuts = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(bucket)], strict=True):
             if b > a:
-                own, counts = np.unique(owner[a:b], return_counts=True)
+                first = np.flatnonzero(np.concatenate([[True], owner[a + 1 : b] != owner[a : b - 1]]))
                 out["bucket"].append(int(bucket[a]))
-                out["owners"].append(ids[own].tobytes())
-                out["counts"].append(counts.astype("<u4").tobytes())
+                out["kind"].append(kind)
+                out["flush"].append(name)
+                out["owners"].append(ids[owner[a:b][first]].tobytes())
+                out["counts"].append(np.diff(np.append(first, b - a)).astype("<u4").tobytes())
                 out["vals"].append(low[a:b].tobytes())
-        kind = pa.schema([("bucket", pa.int32()), ("owners", pa.binary()), ("counts", pa.binary()), ("vals", pa.binary())])
-        return pa.RecordBatch.from_pydict(out, schema=kind)
 
 
-def _merged(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct owners, and the distinct (value, owner number) pairs of a bucket, by value."""
-    owners = np.frombuffer(b"".join(group.column("owners").to_pylist()), np.int64)
-    counts = np.frombuffer(b"".join(group.column("counts").to_pylist()), "<u4").astype(np.int64)
-    values = np.frombuffer(b"".join(group.column("vals").to_pylist()), "<u4").astype(np.uint64)
-    names, number = np.unique(owners, return_inverse=True)
-    keys = np.unique((values << np.uint64(32)) | np.repeat(number, counts).astype(np.uint64))
-    return names, keys >> np.uint64(32), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+def _opened(group: pa.Table):
+    """A bucket's entries by value: owner, flush, whether several had it, and where each value's entries begin; then what flushes say: owner, flush, number."""
+    kind = group.column("kind").to_numpy()
+    flush = group.column("flush").to_numpy()
+    raw = {c: group.column(c).to_pylist() for c in ("owners", "counts", "vals")}
+    joined = lambda column, rows, t: np.frombuffer(b"".join(raw[column][i] for i in rows), t)
+    rows = np.flatnonzero(kind != SAID)
+    counts = joined("counts", rows, "<u4").astype(np.int64)
+    size = np.array([len(raw["vals"][i]) // 4 for i in rows], np.int64)
+    value = joined("vals", rows, "<u4")
+    order = np.argsort(value, kind="stable")
+    value = value[order]
+    start = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]])) if len(value) else np.zeros(0, np.int64)
+    entries = np.repeat(joined("owners", rows, np.int64), counts)[order], np.repeat(flush[rows], size)[order], np.repeat(kind[rows] == SHARED, size)[order], start
+    rows = np.flatnonzero(kind == SAID)
+    said = joined("owners", rows, np.int64)
+    return entries, (said, np.repeat(flush[rows], [len(raw["owners"][i]) // 8 for i in rows]), joined("vals", rows, np.int64))
+
+
+def bucket_number(entries: int) -> int:
+    """Buckets that keep their content near a fixed size whatever the input's."""
+    return int(max(64, min(1 << 20, entries // PER_BUCKET)))
 
 
-def bucket_number(df: DataFrame, bucket_bytes: int = 1 << 25) -> int:
-    """Buckets that keep their content near a fixed size whatever the input's."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return int(max(64, min(1 << 20, size // bucket_bytes)))
+def blob_entries(buckets: int) -> int:
+    """Entries that a map task collects before it sends them to this many buckets."""
+    return min(1 << 22, max(LEAST_BLOB, 16 * buckets))
 
 
-def shared_counts(docs: DataFrame) -> DataFrame:
+def shared_counts(docs: DataFrame, buckets: int) -> DataFrame:
     """key (64 bits of a set's digest), shared: how many of its shingles another set has too."""
-    buckets = bucket_number(docs)
+    most = blob_entries(buckets)
+
+    def settle(ids, owner, value):
+        n = np.bincount(owner, minlength=len(ids))
+        return ids[n > 0], n[n > 0].astype(np.int64)
 
     def blobs(batches):
-        out, seen = Blobs(buckets), set()
+        out, seen = Blobs(buckets, most, settle), set()
         for batch in batches:
             for _, data, offsets in utf8_slices(batch.column(0)):
                 for s in shingle_sets(data, offsets):
@@ -159,18 +214,25 @@ def shared_counts(docs: DataFrame) -> DataFrame:
                             seen.clear()
                             yield full
         if out.owners:
-            yield out.rows()
+            yield out.flush()
 
     def count(group: pa.Table) -> pa.Table:
-        names, values, owner = _merged(group)
-        twice = np.zeros(len(values), dtype=bool)
-        twice[1:] = values[1:] == values[:-1]
-        twice[:-1] |= twice[1:]
-        n = np.bincount(owner[twice], minlength=len(names))
-        return pa.table({"key": names[n > 0], "shared": n[n > 0].astype(np.int64)})
+        (owner, flush, several, start), (said, by, number) = _opened(group)
+        if len(start):
+            size = np.diff(np.append(start, len(owner)))
+            shared = (np.minimum.reduceat(owner, start) != np.maximum.reduceat(owner, start)) | np.logical_or.reduceat(several, start)
+            counted = np.repeat(shared, size) & ~several
+            owner, flush = owner[counted], flush[counted]
+        order = np.lexsort((flush, owner))
+        owner, flush = owner[order], flush[order]
+        first = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (flush[1:] != flush[:-1])])) if len(owner) else np.zeros(0, np.int64)
+        n = np.diff(np.append(first, len(owner)))
+        return pa.table({"key": np.append(owner[first], said), "flush": np.append(flush[first], by), "shared": np.append(n, number).astype(np.int64)})
 
     parts = map_batches(docs.select(F.col("text").cast("string")), blobs, BLOB)
-    return parts.groupBy("bucket").applyInArrow(count, "key long, shared long").groupBy("key").agg(F.sum("shared").alias("shared"))
+    counts = parts.groupBy("bucket").applyInArrow(count, "key long, flush long, shared long")
+    # copies of a set in several flushes are counted in each
+    return counts.groupBy("key", "flush").agg(F.sum("shared").alias("shared")).groupBy("key").agg(F.max("shared").alias("shared"))
 
 
 # --- PartEnum ------------------------------------------------------------------------------------
@@ -221,29 +283,41 @@ def signatures(shingles: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def member_lists(sets: DataFrame) -> DataFrame:
-    """list, id: the members of every signature that two sets or more share, equal lists once."""
-    buckets = bucket_number(sets)
+def _equal_once(owner: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists of two owners and more, equal ones once: a row for each member with the list's name."""
+    size = np.diff(np.append(start, len(owner)))
+    total = np.add.reduceat(mix(owner.astype(np.uint64) + _SEEDS[3]), start) if len(start) else np.zeros(0, np.uint64)
+    several = np.flatnonzero(size > 1)
+    chosen = several[np.unique(total[several], return_index=True)[1]]
+    each = size[chosen]
+    at = np.repeat(start[chosen] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+    return owner[at], np.repeat(mix(total[chosen]).view(np.int64), each)
+
+
+def member_lists(sets: DataFrame, buckets: int) -> DataFrame:
+    """list, id: the members of signatures that two sets or more share, equal lists once.
+
+    Members that share a signature within a map task's flush are a list; one of them stands for
+    them in the list of all flushes.
+    """
+    most = blob_entries(buckets)
+
+    def settle(ids, owner, value):
+        start = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]])) if len(value) else np.zeros(0, np.int64)
+        return _equal_once(ids[owner], start)
 
     def blobs(batches):
-        out = Blobs(buckets)
+        out = Blobs(buckets, most, settle)
         for batch in batches:
             for key, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                yield from out.add(key, signatures(np.frombuffer(raw, np.uint64)))
+                yield from out.add(key, np.unique(signatures(np.frombuffer(raw, np.uint64))))
         if out.owners:
-            yield out.rows()
+            yield out.flush()
 
     def lists(group: pa.Table) -> pa.Table:
-        names, values, owner = _merged(group)
-        start = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
-        size = np.diff(np.concatenate([start, [len(values)]]))
-        named = mix(names.astype(np.uint64) + _SEEDS[3])
-        total = np.add.reduceat(named[owner], start) if len(start) else np.zeros(0, np.uint64)
-        several = np.flatnonzero(size > 1)
-        _, first = np.unique(total[several], return_index=True)
-        chosen = several[first]
-        at = np.concatenate([np.arange(start[g], start[g] + size[g]) for g in chosen]) if len(chosen) else np.zeros(0, np.int64)
-        return pa.table({"list": np.repeat(mix(total[chosen]).view(np.int64), size[chosen]), "id": names[owner[at]]})
+        (owner, _, _, start), (said, _, name) = _opened(group)
+        member, of = _equal_once(owner, start)
+        return pa.table({"list": np.append(of, name), "id": np.append(member, said)})
 
     parts = map_batches(sets.select("id", "feats"), blobs, BLOB)
     return parts.groupBy("bucket").applyInArrow(lists, "list long, id long").distinct()
@@ -273,90 +347,134 @@ def links(tested: DataFrame) -> DataFrame:
 
 
 def set_table(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """id (digest), n, feats and sketch of the sets in ``classes(id, doc)``; their documents are broadcast only if they are few."""
-    wanted = classes.select(F.col("id").alias("key"), F.col("doc").alias("_doc"))
+    """id (digest), n, shared and feats of the sets in ``classes(id, shared, doc)``; their documents are broadcast only if they are few."""
+    wanted = classes.select(F.col("id").alias("key"), "shared", F.col("doc").alias("_doc"))
     few = classes.count() <= MOST_BROADCAST
     chosen = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").cast("string")).join(F.broadcast(wanted) if few else wanted, "_doc")
 
     def run(batch):
         rows = []
-        for _, data, offsets in utf8_slices(batch.column(1)):
-            rows += [(digest(s)[0], len(s), s.tobytes(), sketch(s)) for s in shingle_sets(data, offsets)]
-        key, n, feats, sketches = zip(*rows, strict=True)
-        arrays = [pa.array(key, pa.int64()), pa.array(n, pa.int64()), pa.array(feats, pa.binary()), *(pa.array(c) for c in np.stack(sketches).T), batch.column(0)]
-        yield pa.RecordBatch.from_arrays(arrays, ["id", "n", "feats", *bits, "key"])
-
-    bits = [f"s{k}" for k in range(SKETCH)]
-    shape = "id long, n long, feats binary, " + ", ".join(f"{b} long" for b in bits) + ", key long"
+        for _, data, offsets in utf8_slices(batch.column(2)):
+            rows += [(digest(s)[0], len(s), s.tobytes()) for s in shingle_sets(data, offsets)]
+        key, n, feats = zip(*rows, strict=True)
+        arrays = [pa.array(key, pa.int64()), pa.array(n, pa.int64()), batch.column(1), pa.array(feats, pa.binary()), batch.column(0)]
+        yield pa.RecordBatch.from_arrays(arrays, ["id", "n", "shared", "feats", "key"])
+
     # a document's rows may hold several texts
-    return map_arrow(chosen.select("key", "text"), run, shape).filter("id = key").drop("key").dropDuplicates(["id"])
+    return map_arrow(chosen.select("key", "shared", "text"), run, "id long, n long, shared long, feats binary, key long").filter("id = key").drop("key").dropDuplicates(["id"])
+
+
+def unresolved(lists: DataFrame, found: DataFrame) -> DataFrame:
+    """id, c (component) of the sets that share a signature with a set of another component, and some more.
 
+    A signature's lists meet in the list of their representatives: from an unresolved list others
+    of its signature are two steps away at most.
+    """
+    named = written(lists.join(found, "id", "left").select("list", "id", F.coalesce("component", "id").alias("c")), "named")
+    open_lists = named.groupBy("list").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 <> c1").select("list")
+    for _ in range(2):
+        touched = named.join(open_lists, "list", "left_semi").select("id").distinct()
+        open_lists = named.join(touched, "id", "left_semi").select("list").distinct()
+    return named.join(open_lists, "list", "left_semi").select("id", "c").distinct()
 
-def sketch(shingles: np.ndarray) -> np.ndarray:
-    """A parity bitmap: bit h is set if an odd number of shingles hash to h."""
-    odd = np.bincount((shingles & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+def rare_keys(sets: DataFrame) -> DataFrame:
+    """token, id, c, n, shared, p, small: the shingles by which links of ``sets(id, c, n, shared, feats)`` are found.
+
+    A set's shingles are ordered by frequency, then value; ``p`` counts from 0. Links of sizes n <= m
+    share ceil(75 (n + m) / 175) shingles at least: at least 6 n / 7 of the smaller set and 3 m / 4 of
+    the larger. So their first common one is among the first n / 7 of the smaller set (``small``) and
+    among the first m / 4 of the larger.
+    """
+
+    def run(batch):
+        for key, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            token = np.frombuffer(raw, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(token), key)), pa.array(token)], ["id", "token"])
+
+    each = map_arrow(sets.select("id", "feats"), run, "id long, token long")
+    often = each.groupBy("token").agg(F.count("*").alias("df"))
+    ordered = each.join(often.filter("df > 1"), "token").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
+    rows = ordered.join(sets.drop("feats"), "id").withColumn("alone", F.col("n") - F.size("t"))  # shingles that no other set has come first
+    rows = rows.select("id", "c", "n", "shared", "alone", F.posexplode("t").alias("i", "x")).withColumn("p", F.col("alone") + F.col("i"))
+    rows = rows.filter(4 * F.col("p") <= F.col("n"))
+    return rows.select("x.token", "id", "c", "n", "shared", "p", (7 * F.col("p") <= F.col("n")).alias("small"))
+
+
+def rare_pairs(keys: DataFrame) -> DataFrame:
+    """a, b: sets of different components that share a key early enough for a link.
+
+    Of each token's sets, those beside its largest component (minor) face all others; that
+    component's sets are never paired with each other.
+    """
+    keys = written(keys, "keys")
+    sizes = keys.groupBy("token", "c").count().groupBy("token").agg(F.count("*").alias("parts"), F.max_by("c", F.struct("count", "c")).alias("major"))
+    named = keys.join(sizes.filter("parts > 1").drop("parts"), "token")
+    x, y = (named.toDF(*(f"{side}_{c}" for c in named.columns)) for side in "xy")
+    c = F.col
+    first = F.struct("x_n", "x_id") < F.struct("y_n", "y_id")
+    ways = (c("x_c") != c("x_major")) & (c("x_c") != c("y_c")) & ((c("y_c") == c("y_major")) | (c("x_id") < c("y_id")))
+    early = F.when(first, c("x_small")).otherwise(c("y_small"))
+    reach = (100 + PERCENT) * F.least(c("x_n") - c("x_p"), c("y_n") - c("y_p")) >= PERCENT * (c("x_n") + c("y_n"))
+    may = _may_link("x", "y")
+    pairs = x.join(y, (c("x_token") == c("y_token")) & ways & early & reach & may).select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b"))
+    return pairs.distinct()
 
 
 def link_components(sets: DataFrame) -> DataFrame:
-    """id, component of every set of ``sets(id, n, feats)`` that links with another."""
-    lists = written(member_lists(sets), "lists")
+    """id, component of every set of ``sets(id, n, shared, feats)`` that links with another."""
+    entries = sets.agg(F.sum("n")).first()[0] or 0  # about two signatures a shingle
+    lists = written(member_lists(sets, bucket_number(2 * entries)), "lists")
     hubs = lists.groupBy("list").agg(F.min("id").alias("hub"), F.max("id").alias("far"))
     star = lists.join(hubs, "list").select(F.explode(F.array(F.struct(F.col("hub").alias("a"), F.col("id").alias("b")), F.struct(F.col("id").alias("a"), F.col("far").alias("b")))).alias("p"))
     star = star.select("p.*").filter("a <> b").distinct()
-    tested = written(compared(_fitting(star, sets.select("id", "n")), sets), "tested")
+    tested = written(compared(_fitting(star, sets.select("id", "n", "shared")), sets), "tested")
     edges = links(tested)
     found = components(edges)
-    # lists whose members are not all in one component yet: members beside a list's largest component
-    # (minor) face all of that component, and each other
-    named = lists.join(found, "id", "left").select("list", "id", F.coalesce("component", "id").alias("c"))
-    parts = named.groupBy("list", "c").count().groupBy("list").agg(F.count("*").alias("parts"), F.max_by("c", F.struct("count", "c")).alias("major"))
-    minor = written(named.join(parts.filter("parts > 1"), "list").filter("c <> major").select("list", "id", "c", "major"), "minor")
-    light = sets.drop("feats")
-    members = light.join(found, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
-    blocks = members.groupBy(F.col("c").alias("major")).agg(F.ceil(F.count("*") / 256).cast("int").alias("blocks"))
-    y = members.join(blocks, F.col("c") == F.col("major")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).drop("major", "blocks")
-    y = y.toDF(*(f"y_{x}" for x in y.columns))
-    x = minor.select("id", "major").distinct().join(blocks, "major").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks").join(light, "id")
-    facing = x.toDF(*(f"x_{c}" for c in x.columns)).join(y, (F.col("x_major") == F.col("y_c")) & (F.col("x_block") == F.col("y_block")) & _may_link()).select("x_id", "y_id")
-    m = minor.select("list", "id", "c").join(light, "id")
-    one, two = m.toDF(*(f"x_{c}" for c in m.columns)), m.toDF(*(f"y_{c}" for c in m.columns))
-    among = one.join(two, (F.col("x_list") == F.col("y_list")) & (F.col("x_id") < F.col("y_id")) & (F.col("x_c") != F.col("y_c")) & _may_link()).select("x_id", "y_id")
-    cross = facing.unionAll(among).select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct()
-    cross = cross.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    open_sets = written(unresolved(lists, found), "open")
+    cross = rare_pairs(rare_keys(sets.join(open_sets, "id"))).join(tested.select("a", "b"), ["a", "b"], "left_anti")
     more = written(links(compared(cross, sets)), "more")
-    forget(lists, minor)
+    forget(lists, open_sets)
     return components(edges.unionAll(more)) if more.limit(1).count() else found
 
 
-def _may_link():
-    """What the sizes and sketches of x and y allow: flipped sketch bits never outnumber the sets' differences."""
-    flipped = sum((F.bit_count(F.col(f"x_s{k}").bitwiseXOR(F.col(f"y_s{k}"))) for k in range(SKETCH)), F.lit(0))
-    return _fits("x_n", "y_n") & ((100 + PERCENT) * flipped <= (100 - PERCENT) * (F.col("x_n") + F.col("y_n")))
-
-
-def _fits(a: str, b: str):
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+def _may_link(x: str, y: str):
+    """What sizes and support allow: links share 75 of 175 parts of the sizes' sum, and the smaller set has 75 % of the larger's size."""
+    c = lambda name: F.col(name)
+    enough = (100 + PERCENT) * F.least(c(f"{x}_shared"), c(f"{y}_shared")) >= PERCENT * (c(f"{x}_n") + c(f"{y}_n"))
+    return enough & (100 * F.least(c(f"{x}_n"), c(f"{y}_n")) >= PERCENT * F.greatest(c(f"{x}_n"), c(f"{y}_n")))
 
 
 def _fitting(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The pairs whose sizes allow a link."""
-    a, b = sizes.toDF("a", "na"), sizes.toDF("b", "nb")
-    return pairs.join(a, "a").join(b, "b").filter(_fits("na", "nb")).select("a", "b")
+    """The pairs whose sizes and support allow a link."""
+    x, y = sizes.toDF("a", "x_n", "x_shared"), sizes.toDF("b", "y_n", "y_shared")
+    return pairs.join(x, "a").join(y, "b").filter(_may_link("x", "y")).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every row of ``docs(doc_id, text)``."""
+def groups(docs: DataFrame) -> DataFrame:
+    """doc_id, t1, t2 (digest of the text), n_shingles, component_id and ``stays`` of every row of ``docs(doc_id, text)``.
+
+    ``stays`` is false for rows other than their component's smallest (doc_id, t1, t2); rows without
+    an id or with the empty set stay.
+    """
+    docs = spread(docs)
     meta = written(set_sizes(docs), "sizes")
-    classes = meta.filter("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("doc"))
-    classes = written(classes, "classes")
-    shared = shared_counts(docs).withColumnRenamed("key", "d1")
-    likely = classes.join(shared, "d1").filter(100 * F.col("shared") >= PERCENT * F.col("n_shingles")).select(F.col("d1").alias("id"), "doc")
+    own = meta.filter("n_shingles > 0 and doc_id is not null")
+    classes = written(own.groupBy("d1", "d2", "n_shingles").agg(F.min(F.struct("doc_id", "t1", "t2")).alias("first")), "classes")
+    entries = meta.agg(F.sum("n_shingles")).first()[0] or 0
+    shared = shared_counts(docs, bucket_number(entries)).withColumnRenamed("key", "d1")
+    likely = classes.join(shared, "d1").filter(100 * F.col("shared") >= PERCENT * F.col("n_shingles")).select(F.col("d1").alias("id"), "shared", F.col("first.doc_id").alias("doc"))
     likely = written(likely, "likely")
     sets = written(set_table(docs, likely), "sets")
     found = link_components(sets).select(F.col("id").alias("d1"), "component")
-    classes = classes.join(found, "d1", "left").withColumn("component", F.coalesce("component", "d1"))
-    least = classes.groupBy("component").agg(F.min("doc").alias("component_id"))
-    named = classes.join(least, "component").select("d1", "d2", "n_shingles", "component_id")
+    named = classes.join(found, "d1", "left").withColumn("component", F.coalesce("component", "d1"))
+    least = named.groupBy("component").agg(F.min("first").alias("least"))
+    named = named.join(least, "component").select("d1", "d2", "n_shingles", "least")
     out = meta.join(named, ["d1", "d2", "n_shingles"], "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    stays = F.col("least").isNull() | F.col("doc_id").isNull() | (F.struct("doc_id", "t1", "t2") == F.col("least"))
+    return out.select("doc_id", "t1", "t2", "n_shingles", F.coalesce("least.doc_id", "doc_id").alias("component_id"), stays.alias("stays"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every row of ``docs(doc_id, text)``."""
+    return groups(docs).select("doc_id", "n_shingles", "component_id")
