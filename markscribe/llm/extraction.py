@@ -1,15 +1,21 @@
-"""Main-text extraction by tag and class-word lists and the slots that pages of the same host share.
-
-Tokens are the structural tags of a page, named by their path (``body/article``,
-``body/div.ad``). Per host each token's occurrence vector (its count on every page) is folded into an
-order-free fingerprint, so a host with a third of all pages is one map-side-combined aggregate.
-Tokens of equal vectors form an equivalence class, but classes select nothing: each token decides for
-itself. Those on at least half of the host's pages are valid; their paths nest into the host's template. Its slots hold the pages' data: the main slot is
-the template token named article or main, else the whole page; what lies beside it (menus, adverts
-and the like) and slots inside it whose text never changes over pages of three or more contents are left out. A
-class word of an element around the outermost article or main does not put that element beside.
-Extraction returns the main slot's remaining text. A page without its host's main slot uses its own
-article or main element, else its body.
+"""Main-text extraction by equivalence classes of the tokens that pages of the same host share.
+
+Tokens are structural tags, named by their path (``html/body/article``), and blocks of text under
+such a path. A token's occurrence vector is its count on every different page of the host, folded
+into an order-free fingerprint; tokens of equal vectors form an equivalence class. A class is valid
+if it has two tokens or more and is on at least half of the host's pages and on ``LEAST_CONTENTS``;
+copies of a page count once. Valid classes nest by their paths into the host's template; a block of
+text in the class of a tag around it (it is there exactly when and as often as that tag) is template,
+all other text is data, and the places of data under a template tag are its slots.
+
+The main slot is the outermost template tag named article or main; without one it is the whole
+page. From it the template's blocks are left out, and slots beside the article (menus, adverts and
+the like), which only names tell from the article: fixed lists of tags and of words in class, id and
+role. A class counts as such if all its words are in these lists or neutral, so ``related-posts`` is
+beside and ``related-work`` or ``has-sidebar`` is not; words around the outermost article or main
+element do not put it beside. Where template blocks would be more than half of the host's text, the
+pages are near copies of each other and their text is data. A page without its host's main slot uses
+its own article or main element, else its body.
 
 Text between block tags is one block: character references decoded, white space runs turned into one
 space, trimmed; empty blocks are left out, the others joined by one line end.
@@ -21,24 +27,24 @@ to the end of the page; extra columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import html as html_lib
 import re
 
-import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from markscribe.llm.common import forget, map_arrow, mix, written
+from markscribe.llm.common import forget, map_arrow, spread, written
 
-_TAG = re.compile(r"<(?:(!--)|([!?])[^>]*>?|(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>)")
-_NAME = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_TAG = re.compile(r"<(?:(!--)|([!?])[^>]*>?|(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)(?:>|\Z))")
+_NAME = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 #: Elements that make paths, elements that end a block, elements of raw text.
 STRUCTURE = frozenset("html body main article section div nav header footer aside form ul ol dl table figure details dialog".split())
 BLOCKS = STRUCTURE | frozenset("head title p h1 h2 h3 h4 h5 h6 li dt dd tr td th blockquote pre figcaption hr address summary caption fieldset legend".split())
-RAW = frozenset("script style noscript template textarea iframe svg math object select button".split())
-#: Elements and words of class, id or role that mark text beside the article.
+RAW = frozenset("script style template textarea iframe svg select button".split())
+#: Elements and words of class, id or role that mark text beside the article, and words that say nothing.
 BESIDE = frozenset("nav footer aside form dialog head title".split())
 BESIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement banner sponsor sponsored promo promotion popup modal overlay cookie cookies consent notice notices gdpr alert "
@@ -46,46 +52,58 @@ BESIDE_WORDS = frozenset(
     "comment comments disqus replies respond reply share sharing social newsletter subscribe signup related recommended search pagination pager "
     "contentinfo complementary".split()
 )
+NEUTRAL_WORDS = frozenset(
+    "area article articles bar block body bottom box button buttons center col column container content form group header holder inner item items "
+    "left link links list main media mobile outer page panel post posts primary region right row secondary section site slot stories text thread top "
+    "unit wrap wrapper".split()
+)
 MAIN = ("article", "main")
-#: Different page texts, not copies of one page, that must hold a slot before its text counts as fixed.
+#: Different pages of a host that a class must be on.
 LEAST_CONTENTS = 3
-TOKENS = "host string, path string, pages long, fingerprint long, named boolean, beside boolean, chars long, least string, most string, contents array<string>"
-
-
-def _words(attributes: str) -> set[str]:
-    found = " ".join(next(x for x in m.groups()[1:] if x is not None) for m in _NAME.finditer(attributes))
-    return set(re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", found).lower())) - {""}
+TOKENS = "host long, tag long, text long, pages long, fingerprint long, chars long, path string"
+_MASK = (1 << 64) - 1
 
 
-def _label(tag: str, attributes: str) -> str:
-    words = sorted(w for w in _words(attributes) if not any(c.isdigit() for c in w)) if attributes else []
-    return ".".join([tag, *words[:4]])
+@functools.lru_cache(4096)
+def _names(attributes: str) -> tuple[tuple[str, ...], ...]:
+    """The words of every class, id and role name."""
+    found = " ".join(next(x for x in m.groups() if x is not None) for m in _NAME.finditer(attributes))
+    parts = (re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()) for name in found.split())
+    return tuple(tuple(w for w in words if w and not w.isdigit()) for words in parts)
 
 
 def _beside(tag: str, attributes: str, inside_main: bool) -> int:
-    """2 for an element that is beside by its tag, 1 for one that is by a word, else 0."""
+    """2 for an element that is beside by its tag, 1 for one that is by a name, else 0."""
     if tag in BESIDE or (tag == "header" and not inside_main):
         return 2
-    return int(bool(attributes) and tag not in ("html", "body", *MAIN) and bool(_words(attributes) & BESIDE_WORDS))
+    if not attributes or tag in ("html", "body", *MAIN):
+        return 0
+    return int(any(BESIDE_WORDS.intersection(words) and BESIDE_WORDS.union(NEUTRAL_WORDS).issuperset(words) for words in _names(attributes)))
+
+
+def _label(tag: str, attributes: str, beside: int) -> str:
+    """A path's part; it says whether the element is beside, so equal paths are alike."""
+    words = sorted({w for words in _names(attributes) for w in words if w.isalpha()}) if attributes else []
+    return ".".join([tag, *words[:4]]) + "!" * beside
 
 
 def _inside_beside(stack: list[tuple[str, str, int]]) -> bool:
-    """Whether the innermost element is beside: words count only from the outermost article or main on."""
+    """Whether the innermost element is beside: names count only from the outermost article or main on."""
     first = next((i for i, s in enumerate(stack) if s[0] in MAIN), 0)
     return any(s[2] > (i < first) for i, s in enumerate(stack))
 
 
 def blocks(page: str) -> list[tuple[tuple[str, ...], bool, str]]:
-    """(path, beside, text) of every block of a page, empty ones left out; paths also of empty elements."""
+    """(path, beside, text) of every block of a page, empty ones left out, and (path, beside, "") where an element begins."""
     out: list[tuple[tuple[str, ...], bool, str]] = []
     stack: list[tuple[str, str, int]] = []  # tag, label, beside
     path: tuple[str, ...] = ()
     beside, text, at = False, [], 0
 
-    def end_block(keep: bool = False) -> None:
+    def end_block() -> None:
         joined = " ".join(html_lib.unescape("".join(text)).split()) if text else ""
         text.clear()
-        if joined or keep:
+        if joined:
             out.append((path, beside, joined))
 
     while at < len(page):
@@ -118,113 +136,135 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], bool, str]]:
                 if any(s[0] == tag for s in stack):
                     while stack.pop()[0] != tag:
                         pass
-            else:
-                inside = any(s[0] in MAIN for s in stack)
-                if tag not in ("html", "body", "head") or not any(s[0] == tag for s in stack):
-                    stack.append((tag, _label(tag, m[5]), _beside(tag, m[5], inside)))
+            elif tag not in ("html", "body", "head") or not any(s[0] == tag for s in stack):
+                own = _beside(tag, m[5], any(s[0] in MAIN for s in stack))
+                stack.append((tag, _label(tag, m[5], own), own))
             path = tuple(s[1] for s in stack)
             beside = _inside_beside(stack)
             if not m[3]:
-                end_block(keep=True)
+                out.append((path, beside, ""))
     end_block()
     return out
 
 
-def host_of(url: str | None) -> str:
-    m = re.match(r"\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", url or "")
-    return m[1].lower() if m else ""
+def host_of(url: Column) -> Column:
+    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
+
+
+def _key(text: str) -> int:
+    """64 bits that stand for a text, signed."""
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def _mix(x: int) -> int:
+    x &= _MASK
+    x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & _MASK
+    x = (x ^ (x >> 27)) * 0x94D049BB133111EB & _MASK
+    return x ^ (x >> 31)
 
 
-def _page_tokens(page: str) -> dict[str, list]:
-    """Per token path: count, beside, characters in its subtree that are not beside, digest of the subtree's text."""
-    tokens: dict[str, list] = {"": [1, False, 0, []]}
+def page_tokens(page: str) -> dict[tuple[str, str], list[int]]:
+    """Per token (path, text; a tag has no text) its count and its characters that are not beside."""
+    tokens: dict[tuple[str, str], list[int]] = {("", ""): [1, 0]}
     for path, beside, text in blocks(page):
-        for k in range(len(path) + 1):
-            t = tokens.setdefault("/".join(path[:k]), [0, beside, 0, []])
-            t[2] += 0 if beside else len(text)
-            if text:
-                t[3].append(text)
-        if not text and path:
-            tokens["/".join(path)][0] += 1
+        if not beside or not text:
+            t = tokens.setdefault(("/".join(path), text), [0, 0])
+            t[0] += 1
+            t[1] += len(text)
     return tokens
 
 
+def occurrence(content: int, count: int) -> int:
+    """What a page adds to the fingerprint of a token that it holds ``count`` times."""
+    x = _mix(content + count * 0x9E3779B97F4A7C15)
+    return x - (1 << 64) if x >> 63 else x
+
+
+def different_pages(pages: DataFrame) -> DataFrame:
+    """host, content (64 bits), html: one row for each different page of a host; only repeated pages are shuffled."""
+    rows = pages.select(F.xxhash64(host_of(F.col("url"))).alias("host"), F.xxhash64(F.lit(1), F.col("html")).alias("content"), "html")
+    again = written(rows.groupBy("host", "content").count().filter("count > 1").select("host", "content"), "copies")
+    single = rows.join(again, ["host", "content"], "left_anti")
+    copies = rows.join(again, ["host", "content"], "left_semi").dropDuplicates(["host", "content"])
+    return single.unionByName(copies)
+
+
 def host_tokens(pages: DataFrame) -> DataFrame:
-    """One row per host and token with its occurrence-vector fingerprint; batches are combined before the shuffle."""
+    """One row per host and token with its fingerprint; text and paths stand as 64 bits, batches are combined before the shuffle."""
 
     def run(batch):
-        found: dict[tuple[str, str], list] = {}
-        for page_id, url, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            host = host_of(url)
-            key = int.from_bytes(hashlib.blake2b(f"{page_id}\n{url}".encode(), digest_size=8).digest(), "big")
-            tokens = _page_tokens(page or "")
-            content = hashlib.blake2b("\n".join(tokens[""][3]).encode(), digest_size=12).hexdigest()
-            for path, (count, beside, chars, texts) in tokens.items():
-                row = found.setdefault((host, path), [0, 0, beside, 0, None, None, []])
-                if content not in row[6]:
-                    row[6] = sorted([*row[6], content])[:LEAST_CONTENTS]
+        found: dict[tuple[int, int, int], list] = {}
+        for host, content, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            tags: dict[str, int] = {}
+            for (path, text), (count, chars) in page_tokens(page or "").items():
+                if path not in tags:
+                    tags[path] = _key(path)
+                row = found.setdefault((host, tags[path], _key(text) if text else 0), [0, 0, 0, None if text else path])
                 row[0] += 1
-                row[1] ^= int(mix(np.array([(key + count * 0x9E3779B97F4A7C15) % 2**64], np.uint64)).view(np.int64)[0])
-                row[3] += chars
-                digest = hashlib.blake2b("\n".join(texts).encode(), digest_size=12).hexdigest() if texts else ""
-                row[4] = digest if row[4] is None else min(row[4], digest)
-                row[5] = digest if row[5] is None else max(row[5], digest)
-        rows = [(h, p, r[0], r[1], p.rpartition("/")[2].split(".")[0] in MAIN, r[2], r[3], r[4], r[5], r[6]) for (h, p), r in found.items()]
+                row[1] ^= occurrence(content, count)
+                row[2] += chars
+        rows = [(*k, *v) for k, v in found.items()]
         if rows:
-            kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.string())]
+            kinds = [pa.int64()] * 6 + [pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], [x.split()[0] for x in TOKENS.split(", ")])
 
-    parts = map_arrow(pages.select(F.col("page_id").cast("long"), "url", "html"), run, TOKENS)
-    return parts.groupBy("host", "path").agg(
-        F.sum("pages").alias("pages"), F.bit_xor("fingerprint").alias("fingerprint"), F.first("named").alias("named"), F.first("beside").alias("beside"),
-        F.sum("chars").alias("chars"), F.min("least").alias("least"), F.max("most").alias("most"),
-        F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("contents")))), 1, LEAST_CONTENTS).alias("contents"),
-    )
-
-
-def equivalence_classes(tokens: DataFrame) -> DataFrame:
-    """Classes of tokens with equal occurrence vectors: host, pages, fingerprint, paths (nested: shortest first)."""
-    token = F.struct(F.size(F.split("path", "/")).alias("depth"), "path", "named", "beside", "chars", ((F.col("least") == F.col("most")) & (F.size("contents") >= LEAST_CONTENTS)).alias("fixed"))
-    return tokens.groupBy("host", "fingerprint", "pages").agg(F.array_sort(F.collect_list(token)).alias("tokens"))
+    parts = map_arrow(different_pages(pages), run, TOKENS)
+    return parts.groupBy("host", "tag", "text").agg(F.sum("pages").alias("pages"), F.bit_xor("fingerprint").alias("fingerprint"), F.sum("chars").alias("chars"), F.max("path").alias("path"))
 
 
 def host_templates(tokens: DataFrame) -> DataFrame:
-    """One row per host: ``main`` (path of the main slot, null for the whole page) and ``fixed`` (paths of slots whose text never changes).
+    """One row per host: ``main`` (path of the main slot, null for the whole page) and ``fixed`` (text tokens of the template).
 
     Tokens that fewer than half of a host's pages have are no template; that bounds a host's
     template by twice its mean number of tokens per page.
     """
-    whole = tokens.filter("path = ''").select(F.col("host").alias("h"), F.col("pages").alias("all_pages"))
-    valid = equivalence_classes(tokens).join(whole, F.col("host") == F.col("h")).filter(2 * F.col("pages") >= F.col("all_pages"))
-    each = valid.select("host", "pages", F.explode("tokens").alias("t")).select("host", "pages", "t.*").filter("path <> ''")
-    rank = F.when(F.col("named") & ~F.col("beside"), F.struct((-F.col("depth")).alias("depth"), "pages", "chars", "path"))
-    fixed = F.collect_list(F.when(F.col("fixed") & (F.col("chars") > 0), F.col("path")))
-    return each.groupBy("host").agg(F.max_by("path", rank).alias("main"), fixed.alias("fixed"))
-
-
-def extract_text(page: str | None, main: str | None = None, fixed: list[str] | None = None) -> str:
+    rows = tokens.select(*tokens.columns, (F.col("path") == "").alias("page"))
+    whole = rows.groupBy("host").agg(F.max(F.when(F.col("page"), F.col("pages"))).alias("all_pages"), F.sum("chars").alias("all_chars"))
+    often = rows.join(whole, "host").filter((F.col("pages") >= LEAST_CONTENTS) & (2 * F.col("pages") >= F.col("all_pages")))
+    classes = often.groupBy("host", "fingerprint", "pages").agg(F.count("*").alias("size"))
+    valid = often.join(classes.filter("size > 1"), ["host", "fingerprint", "pages"])
+    tags = valid.filter("path is not null").select("host", "tag", "fingerprint", "pages", "path")
+    depth = F.size(F.split("path", "/"))
+    last = F.element_at(F.split("path", "/"), -1)
+    named = tags.filter(last.rlike(rf"^(?:{'|'.join(MAIN)})(?:$|[.])") & ~F.contains("path", F.lit("!!")))
+    main = named.groupBy("host").agg(F.max_by("path", F.struct(-depth, "pages", "path")).alias("main"))
+    around = tags.select("host", "fingerprint", "pages", F.col("path").alias("outer"))
+    places = rows.filter("path is not null").select("host", "tag", F.col("path").alias("place"))
+    texts = valid.filter("path is null").join(places, ["host", "tag"]).join(around, ["host", "fingerprint", "pages"])
+    nested = (F.col("outer") == "") | (F.col("outer") == F.col("place")) | F.startswith("place", F.concat("outer", F.lit("/")))
+    fixed = texts.filter(nested).select("host", "all_chars", "tag", "text", "chars").distinct()
+    fixed = fixed.groupBy("host", "all_chars").agg(F.sum("chars").alias("gone"), F.array_sort(F.collect_list(F.struct("tag", "text"))).alias("fixed"))
+    fixed = fixed.filter("2 * gone <= all_chars").select("host", "fixed")
+    return whole.select("host").join(main, "host", "left").join(fixed, "host", "left").filter("main is not null or fixed is not null")
+
+
+def extract_text(page: str | None, main: str | None = None, fixed: frozenset[tuple[int, int]] = frozenset()) -> str:
     """The text of a page's main slot under its host's template."""
-    found = blocks(page or "")
-    joined = [("/".join(p), p, b, t) for p, b, t in found]
+    found = [("/".join(p), p, text) for p, beside, text in blocks(page or "") if text and not beside]
     under = lambda path, top: path == top or path.startswith(top + "/")
-    if not (main and any(under(j, main) and t for j, _, _, t in joined)):
-        main = next((j for j, p, b, t in joined if not b and p and p[-1].split(".")[0] in MAIN), None)
-    drop = [f for f in fixed or [] if main is None or (under(f, main) and f != main)]
-    if main in (fixed or []) or all(any(under(j, f) for f in drop) for j, _, b, t in joined if t and not b and (main is None or under(j, main))):
-        drop = []
-    return "\n".join(t for j, _, b, t in joined if t and not b and (main is None or under(j, main)) and not any(under(j, f) for f in drop))
+    if not (main and any(under(j, main) for j, _, _ in found)):
+        main = next((j for j, p, _ in found if p and re.split(r"[.!]", p[-1])[0] in MAIN), None)
+        if main is None:  # an element around the page's text
+            main = next(("/".join(p[: i + 1]) for _, p, _ in found for i, label in enumerate(p) if re.split(r"[.!]", label)[0] in MAIN), None)
+    own = [(j, text) for j, _, text in found if main is None or under(j, main)]
+    kept = [text for j, text in own if not fixed or (_key(j), _key(text)) not in fixed]
+    return "\n".join(kept or [text for _, text in own])
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text of every row of ``pages(page_id, url, html)``."""
+    pages = spread(pages.select(F.col("page_id").cast("long"), "url", "html"))
     tokens = written(host_tokens(pages), "host-tokens")
-    templates = written(host_templates(tokens).withColumnRenamed("host", "_host"), "templates")  # its size decides how Spark joins
+    templates = written(host_templates(tokens), "templates")  # its size decides how Spark joins
     forget(tokens)
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    rows = pages.select(F.col("page_id").cast("long"), "url", "html").join(templates, host == F.col("_host"), "left").select("page_id", "url", "html", "main", "fixed")
+    rows = pages.withColumn("host", F.xxhash64(host_of(F.col("url")))).join(templates, "host", "left")
 
     def run(batch):
-        texts = [extract_text(h, m, f) for h, m, f in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
+        texts, sets = [], {}
+        for html, host, main, fixed in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True):
+            if host not in sets:
+                sets[host] = frozenset((x["tag"], x["text"]) for x in fixed or [])
+            texts.append(extract_text(html, main, sets[host]))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    return map_arrow(rows, run, "page_id long, url string, text string")
+    return map_arrow(rows.select("page_id", "url", "html", "host", "main", "fixed"), run, "page_id long, url string, text string")
