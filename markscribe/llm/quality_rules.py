@@ -11,7 +11,9 @@ that the n-grams of the distinct texts are joined to by bucket. Trusted ids are
 ``MOST_BROADCAST`` rows and joined by a shuffle beyond.
 
 Defined cases: null or empty text has no words, fails the base rules and has a null score; repeated
-rows count each; with no trusted rows the target is uniform; extra columns of the input are ignored.
+rows count each; with no trusted rows the target is uniform; a score equal to the threshold is kept;
+extra columns come back untouched, and a result whose name an input column has is called
+``quality_`` and that name.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from markscribe.functions.text import once
-from markscribe.llm.common import written
+from markscribe.llm.common import spread, written
 
 #: Least buckets, n-grams counted for each bucket at most, most buckets that reach the rows as an array, buckets of one inner array.
 BUCKETS, PER_BUCKET, MOST_ARRAY, CHUNK = 1 << 16, 8, 1 << 24, 1 << 12
@@ -133,8 +135,14 @@ def joined_sums(docs: DataFrame, table: DataFrame, buckets: int) -> DataFrame:
     return each.join(table, "b").groupBy("_key").agg(F.sum(F.col("count") * F.col("ratio")).alias("_sum"))
 
 
-def score_documents(docs: DataFrame, trusted: DataFrame, least: int = LEAST) -> DataFrame:
-    """``docs`` with base counts, ``base_failed``, ``score`` (mean log ratio, thousandths) and ``kept``."""
+RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
+
+
+def _scored(docs: DataFrame, trusted: DataFrame, least: int) -> DataFrame:
+    """The columns of ``docs`` as c0, c1, … and the results under names of their own."""
+    given = docs.columns
+    row = spread(docs).toDF(*(f"c{i}" for i in range(len(given))))
+    docs = row.select(*row.columns, F.col(f"c{given.index('doc_id')}").alias("doc_id"), F.col(f"c{given.index('text')}").cast("string").alias("text"))
     buckets = bucket_count(docs)
     ratios = ratio_table(docs, trusted, buckets)
     counted = with_base_counts(docs)
@@ -149,12 +157,23 @@ def score_documents(docs: DataFrame, trusted: DataFrame, least: int = LEAST) ->
         total = F.coalesce("_joined", F.lit(0).cast("long"))
     n = F.greatest(F.lit(0), 2 * F.col("n_words") - 1)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return (
+    scored = (
         counted.select(*counted.columns, total.alias("_sum")).drop("_ratios", "_joined")
         .withColumn("n_repeat_words", repeated_words(F.col("_hashes")).cast("long"))
         .drop("_hashes")
         .withColumn("base_failed", failed)
         .withColumn("score", F.when(n > 0, F.col("_sum") / n))
         .withColumn("kept", once(~F.col("base_failed") & (F.col("_sum") >= least * n)))
-        .drop("_sum")
     )
+    return scored.select(*row.columns, *RESULTS)
+
+
+def score_documents(docs: DataFrame, trusted: DataFrame, least: int = LEAST) -> DataFrame:
+    """``docs`` with base counts, ``base_failed``, ``score`` (mean log ratio, thousandths) and ``kept``."""
+    taken = {c.lower() for c in docs.columns}
+    return _scored(docs, trusted, least).toDF(*docs.columns, *(f"quality_{c}" if c in taken else c for c in RESULTS))
+
+
+def kept_documents(docs: DataFrame, trusted: DataFrame, least: int = LEAST) -> DataFrame:
+    """The rows of ``docs`` that pass the base rules and the likelihood ratio."""
+    return _scored(docs, trusted, least).filter("kept").drop(*RESULTS).toDF(*docs.columns)
