@@ -1,9 +1,10 @@
 """Chat formatting with SQL functions only: schema fingerprints, canonical turns, template, loss mask.
 
-A layout is known by its fingerprint, the SHA-256 of its sorted nested field paths. The fingerprint
-selects a declarative mapping (``LAYOUTS``) that turns a row into canonical turns
-array<struct<role, text>>; rows of JSON text are told apart one by one (``turns_of_json``), tables
-by their schema (``turns_of_table``).
+Records are variants, each with a layout of its own: JSON text is parsed, typed rows are turned into
+variants. A record's nested field paths are read from its variant schema; the SHA-256 of those that
+any mapping uses, sorted, is its fingerprint, which selects a declarative mapping (``LAYOUTS``) that
+turns it into canonical turns array<struct<role, text>>. Fields that no mapping uses (ids, sources,
+scores) do not matter.
 
 The template writes each turn as ``<|im_start|>role\\ntext<|im_end|>\\n``. Control strings inside
 roles and texts are escaped reversibly: ``~`` becomes ``~0``, and ``<`` or ``[`` that would begin a
@@ -11,8 +12,10 @@ control string becomes ``~1`` or ``~2`` (a line end in a role: ``~3``). The loss
 code-point spans [start, end) of assistant texts in the formatted string.
 
 Defined cases: null texts and roles are empty; rows of one conversation go by turn, then role, then
-text (ties and repeats stay); a null conversation id is a conversation of its own; an unknown
-layout gives null turns; an empty table gives no conversation.
+text (ties and repeats stay); a row without a conversation id is a conversation of its own; an
+unknown layout, an empty list and text that is no JSON give null turns; a conversation of more than
+``MOST_VARIANT`` bytes is mapped by its table's schema; an empty table gives no conversation; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,28 +24,49 @@ import hashlib
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from markscribe.functions.text import let, once
 
 START, END = "<|im_start|>", "<|im_end|>\n"
 TRAINED = "assistant"
 #: Control strings of this and other common templates; each begins with < or [.
 CONTROL = ("<|", "<s>", "</s>", "<<SYS>>", "<</SYS>>", "[INST]", "[/INST]")
+#: Bytes of text in a record that is made a variant.
+MOST_VARIANT = 1 << 23
 TURNS = "array<struct<role:string,text:string>>"
 
 
 # --- fingerprints and layouts --------------------------------------------------------------------
 
 
-def field_paths(kind: T.DataType, prefix: str = "") -> list[str]:
-    """Nested field paths; ``[]`` stands for an array's elements."""
-    if isinstance(kind, T.StructType):
-        return [p for f in kind.fields for p in field_paths(f.dataType, f"{prefix}.{f.name}" if prefix else f.name)]
-    if isinstance(kind, T.ArrayType):
-        return field_paths(kind.elementType, f"{prefix}[]")
-    return [prefix]
+def nested_paths(schema: Column) -> Column:
+    """The nested field paths of a variant's schema (``OBJECT<a: ARRAY<OBJECT<b: STRING>>>`` has ``a[].b``); ``[]`` stands for an array's elements."""
+    parts = F.regexp_extract_all(schema, F.lit(r"(?:`(?:[^`]|``)*`|\w+): |OBJECT<|ARRAY<|>|[A-Z_]+(?:\(\d+, ?\d+\))?"), F.lit(0))
+    none = F.array().cast("array<string>")
+    zero = F.struct(none.alias("above"), F.lit("").alias("at"), none.alias("paths"))
+    state = lambda above, at, paths: F.struct(above.alias("above"), at.alias("at"), paths.alias("paths"))
+
+    def step(acc: Column, part: Column) -> Column:
+        name = F.regexp_replace(F.substring(part, 1, F.length(part) - 2), "^`|`$", "")
+        top = F.try_element_at(acc["above"], F.lit(-1))
+        return (
+            F.when(part.endswith(": "), state(acc["above"], F.when(top == "", name).otherwise(F.concat(top, F.lit("."), name)), acc["paths"]))
+            .when(part == "OBJECT<", state(F.array_append(acc["above"], acc["at"]), acc["at"], acc["paths"]))
+            .when(part == "ARRAY<", state(F.array_append(acc["above"], acc["at"]), F.concat(acc["at"], F.lit("[]")), acc["paths"]))
+            .when(part == ">", state(F.slice(acc["above"], 1, F.size(acc["above"]) - 1), acc["at"], acc["paths"]))
+            .otherwise(state(acc["above"], acc["at"], F.array_append(acc["paths"], acc["at"])))
+        )
+
+    return F.aggregate(parts, zero, step, lambda acc: acc["paths"])
+
 
+def fingerprint(paths: Column) -> Column:
+    """The fingerprint of nested field paths; those that no mapping uses are left out."""
+    known = sorted({p for _, used, _ in LAYOUTS for p in used})
+    return F.sha2(F.array_join(F.array_sort(F.array_intersect(paths, F.array(*map(F.lit, known)))), ","), 256)
 
-def fingerprint(paths: list[str]) -> str:
+
+def layout_fingerprint(paths) -> str:
     return hashlib.sha256(",".join(sorted(paths)).encode()).hexdigest()
 
 
@@ -91,41 +115,28 @@ def _apply(mapping: tuple, get) -> Column:
     return F.concat(*turns)
 
 
-def turns_of_table(df: DataFrame, columns: list[str]) -> Column:
-    """Canonical turns of a table whose ``columns`` hold one known layout."""
-    found = fingerprint(field_paths(T.StructType([df.schema[c] for c in columns])))
-    for _, paths, mapping in LAYOUTS:
-        if fingerprint(list(paths)) == found:
-            return _apply(mapping, F.col)
-    raise ValueError(f"unknown layout: {field_paths(T.StructType([df.schema[c] for c in columns]))}")
-
-
-def json_fingerprint(text: Column) -> Column:
-    """The fingerprint of each JSON row: top-level keys, and the keys of a list's first element."""
-    keys = F.json_object_keys(text)
-    paths = F.flatten(
-        F.transform(
-            keys,
-            lambda k: F.coalesce(
-                F.transform(F.json_object_keys(F.try_element_at(F.from_json(F.try_element_at(F.from_json(text, "map<string,string>"), k), "array<string>"), F.lit(1))), lambda x: F.concat(k, F.lit("[]."), x)),
-                F.array(k),
-            ),
-        )
-    )
-    return F.sha2(F.array_join(F.array_sort(paths), ","), 256)
+def turns_of_variant(record: Column) -> Column:
+    """Canonical turns of variants in any known layout, each by its own fingerprint; null where the layout is unknown."""
+    chosen = lambda seen: F.coalesce(*(F.when(seen == layout_fingerprint(paths), _apply(mapping, _field(record, mapping))) for _, paths, mapping in LAYOUTS))
+    return let(fingerprint(nested_paths(F.schema_of_variant(record))), chosen)
+
+
+def _field(record: Column, mapping: tuple):
+    """How a mapping gets the fields of a variant."""
+    if mapping[0] == "list":
+        kind = f"array<struct<{mapping[2]}:string,{mapping[3]}:string>>"
+        return lambda name: F.try_variant_get(record, f"$.{name}", kind)
+    return lambda name: F.try_variant_get(record, f"$.{name}", "string")
 
 
 def turns_of_json(text: Column) -> Column:
-    """Canonical turns of rows of JSON text in any known layout; null where the layout is unknown."""
-    seen, out = json_fingerprint(text), F.lit(None).cast(TURNS)
-    for _, paths, mapping in LAYOUTS:
-        if mapping[0] == "list":
-            kind = f"struct<{mapping[1]}:array<struct<{mapping[2]}:string,{mapping[3]}:string>>>"
-        else:
-            kind = "struct<" + ",".join(f"{p}:string" for p in paths) + ">"
-        row = F.from_json(text, kind)
-        out = F.when(seen == fingerprint(list(paths)), _apply(mapping, lambda name, row=row: row[name])).otherwise(out)
-    return out
+    """Canonical turns of rows of JSON text."""
+    return turns_of_variant(F.try_parse_json(text))
+
+
+def turns_of_row(*columns: str) -> Column:
+    """Canonical turns of typed columns."""
+    return turns_of_variant(F.to_variant_object(F.struct(*columns)))
 
 
 # --- template ------------------------------------------------------------------------------------
@@ -181,8 +192,14 @@ def loss_text(formatted: Column, spans: Column) -> Column:
 def conversation_turns(rows: DataFrame) -> DataFrame:
     """One row per conversation of ``rows(conv_id, turn, role, text)``: conv_id, turns."""
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    grouped = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
-    return grouped.withColumn("turns", turns_of_table(grouped, ["turns"]))
+    grouped = rows.filter("conv_id is not null").groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    alone = rows.filter("conv_id is null").select("conv_id", F.array(turn).alias("turns"))
+    records = grouped.unionByName(alone)
+    size = F.aggregate("turns", F.lit(0).cast("long"), lambda n, t: n + F.octet_length(t.text) + F.octet_length(t.role) + 64)
+    row = F.to_variant_object(F.struct("turns"))
+    typed = _apply(("list", "turns", "role", "text"), F.col)
+    records = records.withColumn("_record", once(F.when(size <= MOST_VARIANT, row)))
+    return records.select("conv_id", F.when(F.col("_record").isNull(), typed).otherwise(turns_of_variant(F.col("_record"))).alias("turns"))
 
 
 def format_conversations(rows: DataFrame) -> DataFrame:
