@@ -5,8 +5,8 @@ member of its own and yields the index entry (offset, length) of each. It copies
 does not depend on the size of a record or file.
 
 Archives of the DataFrame interface are rows (archive, data, index) of a table in the shared folder:
-Spark commits them atomically and any file system that Spark writes to will do. ``normalise_file``
-does the same for files.
+Spark commits them atomically and any file system that Spark writes to will do. ``export_archives``
+writes them as .warc.gz files with sidecar index files, ``normalise_file`` normalises a file.
 
 Defined cases: null payloads are empty; records whose payload has fewer than ``least`` bytes are
 always responses; repeated rows with the largest id of their payload are all responses; a null id
@@ -29,10 +29,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from markscribe.llm.common import map_batches
+from markscribe.llm.common import map_batches, written
 
 BLOCK = 1 << 18
 LEVEL = 1
+#: Repeated digests that are broadcast at most.
+MOST_BROADCAST = 1 << 18
 ARCHIVES = "archive string, data binary, index array<struct<record string, offset long, length long>>"
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"
 
@@ -120,11 +122,18 @@ def parse_member(member: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def deduplicated(pages: DataFrame, least: int = 1000) -> DataFrame:
-    """``pages(page_id, url, html)`` with digest, record_type and refers_to, with SQL functions only."""
+    """``pages(page_id, url, html)`` with digest, record_type and refers_to, with SQL functions only.
+
+    Ids and digests alone are shuffled; the digests that occur twice come back to the payloads, which
+    are shuffled only if those are more than MOST_BROADCAST.
+    """
     rows = pages.select(F.col("page_id").cast("long"), "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
     large = F.octet_length("payload") >= least
-    target = rows.filter(large).groupBy(F.col("digest").alias("of")).agg(F.max("page_id").alias("target"))
+    target = rows.filter(large).groupBy(F.col("digest").alias("of")).agg(F.max("page_id").alias("target"), F.count("*").alias("n"))
+    target = written(target.filter("n > 1 and target is not null").select("of", "target"), "targets")
+    if target.count() <= MOST_BROADCAST:
+        target = F.broadcast(target)
     rows = rows.join(target, (F.col("digest") == F.col("of")) & large, "left")
     revisit = F.col("target").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("target"))
     return rows.select("page_id", "url", "payload", "digest", F.when(revisit, F.col("target")).alias("refers_to"), revisit.alias("revisit"))
@@ -184,3 +193,24 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     return map_batches(archives.select("data", "index"), run, RECORDS)
+
+
+def export_archives(archives: DataFrame, directory: str) -> None:
+    """Write every archive as ``<archive>`` with its sidecar ``<archive>.idx`` (record id, offset, length; tab-separated); ``directory`` is shared and mounted.
+
+    Files appear whole under their names, so a repeated task does no harm.
+    """
+
+    def write(rows) -> None:
+        import os
+
+        os.makedirs(directory, exist_ok=True)
+        for row in rows:
+            index = "".join(f"{e['record']}\t{e['offset']}\t{e['length']}\n" for e in row["index"])
+            for name, data in ((row["archive"], bytes(row["data"])), (f"{row['archive']}.idx", index.encode())):
+                part = os.path.join(directory, f".{name}.{TaskContext.get().taskAttemptId()}")
+                with open(part, "wb") as f:
+                    f.write(data)
+                os.replace(part, os.path.join(directory, name))
+
+    archives.select("archive", "data", "index").foreachPartition(write)
