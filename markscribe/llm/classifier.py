@@ -10,8 +10,9 @@ The fit uses a bounded sample: per class the ``PER_CLASS`` rows with the smalles
 runs in one executor task; the model has a fixed size.
 
 Defined cases: null text is empty; an empty text gets the score of the bias alone; rows without a
-label or id are scored but never learned; repeated rows are scored alike; if a class has no
-learning row every score is the share of label 1 (0.5 without any); extra columns are ignored.
+label or id are scored but never learned; an id that has both labels teaches nothing, one that
+repeats a label teaches once; repeated rows are scored alike; if a class has no learning row every
+score is the share of label 1 (0.5 without any); extra columns stay.
 """
 
 from __future__ import annotations
@@ -22,8 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from markscribe.llm.common import hash_words, map_arrow, map_batches, mix, utf8_slices
+from markscribe.llm.common import hash_words, map_arrow, map_batches, mix, spread, utf8_slices
 
 BITS = 18
 PER_CLASS = 3000
@@ -140,11 +142,12 @@ def fit_rows(rows: list[np.ndarray], y: np.ndarray, share: float) -> Model:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS) -> Model:
     """Fit on ``docs(doc_id, text)`` whose id has a label 0 or 1 in ``labels``; the sample is bounded by ``per_class``."""
     known = labels.select(F.col("doc_id").cast("long").alias("id"), F.col(label).cast("int").alias("y")).filter("id is not null and y in (0, 1)")
+    known = known.groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("other")).filter("y = other").select("id", "y")
     balance = dict(known.groupBy("y").count().collect())
     share = balance.get(1, 0) / sum(balance.values()) if balance else 0.5
     sample = None
     for y in (0, 1):
-        own = known.filter(F.col("y") == y).dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").limit(per_class)
+        own = known.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(per_class)
         sample = own if sample is None else sample.unionAll(own)
     joined = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string")).join(F.broadcast(sample), "id")
 
@@ -176,7 +179,7 @@ def held_out():
 
 
 def score_documents(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with ``score``, the text read whole."""
+    """``docs`` with ``score`` (a name that no column of ``docs`` may have), the text read whole."""
     at = docs.columns.index(text)
 
     def run(batch):
@@ -185,6 +188,4 @@ def score_documents(docs: DataFrame, model: Model, text: str = "text") -> DataFr
             score[first : first + len(offsets) - 1] = model.scores(model.margins(*features(data, offsets)))
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*batch.schema.names, "score"])
 
-    from pyspark.sql import types as T
-
-    return map_arrow(docs, run, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
+    return map_arrow(spread(docs), run, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
