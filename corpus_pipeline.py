@@ -1,21 +1,26 @@
 """Corpus preparation: quality classifier, quality rules, near duplicates, secrets, packing.
 
 Each stage takes (spark, docs, sf_dir), works on every row its predecessor kept and returns a
-DataFrame; all but the last return the columns of documents. Rows without a doc_id pass the
-near-duplicate stage. An empty table passes every stage.
+DataFrame; all but the last return the columns of documents, extra ones included. An empty table
+passes every stage.
+
+Repeated ids: every row is judged by its own text. Of rows that share id and text one stays; rows
+that share an id but not a text are documents of their own. Rows without a doc_id pass the
+near-duplicate stage, texts without words link with nothing and pass it too.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from markscribe.llm import classifier, jaccard, packing, quality_rules, queries, secret_scan
-from markscribe.llm.common import shared_dir, table, written
+from markscribe.llm.common import delete, scratch, shared_dir, table, written
 
-MOST_BROADCAST = 1 << 20
+#: Keys of rows that go that are broadcast at most.
+MOST_BROADCAST = 1 << 18
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,21 +33,23 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the likelihood ratio stay."""
-    scored = quality_rules.score_documents(docs, queries.trusted_rows(spark, sf_dir))
-    return scored.filter("kept").select(*docs.columns)
+    return quality_rules.kept_documents(docs, queries.trusted_rows(spark, sf_dir))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents that links connect, the one with the smallest id stays."""
-    found = written(jaccard.near_duplicates(docs.select("doc_id", "text")), "groups")
-    gone = written(found.filter("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    again = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    again = written(again, "again")
-    few = lambda ids: F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
-    left = docs.join(few(gone), "doc_id", "left_anti")
-    once = left.join(few(again), "doc_id", "left_anti")
-    repeated = left.join(few(again), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(repeated).select(*docs.columns)
+    found = written(jaccard.groups(docs.select("doc_id", "text")), "groups")
+    few = lambda keys: F.broadcast(keys) if keys.count() <= MOST_BROADCAST else keys
+    key = ["doc_id", "t1", "t2"]
+    gone = few(written(found.filter("not stays").select(*key).distinct(), "gone"))
+    own = found.filter("stays and doc_id is not null and n_shingles > 0")
+    again = few(written(own.groupBy(*key).count().filter("count > 1").select(*key), "again"))
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    rows = docs.toDF(*names).select("*", F.col(names[docs.columns.index("doc_id")]).cast("long").alias("doc_id"), F.col(names[docs.columns.index("text")]).alias("text"))
+    rows = rows.select(*names, "doc_id", *jaccard.text_key()).join(gone, key, "left_anti")
+    same = Window.partitionBy(*key).orderBy(F.to_json(F.struct(*names)))
+    one = rows.join(again, key, "left_semi").withColumn("_row", F.row_number().over(same)).filter("_row = 1")
+    return rows.join(again, key, "left_anti").select(*names).unionAll(one.select(*names)).toDF(*docs.columns)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +59,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed sequences."""
-    return packing.pack_documents(docs, queries.tokenizer_file("word_bpe_49k.json"))
+    return packing.pack_documents(docs, queries.WORDS)
 
 
 STAGES = [
@@ -62,15 +69,18 @@ STAGES = [
     ("secret scans", secret_scans),
     ("packing", packing_stage),
 ]
-#: Hashed models and tokenizers have no SQL; tests hold the stages against brute force.
+#: Hashed models and tokenizers have no SQL; tests hold every stage against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table, each one's result written to the shared folder and read again."""
+    """All stages over the documents table, each one's result written to the shared folder and read again; scratch of earlier stages is deleted."""
     docs = table(spark, sf_dir, "documents")
     where = f"{shared_dir(spark)}/markscribe-pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{where}/{k}")
+        with scratch():
+            stage(spark, docs, sf_dir).write.parquet(f"{where}/{k}")
+        if k:
+            delete(spark, f"{where}/{k - 1}")
         docs = spark.read.parquet(f"{where}/{k}")
     return docs
