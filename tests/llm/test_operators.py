@@ -1,14 +1,21 @@
+import gzip
 import hashlib
 import io
+import json
+import math
+import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from markscribe.llm import ann, chat, classifier, extraction, jaccard, packing, quality_rules, queries, secret_scan, viterbi, warc
+from markscribe.llm.common import tokenizer_path, utf8_slices
 
 SF = "/root/testdata/sf0.001"
 AWKWARD = [None, "", " \n\t ", "one", "a b c d", "x " * 3000, "né ñ 日本 " * 30, "same text again and again " * 8, "same text again and again " * 8]
@@ -55,6 +62,65 @@ def test_jaccard_against_brute_force(spark, docs, empty):
     assert jaccard.near_duplicates(empty).count() == 0
 
 
+def test_jaccard_of_repeated_and_missing_ids(spark):
+    one, other = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, one), (1, other), (2, other), (3, one), (3, one), (None, one), (None, "never seen"), (7, None), (7, "")]
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == Counter([(1, 36, 1), (1, 36, 1), (2, 36, 1), (3, 36, 1), (3, 36, 1), (None, 36, 1), (None, 1, None), (7, 0, 7), (7, 0, 7)])
+
+
+def families(seed, kinds, size, words):
+    """Texts around a few templates, many of them near the threshold."""
+    rng = random.Random(seed)
+    out = []
+    for k in range(kinds):
+        base = [f"f{k}_{i}" for i in range(rng.randrange(12, words))]
+        for _ in range(size):
+            text = list(base)
+            for _ in range(rng.randrange(0, 1 + len(base) // 25)):
+                text[rng.randrange(len(text))] = f"x{rng.randrange(30)}"
+            out.append(" ".join(text[: rng.randrange(int(0.8 * len(text)), len(text) + 1)]))
+    return out
+
+
+def test_jaccard_over_many_flushes(spark, monkeypatch):
+    texts = families(3, 8, 18, 160)
+    random.Random(1).shuffle(texts)
+    monkeypatch.setattr(jaccard, "LEAST_BLOB", 500)  # a few sets at a time
+    monkeypatch.setattr(jaccard, "PER_BUCKET", 100)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(df).collect()}
+    want = brute_components(dict(enumerate(texts)))
+    assert got == want and len({c for _, c in want.values()}) > 8
+
+
+def test_jaccard_finds_links_beside_the_star(spark):
+    """Without the star's links, the finer keys alone find every link between components."""
+    texts = families(5, 5, 14, 120)
+    rows = {jaccard.digest(x)[0]: x for t in texts for x in jaccard.shingle_sets(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))}
+    df = spark.createDataFrame([(k, k, len(v), len(v), bytearray(v.tobytes())) for k, v in rows.items()], "id long, c long, n long, shared long, feats binary")
+    pairs = {(r.a, r.b) for r in jaccard.rare_pairs(jaccard.rare_keys(df)).collect()}
+    sets = {k: set(v.tolist()) for k, v in rows.items()}
+    links = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert len(links) > 50 and links <= pairs
+
+
+def test_jaccard_compares_form_letters_in_proportion(spark, monkeypatch):
+    """Letters of Jaccard 0.70 that do not link: pairs compared do not grow with their square."""
+    compared, seen = jaccard.compared, []
+
+    def counting(pairs, sets):
+        seen.append(pairs.count())
+        return compared(pairs, sets)
+
+    monkeypatch.setattr(jaccard, "compared", counting)
+    for m in (100, 400):
+        letters = [" ".join(f"u{k}_{j}" if j % 30 == 0 else f"t{j}" for j in range(300)) for k in range(m)]
+        df = spark.createDataFrame(list(enumerate(letters)), "doc_id long, text string").repartition(4)
+        assert jaccard.near_duplicates(df).select("component_id").distinct().count() == m
+    assert sum(seen[2:]) <= 4 * max(100, sum(seen[:2]))
+
+
 def test_signatures_are_shared_by_all_links():
     rng = np.random.Generator(np.random.PCG64(3))
     for n in (4, 9, 30, 200, 900):
@@ -70,16 +136,45 @@ def test_signatures_are_shared_by_all_links():
 def test_packing_round_trip(spark, docs, empty):
     from tokenizers import Tokenizer
 
-    path = queries.tokenizer_file("word_bpe_49k.json")
-    tokenizer = Tokenizer.from_file(path)
-    rows = packing.pack_documents(docs.filter("doc_id is not null"), path).collect()
-    for d, text in texts_of(docs.filter("doc_id is not null")).items():
+    tokenizer = Tokenizer.from_file(tokenizer_path(queries.WORDS))
+    some = docs.filter("doc_id is not null")
+    rows = packing.pack_documents(some, queries.WORDS).collect()
+    for d, text in texts_of(some).items():
         ids, at = np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [2], "<u4"), 0
         for r in sorted((r for r in rows if r.doc_id == d), key=lambda r: r.start):
             assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids[at : at + r.length].tobytes()))
             at += r.length
         assert at == len(ids)
-    assert packing.pack_documents(empty, path).count() == 0
+    used = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == used.get(r.sequence_id, 0)
+        used[r.sequence_id] = r.offset + r.length
+        assert r.padded_length == (r.sequence_length if r.sequence_length & (r.sequence_length - 1) == 0 else 4096)
+    assert packing.pack_documents(empty, queries.WORDS).count() == 0
+    twice = packing.pack_documents(some.unionAll(some), queries.WORDS).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("m")).collect()
+    assert all(r.n == 2 * r.m for r in twice)
+
+
+ODD = ["Don't 'S 're''ll", "<|endoftext|>a<|startoftext|>", "²¾ ½x1٣", "ΑΣ ΣΑ", "İstanbul Ÿŉſĳǅ", "a\tb\x0bc\x85d\xa0e\x1cf　g", "🤦🏼‍♂️ é µſ", "z" * 5000, "." * 300 + "1" * 50, "x\n\n y  z ", " \n", "▁a ▁", "日本語テキスト" * 40]
+
+
+def odd_texts(n=1500):
+    rng = random.Random(7)
+    char = lambda: chr(rng.choice([rng.randrange(1, 0x250), rng.randrange(1, 0x180), rng.randrange(33, 127), 32, 0x27]))
+    return ODD + ["".join(char() for _ in range(50)) for _ in range(n)]
+
+
+def test_word_ids_equal_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    tokenizer, words, at = Tokenizer.from_file(tokenizer_path(queries.WORDS)), packing.WordTokenizer(queries.WORDS), 0
+    texts = odd_texts()
+    for _, data, offsets in utf8_slices(pa.array(texts), 1 << 14):
+        ids, bounds = words.encode(data, offsets)
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            assert tokenizer.encode(texts[at], add_special_tokens=False).ids == ids[a:b].tolist(), texts[at]
+            at += 1
+    assert at == len(texts)
 
 
 def test_pack_fills_sequences():
@@ -92,39 +187,87 @@ def test_pack_fills_sequences():
         by[k] = offset + n
 
 
-def test_viterbi(spark, docs):
-    path = queries.tokenizer_file("piece_bpe_32k.model")
-    codec = viterbi.Codec(path)
-    m = codec.model
-
-    def best(text):  # whole-text dynamic program
-        score, back = [0.0], [None]
-        for e in range(1, len(text) + 1):
-            found = [(score[s] + m.scores[m.ids[text[s:e]]], -s, m.ids[text[s:e]]) for s in range(max(0, e - m.longest), e) if text[s:e] in m.ids]
-            if text[e - 1] not in m.ids:
-                found.append((score[e - 1] + m.unknown_score, 1 - e, m.unknown))
-            top = max(found)
-            score.append(top[0])
-            back.append((-top[1], top[2]))
-        out, at = [], len(text)
-        while at:
-            s, i = back[at]
-            out[:0] = [m.bytes[b] for b in text[s:at].encode()] if i == m.unknown else [i]
-            at = s
-        return out
-
-    for text in ("hello world", "the  quick\nbrown 日本語 fox", "ünïcödé" * 9, "zzzz" * 30, "a"):
-        marked = viterbi.MARK + text.replace(" ", viterbi.MARK)
-        assert np.frombuffer(codec.encode(text), "<u4").tolist() == codec.stream(marked) == best(marked)
-        assert codec.decode(codec.encode(text)) == text
-    v = viterbi.StreamingViterbi(m)
-    list(v.feed("international " * 500))
-    assert v.widest < 8 * m.longest
-    assert all(r.round_trip for r in viterbi.encoded_digest(docs, path).collect())
+def best_path(m, text):
+    """Ids by a dynamic program over the whole text."""
+    score, back = [0.0], [None]
+    for e in range(1, len(text) + 1):
+        found = [(score[s] + m.scores[m.ids[text[s:e]]], -s, m.ids[text[s:e]]) for s in range(max(0, e - m.longest), e) if text[s:e] in m.ids]
+        if text[e - 1] not in m.ids:
+            found.append((score[e - 1] + m.unknown_score, 1 - e, m.unknown))
+        top = max(found)
+        score.append(top[0])
+        back.append((-top[1], top[2]))
+    out, at = [], len(text)
+    while at:
+        s, i = back[at]
+        out[:0] = [m.bytes[b] for b in text[s:at].encode()] if i == m.unknown else [i]
+        at = s
+    return out
+
+
+def test_viterbi(spark, docs, empty):
+    codec = viterbi.Codec(queries.PIECES)
+    texts = ["hello world", "the  quick\nbrown 日本語 fox", "ünïcödé" * 9, "zzzz" * 30, "a", "", None, *odd_texts(300)]
+    for first, ids, bounds in codec.encode(pa.array(texts)):
+        data, at = codec.decode(ids, bounds)
+        for i, text in enumerate(texts[first : first + len(bounds) - 1]):
+            marked = viterbi.MARK + (text or "").replace(" ", viterbi.MARK) if text else ""
+            assert ids[bounds[i] : bounds[i + 1]].tolist() == best_path(codec.model, marked) == codec.stream(marked)
+            assert data[at[i] : at[i + 1]].tobytes().decode() == (text or "").replace(viterbi.MARK, " ").removeprefix(" " * (text or "").startswith(viterbi.MARK)) or viterbi.MARK in text
+    rows = viterbi.encoded_digest(docs, queries.PIECES).collect()
+    assert len(rows) == docs.count() and all(r.round_trip for r in rows)
+    encoded = viterbi.encode_documents(docs.filter("doc_id is not null"), queries.PIECES)
+    assert texts_of(viterbi.decode_documents(encoded, queries.PIECES)) == {d: t or "" for d, t in texts_of(docs.filter("doc_id is not null")).items()}
+    marked = viterbi.encoded_digest(spark.createDataFrame([(1, "▁a b"), (2, "c")], "doc_id long, text string"), queries.PIECES).collect()
+    assert {r.doc_id: r.round_trip for r in marked} == {1: False, 2: True}
+    for f in (viterbi.encoded_digest, viterbi.encode_documents):
+        assert f(empty, queries.PIECES).count() == 0
+
+
+def test_viterbi_commits_where_paths_meet():
+    """A long text without spaces: ids come out on the way, the window stays bounded and the path is the best one."""
+    model = viterbi.PieceModel(queries.PIECES)
+    rng = random.Random(2)
+    text = "".join(rng.choice("internationalisierung") for _ in range(6000))
+    v = viterbi.StreamingViterbi(model)
+    early = list(v.feed(text))
+    assert v.widest < 8 * model.longest and len(early) > 1000
+    assert [*early, *v.finish()] == best_path(model, text)
+
+
+def ratio_brute(texts, trusted, buckets):
+    """Mean log ratio (thousandths) of every text, over XXH64 buckets of words and word pairs."""
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    word = lambda w: xxhash.xxh64(w.encode(), seed=42).intdigest()
+
+    def pair(a, b):
+        first = xxhash.xxh64(a.to_bytes(8, "little"), seed=42).intdigest()
+        return xxhash.xxh64(b.to_bytes(8, "little"), seed=first).intdigest()
+
+    grams = {}
+    for d, text in texts.items():
+        h = [word(w) for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
+        grams[d] = [signed(x) % buckets for x in [*h, *(pair(a, b) for a, b in zip(h, h[1:], strict=False))]]
+    raw, target = Counter(), Counter()
+    for d, g in grams.items():
+        raw.update(g)
+        if d in trusted:
+            target.update(g)
+    nt, nr = sum(target.values()), sum(raw.values())
+    log = lambda n, total: math.log((n + 1) / (total + buckets))
+    ratio = {b: math.floor(1000 * (log(target[b], nt) - log(raw[b], nr)) + 0.5) if log(target[b], nt) >= log(raw[b], nr) else -math.floor(-1000 * (log(target[b], nt) - log(raw[b], nr)) + 0.5) for b in raw}
+    return {d: (sum(ratio[b] for b in g), len(g)) for d, g in grams.items()}
 
 
 def test_quality_rules_against_brute_force(spark, docs, empty):
-    rows = quality_rules.score_documents(docs.select("doc_id", "text"), docs.select("doc_id").filter("doc_id > 6")).collect()
+    some = docs.filter("doc_id is not null").select("doc_id", "text")
+    more = [(100 + i, " ".join(f"{'good' if i % 3 else 'odd'}{(i * 31 + j * j) % 400}" for j in range(60 + i))) for i in range(30)]
+    some = some.unionAll(spark.createDataFrame(more, some.schema))
+    trusted = {d for d in texts_of(some) if d > 6 and d % 3}
+    texts = texts_of(some)
+    want = ratio_brute(texts, trusted, quality_rules.bucket_count(some))
+    rows = quality_rules.score_documents(some, spark.createDataFrame([(d,) for d in trusted], "doc_id long")).collect()
+    assert any(r.kept for r in rows) and any(not r.kept and not r.base_failed for r in rows)
     for r in rows:
         text = r.text or ""
         w = re.findall(r"[^\x20\x09-\x0D]+", text)
@@ -133,8 +276,29 @@ def test_quality_rules_against_brute_force(spark, docs, empty):
         lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
         failed = len(w) < 50 or 100 * len(covered) > 50 * len(w)
         assert (r.n_words, r.word_chars, r.n_repeat_words, r.n_dup_lines, r.base_failed) == (len(w), sum(map(len, w)), len(covered), len(lines) - len(set(lines)), failed)
-        assert not (r.base_failed and r.kept)
+        total, n = want[r.doc_id]
+        assert r.score == (total / n if n else None)
+        assert r.kept == (not failed and total >= quality_rules.LEAST * n)
     assert quality_rules.score_documents(empty, empty.select("doc_id")).count() == 0
+    none = quality_rules.score_documents(some, some.select("doc_id").limit(0)).collect()  # a uniform target
+    assert len(none) == len(rows) and {r.doc_id: r.score for r in none} == {d: (t / n if n else None) for d, (t, n) in ratio_brute(texts, set(), quality_rules.bucket_count(some)).items()}
+
+
+def test_quality_rules_keep_clashing_columns(spark):
+    rows = [(i, "good words here " * 3 + " ".join(f"w{i}_{j}" for j in range(60)), f"s{i}", i, "k", i) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, score string, n_words int, kept string, _words int")
+    got = quality_rules.score_documents(df, df.select("doc_id"))
+    assert got.columns[:6] == df.columns and {"quality_score", "quality_n_words", "quality_kept", "base_failed"} <= set(got.columns)
+    assert sorted(tuple(r)[:6] for r in got.collect()) == rows
+    kept = quality_rules.kept_documents(df, df.select("doc_id"))
+    assert kept.columns == df.columns and sorted(map(tuple, kept.collect())) == rows
+
+
+def test_quality_threshold_ties_are_kept(spark):
+    df = spark.createDataFrame([(1, " ".join(f"a{i}" for i in range(60)))], "doc_id long, text string")
+    row = quality_rules.score_documents(df, df.select("doc_id")).first()
+    assert row.score == 0 and quality_rules.score_documents(df, df.select("doc_id"), least=0).first().kept
+    assert not quality_rules.score_documents(df, df.select("doc_id"), least=1).first().kept
 
 
 def test_secrets_against_brute_force(spark, docs):
@@ -148,23 +312,73 @@ def test_secrets_against_brute_force(spark, docs):
     assert secret_scan.trigram_query(secret_scan.BASE_RULES[2].pattern) is True
     cleaned = texts_of(secret_scan.redact(df))
     assert "hunter22" not in cleaned[100] and cleaned[8] == AWKWARD[8]
+    assert secret_scan.scan_secrets(df.limit(0)).count() == 0 and secret_scan.redact(df.limit(0)).columns == df.columns
+
+
+def test_secret_rules_by_hand(spark):
+    text = 'é PASSWD: "abcdef" x Token=12345 AKIA' + "Z" * 16 + " AKIAshort " + "0123456789abcdef" * 2 + " api-key=abcdefgh secret :abcdefg"
+    got = secret_scan.digest_columns(secret_scan.scan_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string"))).first()
+    at = lambda kind, part: f"{kind}:{text.index(part)}:{text.index(part) + len(part)}"
+    want = [at("assign", 'PASSWD: "abcdef'), at("access", "AKIA" + "Z" * 16), at("hex", "0123456789abcdef" * 2), at("assign", "secret :abcdefg")]
+    assert got.spans == ",".join(want) and (got.n_assign, got.n_access, got.n_hex) == (2, 1, 1)
+    assert got.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()
 
 
 def test_chat_round_trip(spark):
-    rows = [(1, 0, "user", "~ </s> <|im_end|>\n <|x [INST] ~1 \\"), (1, 1, "assistant", "[/INST]é~0"), (1, 1, "assistant", None), (2, None, None, "a"), (None, 3, "assistant", "<|im_start|>")]
+    rows = [(1, 0, "user", "~ </s> <|im_end|>\n <|x [INST] ~1 \\"), (1, 1, "assistant", "[/INST]é~0"), (1, 1, "assistant", None), (2, None, None, "a"), (None, 3, "assistant", "<|im_start|>"), (None, 3, "assistant", "b")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    formatted = chat.format_conversations(df)
+    formatted = chat.format_conversations(df.withColumn("turns", F.lit("x")))
     got = formatted.select("conv_id", "formatted", chat.parse_formatted(F.col("formatted")).alias("t"), chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss")).collect()
-    by = {r.conv_id: r for r in got}
+    by = {r.conv_id: r for r in got if r.conv_id is not None}
     assert [(t.role, t.text) for t in by[1].t] == [("user", rows[0][3]), ("assistant", ""), ("assistant", "[/INST]é~0")]
-    assert by[1].loss == "[/INST]é~0" and by[None].loss == "<|im_start|>" and by[2].t[0].role == ""
+    assert by[1].loss == "[/INST]é~0" and by[2].t[0].role == ""
+    assert sorted(r.loss for r in got if r.conv_id is None) == ["<|im_start|>", "b"]  # each row without an id is a conversation
     assert chat.format_conversations(df.limit(0)).count() == 0
 
 
+def test_chat_digests(spark, monkeypatch):
+    rows = [(1, 0, "user", "a~<|b"), (1, 1, "assistant", "né"), (1, 2, "assistant", "[INST]"), (2, 0, "system", None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    want = {
+        1: (3, sha("user\na~<|b\nassistant\nné\nassistant\n[INST]\n"), 8, sha("né[INST]"), len("<|im_start|>user\na~0~1|b<|im_end|>\n<|im_start|>assistant\nné<|im_end|>\n<|im_start|>assistant\n~2INST]<|im_end|>\n")),
+        2: (1, sha("system\n\n"), 0, sha(""), len("<|im_start|>system\n<|im_end|>\n")),
+    }
+    for most in (chat.MOST_VARIANT, 0):  # by each record's fingerprint, and by the table's schema for records too large for a variant
+        monkeypatch.setattr(chat, "MOST_VARIANT", most)
+        got = {r.conv_id: tuple(r)[1:] for r in chat.digest_columns(chat.format_conversations(df)).collect()}
+        assert got == want
+
+
 def test_chat_layouts(spark):
-    rows = ['{"messages":[{"role":"user","content":"a"},{"role":"assistant","content":"b"}]}', '{"instruction":"a","input":"","output":"b"}', '{"conversations":[{"from":"human","value":"a"},{"from":"gpt","value":"b"}]}', '{"prompt":"a","response":"b"}', '{"odd":1}']
-    got = [r.t for r in spark.createDataFrame([(r,) for r in rows], "j string").select(chat.turns_of_json(F.col("j")).alias("t")).collect()]
-    assert [[(t.role, t.text) for t in g] for g in got[:4]] == [[("user", "a"), ("assistant", "b")]] * 4 and got[4] is None
+    two = [("user", "a"), ("assistant", "b")]
+    cases = [
+        ({"messages": [{"role": "user", "content": "a"}, {"role": "assistant", "content": "b"}]}, two),
+        ({"id": 7, "meta": {"role": "x", "content": ["y"]}, "messages": [{"role": "user", "content": "a", "at": 1}, {"content": "b", "role": "assistant"}]}, two),
+        ({"messages": [{"role": "user"}, {"role": "assistant", "content": "b"}]}, [("user", ""), ("assistant", "b")]),
+        ({"instruction": "a", "input": "", "output": "b"}, two),
+        ({"instruction": "a", "input": "c", "output": "b", "source": None}, [("user", "a\nc"), ("assistant", "b")]),
+        ({"conversations": [{"from": "human", "value": "a"}, {"from": "gpt", "value": "b"}], "score": 0.5}, two),
+        ({"prompt": "a", "response": "b"}, two),
+        ({"prompt": "a", "completion": "b", "strange key<": [[1]]}, two),
+        ({"system": "s", "prompt": "a", "response": "b"}, [("system", "s"), *two]),
+        ({"messages": []}, None),
+        ({"odd": 1}, None),
+        ({"prompt": "a", "response": "b", "messages": [{"role": "user", "content": "a"}]}, None),
+    ]
+    rows = [(i, json.dumps(x)) for i, (x, _) in enumerate(cases)] + [(90, "no json"), (91, None), (92, "[1]")]
+    got = {r.i: r.t for r in spark.createDataFrame(rows, "i int, j string").select("i", chat.turns_of_json(F.col("j")).alias("t")).collect()}
+    for i, (_, want) in enumerate(cases):
+        assert (got[i] and [(t.role, t.text) for t in got[i]]) == want, cases[i]
+    assert got[90] is got[91] is got[92] is None
+    typed = spark.createDataFrame([("a", "b")], "prompt string, response string").select(chat.turns_of_row("prompt", "response").alias("t")).first().t
+    assert [(t.role, t.text) for t in typed] == two
+
+
+def test_nested_paths(spark):
+    schema = "OBJECT<`a b`: DECIMAL(2,1), c: ARRAY<OBJECT<d: ARRAY<STRING>, e: OBJECT<f: VOID>>>, g: BIGINT>"
+    got = spark.range(1).select(chat.nested_paths(F.lit(schema)).alias("p")).first().p
+    assert sorted(got) == ["a b", "c[].d[]", "c[].e.f", "g"]
 
 
 def test_warc(spark):
@@ -181,6 +395,32 @@ def test_warc(spark):
         assert headers["warc-record-id"] == name == warc.record_id(i) and payload == b"a\r\n\r\nb" * i
 
 
+def test_warc_cases(spark, tmp_path):
+    big = "é" * 600
+    rows = [(7, "http://a", big), (7, "http://a", big), (3, "u", big), (None, None, None), (9, "x\ny", "z" * 999), (10, "x", "z" * 999)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit("mine")).withColumn("payload", F.lit(1))
+    archives = warc.write_archives(warc.deduplicated(df))
+    got = Counter((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.read_archives(archives, payloads=False).collect())
+    assert got == Counter([(7, 1200, "response", None)] * 2 + [(3, 1200, "revisit", 7), (None, 0, "response", None), (9, 999, "response", None), (10, 999, "response", None)])
+    assert warc.read_archives(warc.write_archives(warc.deduplicated(df.limit(0)))).count() == 0
+    warc.export_archives(archives, str(tmp_path / "out"))
+    files = sorted((tmp_path / "out").glob("*.warc.gz"))
+    names = [x for f in files for x in (f.with_name(f.name + ".idx")).read_text().splitlines()]
+    assert files and len(names) == len(rows) and sum(gzip.decompress(f.read_bytes()).count(b"WARC-Type:") for f in files) == len(rows)
+
+
+def test_warc_normalises_files(tmp_path):
+    payloads = [b"a\r\n\r\nb" * i for i in range(40)] + [b"x" * 2_000_000]
+    (tmp_path / "in.gz").write_bytes(zlib_gzip(b"".join(warc.record_bytes(i, "u", p, hashlib.sha1(p).hexdigest(), None, False) for i, p in enumerate(payloads))))
+    assert warc.normalise_file(*(str(tmp_path / x) for x in ("in.gz", "out.gz", "out.idx"))) == len(payloads)
+    data = (tmp_path / "out.gz").read_bytes()
+    for i, line in enumerate((tmp_path / "out.idx").read_text().splitlines()):
+        name, at, size = line.split("\t")
+        assert name == warc.record_id(i) and warc.parse_member(data[int(at) : int(at) + int(size)])[1] == payloads[i]
+    with pytest.raises(EOFError):
+        list(warc.normalise(io.BytesIO(zlib_gzip(warc.record_bytes(1, "u", b"abc", "00" * 20, None, False)[:-9])), io.BytesIO()))
+
+
 def zlib_gzip(data):
     packer = zlib.compressobj(1, wbits=31)
     return packer.compress(data) + packer.flush()
@@ -196,6 +436,36 @@ def test_classifier(spark, empty):
     assert classifier.score_documents(empty, classifier.fit(empty, labels.limit(0))).count() == 0
 
 
+def test_classifier_of_conflicting_labels(spark):
+    df = spark.createDataFrame([(i, ("plain " if i % 2 else "JUNK!! ") * 5 + f"t{i}") for i in range(60)], "doc_id long, text string")
+    labels = [(i, i % 2) for i in range(40)]
+    fit = lambda rows: classifier.fit(df, spark.createDataFrame(rows, "doc_id long, quality int"))
+    plain, both = fit(labels), fit(labels + [(41, 0), (41, 1)] + labels[:9])
+    assert np.array_equal(plain.weight, both.weight) and plain.shift == both.shift
+
+
+def test_descent_reaches_the_optimum():
+    """The dual solution's gap to the primal objective closes."""
+    rng = np.random.Generator(np.random.PCG64(4))
+    rows = [np.unique(rng.integers(0, 60, 12)).astype(np.int32) for _ in range(80)]
+    y = np.array([int(r[0] % 2) for r in rows])
+    values = [np.full(len(r), 1 / np.sqrt(len(r))) for r in rows]
+    w, bias = classifier.dual_coordinate_descent(rows, values, y, c=1.0, epochs=400)
+    sign = np.where(y > 0, 1, -1)
+    margin = np.array([s * (w[r] @ v + bias) for r, v, s in zip(rows, values, sign, strict=True)])
+    primal = 0.5 * (w @ w + bias * bias) + np.maximum(0, 1 - margin).sum()
+    dense = np.zeros((80, 61))
+    for i, (r, v) in enumerate(zip(rows, values, strict=True)):
+        dense[i, r], dense[i, 60] = v * sign[i], sign[i]
+    alpha = np.zeros(80)  # projected gradient on the dual, another way to the same optimum
+    gram = dense @ dense.T
+    step = 1 / np.linalg.norm(gram, 2)
+    for _ in range(20000):
+        alpha = np.clip(alpha - step * (gram @ alpha - 1), 0, 1)
+    dual = alpha.sum() - 0.5 * alpha @ gram @ alpha
+    assert abs(primal - dual) < 1e-3 * max(1, primal)
+
+
 def test_classifier_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     got = queries.op8_quality_classifier(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").filter("held_out and quality is not null")
@@ -241,15 +511,146 @@ def test_nearest(spark):
     assert ann.nearest(df.limit(0)).count() == 0
 
 
-def test_pipeline(spark):
+def test_nearest_with_joined_hashes(spark, monkeypatch):
+    """Hashes over several rotations, as large inputs get, keep recall."""
+    monkeypatch.setattr(ann, "plan", lambda rows, dimension, bucket=0: [16, 2])
+    rng = np.random.Generator(np.random.PCG64(9))
+    x = rng.normal(size=(6000, 16)).astype(np.float32)
+    x[500] = x[40]
+    df = spark.createDataFrame([(i, v.tolist(), i) for i, v in enumerate(x)] + [(40, x[40].tolist(), 0), (7000, [1.0] * 5, 1)], "vec_id long, embedding array<float>, score int")
+    found = {}
+    for r in ann.nearest(df, every=40).collect():
+        found.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
+    y = x.astype(np.float64)
+    hit = 0
+    for q in range(0, 6000, 40):
+        score = y @ y[q]
+        score[q] = -np.inf
+        hit += len({v for v, _ in found[q].values()} & set(np.lexsort((np.arange(6000), -score))[:20].tolist()))
+        assert sorted(found[q]) == list(range(1, 21)) and all(abs(s - y[v] @ y[q]) < 1e-12 for v, s in found[q].values())
+    assert hit >= 0.9 * 20 * 150 and found[40][1][0] == 500
+
+
+def test_nearest_of_isolated_points_is_complete(spark):
+    rng = np.random.Generator(np.random.PCG64(2))
+    x = rng.normal(size=(2000, 32))
+    x[20:] = x[0] + 0.001 * x[20:]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann.nearest(df, every=5).groupBy("query_id").count().collect()
+    assert len(got) == 400 and all(r["count"] == 20 for r in got)
+
+
+@pytest.fixture(scope="module")
+def rows_with_odd_ids(spark):
+    good = lambda i: " ".join(f"w{(i * 53 + j * 7) % 900}" for j in range(80))
+    rows = [(i, good(i), "s", f"x{i}") for i in range(20)]
+    rows += [(1, good(500), "s", "other text of 1"), (2, good(2), "s", "again"), (30, good(5) + " tail", "s", "near 5"), (None, good(3), "s", "no id"), (None, good(700), "s", "no id"), (40, None, "s", "n"), (41, "", "s", "e"), (41, "", "s", "e")]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, t1 string")
+
+
+def test_pipeline_near_duplicates(spark, rows_with_odd_ids):
+    """Against a plain loop: of each group one row stays, judged by the row's own text."""
+    import corpus_pipeline
+
+    df = rows_with_odd_ids
+    rows = [tuple(r) for r in df.collect()]
+    sets = [next(iter(jaccard.shingle_sets(np.frombuffer((t or "").encode(), np.uint8), np.array([0, len((t or "").encode())])))) for _, t, _, _ in rows]
+    group = list(range(len(rows)))
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if len(x) and len(y) and rows[i][0] is not None and rows[j][0] is not None and 100 * len(np.intersect1d(x, y)) >= 75 * len(np.union1d(x, y)):
+                group = [group[j] if g == group[i] else g for g in group]
+    got = corpus_pipeline.near_duplicates(spark, df, SF)
+    assert got.columns == df.columns
+    kept = Counter(tuple(r) for r in got.collect())
+    for g in set(group):
+        members = [rows[i] for i in range(len(rows)) if group[i] == g]
+        assert sum(kept[m] for m in set(members)) == (1 if members[0][0] is not None and members[0][1] else sum(rows.count(m) for m in set(members))) or members[0][1] == ""
+        assert any(kept[m] and m[0] == min(x[0] for x in members) for m in members) or members[0][0] is None
+    assert kept[(1, rows[20][1], "s", "other text of 1")] == 1 and kept[(41, "", "s", "e")] == 2
+    assert kept == Counter(tuple(r) for r in corpus_pipeline.near_duplicates(spark, df.repartition(7), SF).collect())
+
+
+def test_pipeline_stages_against_brute_force(spark):
+    """Every stage on what its predecessor kept, on whole tables."""
     import corpus_pipeline
 
-    out = corpus_pipeline.run(spark, SF)
-    assert out.count() > 0 and out.filter("length <= 0").count() == 0
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs, before = spark.read.parquet(f"{SF}/documents.parquet").withColumn("score", F.lit("mine")).withColumn("c0", F.lit(1)), None
     for name, stage in corpus_pipeline.STAGES[:-1]:
         kept = stage(spark, docs.limit(0), SF)
         assert kept.count() == 0 and kept.columns == docs.columns, name
+        out = stage(spark, docs, SF)
+        after = {r.doc_id: r for r in out.collect()}
+        assert out.columns == docs.columns
+        before = {r.doc_id: r for r in docs.collect()}
+        labels = {r.doc_id: r for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+        if name == "quality classifier":
+            model = classifier.fit(docs, classifier.learning_rows(spark.read.parquet(f"{SF}/labels.parquet")))
+            score = lambda t: model.scores(model.margins(*classifier.features(np.frombuffer(t, np.uint8), np.array([0, len(t)]))))[0]
+            assert set(after) == {d for d, r in before.items() if score((r.text or "").encode()) >= classifier.THRESHOLD}
+        elif name == "quality rules":
+            trusted = {d for d, r in labels.items() if r.quality == 1 and not r.toxic}
+            want = ratio_brute({d: r.text for d, r in before.items()}, trusted, quality_rules.bucket_count(docs))
+            words = {d: re.findall(r"[^\x20\x09-\x0D]+", r.text or "") for d, r in before.items()}
+
+            def repeated(w):
+                grams = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+                return len({i + k for i in range(len(w) - 2) if grams[tuple(w[i : i + 3])] > 1 for k in range(3)})
+
+            assert set(after) == {d for d, w in words.items() if len(w) >= 50 and 2 * repeated(w) <= len(w) and want[d][0] >= quality_rules.LEAST * want[d][1]}
+        elif name == "n-gram Jaccard join":
+            assert set(after) == {d for d, (_, c) in brute_components({d: r.text for d, r in before.items()}).items() if d == c}
+        else:
+            for d, r in before.items():
+                spans, text, done = sorted((a, b, rule.kind) for rule in secret_scan.RULES for a, b in rule.spans(r.text or "")), "", 0
+                for a, b, kind in spans:
+                    if a >= done:
+                        text += r.text[done:a] + f"<{kind}>"
+                    done = max(done, b)
+                assert after[d].text == (text + r.text[done:] if spans else r.text) and after[d].n_chars == len(after[d].text)
+        if name != "secret scans":
+            assert all(after[d] == before[d] for d in after)
+        docs = spark.createDataFrame(list(after.values()), docs.schema)
+    packed = corpus_pipeline.packing_stage(spark, docs, SF)
+    assert packed.agg(F.sum("length")).first()[0] == packed.select("doc_id", "doc_tokens").distinct().agg(F.sum("doc_tokens")).first()[0]
+    assert corpus_pipeline.packing_stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_pipeline_runs_and_cleans_up(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+    from markscribe.llm import common
+
+    for module in (common, corpus_pipeline):
+        monkeypatch.setattr(module, "shared_dir", lambda spark: f"file://{tmp_path}")
+    assert corpus_pipeline.run(spark, SF).count() > 0
+    assert [[y.name for y in x.iterdir() if not y.name.startswith(".")] for x in tmp_path.iterdir()] == [["4"]]  # the result alone is left
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from markscribe.llm.common import shared_dir
+
+    conf = SimpleNamespace(get=lambda *a: None)
+    cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://a:7077", getConf=lambda: conf))
+    with pytest.raises(RuntimeError):
+        shared_dir(cluster)
+
+
+def test_sql_queries_against_duckdb(spark):
+    """Whole rows of the queries that SQL can express."""
+    import os
+
+    import duckdb
+
+    con = duckdb.connect()
+    for name in os.listdir(SF):
+        if name.endswith(".parquet"):
+            con.sql(f"create view {name[:-8]} as select * from read_parquet('{SF}/{name}')")
+    for name, sql in queries.ORACLES.items():
+        rows, want = queries.QUERIES[name](spark, SF), con.sql(sql)
+        assert sorted(rows.columns) == sorted(want.columns)
+        assert Counter(map(tuple, rows.select(*want.columns).collect())) == Counter(want.fetchall()), name
 
 
 def test_nearest_grows_with_the_input(spark, monkeypatch):
@@ -296,3 +697,28 @@ def test_extraction_counts_contents_not_copies(spark):
     rows = [(i, f"http://a/{i}", copy) for i in range(6)] + [(10 + i, f"http://a/x{i}", other.format(i)) for i in range(4)]
     got = {r.page_id: r.text for r in extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[0] == got[5] == "one\npoint" and got[11] == "other 1"
+
+
+def test_extraction_by_equivalence_classes(spark):
+    """A line in every article is template because it shares its vector with the article's tag; pages need no article."""
+    page = "<html><body><div class=menu>m</div><article><p>story {0} {1}<p>Read more on our site</article><div>copyright</div></body></html>"
+    plain = "<html><body><div>Our shop</div><div class=text><p>tale {0} {1}</div><div>All rights</div></body></html>"
+    rows = [(i, f"http://a/{i}", page.format(i, f"word{i} " * 30)) for i in range(5)] + [(10 + i, f"HTTP://B/{i}", plain.format(i, f"word{i} " * 30)) for i in range(5)]
+    df = spark.createDataFrame(rows + rows[:1], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in extraction.extract(df).collect()}
+    assert got[2] == "story 2 " + ("word2 " * 30).strip() and got[12] == "tale 2 " + ("word2 " * 30).strip()
+    tokens = extraction.host_tokens(df)
+    fixed = lambda t: sorted(len(r.fixed or []) for r in extraction.host_templates(t).collect())
+    assert fixed(tokens) == [2, 2]
+    scrambled = extraction.host_templates(tokens.withColumn("fingerprint", F.xxhash64("tag", "text"))).collect()
+    assert not any(r.fixed for r in scrambled)  # without equal vectors there is no template
+
+
+def test_extraction_of_near_copies_and_names(spark):
+    near = "<html><body><article><p>the same long story in all of these pages, word for word<p>note {0}</article></body></html>"
+    rows = [(i, f"http://n/{i}", near.format(i)) for i in range(6)]
+    one = "<html><body><article class='no-comments has-sidebar'><p>E <math>mc2</math> end <noscript>n</noscript><section class=related-work><p>kept</section><section class=search-results>also</section><div class='related-posts'>gone</div><div class='post-comments wide'>gone</div><aside>gone</aside></article></body></html>"
+    rows += [(20, "http://o/1", one), (20, "http://o/1", one), (21, "http://o/2", "<p class=it's>x<p title='a>b'>y<b a=\"c")]
+    got = {r.page_id: r.text for r in extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3] == "the same long story in all of these pages, word for word\nnote 3"
+    assert got[20] == "E mc2 end n\nkept\nalso" and got[21] == "x\ny"
