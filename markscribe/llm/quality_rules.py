@@ -1,10 +1,12 @@
 """Quality rules: hashed n-gram log-likelihood ratio between trusted and raw corpus, with SQL functions only.
 
 Words are runs of ``[^\\x20\\x09-\\x0D]``. Unigrams and bigrams are hashed (XXH64) to buckets, whose
-number grows with the n-grams counted (at most ``PER_BUCKET`` for each, repeats included); two multinomials, over the trusted rows and over all rows, are counted in one pass with
-add-one smoothing. A document's score is the sum of its n-grams' log ratios over their number, in
-thousandths as integers, so that it does not depend on the order of summation. A document is kept
-if no base rule fails and its score reaches ``least``.
+number grows as the cube root of the text counted (``PER_ROOT`` for each root of a byte): n-grams
+that tell corpora apart are frequent ones, whose counts grow with the text, faster than those of the
+rare ones that share their bucket. Two multinomials, over the trusted rows and over all rows, are
+counted in one pass with add-one smoothing. A document's score is the sum of its n-grams' log ratios
+over their number, in thousandths as integers, so that it does not depend on the order of summation.
+A document is kept if no base rule fails and its score reaches ``least``.
 
 A ratio table of at most ``MOST_ARRAY`` buckets reaches the rows as one array; a larger one stays a table
 that the n-grams of the distinct texts are joined to by bucket. Trusted ids are broadcast up to
@@ -24,10 +26,10 @@ from pyspark.sql import functions as F
 from markscribe.functions.text import once
 from markscribe.llm.common import spread, written
 
-#: Least buckets, n-grams counted for each bucket at most, most buckets that reach the rows as an array, buckets of one inner array.
-BUCKETS, PER_BUCKET, MOST_ARRAY, CHUNK = 1 << 16, 8, 1 << 24, 1 << 12
+#: Least buckets, buckets for each cube root of a byte of text, most buckets that reach the rows as an array, buckets of one inner array.
+BUCKETS, PER_ROOT, MOST_ARRAY, CHUNK = 1 << 16, 480, 1 << 25, 1 << 12
 #: Least mean log ratio that is kept, in thousandths.
-LEAST = -250
+LEAST = -120
 MOST_BROADCAST = 1 << 20
 SPACE = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -82,10 +84,9 @@ def with_base_counts(docs: DataFrame) -> DataFrame:
 
 
 def bucket_count(docs: DataFrame) -> int:
-    """The buckets for these rows: a power of two that grows with their n-grams."""
-    n = F.size(words_of(F.col("text"))).cast("long")
-    grams = docs.agg(F.sum(F.greatest(F.lit(0), 2 * n - 1))).first()[0] or 0
-    return max(BUCKETS, 1 << (-(-grams // PER_BUCKET) - 1).bit_length() if grams else 0)
+    """The buckets for these rows: a power of two that grows with their text."""
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return max(BUCKETS, 1 << (int(PER_ROOT * size ** (1 / 3)) | 1).bit_length() - 1)
 
 
 def _buckets(hashes: Column, buckets: int) -> Column:
