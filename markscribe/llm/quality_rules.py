@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from markscribe.functions.text import once
 from markscribe.llm.common import spread, written
 
-#: Least buckets, buckets for each cube root of a byte of text, most buckets that reach the rows as an array, buckets of one inner array.
+#: Least buckets, buckets for each cube root of a byte of text, most buckets that reach the rows as an array, buckets that are ordered together.
 BUCKETS, PER_ROOT, MOST_ARRAY, CHUNK = 1 << 16, 480, 1 << 25, 1 << 12
 #: Least mean log ratio that is kept, in thousandths.
 LEAST = -120
@@ -89,9 +89,13 @@ def bucket_count(docs: DataFrame) -> int:
     return max(BUCKETS, 1 << (int(PER_ROOT * size ** (1 / 3)) | 1).bit_length() - 1)
 
 
-def _buckets(hashes: Column, buckets: int) -> Column:
-    fold = lambda h: F.pmod(h, F.lit(buckets)).cast("int" if buckets <= 1 << 31 else "long")
-    return let(hashes, lambda h: F.concat(F.transform(h, fold), F.transform(_windows(h, 2), fold)))
+def _grams(hashes: Column) -> Column:
+    """Hashes of the unigrams and bigrams."""
+    return let(hashes, lambda h: F.concat(h, _windows(h, 2)))
+
+
+def _bucket(hashed: Column, buckets: int) -> Column:
+    return hashed.bitwiseAND(F.lit(buckets - 1).cast("long")).cast("int" if buckets <= 1 << 31 else "long")
 
 
 def marked_trusted(docs: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -105,8 +109,8 @@ def marked_trusted(docs: DataFrame, trusted: DataFrame) -> DataFrame:
 def ratio_table(docs: DataFrame, trusted: DataFrame, buckets: int) -> DataFrame:
     """``b`` and ``ratio`` (log ratio in thousandths, counted over all rows) of every bucket, beyond MOST_ARRAY of those with n-grams."""
     hashes = F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w))
-    grams = marked_trusted(docs.select("doc_id", "text"), trusted).select("_trusted", F.explode(_buckets(hashes, buckets)).alias("b"))
-    grams = grams.select("b", F.col("_trusted").cast("long").alias("t"), F.lit(1).cast("long").alias("r"))
+    grams = marked_trusted(docs.select("doc_id", "text"), trusted).select("_trusted", F.explode(_grams(hashes)).alias("h"))
+    grams = grams.select(_bucket(F.col("h"), buckets).alias("b"), F.col("_trusted").cast("long").alias("t"), F.lit(1).cast("long").alias("r"))
     if buckets <= MOST_ARRAY:  # an array has all of them
         zero = F.lit(0).cast("long")
         grams = grams.unionByName(docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("b"), zero.alias("t"), zero.alias("r")))
@@ -117,10 +121,10 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, buckets: int) -> DataFrame:
 
 
 def ratio_array(ratios: DataFrame) -> Column:
-    """The table as array<array<smallint>>: the ratio of bucket b is at [b div CHUNK][b mod CHUNK]."""
+    """The table as array<smallint>: the ratio of bucket b is at [b]."""
     ordered = lambda key, value: F.transform(F.array_sort(F.collect_list(F.struct(key, value))), lambda x: x[value])
     chunks = ratios.groupBy(F.floor(F.col("b") / CHUNK).cast("int").alias("chunk")).agg(ordered("b", "ratio").alias("inner"))
-    return chunks.agg(ordered("chunk", "inner").alias("ratios")).scalar()
+    return chunks.agg(F.flatten(ordered("chunk", "inner")).alias("ratios")).scalar()
 
 
 def text_key(text: Column) -> Column:
@@ -131,7 +135,8 @@ def text_key(text: Column) -> Column:
 def joined_sums(docs: DataFrame, table: DataFrame, buckets: int) -> DataFrame:
     """``_key`` of every distinct text with words and ``_sum``, its n-grams' ratios, by a join on the bucket."""
     texts = docs.filter("text is not null").select(text_key(F.col("text")).alias("_key"), "text").dropDuplicates(["_key"])
-    grams = texts.select("_key", F.explode(_buckets(F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)), buckets)).alias("b"))
+    grams = texts.select("_key", F.explode(_grams(F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)))).alias("h"))
+    grams = grams.select("_key", _bucket(F.col("h"), buckets).alias("b"))
     each = grams.groupBy("_key", "b").count()
     return each.join(table, "b").groupBy("_key").agg(F.sum(F.col("count") * F.col("ratio")).alias("_sum"))
 
@@ -148,10 +153,9 @@ def _scored(docs: DataFrame, trusted: DataFrame, least: int) -> DataFrame:
     ratios = ratio_table(docs, trusted, buckets)
     counted = with_base_counts(docs)
     if buckets <= MOST_ARRAY:
-        at = lambda t, b: t[F.shiftright(b, CHUNK.bit_length() - 1)][b.bitwiseAND(F.lit(CHUNK - 1))]
         # A column of its own, as a function with a lambda may not hold a subquery; referred to once, it is put in place, not copied to the rows.
         counted = counted.withColumn("_ratios", ratio_array(ratios))
-        total = F.transform(F.array("_ratios"), lambda t: F.aggregate(_buckets(F.col("_hashes"), buckets), F.lit(0).cast("long"), lambda acc, b: acc + at(t, b)))[0]
+        total = F.transform(F.array("_ratios"), lambda t: F.aggregate(_grams(F.col("_hashes")), F.lit(0).cast("long"), lambda acc, h: acc + t[_bucket(h, buckets)]))[0]
     else:
         sums = written(joined_sums(docs.select("text"), ratios, buckets), "gram-sums")
         counted = counted.withColumn("_key", text_key(F.col("text"))).join(sums.withColumnRenamed("_sum", "_joined"), "_key", "left").drop("_key")
