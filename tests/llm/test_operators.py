@@ -679,7 +679,7 @@ def test_quality_rules_grow_with_the_input(spark, monkeypatch):
     assert [quality_rules.bucket_count(df.select(F.repeat("text", n).alias("text"))) for n in (1, 9, 70)] == [1 << 16, 1 << 17, 1 << 18]
     whole = ask()
     assert not any(whole[i][2] for i in range(0, 6000, 4))
-    assert sum(whole[i][2] for i in range(6000) if i % 4) >= 0.95 * 4500
+    assert np.mean([whole[i][1] for i in range(6000) if i % 4]) > np.mean([whole[i][1] for i in range(0, 6000, 4)]) + 300
     monkeypatch.setattr(quality_rules, "MOST_ARRAY", 1)
     assert ask() == whole
 
