@@ -6,6 +6,18 @@ import os
 from dataclasses import dataclass, fields
 
 
+class SheetError(Exception):
+    """Base of the engine's own errors."""
+
+
+class SheetFileError(SheetError):
+    """A sheet that cannot be read."""
+
+
+class QuestionFormatError(SheetError):
+    """A question file without a usable question."""
+
+
 @dataclass(frozen=True)
 class Question:
     """A canonical question; ``question_id`` is Q and its number."""
@@ -22,16 +34,31 @@ class Question:
 
 @dataclass(frozen=True)
 class EngineConfig:
-    """Thresholds and budgets; ``from_environment`` reads MARKSCRIBE_<FIELD>."""
+    """Folders, thresholds, budgets and the model's settings; ``from_environment`` reads MARKSCRIBE_<FIELD>."""
 
+    input_dir: str = "input"
+    output_dir: str = "output"
+    logs_dir: str = "logs"
+    model_answers_path: str = "model_answers.md"
+    encoding: str = "utf-8"
     exam_id: str = ""
     adjudicate: bool = False
     confidence_threshold: float = 0.85
+    review_threshold: float = 0.60
     max_calls: int = 64
     max_boundary_calls: int = 32
     context_chars: int = 3000
     prefix_chars: int = 120
     excerpt_chars: int = 150
+    memo: bool = True
+    model: str = ""
+    endpoint: str = ""
+    device: str = "auto"
+    max_input_tokens: int = 4096
+    max_new_tokens: int = 64
+    temperature: float = 0.0
+    quantize: bool = True
+    compute_dtype: str = "float16"
 
     @classmethod
     def from_environment(cls, env=os.environ) -> EngineConfig:
@@ -41,3 +68,7 @@ class EngineConfig:
                 kind = type(f.default)
                 found[f.name] = value.lower() in ("1", "true", "yes") if kind is bool else kind(value)
         return cls(**found)
+
+    @property
+    def quantization(self) -> str:
+        return "4bit" if self.quantize and self.model else "none"

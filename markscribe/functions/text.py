@@ -21,6 +21,21 @@ TOKENS = r"<\|(?:im_[A-Za-z0-9_]*|assistant|user|endoftext)(?:\|>)?"
 SENTENCE_TOKENS = r"</?s>"
 
 
+#: Decimal digits outside ASCII, and what each stands for.
+_OTHER_DIGITS = [c for c in map(chr, range(0x80, 0x110000)) if unicodedata.category(c) == "Nd"]
+_THEIR_VALUES = "".join(str(unicodedata.decimal(c)) for c in _OTHER_DIGITS)
+
+
+def ascii_digits(text: Column) -> Column:
+    """Decimal digits of all scripts as 0 to 9."""
+    return F.when(text.rlike(r"[^\x00-\x7f]"), F.translate(text, "".join(_OTHER_DIGITS), _THEIR_VALUES)).otherwise(text)
+
+
+def integer_in(text: Column) -> Column:
+    """The first run of decimal digits as a number; null if there is none or it is too large."""
+    return ascii_digits(F.regexp_extract(text, f"({ND}+)", 1)).try_cast("bigint")
+
+
 @F.pandas_udf(StringType())
 def _nfc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
@@ -62,9 +77,10 @@ def once(value: Column) -> Column:
     """``value`` as a column that the optimizer never copies into the expressions above it.
 
     Those refer to it inside lambdas, where a copy would be computed again for every element. A
-    nondeterministic condition that always holds keeps projections from being collapsed.
+    nondeterministic condition that always holds (and that streams allow) keeps projections from being
+    collapsed.
     """
-    return F.when(F.monotonically_increasing_id() >= 0, value)
+    return F.when(F.rand(0) >= 0, value)
 
 
 def match_spans(text: Column, pattern: str) -> Column:

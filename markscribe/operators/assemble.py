@@ -59,13 +59,19 @@ def finish(df: DataFrame, questions: list[Question], config: EngineConfig, text:
     whole = F.when(lost, F.array(F.col(text))).otherwise(F.array().cast("array<string>"))
     df = df.withColumn("questions", once(out)).withColumn("unmapped", once(F.array_distinct(F.concat(whole, texts)))).withColumn("review", once(review))
     audit = F.struct(
-        (F.col("boundary_calls") + F.col("mapping_calls")).alias("llm_calls"), F.col("boundary_calls").alias("segmentation_llm_calls"), F.col("mapping_calls").alias("mapping_llm_calls"),
-        F.lit(config.exam_id).alias("exam_id"), F.size("candidates").alias("candidate_count"), F.size("accepted").alias("accepted_count"),
+        (F.col("boundary_calls") + F.col("mapping_calls")).alias("calls"), "boundary_calls", "mapping_calls",
+        F.lit(config.model).alias("model"), F.lit(config.device).alias("device"), F.lit(config.compute_dtype).alias("dtype"), F.lit(config.quantization).alias("quantization"),
+        (F.col("duration_ms") if "duration_ms" in df.columns else F.lit(0)).cast("long").alias("duration_ms"), F.lit(config.exam_id).alias("exam_id"), F.size("candidates").alias("candidate_count"), F.size("accepted").alias("accepted_count"),
         F.size("blocks").alias("block_count"), F.size("review").alias("review_count"), F.size("unmapped").alias("unmapped_count"),
     )
     return df.withColumn("audit", audit).drop("_alone")
 
 
+def with_accessors(df: DataFrame, key: str = "sheet_id") -> DataFrame:
+    """Add the result's other names: student_id, review_items, unmapped_content, and processing_status (always success)."""
+    return df.withColumns({"student_id": F.col(key).cast("string"), "review_items": F.col("review"), "unmapped_content": F.col("unmapped"), "processing_status": F.lit("success")})
+
+
 def minimal_json(key: Column) -> Column:
     answers = F.flatten(F.transform("questions", lambda q: F.transform(q["answers"], lambda a: F.struct(q["question_id"].alias("question_id"), a.alias("answer")))))
     unmapped = F.transform("unmapped", lambda t: F.struct(t.alias("text")))

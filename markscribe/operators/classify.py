@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from markscribe.config import EngineConfig, Question
-from markscribe.functions.text import let, once, uni_strip
-from markscribe.operators.markers import CANDIDATE, preamble_is_header
+from markscribe.functions.text import integer_in, let, once
+from markscribe.operators.markers import CANDIDATE, preamble_bounds, preamble_is_meaningful
 
 DECISION = "struct<decision:string,question_id:string,confidence:double,requires_human_review:boolean,subject_match:boolean>"
 REVIEW = "struct<text:string,possible_questions:array<string>>"
@@ -30,10 +30,10 @@ def _ordinal(number: Column, numbers: list[int]) -> Column:
     return F.when(at > 0, at - 1)
 
 
-def suppressed(candidates: Column, c: Column) -> Column:
-    """A later candidate of any strength has the same number; arrow markers are exempt."""
-    later = F.exists(candidates, lambda o: (o["pos"] > c["pos"]) & (o["number"] == c["number"]))
-    return F.coalesce(later, F.lit(False)) & ~F.contains(c["marker"], F.lit("→"))
+def repeated_later(candidates: Column) -> Column:
+    """Positions of candidates whose number a later one of any strength has; arrow markers are exempt."""
+    numbered = F.array_sort(F.transform(F.filter(candidates, lambda c: c["number"].isNotNull()), lambda c: F.struct(c["number"], c["pos"], F.contains(c["marker"], F.lit("→")).alias("arrow"))))
+    return let(numbered, lambda s: F.transform(F.filter(s, lambda x, i: ~x["arrow"] & (F.get(s, i + 1)["number"] == x["number"])), lambda x: x["pos"]))
 
 
 def numbered_run(candidates: Column, c: Column) -> Column:
@@ -43,15 +43,17 @@ def numbered_run(candidates: Column, c: Column) -> Column:
     return F.coalesce(follows, F.lit(False)) & ~F.contains(c["marker"], F.lit("→"))
 
 
-def enriched(text: Column, candidates: Column, numbers: list[int]) -> Column:
+def enriched(df: DataFrame, numbers: list[int], text: str = "normalized", candidates: str = "candidates", out: str = "_each") -> DataFrame:
+    """Add what the fold knows of every candidate beforehand; the text is read a fixed number of times."""
+    df = df.withColumn("_bounds", once(preamble_bounds(F.col(text)))).withColumn("_again", once(repeated_later(F.col(candidates))))
+
     def each(c: Column) -> Column:
-        preamble = uni_strip(F.substr(text, F.lit(1), c["start"]))
         return F.struct(
-            c.alias("c"), _ordinal(c["number"], numbers).alias("ordinal"), suppressed(candidates, c).alias("suppressed"),
-            numbered_run(candidates, c).alias("run"), ((preamble != "") & ~preamble_is_header(preamble)).alias("meaningful"),
+            c.alias("c"), _ordinal(c["number"], numbers).alias("ordinal"), F.array_contains("_again", c["pos"]).alias("suppressed"),
+            numbered_run(F.col(candidates), c).alias("run"), preamble_is_meaningful(F.col(text), F.col("_bounds"), c["start"]).alias("meaningful"),
         )
 
-    return F.transform(candidates, each)
+    return df.withColumn(out, once(F.transform(candidates, each))).drop("_bounds", "_again")
 
 
 def classify(x: Column, opened: Column, implicit: Column, n: int) -> Column:
@@ -72,7 +74,7 @@ def classify(x: Column, opened: Column, implicit: Column, n: int) -> Column:
 
 
 def accept(df: DataFrame, questions: list[Question], config: EngineConfig, text: str = "normalized", candidates: str = "candidates", decisions: str | None = None) -> DataFrame:
-    """Add ``accepted`` array<CANDIDATE>, ``boundary_review`` array<REVIEW> and ``boundary_calls``.
+    """Add ``accepted`` array<CANDIDATE>, ``boundary_review`` array<REVIEW>, ``boundary_calls`` and ``boundary_open`` (positions asked about that have no decision).
 
     ``decisions`` names a map<int, DECISION> of validated replies by position; without it every
     question put to the adjudicator comes back ambiguous and goes to review.
@@ -80,18 +82,14 @@ def accept(df: DataFrame, questions: list[Question], config: EngineConfig, text:
     numbers = canonical_numbers(questions)
     if not numbers:
         strong = F.filter(candidates, lambda c: c["strength"] == "strong")
-        return df.select("*", strong.alias("accepted"), F.array().cast(f"array<{REVIEW}>").alias("boundary_review"), F.lit(0).alias("boundary_calls"))
-    c, t = F.col(candidates), F.col(text)
-    preamble = F.when(F.size(c) > 0, uni_strip(F.substr(t, F.lit(1), F.get(c, F.lit(0))["start"]))).otherwise("")
-    df = df.withColumn("_preamble", once(preamble)).withColumn("_implicit", once((F.col("_preamble") != "") & ~preamble_is_header(F.col("_preamble"))))
-    df = df.withColumn("_each", once(enriched(t, c, numbers)))
+        return df.select("*", strong.alias("accepted"), F.array().cast(f"array<{REVIEW}>").alias("boundary_review"), F.lit(0).alias("boundary_calls"), F.array().cast("array<int>").alias("boundary_open"))
+    df = enriched(df, numbers, text, candidates).withColumn("_implicit", once(F.coalesce(F.get("_each", F.lit(0))["meaningful"], F.lit(False))))
     ambiguous = F.struct(F.lit("ambiguous").alias("decision"), F.lit(None).cast("string").alias("question_id"), F.lit(0.0).alias("confidence"), F.lit(True).alias("requires_human_review"), F.lit(None).cast("boolean").alias("subject_match"))
     zero = F.struct(
         F.array().cast("array<int>").alias("opened"), F.array().cast(f"array<{CANDIDATE}>").alias("accepted"),
-        F.array().cast(f"array<{REVIEW}>").alias("review"), F.lit(0).alias("calls"),
+        F.array().cast(f"array<{REVIEW}>").alias("review"), F.lit(0).alias("calls"), F.array().cast("array<int>").alias("open"),
     )
     budget = min(config.max_calls, config.max_boundary_calls)
-    number_of = lambda q: F.regexp_extract(q, r"\d+", 0).try_cast("bigint")
 
     def ruling(acc: Column, x: Column) -> Column:
         first = F.when((x["c"]["strength"] == "strong") & x["ordinal"].isNotNull(), "boundary").when(
@@ -105,7 +103,7 @@ def accept(df: DataFrame, questions: list[Question], config: EngineConfig, text:
         asked = ask & (acc["calls"] < budget)
         yes = (reply["decision"] == "question_boundary") & reply["question_id"].isNotNull() & (reply["confidence"] >= config.confidence_threshold) & ~reply["requires_human_review"]
         yes = asked & F.coalesce(yes, F.lit(False))
-        mark = F.when(r == "boundary", x["ordinal"]).when(yes, _ordinal(number_of(reply["question_id"]), numbers))
+        mark = F.when(r == "boundary", x["ordinal"]).when(yes, _ordinal(integer_in(reply["question_id"]), numbers))
         flagged = (ask & ~asked) | (asked & ~yes & F.coalesce(reply["requires_human_review"], F.lit(False)))
         possible = F.when(asked & reply["question_id"].isNotNull(), F.array(reply["question_id"])).otherwise(F.array().cast("array<string>"))
         return F.struct(mark.alias("mark"), ((r == "boundary") | yes).alias("taken"), flagged.alias("flagged"), asked.alias("asked"), possible.alias("possible"))
@@ -117,12 +115,16 @@ def accept(df: DataFrame, questions: list[Question], config: EngineConfig, text:
             F.when(o["taken"], F.concat(acc["accepted"], F.array(x["c"]))).otherwise(acc["accepted"]).alias("accepted"),
             F.when(o["flagged"], F.concat(acc["review"], F.array(item))).otherwise(acc["review"]).alias("review"),
             (acc["calls"] + o["asked"].cast("int")).alias("calls"),
+            F.when(o["asked"] & unknown(x), F.array_append(acc["open"], x["c"]["pos"])).otherwise(acc["open"]).alias("open"),
         )
 
+    def unknown(x: Column) -> Column:
+        return F.col(decisions)[x["c"]["pos"]].isNull() if decisions else F.lit(True)
+
     def step(acc: Column, x: Column) -> Column:
         reply = F.coalesce(F.col(decisions)[x["c"]["pos"]], ambiguous) if decisions else ambiguous
         return let(ruling(acc, x), lambda r: let(reply, lambda d: let(outcome(acc, x, r, d), lambda o: advance(acc, x, o))))
 
     df = df.withColumn("_fold", once(F.aggregate("_each", zero, step)))
-    kept = [x for x in df.columns if x not in ("_fold", "_each", "_implicit", "_preamble")]
-    return df.select(*kept, F.col("_fold.accepted").alias("accepted"), F.col("_fold.review").alias("boundary_review"), F.col("_fold.calls").alias("boundary_calls"))
+    kept = [x for x in df.columns if x not in ("_fold", "_each", "_implicit")]
+    return df.select(*kept, F.col("_fold.accepted").alias("accepted"), F.col("_fold.review").alias("boundary_review"), F.col("_fold.calls").alias("boundary_calls"), F.col("_fold.open").alias("boundary_open"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from typing import Protocol
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from markscribe.functions.text import ND, WS, let, match_spans, uni_strip
+from markscribe.functions.text import ND, WS, integer_in, let, match_spans, uni_strip
 
 # The legacy marker grammar and prompt verbs.
 _NUMBER = rf"[1-9]{ND}*"
@@ -36,13 +38,44 @@ def normalize_label(value: Column) -> Column:
     return F.when(t.isin("I", "L", "QI", "QL"), "Q1").when(t.rlike(rf"\A{ND}+\z"), F.concat(F.lit("Q"), t)).otherwise(t)
 
 
+def extract_question(line: Column) -> Column:
+    """struct<question, rest> of a line's first marker: its label (I and L read as Q1, a bare stem as Q) and what follows without a prompt; nulls and empty without one."""
+    t = uni_strip(F.coalesce(line, F.lit("")))
+
+    def found(m: Column) -> Column:
+        number = F.upper(F.regexp_extract(m["text"], rf"(?iu)({_NUMBER})", 1))
+        roman = F.upper(F.regexp_extract(m["text"], rf"(?iu)\A{_STEM}([IL])\z", 1))
+        label = normalize_label(F.concat(F.lit("Q"), F.when(number != "", number).otherwise(roman)))
+        return F.struct(label.alias("question"), strip_prompt(F.substr(t, m["end"] + 1)).alias("rest"))
+
+    none = F.struct(F.lit(None).cast("string").alias("question"), F.lit("").alias("rest"))
+    return let(F.get(match_spans(t, MARKER), F.lit(0)), lambda m: F.when(m.isNull(), none).otherwise(found(m)))
+
+
+def is_question_line(line: Column) -> Column:
+    return extract_question(line)["question"].isNotNull()
+
+
+class QuestionDetector(Protocol):
+    """How question lines are told: ``detect`` gives struct<question, rest> of a line."""
+
+    def detect(self, line: Column) -> Column: ...
+
+
+class PatternDetector:
+    """The detector by the legacy grammar."""
+
+    def detect(self, line: Column) -> Column:
+        return extract_question(line)
+
+
 def question_marks(text: Column) -> Column:
     """array<struct<start, end, question>>: numbers set a counter, I, L and bare marks raise it, a bare stem is none."""
     spans = F.transform(
         match_spans(text, MARKER),
         lambda m: F.struct(
             m["start"].alias("start"), m["end"].alias("end"),
-            F.regexp_extract(m["text"], rf"(?iu)({_NUMBER})", 1).try_cast("bigint").alias("number"),
+            integer_in(F.regexp_extract(m["text"], rf"(?iu)({_NUMBER})", 1)).alias("number"),
             m["text"].rlike(rf"(?iu)\A{_STEM}(?:[IL]|[.:-])\z").alias("next"),
         ),
     )

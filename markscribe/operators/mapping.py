@@ -14,11 +14,12 @@ def ordered_ids(questions: list[Question]) -> list[str]:
     return [q.question_id for q in questions]
 
 
-def decision_map(decisions: DataFrame, operation: str, key: str = "sheet_id") -> DataFrame:
-    """One row per document: map<int, DECISION> of an operation's validated decisions by position."""
+def decision_maps(decisions: DataFrame, key: str = "sheet_id") -> DataFrame:
+    """One row per document: boundary_decisions and mapping_decisions, map<int, DECISION> of validated decisions by position."""
     value = F.struct("decision", "question_id", F.col("confidence").cast("double").alias("confidence"), "requires_human_review", "subject_match").cast(DECISION)
-    entries = F.collect_list(F.struct(F.col("pos").cast("int").alias("key"), value.alias("value")))
-    return decisions.filter(F.col("operation") == operation).groupBy(key).agg(F.map_from_entries(entries).alias(f"{operation}_decisions"))
+    entry = F.struct(F.col("pos").cast("int").alias("key"), value.alias("value"))
+    of = lambda operation: F.map_from_entries(F.collect_list(F.when(F.col("operation") == operation, entry))).alias(f"{operation}_decisions")
+    return decisions.groupBy(key).agg(of("boundary"), of("mapping"))
 
 
 def is_prefix_block(b: Column, blocks: Column, ids: list[str], least: int) -> Column:
@@ -27,13 +28,16 @@ def is_prefix_block(b: Column, blocks: Column, ids: list[str], least: int) -> Co
 
 
 def map_blocks(df: DataFrame, questions: list[Question], config: EngineConfig, decisions: str | None = None) -> DataFrame:
-    """Resolve ``blocks``; add ``mapping_review`` and ``mapping_calls``. Nothing is resolved unless adjudication is on."""
+    """Resolve ``blocks``; add ``mapping_review``, ``mapping_calls`` and ``mapping_open`` (blocks asked about that have no decision).
+
+    Nothing is resolved unless adjudication is on.
+    """
     ids = ordered_ids(questions)
     known = F.array(*(F.lit(i) for i in ids)).cast("array<string>")
     review = lambda bs: F.transform(bs, lambda b: F.struct(b["text"].alias("text"), known.alias("possible_questions")))
     if not config.adjudicate or not questions:
         off = review(F.col("blocks")) if not config.adjudicate else F.array().cast(f"array<{REVIEW}>")
-        return df.withColumn("mapping_review", off).withColumn("mapping_calls", F.lit(0))
+        return df.withColumn("mapping_review", off).withColumn("mapping_calls", F.lit(0)).withColumn("mapping_open", F.array().cast("array<int>"))
     none = F.lit(None).cast(DECISION)
 
     def resolve(b: Column) -> Column:
@@ -57,7 +61,9 @@ def map_blocks(df: DataFrame, questions: list[Question], config: EngineConfig, d
     df = df.withColumn("blocks", once(F.transform("blocks", resolve)))
     left = F.filter("blocks", lambda b: b["status"] != "confirmed")
     used = F.when(F.col("structureless"), 0).otherwise(F.least(F.size("blocks"), F.greatest(F.lit(0), config.max_calls - F.col("boundary_calls"))))
-    return df.withColumn("mapping_review", review(left)).withColumn("mapping_calls", used)
+    asked = F.transform(F.slice("blocks", F.lit(1), used), lambda b: b["source_order"])
+    unanswered = F.filter(asked, lambda p: F.col(decisions)[p].isNull()) if decisions else asked
+    return df.withColumn("mapping_review", review(left)).withColumn("mapping_calls", used).withColumn("mapping_open", unanswered)
 
 
 def boundary_contexts(df: DataFrame, config: EngineConfig, key: str = "sheet_id", text: str = "normalized") -> DataFrame:
@@ -82,10 +88,53 @@ def boundary_contexts(df: DataFrame, config: EngineConfig, key: str = "sheet_id"
     )
 
 
-def boundary_prompt() -> Column:
-    """Our own wording of a boundary question, from ``boundary_contexts`` columns."""
-    part = lambda label, c: F.concat(F.lit(label), F.coalesce(F.col(c).cast("string"), F.lit("-")))
-    return F.concat_ws("\n", F.lit("Does this marker begin the answer to a question?"), part("Marker: ", "candidate_marker"), part("Line: ", "candidate"), part("Before: ", "preceding"), part("After: ", "following"), part("Previous: ", "previous_marker"))
+def canonical_text(questions: list[Question], config: EngineConfig = EngineConfig()) -> str:
+    """The canonical questions as prompts show them: text and the beginning of the model answer."""
+    lines = []
+    for q in questions:
+        lines.append(f"- {q.question_id}: {q.question_text}".strip())
+        if excerpt := (q.model_answer or "")[: config.excerpt_chars]:
+            lines.append(f"  model answer begins: {excerpt}")
+    return "\n".join(lines) or "none given"
+
+
+#: Our own wording of a boundary question, and the context that follows it.
+BOUNDARY_TASK = (
+    "Does this marker begin the answer to one of the questions, or is it a point inside an answer? Numbered points are mostly inside.",
+    'Reply with one JSON object: decision ("question_boundary" or "continuation"), question_id (one of the ids, null for a continuation), confidence (0 to 1), reason, requires_human_review.',
+)
+BOUNDARY_PARTS = (
+    ("Marker", "candidate_marker"), ("Line", "candidate"), ("Number", "pos"), ("Of", "candidate_count"), ("All markers", "all_markers"),
+    ("Previous", "previous_marker"), ("Previous line", "previous_line"), ("Before", "preceding"), ("After", "following"),
+)
+
+
+def boundary_prompt(questions: list[Question] = (), config: EngineConfig = EngineConfig()) -> Column:
+    """A boundary question, from ``boundary_contexts`` columns."""
+    parts = [F.concat(F.lit(f"{label}: "), F.coalesce(F.col(c).cast("string"), F.lit("-"))) for label, c in BOUNDARY_PARTS]
+    return F.concat_ws("\n", *map(F.lit, BOUNDARY_TASK), *parts, F.lit("Questions:\n" + canonical_text(list(questions), config)))
+
+
+def mapping_contexts(df: DataFrame, questions: list[Question], key: str = "sheet_id") -> DataFrame:
+    """One row per block with what an adjudicator is shown: the block, the ids mapped before it, and those not mapped yet."""
+    ids = F.array(*(F.lit(i) for i in ordered_ids(questions))).cast("array<string>")
+    each = df.select(key, F.col("blocks").alias("_b"), F.explode("blocks").alias("x"))
+    earlier = F.filter(F.transform(F.slice("_b", F.lit(1), F.col("x.source_order") - 1), lambda b: b["resolved_question_id"]), lambda q: q.isNotNull())
+    each = each.withColumn("mapped", earlier)
+    return each.select(key, F.col("x.source_order").alias("pos"), F.col("x.text").alias("block"), F.col("x.detected_marker").alias("marker"), "mapped", F.array_except(ids, F.col("mapped")).alias("open_ids"))
+
+
+def mapping_prompt(questions: list[Question], config: EngineConfig = EngineConfig()) -> Column:
+    """Our own wording of a mapping question, from ``mapping_contexts`` columns."""
+    listed = lambda c: F.when(F.size(c) == 0, "none").otherwise(F.array_join(c, ", "))
+    return F.concat_ws(
+        "\n",
+        F.lit("Which of the questions does this part of an answer sheet answer, if any?"),
+        F.lit('Reply with one JSON object: decision ("mapped", "unmapped" or "ambiguous"), question_id (one of the ids, else null), confidence (0 to 1), reason, requires_human_review, subject_match (false if it is about another subject).'),
+        F.concat(F.lit("Part:\n"), F.col("block")), F.concat(F.lit("Marker: "), F.coalesce("marker", F.lit("-"))),
+        F.concat(F.lit("Mapped before: "), listed("mapped")), F.concat(F.lit("Not mapped yet: "), listed("open_ids")),
+        F.lit("Questions:\n" + canonical_text(questions, config)),
+    )
 
 
 def distinct_prompts(prompts: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from markscribe.functions.text import LINE_ENDS, ND, WS, let, match_spans, uni_strip
+from markscribe.functions.text import LINE_ENDS, ND, WS, integer_in, let, match_spans, uni_strip
 
 # The marker grammar.
 STRONG_MARKER = rf"(?:Q{WS}*\.?{WS}*{ND}+|Question{WS}*(?:No\.?{WS}*)?{ND}+)"
@@ -16,7 +16,7 @@ CANDIDATE = "struct<pos:int,marker:string,number:bigint,start:int,end:int,streng
 
 
 def marker_number(marker: Column) -> Column:
-    return F.regexp_extract(marker, f"{ND}+", 0).try_cast("bigint")
+    return integer_in(marker)
 
 
 def lines_with_offsets(text: Column) -> Column:
@@ -58,5 +58,30 @@ def preamble_is_header(text: Column) -> Column:
     return (text == "") | is_page_line(text) | ((F.size(lines) == 1) & (F.length(text) <= 80))
 
 
+def preamble_bounds(text: Column) -> Column:
+    """Offsets by which the preamble before any position is judged, once a document.
+
+    ``first``: the first character that is no white space; ``line2``: that of the second line that is
+    not blank; ``over80``: the first such character 80 or more after ``first``; ``words``: the end of
+    the first six words (a page line has five at most).
+    """
+    blank = F.length(F.regexp_extract(text, rf"\A{WS}*", 0))
+    line = F.length(F.regexp_extract(text, rf"\A{WS}*[^{LINE_ENDS[1:-1]}]*{LINE_ENDS}{WS}*", 0))
+    far = blank + 80
+    return F.struct(
+        blank.alias("first"),
+        F.when(line > 0, line).otherwise(F.length(text)).alias("line2"),
+        (far + F.length(F.regexp_extract(F.substr(text, far + 1), rf"\A{WS}*", 0))).alias("over80"),
+        F.length(F.regexp_extract(text, rf"\A{WS}*(?:[^{WS[1:-1]}]+{WS}*){{0,6}}", 0)).alias("words"),
+    )
+
+
+def preamble_is_meaningful(text: Column, bounds: Column, start: Column) -> Column:
+    """Whether the text before ``start`` is neither empty nor a header, as ``preamble_is_header`` says."""
+    header = (start <= bounds["line2"]) & (start <= bounds["over80"])
+    page = F.when(start <= bounds["words"], is_page_line(uni_strip(F.substr(text, F.lit(1), start)))).otherwise(False)
+    return (start > bounds["first"]) & ~header & ~page
+
+
 def candidate_is_safe(strength: Column, number: Column, known: list[str]) -> Column:
     return (strength == "strong") & number.isNotNull() & F.concat(F.lit("Q"), number).isin(known)

@@ -7,20 +7,23 @@ references in prose; whole conversations become whole sheets.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from markscribe.config import EngineConfig, Question
 from markscribe.functions.text import logical_lines, normalize_text, once, strip_tokens
 from markscribe.operators import decisions as D
-from markscribe.operators.assemble import debug_json, minimal_json
+from markscribe.operators.assemble import debug_json, minimal_json, with_accessors
 from markscribe.operators.blocks import with_blocks
-from markscribe.operators.classify import accept, enriched
-from markscribe.operators.legacy import segment
-from markscribe.operators.mapping import boundary_contexts, boundary_prompt, distinct_prompts
-from markscribe.operators.markers import candidate_is_safe
-from markscribe.plans.pipeline import detect, structure_sheets
-from markscribe.sources.canon import parse_model_answers, parse_question_paper
+from markscribe.operators.classify import accept, canonical_numbers, enriched
+from markscribe.operators.legacy import extract_question, is_question_line, normalize_label, segment
+from markscribe.operators.mapping import boundary_contexts, boundary_prompt, distinct_prompts, mapping_contexts
+from markscribe.operators.markers import candidate_is_safe, is_page_line
+from markscribe.plans import oracles
+from markscribe.plans.pipeline import detect, resolve, structure_sheets
+from markscribe.sources.canon import load_model_answers, parse_model_answers, parse_question_paper
 
 NUMBERS = (1, 2, 3, 4, 5)
 QUESTIONS = [Question(n, f"Question {n}") for n in NUMBERS]
@@ -66,7 +69,7 @@ each as (
   union all select sheet_id, line_no, line_text, weak, 1, 'weak' from found where len(strong) = 0 and weak <> ''),
 cand as (
   select sheet_id, cast(row_number() over (partition by sheet_id order by line_no, k) as int) as pos, regexp_replace(marker, '(\s)\s\s', '\1', 'g') as marker,
-    try_cast(regexp_extract(marker, '\d+', 0) as bigint) as number, strength, line_text from each)"""
+    try_cast(regexp_extract(marker, '\d+', 0) as bigint) as number, strength, line_text, line_no from each)"""
 
 
 # --- inputs --------------------------------------------------------------------------------------
@@ -76,18 +79,24 @@ def marked_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """sheet_id, raw_text of every conversation."""
     rows = spark.sql(SEGMENTS.replace("from conversations", "from {conversations}"), conversations=spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "seg"))), lambda x: x["seg"]), "\n")
-    return rows.groupBy("sheet_id").agg(joined.alias("raw_text"))
+    # a fixed number of partitions: adaptive execution would put small sheets, which cost much work each, into one task
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return rows.repartition(parts, "sheet_id").groupBy("sheet_id").agg(joined.alias("raw_text"))
 
 
 def _noisy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked_sheets(spark, sf_dir).unionByName(spark.sql(NOISE))
 
 
+def _detected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per candidate."""
+    return detect(marked_sheets(spark, sf_dir)).select("sheet_id", F.explode("candidates").alias("c")).select("sheet_id", "c.*")
+
+
 def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per candidate with what the fold knows of it beforehand."""
-    df = detect(marked_sheets(spark, sf_dir))
-    each = enriched(F.col("normalized"), F.col("candidates"), list(NUMBERS))
-    return df.select("sheet_id", once(each).alias("e")).select("sheet_id", F.explode("e").alias("e")).select("sheet_id", "e.c.*", "e.ordinal", "e.suppressed", "e.run", "e.meaningful")
+    df = enriched(detect(marked_sheets(spark, sf_dir)), list(NUMBERS), out="e")
+    return df.select("sheet_id", F.explode("e").alias("e")).select("sheet_id", "e.c.*", "e.ordinal", "e.suppressed", "e.run", "e.meaningful")
 
 
 #: Deterministic decisions, one SELECT for both engines; {cand} and {blocks} are (sheet_id, pos) lists.
@@ -112,15 +121,21 @@ from {0}
 
 
 def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Positions 1 to 40 of every sheet, more than any sheet's candidates or blocks that are asked for."""
-    return spark.read.parquet(f"{sf_dir}/conversations.parquet").select(F.col("conv_id").alias("sheet_id")).distinct().select("sheet_id", F.explode(F.sequence(F.lit(1), F.lit(40))).alias("pos"))
+    """Positions of every sheet from 1 to one beyond its digits: every candidate has a digit, and blocks are one more at most."""
+    digits = F.length("raw_text") - F.length(F.translate("raw_text", "0123456789①②③④⑤⑥⑦⑧⑨", ""))
+    return marked_sheets(spark, sf_dir).select("sheet_id", F.explode(F.sequence(F.lit(1), digits + 1)).alias("pos"))
 
 
-_POSITIONS = "(select sheet_id, unnest(range(1, 41)) as pos from (select distinct conv_id as sheet_id from conversations))"
+_POSITIONS = f"(with {_SHEETS} select sheet_id, unnest(range(1, length(raw_text) - length(translate(raw_text, '0123456789①②③④⑤⑥⑦⑧⑨', '')) + 2)) as pos from sheets)"
 
 
 def _replies(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    return spark.sql(sql.format("{rows}"), rows=_positions(spark, sf_dir))
+    name = f"markscribe_positions_{uuid.uuid4().hex}"
+    _positions(spark, sf_dir).createOrReplaceTempView(name)
+    try:
+        return spark.sql(sql.format(name))
+    finally:
+        spark.catalog.dropTempView(name)
 
 
 def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,14 +148,40 @@ def _structured(spark: SparkSession, sf_dir: str, on: bool = True) -> DataFrame:
     return structure_sheets(marked_sheets(spark, sf_dir), QUESTIONS, ON if on else OFF, _decisions(spark, sf_dir) if on else None)
 
 
+#: Questions of one file.
+_PER_FILE = 20
+
+
 def _markdown(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    return spark.sql(f"select 'paper' as path, array_join(transform(array_sort(collect_list(struct(item_id, t))), x -> x.t), chr(10)) as text from (select item_id, {sql} as t from {{b}})", b=spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """path, text: files of up to _PER_FILE questions each."""
+    rows = spark.sql(f"select concat('paper', cast(item_id div {_PER_FILE} as string)) as path, item_id, {sql} as t from {{b}}", b=spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return rows.groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("item_id", "t"))), lambda x: x["t"]), "\n").alias("text"))
 
 
 _ONE_LINE = r"trim(regexp_replace(text, '\s+', ' ', 'g'))"
-_MODEL = "concat('## Q', cast(item_id + 1 as string), '. ', trim(regexp_replace(text, '\\\\s+', ' ')), ' [', cast(item_id % 9 + 1 as string), ' Marks]', chr(10), chr(10), 'Answer ', cast(item_id as string), '  ', chr(10), '### part', chr(10), '---')"
-_HEADED = "concat('# Question No. ', cast(item_id + 1 as string), ': ', trim(regexp_replace(text, '\\\\s+', ' ')), ' (', cast(item_id % 9 + 1 as string), ' marks)')"
+#: Every third answer has a form feed for a line end, every fourth marks in other digits.
+_MARKS = "translate(cast(item_id % 9 + 1 as string), case when item_id % 4 = 1 then '0123456789' else '' end, case when item_id % 4 = 1 then '٠١٢٣٤٥٦٧٨٩' else '' end)"
+_MODEL = f"concat('## Q', cast(item_id + 1 as string), '. ', trim(regexp_replace(text, '\\\\s+', ' ')), ' [', {_MARKS}, ' Marks]', chr(10), chr(10), 'Answer ', cast(item_id as string), '  ', case when item_id % 3 = 0 then chr(12) else chr(10) end, '### part', chr(10), '---', case when item_id % 3 = 1 then chr(12) else '' end)"
+_HEADED = "concat('# Question No. ', cast(item_id + 1 as string), ':', case when item_id % 2 = 1 then chr(10) else ' ' end, trim(regexp_replace(text, '\\\\s+', ' ')), ' (', cast(item_id % 9 + 1 as string), ' marks)')"
 _INLINED = "concat('Question ', cast(item_id + 1 as string), ') ', trim(regexp_replace(text, '\\\\s+', ' ')), chr(10), 'and more [', cast(item_id % 9 + 1 as string), ']')"
+#: Lines and labels beside those of the sheets.
+PAGE_LINES = "select -1 as sheet_id, x as line from (select explode(array('Page 12.', ' figure 3.2 :', 'TABLE 4', 'Chapter 7!', 'continued on next page', 'Continued', 'page twelve', 'page 3 of 9', 'Fig 1.2.3')) as x)"
+LABELS = "select explode(array('I', 'l', 'QI', 'Ql', '7', ' q3. ', 'Q-4', '', 'x', '1.')) as label"
+
+
+def _canonical_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id").collect()  # a question paper, a small dimension
+    numbers = canonical_numbers([Question(r.item_id + 1) for r in items])
+    return spark.createDataFrame([(n, i) for i, n in enumerate(numbers)], "number long, ordinal long")
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marked_sheets(spark, sf_dir).select("sheet_id", F.explode(logical_lines(normalize_text(F.col("raw_text")))).alias("line"))
+
+
+def _extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(spark, sf_dir).select("sheet_id", "line", once(extract_question(F.col("line"))).alias("q"), is_question_line(F.col("line")).alias("is_question")).select("sheet_id", "line", "q.*", "is_question")
+
 
 # --- queries -------------------------------------------------------------------------------------
 
@@ -150,16 +191,19 @@ QUERIES = {
     "scan_nonempty": lambda s, d: _noisy(s, d).select("sheet_id", normalize_text(F.col("raw_text")).alias("t")).filter("t <> ''").select("sheet_id", F.length("t").cast("long").alias("n_chars")),
     "strip_tokens": lambda s, d: _noisy(s, d).select("sheet_id", strip_tokens(F.col("raw_text")).alias("stripped")),
     "logical_lines": lambda s, d: marked_sheets(s, d).select("sheet_id", F.posexplode(logical_lines(normalize_text(F.col("raw_text")))).alias("line_no", "line")),
-    "strong_markers": lambda s, d: _candidates(s, d).filter("strength = 'strong'").select("sheet_id", "pos", "marker", "number", "line_text"),
-    "weak_markers": lambda s, d: _candidates(s, d).filter("strength = 'weak'").select("sheet_id", "pos", "marker", "number", "line_text"),
-    "marker_offsets": lambda s, d: _candidates(s, d).select("sheet_id", "pos", "start", "end", "marker"),
+    "strong_markers": lambda s, d: _detected(s, d).filter("strength = 'strong'").select("sheet_id", "pos", "marker", "number", "line_text"),
+    "weak_markers": lambda s, d: _detected(s, d).filter("strength = 'weak'").select("sheet_id", "pos", "marker", "number", "line_text"),
+    "marker_offsets": lambda s, d: _detected(s, d).select("sheet_id", "pos", "start", "end", "marker"),
     "marker_lookup": lambda s, d: _candidates(s, d).select("sheet_id", "pos", F.when(F.col("ordinal").isNotNull(), F.concat(F.lit("Q"), "number")).alias("question_id")),
-    "marker_safety": lambda s, d: _candidates(s, d).select("sheet_id", "pos", candidate_is_safe(F.col("strength"), F.col("number"), IDS).alias("safe")),
+    "marker_safety": lambda s, d: _detected(s, d).select("sheet_id", "pos", candidate_is_safe(F.col("strength"), F.col("number"), IDS).alias("safe")),
     "unknown_strong": lambda s, d: _candidates(s, d).filter("strength = 'strong' and ordinal is null").select("sheet_id", "pos", "number"),
     "suppressed_markers": lambda s, d: _candidates(s, d).filter("suppressed").select("sheet_id", "pos", "marker"),
     "numbered_runs": lambda s, d: _candidates(s, d).filter("strength = 'weak' and run").select("sheet_id", "pos", "marker"),
     "header_preamble": lambda s, d: _candidates(s, d).filter("pos = 1").select("sheet_id", "meaningful"),
-    "canonical_order": lambda s, d: s.read.parquet(f"{d}/benchmark.parquet").select((F.col("item_id") + 1).alias("number"), F.expr("row_number() over (order by item_id) - 1").cast("long").alias("ordinal")),
+    "canonical_order": _canonical_order,
+    "page_lines": lambda s, d: _lines(s, d).unionByName(s.sql(PAGE_LINES)).select("sheet_id", "line", is_page_line(F.col("line")).alias("is_page")),
+    "label_normalizer": lambda s, d: _detected(s, d).select(F.col("marker").alias("label")).unionByName(s.sql(LABELS)).distinct().select("label", normalize_label(F.col("label")).alias("normalized")),
+    "question_lines": _extracted,
     "boundary_fold": lambda s, d: accept(detect(marked_sheets(s, d)), QUESTIONS, OFF).select("sheet_id", F.explode("accepted").alias("a")).select("sheet_id", "a.pos", "a.marker"),
     "boundary_review": lambda s, d: accept(detect(marked_sheets(s, d)), QUESTIONS, OFF).select("sheet_id", "boundary_calls", F.size("boundary_review").alias("n_review")),
     "budget_overflow": lambda s, d: accept(detect(marked_sheets(s, d)), QUESTIONS, EngineConfig(max_boundary_calls=1)).select("sheet_id", "boundary_calls", F.size("boundary_review").alias("n_review")),
@@ -178,11 +222,14 @@ QUERIES = {
     "review_distinct": lambda s, d: _structured(s, d).select("sheet_id", F.posexplode("review").alias("at", "r")).select("sheet_id", "at", "r.text", F.array_join("r.possible_questions", ",").alias("possible")),
     "unadjudicated": lambda s, d: _structured(s, d, on=False).select("sheet_id", F.size("unmapped").alias("n_unmapped"), F.size("review").alias("n_review")),
     "audit_counts": lambda s, d: _structured(s, d).select("sheet_id", "audit.*"),
+    "mapping_context": lambda s, d: mapping_contexts(resolve(detect(marked_sheets(s, d)), QUESTIONS, ON, _decisions(s, d)), QUESTIONS).select("sheet_id", "pos", "block", "marker", F.array_join("mapped", ",").alias("mapped"), F.array_join("open_ids", ",").alias("open_ids")),
+    "accessors": lambda s, d: with_accessors(_structured(s, d)).select("student_id", F.size("review_items").alias("n_review"), F.size("unmapped_content").alias("n_unmapped"), "processing_status"),
     "minimal_json": lambda s, d: _structured(s, d).select("sheet_id", minimal_json(F.col("sheet_id")).alias("json")),
     "debug_json": lambda s, d: _structured(s, d).select("sheet_id", debug_json(F.col("sheet_id"), "raw_text").alias("json")),
-    "model_answer_sections": lambda s, d: parse_model_answers(_markdown(s, d, _MODEL)).drop("path"),
-    "paper_headings": lambda s, d: parse_question_paper(_markdown(s, d, _HEADED)).drop("path", "model_answer"),
-    "paper_inline": lambda s, d: parse_question_paper(_markdown(s, d, _INLINED)).drop("path", "model_answer"),
+    "model_answer_sections": lambda s, d: parse_model_answers(_markdown(s, d, _MODEL)),
+    "model_answer_map": lambda s, d: load_model_answers(parse_model_answers(_markdown(s, d, _MODEL))).select("path", F.explode("answers").alias("question_id", "model_answer")),
+    "paper_headings": lambda s, d: parse_question_paper(_markdown(s, d, _HEADED)).drop("model_answer"),
+    "paper_inline": lambda s, d: parse_question_paper(_markdown(s, d, _INLINED)).drop("model_answer"),
     "legacy_segments": lambda s, d: marked_sheets(s, d).select("sheet_id", once(normalize_text(F.col("raw_text"))).alias("t")).select("sheet_id", once(segment(F.col("t"))).alias("s")).select("sheet_id", F.posexplode("s").alias("at", "x")).select("sheet_id", "at", "x.question", "x.answer"),
 }
 
@@ -202,8 +249,7 @@ from ROWS
 
 
 def _raw_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _positions(spark, sf_dir).createOrReplaceTempView("markscribe_positions")
-    return spark.sql(RAW_REPLIES.replace("ROWS", "markscribe_positions"))
+    return _replies(spark, sf_dir, RAW_REPLIES.replace("{", "{{").replace("}", "}}").replace("ROWS", "{0}"))
 
 
 # --- oracles -------------------------------------------------------------------------------------
@@ -237,7 +283,13 @@ ORACLES = {
     "case k when 0 then 'mapped' when 1 then 'continuation' when 2 then 'mapped' when 4 then 'mapped' when 6 then 'unmapped' else 'ambiguous' end as decision, "
     "case k when 0 then 'Q1' when 5 then '4.' end as question_id, case k when 0 then 0.9 when 1 then 0.5 when 2 then 1 when 3 then 0 when 5 then 0 when 7 then 2.5 end::double as confidence, "
     "case k when 1 then true when 3 then true when 4 then null when 5 then true else false end as requires_human_review, case k when 0 then true when 2 then false when 7 then false end as subject_match from r",
-    "model_answer_sections": f"select cast(row_number() over (order by item_id) as int) as ord, concat('Q', cast(item_id + 1 as string)) as question_id, cast(item_id + 1 as int) as number, {_ONE_LINE} as question_text, cast(item_id % 9 + 1 as int) as max_marks, concat('Answer ', cast(item_id as string), chr(10), '### part', chr(10), '---') as model_answer from benchmark",
-    "paper_headings": f"select cast(row_number() over (order by item_id) as int) as ord, concat('Q', cast(item_id + 1 as string)) as question_id, cast(item_id + 1 as int) as number, {_ONE_LINE} as question_text, cast(item_id % 9 + 1 as int) as max_marks from benchmark",
-    "paper_inline": f"select cast(row_number() over (order by item_id) as int) as ord, concat('Q', cast(item_id + 1 as string)) as question_id, cast(item_id + 1 as int) as number, concat({_ONE_LINE}, ' and more') as question_text, cast(item_id % 9 + 1 as int) as max_marks from benchmark",
+    "model_answer_sections": f"select {oracles.PAPER.format(n=_PER_FILE)}, {_ONE_LINE} as question_text, cast(item_id % 9 + 1 as int) as max_marks, concat('Answer ', cast(item_id as string), chr(10), '### part', chr(10), '---') as model_answer from benchmark",
+    "model_answer_map": f"select concat('paper', cast(item_id // {_PER_FILE} as string)) as path, concat('Q', cast(item_id + 1 as string)) as question_id, concat('Answer ', cast(item_id as string), chr(10), '### part', chr(10), '---') as model_answer from benchmark",
+    "paper_headings": f"select {oracles.PAPER.format(n=_PER_FILE)}, {_ONE_LINE} as question_text, cast(item_id % 9 + 1 as int) as max_marks from benchmark",
+    "paper_inline": f"select {oracles.PAPER.format(n=_PER_FILE)}, concat({_ONE_LINE}, ' and more') as question_text, cast(item_id % 9 + 1 as int) as max_marks from benchmark",
+    "page_lines": f"with {_LINES}, all_lines as (select sheet_id, {_STRIP.format('line_text')} as line from lines union all {PAGE_LINES.replace('explode(array(', 'unnest([').replace('))', '])')}) select sheet_id, line, {oracles.PAGE.format('line')} as is_page from all_lines where line <> ''",
+    "label_normalizer": f"with {_CANDIDATES}, labels as (select marker as label from cand union {LABELS.replace('explode(array(', 'unnest([').replace('))', '])')}), t as (select label, replace(replace(upper(trim(label)), '.', ''), '-', '') as x from labels) select label, case when x in ('I', 'L', 'QI', 'QL') then 'Q1' when regexp_full_match(x, '[0-9]+') then concat('Q', x) else x end as normalized from t",
 }
+#: Positions in the text, the fold as a recursion, blocks, mapping and what is made of them.
+_REPLIES = {"boundary": f"select sheet_id, pos, decision, question_id, confidence, requires_human_review as review from ({_VALID})", "mapping": oracles.mapping_replies(MAPPING_REPLIES.format(_POSITIONS))}
+ORACLES |= oracles.folded(_CANDIDATES, _REPLIES, IDS, ON)

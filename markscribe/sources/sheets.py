@@ -8,19 +8,25 @@ from pyspark.sql import functions as F
 from markscribe.functions.text import uni_strip
 
 
+def sheet_rows(files: DataFrame) -> DataFrame:
+    """student_id, raw_text (null if malformed), path of the .txt files among ``files(path, content)``."""
+    files = files.withColumn("name", F.try_element_at(F.split("path", "/"), F.lit(-1))).filter(F.lower("name").endswith(".txt") & ~F.col("name").startswith("."))
+    valid = F.is_valid_utf8(F.col("content").cast("string"))
+    text = F.regexp_replace(F.when(valid, F.decode("content", "UTF-8")), r"\r\n?", "\n")
+    return files.select(F.regexp_replace("name", r"\.[^.]*$", "").alias("student_id"), text.alias("raw_text"), "path")
+
+
+def nonblank(rows: DataFrame, text: str = "raw_text") -> DataFrame:
+    return rows.filter(F.col(text).isNotNull() & (F.length(uni_strip(F.col(text))) > 0))
+
+
 def scan_sheets(spark: SparkSession, directory: str) -> tuple[DataFrame, DataFrame]:
     """(sheets, errors): student_id, raw_text of valid, non-blank .txt files, and the paths of malformed ones.
 
     File names that begin with a dot or an underscore are hidden by Spark's listing.
     """
-    files = spark.read.format("binaryFile").load(directory)
-    name = F.try_element_at(F.split("path", "/"), F.lit(-1))
-    files = files.withColumn("name", F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))).filter(F.lower("name").endswith(".txt") & ~F.col("name").startswith("."))
-    valid = F.is_valid_utf8(F.col("content").cast("string"))
-    text = F.regexp_replace(F.when(valid, F.decode("content", "UTF-8")), r"\r\n?", "\n")
-    rows = files.select(F.regexp_replace("name", r"\.[^.]*$", "").alias("student_id"), text.alias("raw_text"), valid.alias("valid"), "path")
-    sheets = rows.filter(F.col("valid") & (F.length(uni_strip(F.col("raw_text"))) > 0)).select("student_id", "raw_text")
-    return sheets, rows.filter(~F.col("valid")).select("path")
+    rows = sheet_rows(spark.read.format("binaryFile").load(directory))
+    return nonblank(rows).select("student_id", "raw_text"), rows.filter("raw_text is null").select("path")
 
 
 def write_student_files(results: DataFrame, directory: str, key: str = "student_id", minimal: str = "minimal", debug: str = "debug") -> None:

@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from markscribe.config import EngineConfig, Question
 from markscribe.plans.pipeline import structure_sheets
+from markscribe.sources.sheets import nonblank, sheet_rows
 
 
 def stream_sheets(spark: SparkSession, directory: str, questions: list[Question], config: EngineConfig = EngineConfig()) -> DataFrame:
-    """Structured results of .txt files as a streaming DataFrame; write it with ``writeStream``."""
+    """Structured results of valid, non-blank .txt files as a streaming DataFrame; write it with ``writeStream``."""
     files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").load(directory)
-    files = files.filter(F.lower("path").endswith(".txt") & F.is_valid_utf8(F.col("content").cast("string")))
-    name = F.regexp_replace(F.try_element_at(F.split("path", "/"), F.lit(-1)), r"\.[^.]*$", "")
-    sheets = files.select(name.alias("sheet_id"), F.decode("content", "UTF-8").alias("raw_text"))
+    sheets = nonblank(sheet_rows(files)).selectExpr("student_id as sheet_id", "raw_text")
     return structure_sheets(sheets, questions, config)
