@@ -77,10 +77,11 @@ def once(value: Column) -> Column:
     """``value`` as a column that the optimizer never copies into the expressions above it.
 
     Those refer to it inside lambdas, where a copy would be computed again for every element. A
-    nondeterministic condition that always holds (and that streams allow) keeps projections from being
+    nondeterministic condition that always holds (one that streams allow and the optimizer does not see
+    through, as it does through ``rand() >= 0``) keeps projections from being
     collapsed.
     """
-    return F.when(F.rand(0) >= 0, value)
+    return F.when(F.rand(0) + 1 > 0, value)
 
 
 def match_spans(text: Column, pattern: str) -> Column:
