@@ -1,11 +1,11 @@
-"""The registered queries of the ten operators and their oracle SQL."""
+"""The registered queries of the operators and their oracle SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from markscribe.llm import ann, chat, classifier, extraction, jaccard, packing, quality_rules, secret_scan, viterbi, warc
+from markscribe.llm import ann, chat, classifier, dedup, extraction, jaccard, late, packing, phrases, quality_rules, secret_scan, viterbi, warc
 from markscribe.llm.common import table, written
 from markscribe.llm.oracles import ORACLES  # noqa: F401
 
@@ -67,6 +67,18 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.deduplicate(table(spark, sf_dir, "documents"), dedup.hashed_half())
+
+
+def op12_late_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return late.overwritten_sales(spark, table(spark, sf_dir, "sales"))
+
+
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -80,5 +92,8 @@ QUERIES = {
         op8_quality_classifier,
         op9_html_extraction,
         op10_nearest_neighbours,
+        op11_exact_dedup,
+        op12_late_overwrite,
+        op13_phrase_mining,
     )
 }
