@@ -20,11 +20,12 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from markscribe.llm import common
-from markscribe.llm.common import gather, map_arrow, mix, utf8_slices, word_spans, written
+from markscribe.llm.common import distinct_strings, map_arrow, mix, utf8_slices, word_spans, written
 
 #: Fixed values of the contract.
 CUTS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -32,8 +33,8 @@ LEAST, LONGEST, TOP, WEIGHT, SHARE = 30, 4, 2000, 2_000_000, 80
 #: Hashes of frequent grams that are broadcast as they are, and the bits of the filter beyond (16 MB each).
 MOST, BITS = 1 << 21, 1 << 27
 PROBES = 4
-#: Bytes of text that a task works on at once.
-SLICE = 1 << 22
+#: Bytes of text that a task works on at once, and grams that it hands over at once.
+SLICE, EMIT = 1 << 22, 1 << 16
 
 _CUT, _BLANK = np.zeros(256, bool), np.zeros(256, bool)
 _CUT[list(CUTS)] = True
@@ -42,11 +43,13 @@ _BLANK[list(BLANKS)] = True
 
 @dataclass
 class Words:
-    """Words of a slice: lower-cased, each followed by one blank, where each begins, and whether the next is in the same piece."""
+    """Words of a slice, lower-cased: which string each one is, whether the next is in the same piece, and the distinct strings with their hashes."""
 
+    codes: np.ndarray
+    joined: np.ndarray
     data: np.ndarray
     at: np.ndarray
-    joined: np.ndarray
+    hashes: np.ndarray
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
@@ -54,16 +57,21 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
     cut = _CUT[low]
     word = ~(cut | _BLANK[low])
     starts, ends = word_spans(word, offsets)
-    pieces = np.cumsum(cut)
+    piece = np.cumsum(cut, dtype=np.int32)[starts]
     document = np.searchsorted(offsets, starts, side="right")
-    piece = pieces[starts]
     joined = (piece[1:] == piece[:-1]) & (document[1:] == document[:-1])
-    sizes = ends - starts
-    at = np.zeros(len(starts) + 1, np.int64)
-    np.cumsum(sizes + 1, out=at[1:])
-    out = np.full(at[-1], 32, np.uint8)
-    out[np.arange(sizes.sum()) + np.repeat(np.arange(len(sizes)), sizes)] = low[word]
-    return Words(out, at, joined)
+    at = np.zeros(len(starts) + 1, np.int32)
+    np.cumsum(ends - starts, out=at[1:])
+    codes, data, at = distinct_strings(low[word], at)
+    return Words(codes, joined, data, at, string_hashes(data, at))
+
+
+def string_hashes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """64-bit hashes of strings that lie one after another: a polynomial over the bytes, finalised with the length."""
+    up, down = common._powers(len(data))
+    prefix = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(common._BYTE_VALUES[data] * up[: len(data)], out=prefix[1:])
+    return mix((prefix[at[1:]] - prefix[at[:-1]]) * down[at[:-1]] + np.diff(at).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
 def coded(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -74,11 +82,10 @@ def coded(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def gram_hashes(words: Words, first: np.ndarray, k: int, salt: int) -> np.ndarray:
     """64-bit hashes of the k-grams that begin at these words."""
-    up, down = common._powers(len(words.data))
-    prefix = np.zeros(len(words.data) + 1, np.uint64)
-    np.cumsum(common._BYTE_VALUES[words.data] * up[: len(words.data)], out=prefix[1:])
-    starts, ends = words.at[first], words.at[first + k] - 1
-    return mix((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(salt))
+    h = np.full(len(first), salt, np.uint64)
+    for i in range(k):
+        h = mix(h + words.hashes[words.codes[first + i]])
+    return h
 
 
 def lang_salt(lang: str) -> int:
@@ -113,23 +120,27 @@ def probes(h: np.ndarray, bits: int) -> list[np.ndarray]:
 
 def grams(words: Words, k: int, known: list[Frequent], salt: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct k-grams of a slice that can be frequent: the word each begins at first, and its count."""
-    n = len(words.at) - 1
-    strings = pa.StringArray.from_buffers(n, pa.py_buffer(words.at.astype(np.int32)), pa.py_buffer(words.data))
-    codes, first = coded(strings.dictionary_encode().indices.to_numpy()) if n else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-    places, joined = np.arange(n), np.append(words.joined, False) if n else np.zeros(0, bool)
+    n = len(words.codes)
+    codes, first = coded(words.codes)
+    places, joined = np.arange(n), np.append(words.joined, False)
     for level in range(2, k + 1):
         frequent = known[level - 2].has(gram_hashes(words, first, level - 1, salt))[codes]
         at = np.full(n + 1, -1, np.int64)
         at[places[frequent]] = codes[frequent]
-        places = np.flatnonzero((at[:-1] >= 0) & (at[1:] >= 0) & joined)
+        places = np.flatnonzero((at[:-1] >= 0) & (at[1:] >= 0) & joined[:n])
         codes, found = coded(at[places] * (int(at.max(initial=0)) + 1) + at[places + 1])
         first = places[found]
     return first, np.bincount(codes, minlength=len(first))
 
 
 def spelled(words: Words, first: np.ndarray, k: int) -> pa.Array:
-    data, bounds = gather(words.data, words.at[first], words.at[first + k] - 1 - words.at[first], np.arange(len(first)))
-    return pa.StringArray.from_buffers(len(first), pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data)))
+    """The k-grams that begin at these words, their words joined by blanks."""
+    parts = [pa.StringArray.from_buffers(len(words.at) - 1, pa.py_buffer(words.at.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(words.data))).take(pa.array(words.codes[first + i])) for i in range(k)]
+    return parts[0] if k == 1 else pc.binary_join_element_wise(*parts, " ")
+
+
+def rows_of(lang: str, phrases: pa.Array, f: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.repeat(lang, len(f)), phrases, pa.array(f, pa.int64())], ["lang", "phrase", "f"])
 
 
 def counted(docs: DataFrame, k: int, known: list) -> DataFrame:
@@ -143,11 +154,10 @@ def counted(docs: DataFrame, k: int, known: list) -> DataFrame:
             for _, data, offsets in utf8_slices(texts, SLICE):
                 words = words_of(data, offsets)
                 first, f = grams(words, k, sets, lang_salt(lang))
-                phrase = spelled(words, first, k)
                 if k == 1:
-                    phrase, f = pa.concat_arrays([phrase, pa.array([""])]), np.append(f, f.sum())
-                if len(f):
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(f)), phrase, pa.array(f, pa.int64())], ["lang", "phrase", "f"])
+                    yield rows_of(lang, pa.array([""]), np.array([len(words.codes)]))
+                for at in range(0, len(f), EMIT):
+                    yield rows_of(lang, spelled(words, first[at : at + EMIT], k), f[at : at + EMIT])
 
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     return map_arrow(rows, count, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
@@ -159,11 +169,9 @@ def table_hashes(batch: pa.RecordBatch, k: int) -> np.ndarray:
     langs = batch.column(0).dictionary_encode()
     for code, lang in enumerate(langs.dictionary.to_pylist()):
         rows = np.flatnonzero(langs.indices.to_numpy() == code)
-        spelled = "".join(f"{x} " for x in batch.column(1).take(pa.array(rows)).to_pylist()).encode()
-        data = np.frombuffer(spelled, np.uint8)
-        ends = np.flatnonzero(data == 32)
-        words = Words(data, np.concatenate([[0], ends + 1]), np.zeros(0, bool))
-        out[rows] = gram_hashes(words, np.arange(0, len(ends), k), k, lang_salt(lang))
+        for _, data, offsets in utf8_slices(batch.column(1).take(pa.array(rows)), 1 << 30):
+            words = words_of(data, offsets)
+            out[rows] = gram_hashes(words, np.arange(0, len(words.codes), k), k, lang_salt(lang))
     return out
 
 
