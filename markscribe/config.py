@@ -34,7 +34,10 @@ class Question:
 
 @dataclass(frozen=True)
 class EngineConfig:
-    """Folders, thresholds, budgets and the model's settings; ``from_environment`` reads MARKSCRIBE_<FIELD>."""
+    """Folders, thresholds, budgets and the model's settings; ``from_environment`` reads MARKSCRIBE_<FIELD>.
+
+    ``memo_path`` names a folder that keeps replies from batch to batch (none: within a batch only).
+    """
 
     input_dir: str = "input"
     output_dir: str = "output"
@@ -51,6 +54,7 @@ class EngineConfig:
     prefix_chars: int = 120
     excerpt_chars: int = 150
     memo: bool = True
+    memo_path: str = ""
     model: str = ""
     endpoint: str = ""
     device: str = "auto"
@@ -62,7 +66,7 @@ class EngineConfig:
 
     @classmethod
     def from_environment(cls, env=os.environ) -> EngineConfig:
-        found = {}
+        found = {"adjudicate": True}  # a configuration by environment adjudicates unless told otherwise
         for f in fields(cls):
             if (value := env.get(f"MARKSCRIBE_{f.name.upper()}")) is not None:
                 kind = type(f.default)

@@ -13,6 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from markscribe.functions.folds import let, scan
+
 WS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 ND = r"\p{Nd}"
 LINE_ENDS = r"[\n\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
@@ -68,11 +70,6 @@ def logical_lines(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, "\n", -1), uni_strip), lambda x: x != "")
 
 
-def let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.transform(F.array(value), use)[0]
-
-
 def once(value: Column) -> Column:
     """``value`` as a column that the optimizer never copies into the expressions above it.
 
@@ -86,15 +83,15 @@ def once(value: Column) -> Column:
 
 def match_spans(text: Column, pattern: str) -> Column:
     """array<struct<start, end, text>> of all matches, offsets from the pieces between them."""
-    pieces, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    empty = F.array().cast("array<struct<start:int,end:int,text:string>>")
-    zero = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+    between, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
-    def step(acc, x):
-        start = acc["at"] + F.length(x["piece"])
+    def step(at, x):
+        start = at + F.length(x["piece"])
         end = start + F.length(x["match"])
-        span = F.struct(start.alias("start"), end.alias("end"), x["match"].alias("text"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+        return F.struct(end.alias("state"), F.struct(start.alias("start"), end.alias("end"), x["match"].alias("text")).alias("out"))
+
+    def spans(m: Column) -> Column:
+        pairs = F.zip_with(F.slice(between, F.lit(1), F.size(m)), m, lambda p, x: F.struct(p.alias("piece"), x.alias("match")))
+        return scan(pairs, F.lit(0), step, "struct<start:int,end:int,text:string>")
 
-    pairs = F.zip_with(F.slice(pieces, F.lit(1), F.size(found)), found, lambda p, m: F.struct(p.alias("piece"), m.alias("match")))
-    return F.when(F.size(found) > 0, F.aggregate(pairs, zero, step, lambda acc: acc["out"])).otherwise(empty)
+    return let(found, spans)

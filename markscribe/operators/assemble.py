@@ -6,36 +6,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from markscribe.config import EngineConfig, Question
+from markscribe.functions.folds import distinct_in_order, let, pieces, runs, span
 from markscribe.functions.text import once, uni_strip
-from markscribe.operators.blocks import BLOCK
 from markscribe.operators.classify import REVIEW
 from markscribe.operators.mapping import ordered_ids
 from markscribe.operators.markers import STRONG
 
 
-def merge_adjacent(text: Column, blocks: Column) -> Column:
-    """Merge a block into its predecessor if both resolve to one question and only its own weak marker lies between."""
+def merge_adjacent(cut: Column, blocks: Column) -> Column:
+    """Merge a block into its predecessor if both resolve to one question and only its own weak marker lies between; ``cut`` are the text's ``pieces``.
 
-    def step(acc: Column, b: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        gap = uni_strip(F.substr(text, last["source_end"] + 1, b["source_start"] - last["source_end"]))
+    A merged block ends where its last one does, so each block is held against the one before it alone.
+    """
+
+    def apart(bs: Column, i: Column) -> Column:
+        b, last = F.get(bs, i), F.get(bs, i - 1)
+        gap = uni_strip(span(cut, last["source_end"], b["source_start"] - last["source_end"]))
         marker = F.coalesce(b["detected_marker"], F.lit(""))
         same = (last["resolved_question_id"] == b["resolved_question_id"]) & (gap != "") & (gap == uni_strip(marker)) & ~marker.rlike(STRONG)
-        joined = (
-            last.withField("text", F.substr(text, last["source_start"] + 1, b["source_end"] - last["source_start"]))
-            .withField("source_end", b["source_end"])
-            .withField("confidence", F.greatest(last["confidence"], b["confidence"]))
-        )
-        return F.when(F.coalesce(same, F.lit(False)), F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(joined))).otherwise(F.concat(acc, F.array(b)))
+        return ~F.coalesce(same, F.lit(False)) | (i == 0)
+
+    def joined(bs: Column, r: Column) -> Column:
+        first, last = F.get(bs, r["first"]), F.get(bs, r["last"])
+        sure = F.array_max(F.transform(F.slice(bs, r["first"] + 1, r["last"] - r["first"] + 1), lambda b: b["confidence"]))
+        text = span(cut, first["source_start"], last["source_end"] - first["source_start"])
+        return F.when(r["first"] == r["last"], first).otherwise(first.withField("text", text).withField("source_end", last["source_end"]).withField("confidence", sure))
 
-    return F.aggregate(blocks, F.array().cast(f"array<{BLOCK}>"), step)
+    return let(blocks, lambda bs: F.transform(runs(F.size(bs), lambda i: apart(bs, i)), lambda r: joined(bs, r)))
 
 
 def finish(df: DataFrame, questions: list[Question], config: EngineConfig, text: str = "normalized") -> DataFrame:
     """Merge, then add ``questions``, ``unmapped``, ``review`` and ``audit``."""
     ids = ordered_ids(questions)
     known = F.array(*(F.lit(i) for i in ids)).cast("array<string>")
-    df = df.withColumn("blocks", once(merge_adjacent(F.col(text), F.col("blocks"))))
+    df = df.withColumn("_cut", once(pieces(F.col(text))))
+    df = df.withColumn("blocks", once(merge_adjacent(F.col("_cut"), F.col("blocks")))).drop("_cut")
     only = F.get("blocks", F.lit(0))
     alone = F.lit(bool(ids)) & (F.size("candidates") > 1) & (F.size("blocks") == 1) & ((only["status"] == "unmapped") | only["resolved_question_id"].isNull())
     df = df.withColumn("_alone", F.coalesce(alone, F.lit(False)))
@@ -47,7 +52,7 @@ def finish(df: DataFrame, questions: list[Question], config: EngineConfig, text:
     item = lambda t: F.array(F.struct(t.alias("text"), known.alias("possible_questions")))
     extra = F.concat(F.when(F.col("_alone"), item(F.get("blocks", F.lit(0))["text"])).otherwise(items), F.when(nothing & F.lit(not config.adjudicate), item(F.col(text))).otherwise(items))
     raw = F.concat("boundary_review", "mapping_review", extra)
-    review = F.array_distinct(F.filter(F.transform(raw, lambda r: F.struct(uni_strip(r["text"]).alias("text"), F.array_sort(r["possible_questions"]).alias("possible_questions"))), lambda r: r["text"] != ""))
+    review = distinct_in_order(F.filter(F.transform(raw, lambda r: F.struct(uni_strip(r["text"]).alias("text"), F.array_sort(r["possible_questions"]).alias("possible_questions"))), lambda r: r["text"] != ""))
 
     def answers(q: str) -> Column:
         own = F.filter("blocks", lambda b: b["resolved_question_id"] == q)

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from markscribe.config import EngineConfig, Question
-from markscribe.functions.text import integer_in, let, once
+from markscribe.functions.folds import let, scan
+from markscribe.functions.text import integer_in, once
 from markscribe.operators.markers import CANDIDATE, preamble_bounds, preamble_is_meaningful
 
 DECISION = "struct<decision:string,question_id:string,confidence:double,requires_human_review:boolean,subject_match:boolean>"
@@ -31,9 +32,10 @@ def _ordinal(number: Column, numbers: list[int]) -> Column:
 
 
 def repeated_later(candidates: Column) -> Column:
-    """Positions of candidates whose number a later one of any strength has; arrow markers are exempt."""
-    numbered = F.array_sort(F.transform(F.filter(candidates, lambda c: c["number"].isNotNull()), lambda c: F.struct(c["number"], c["pos"], F.contains(c["marker"], F.lit("→")).alias("arrow"))))
-    return let(numbered, lambda s: F.transform(F.filter(s, lambda x, i: ~x["arrow"] & (F.get(s, i + 1)["number"] == x["number"])), lambda x: x["pos"]))
+    """Candidate by candidate, whether a later one of any strength has its number; arrow markers are exempt."""
+    by_number = F.array_sort(F.transform(candidates, lambda c: F.struct(c["number"].alias("number"), c["pos"].alias("pos"), F.contains(c["marker"], F.lit("→")).alias("arrow"))))
+    again = lambda s, x, i: F.coalesce(~x["arrow"] & (F.get(s, i + 1)["number"] == x["number"]), F.lit(False))
+    return F.transform(F.array_sort(let(by_number, lambda s: F.transform(s, lambda x, i: F.struct(x["pos"].alias("pos"), again(s, x, i).alias("again"))))), lambda x: x["again"])
 
 
 def numbered_run(candidates: Column, c: Column) -> Column:
@@ -49,7 +51,7 @@ def enriched(df: DataFrame, numbers: list[int], text: str = "normalized", candid
 
     def each(c: Column) -> Column:
         return F.struct(
-            c.alias("c"), _ordinal(c["number"], numbers).alias("ordinal"), F.array_contains("_again", c["pos"]).alias("suppressed"),
+            c.alias("c"), _ordinal(c["number"], numbers).alias("ordinal"), F.get("_again", c["pos"] - 1).alias("suppressed"),
             numbered_run(F.col(candidates), c).alias("run"), preamble_is_meaningful(F.col(text), F.col("_bounds"), c["start"]).alias("meaningful"),
         )
 
@@ -85,10 +87,7 @@ def accept(df: DataFrame, questions: list[Question], config: EngineConfig, text:
         return df.select("*", strong.alias("accepted"), F.array().cast(f"array<{REVIEW}>").alias("boundary_review"), F.lit(0).alias("boundary_calls"), F.array().cast("array<int>").alias("boundary_open"))
     df = enriched(df, numbers, text, candidates).withColumn("_implicit", once(F.coalesce(F.get("_each", F.lit(0))["meaningful"], F.lit(False))))
     ambiguous = F.struct(F.lit("ambiguous").alias("decision"), F.lit(None).cast("string").alias("question_id"), F.lit(0.0).alias("confidence"), F.lit(True).alias("requires_human_review"), F.lit(None).cast("boolean").alias("subject_match"))
-    zero = F.struct(
-        F.array().cast("array<int>").alias("opened"), F.array().cast(f"array<{CANDIDATE}>").alias("accepted"),
-        F.array().cast(f"array<{REVIEW}>").alias("review"), F.lit(0).alias("calls"), F.array().cast("array<int>").alias("open"),
-    )
+    zero = F.struct(F.array().cast("array<int>").alias("opened"), F.lit(0).alias("calls"))
     budget = min(config.max_calls, config.max_boundary_calls)
 
     def ruling(acc: Column, x: Column) -> Column:
@@ -97,10 +96,9 @@ def accept(df: DataFrame, questions: list[Question], config: EngineConfig, text:
         ).otherwise("ask")
         return let(first, lambda r: F.when(r != "ambiguous", r).when(x["run"], "continuation").otherwise("ask"))
 
-    def outcome(acc: Column, x: Column, r: Column, reply: Column) -> Column:
-        """mark (ordinal opened), taken, flagged and asked of one candidate."""
+    def outcome(asked: Column, x: Column, r: Column, reply: Column) -> Column:
+        """mark (ordinal opened), taken, flagged, asked, possible ids and open (no decision) of one candidate."""
         ask = r == "ask"
-        asked = ask & (acc["calls"] < budget)
         yes = (reply["decision"] == "question_boundary") & reply["question_id"].isNotNull() & (reply["confidence"] >= config.confidence_threshold) & ~reply["requires_human_review"]
         yes = asked & F.coalesce(yes, F.lit(False))
         mark = F.when(r == "boundary", x["ordinal"]).when(yes, _ordinal(integer_in(reply["question_id"]), numbers))
@@ -108,23 +106,24 @@ def accept(df: DataFrame, questions: list[Question], config: EngineConfig, text:
         possible = F.when(asked & reply["question_id"].isNotNull(), F.array(reply["question_id"])).otherwise(F.array().cast("array<string>"))
         return F.struct(mark.alias("mark"), ((r == "boundary") | yes).alias("taken"), flagged.alias("flagged"), asked.alias("asked"), possible.alias("possible"))
 
-    def advance(acc: Column, x: Column, o: Column) -> Column:
-        item = F.struct(x["c"]["line_text"].alias("text"), o["possible"].alias("possible_questions"))
-        return F.struct(
-            F.when(o["mark"].isNotNull(), F.array_union(acc["opened"], F.array(o["mark"]))).otherwise(acc["opened"]).alias("opened"),
-            F.when(o["taken"], F.concat(acc["accepted"], F.array(x["c"]))).otherwise(acc["accepted"]).alias("accepted"),
-            F.when(o["flagged"], F.concat(acc["review"], F.array(item))).otherwise(acc["review"]).alias("review"),
-            (acc["calls"] + o["asked"].cast("int")).alias("calls"),
-            F.when(o["asked"] & unknown(x), F.array_append(acc["open"], x["c"]["pos"])).otherwise(acc["open"]).alias("open"),
-        )
-
-    def unknown(x: Column) -> Column:
-        return F.col(decisions)[x["c"]["pos"]].isNull() if decisions else F.lit(True)
+    def advance(acc: Column, o: Column, unknown: Column) -> Column:
+        opened = F.when(o["mark"].isNotNull(), F.array_union(acc["opened"], F.array(o["mark"]))).otherwise(acc["opened"])
+        state = F.struct(opened.alias("opened"), (acc["calls"] + o["asked"].cast("int")).alias("calls"))
+        return F.struct(state.alias("state"), F.struct(o["taken"].alias("taken"), o["flagged"].alias("flagged"), o["asked"].alias("asked"), (o["asked"] & unknown).alias("open"), o["possible"].alias("possible")).alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
-        reply = F.coalesce(F.col(decisions)[x["c"]["pos"]], ambiguous) if decisions else ambiguous
-        return let(ruling(acc, x), lambda r: let(reply, lambda d: let(outcome(acc, x, r, d), lambda o: advance(acc, x, o))))
-
-    df = df.withColumn("_fold", once(F.aggregate("_each", zero, step)))
+        # a map is searched from its beginning: only what is asked, as often as the budget has it, is looked up
+        asked = lambda r: (r == "ask") & (acc["calls"] < budget)
+        known = lambda r: F.when(asked(r), F.col(decisions)[x["c"]["pos"]]) if decisions else F.lit(None).cast(DECISION)
+        return let(ruling(acc, x), lambda r: let(known(r), lambda d: let(outcome(asked(r), x, r, F.coalesce(d, ambiguous)), lambda o: advance(acc, o, d.isNull()))))
+
+    out = "struct<taken:boolean,flagged:boolean,asked:boolean,open:boolean,possible:array<string>>"
+    df = df.withColumn("_fold", once(scan(F.col("_each"), zero, step, out)))
+    df = df.withColumn("_fold", once(F.zip_with("_each", "_fold", lambda x, o: F.struct(x["c"].alias("c"), o.alias("o")))))
     kept = [x for x in df.columns if x not in ("_fold", "_each", "_implicit")]
-    return df.select(*kept, F.col("_fold.accepted").alias("accepted"), F.col("_fold.review").alias("boundary_review"), F.col("_fold.calls").alias("boundary_calls"), F.col("_fold.open").alias("boundary_open"))
+    of = lambda flag: F.filter("_fold", lambda x: x["o"][flag])
+    item = lambda x: F.struct(x["c"]["line_text"].alias("text"), x["o"]["possible"].alias("possible_questions"))
+    return df.select(
+        *kept, F.transform(of("taken"), lambda x: x["c"]).alias("accepted"), F.transform(of("flagged"), item).alias("boundary_review"),
+        F.size(of("asked")).alias("boundary_calls"), F.transform(of("open"), lambda x: x["c"]["pos"]).alias("boundary_open"),
+    )

@@ -7,7 +7,8 @@ from typing import Protocol
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from markscribe.functions.text import ND, WS, integer_in, let, match_spans, uni_strip
+from markscribe.functions.folds import let, pieces, runs, scan, span
+from markscribe.functions.text import ND, WS, integer_in, match_spans, uni_strip
 
 # The legacy marker grammar and prompt verbs.
 _NUMBER = rf"[1-9]{ND}*"
@@ -79,14 +80,14 @@ def question_marks(text: Column) -> Column:
             m["text"].rlike(rf"(?iu)\A{_STEM}(?:[IL]|[.:-])\z").alias("next"),
         ),
     )
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<struct<start:int,end:int,question:string>>").alias("out"))
 
-    def step(acc: Column, m: Column) -> Column:
-        n = F.when(m["number"].isNotNull(), m["number"]).when(m["next"], acc["at"] + 1)
+    def step(at: Column, m: Column) -> Column:
+        n = F.when(m["number"].isNotNull(), m["number"]).when(m["next"], at + 1)
         item = F.struct(m["start"].alias("start"), m["end"].alias("end"), F.concat(F.lit("Q"), n).alias("question"))
-        return F.when(n.isNull(), acc).otherwise(F.struct(n.alias("at"), F.concat(acc["out"], F.array(item)).alias("out")))
+        return F.struct(F.coalesce(n, at).alias("state"), item.alias("out"))
 
-    return F.aggregate(spans, zero, step, lambda acc: acc["out"])
+    numbered = scan(spans, F.lit(0).cast("bigint"), step, "struct<start:int,end:int,question:string>")
+    return F.filter(numbered, lambda m: m["question"].isNotNull())
 
 
 def segment(text: Column) -> Column:
@@ -96,19 +97,24 @@ def segment(text: Column) -> Column:
     """
     pair = lambda q, a: F.struct(q.alias("question"), a.alias("answer"))
 
-    def answers(marks: Column) -> Column:
+    def answers(marks: Column, cut: Column) -> Column:
         def each(m: Column, i: Column) -> Column:
             end = F.coalesce(F.get(marks, i + 1)["start"], F.length(text))
-            same_line = ~F.contains(F.substr(text, m["start"] + 1, m["end"] - m["start"] + 1), F.lit("\n"))
-            return pair(m["question"], clean_answer(F.substr(text, m["end"] + 1, end - m["end"]), same_line))
+            same_line = ~F.contains(span(cut, m["start"], m["end"] - m["start"] + 1), F.lit("\n"))
+            return pair(m["question"], clean_answer(span(cut, m["end"], end - m["end"]), same_line))
 
         return F.filter(F.transform(marks, each), lambda x: x["answer"] != "")
 
     def merged(found: Column) -> Column:
-        names = F.array_distinct(F.transform(found, lambda x: x["question"]))
-        return F.transform(names, lambda q: pair(q, F.array_join(F.transform(F.filter(found, lambda x: x["question"] == q), lambda x: x["answer"]), " ")))
+        def grouped(s: Column) -> Column:
+            own = lambda r: F.transform(F.slice(s, r["first"] + 1, r["last"] - r["first"] + 1), lambda x: x["answer"])
+            each = runs(F.size(s), lambda i: (i == 0) | (F.get(s, i)["question"] != F.get(s, i - 1)["question"]))
+            first = F.transform(each, lambda r: F.struct(F.get(s, r["first"])["i"].alias("i"), F.get(s, r["first"])["question"].alias("question"), F.array_join(own(r), " ").alias("answer")))
+            return F.transform(F.array_sort(first), lambda x: pair(x["question"], x["answer"]))
+
+        return let(F.array_sort(F.transform(found, lambda x, i: F.struct(x["question"].alias("question"), i.alias("i"), x["answer"].alias("answer")))), grouped)
 
     unknown = lambda a: F.array(pair(F.lit("UNKNOWN"), a))
     some = let(question_marks(text), lambda marks: F.when(F.size(marks) == 0, unknown(uni_strip(F.regexp_replace(text, f"{WS}+", " ")))).otherwise(
-        let(answers(marks), lambda found: F.when(F.size(found) == 0, unknown(text)).otherwise(merged(found)))))
+        let(let(pieces(text), lambda cut: answers(marks, cut)), lambda found: F.when(F.size(found) == 0, unknown(text)).otherwise(merged(found)))))
     return F.when(F.coalesce(text, F.lit("")) == "", unknown(F.lit("Entire OCR Text"))).otherwise(some)

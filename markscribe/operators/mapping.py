@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from markscribe.config import EngineConfig, Question
-from markscribe.functions.text import let, once
+from markscribe.functions.folds import let, pieces, span
+from markscribe.functions.text import once
 from markscribe.operators.classify import DECISION, REVIEW
 
 
@@ -15,10 +16,14 @@ def ordered_ids(questions: list[Question]) -> list[str]:
 
 
 def decision_maps(decisions: DataFrame, key: str = "sheet_id") -> DataFrame:
-    """One row per document: boundary_decisions and mapping_decisions, map<int, DECISION> of validated decisions by position."""
+    """One row per document: boundary_decisions and mapping_decisions, map<int, DECISION> of validated decisions by position.
+
+    Of repeated decisions on one position the first in order of its fields stays.
+    """
     value = F.struct("decision", "question_id", F.col("confidence").cast("double").alias("confidence"), "requires_human_review", "subject_match").cast(DECISION)
     entry = F.struct(F.col("pos").cast("int").alias("key"), value.alias("value"))
-    of = lambda operation: F.map_from_entries(F.collect_list(F.when(F.col("operation") == operation, entry))).alias(f"{operation}_decisions")
+    once_each = lambda e: F.map_from_entries(F.filter(e, lambda x, i: (i == 0) | (x["key"] != F.get(e, i - 1)["key"])))
+    of = lambda operation: let(F.array_sort(F.collect_list(F.when((F.col("operation") == operation) & F.col("pos").isNotNull(), entry))), once_each).alias(f"{operation}_decisions")
     return decisions.groupBy(key).agg(of("boundary"), of("mapping"))
 
 
@@ -42,7 +47,8 @@ def map_blocks(df: DataFrame, questions: list[Question], config: EngineConfig, d
 
     def resolve(b: Column) -> Column:
         calls = F.col("boundary_calls") + F.when(F.col("structureless"), 0).otherwise(b["source_order"] - 1)
-        reply = F.col(decisions)[b["source_order"]] if decisions else none
+        # a map is searched from its beginning: no more is looked up than the budget has
+        reply = F.when(calls < config.max_calls, F.col(decisions)[b["source_order"]]) if decisions else none
 
         def case(d: Column) -> Column:
             ok = (d["decision"] == "mapped") & d["question_id"].isNotNull() & d["subject_match"] & (d["confidence"] >= config.confidence_threshold) & ~d["requires_human_review"]
@@ -66,25 +72,28 @@ def map_blocks(df: DataFrame, questions: list[Question], config: EngineConfig, d
     return df.withColumn("mapping_review", review(left)).withColumn("mapping_calls", used).withColumn("mapping_open", unanswered)
 
 
-def boundary_contexts(df: DataFrame, config: EngineConfig, key: str = "sheet_id", text: str = "normalized") -> DataFrame:
-    """One row per candidate with what an adjudicator is shown."""
+def boundary_contexts(df: DataFrame, config: EngineConfig, key: str = "sheet_id", text: str = "normalized", at: Column | None = None) -> DataFrame:
+    """One row per candidate, or per candidate at a position of ``at``, with what an adjudicator is shown.
+
+    Contexts are cut in the document's row, so that no row of a candidate carries the whole text.
+    """
     half = config.context_chars // 2
-    each = df.select(key, F.col(text).alias("_t"), F.col("candidates").alias("_c"), F.explode("candidates").alias("x"))
-    after = F.get("_c", F.col("x.pos"))
-    before = F.get("_c", F.col("x.pos") - 2)
-    end = F.coalesce(after["start"], F.least(F.length("_t"), F.col("x.end") + half))
-    start = F.greatest(F.lit(0), F.col("x.start") - half)
-    return each.select(
-        key,
-        F.col("x.pos").alias("pos"),
-        F.col("x.line_text").alias("candidate"),
-        F.col("x.marker").alias("candidate_marker"),
-        F.size("_c").alias("candidate_count"),
-        F.array_join(F.transform("_c", lambda c: c["marker"]), "|").alias("all_markers"),
-        F.substr("_t", start + 1, F.col("x.start") - start).alias("preceding"),
-        F.substr("_t", F.col("x.end") + 1, end - F.col("x.end")).alias("following"),
-        before["marker"].alias("previous_marker"),
-        before["line_text"].alias("previous_line"),
+    df = df.withColumn("_cut", once(pieces(F.col(text)))).withColumn("_n", F.length(text)).withColumn("_c", F.col("candidates"))
+
+    def shown(x: Column) -> Column:
+        after, before = F.get("_c", x["pos"]), F.get("_c", x["pos"] - 2)
+        end = F.coalesce(after["start"], F.least(F.col("_n"), x["end"] + half))
+        start = F.greatest(F.lit(0), x["start"] - half)
+        return F.struct(
+            x["pos"].alias("pos"), x["line_text"].alias("candidate"), x["marker"].alias("candidate_marker"), F.size("_c").alias("candidate_count"),
+            span(F.col("_cut"), start, x["start"] - start).alias("preceding"), span(F.col("_cut"), x["end"], end - x["end"]).alias("following"),
+            before["marker"].alias("previous_marker"), before["line_text"].alias("previous_line"),
+        )
+
+    chosen = F.col("_c") if at is None else F.filter(F.transform(at, lambda p: F.get("_c", p - 1)), lambda c: c.isNotNull())
+    df = df.withColumn("_shown", once(F.transform(chosen, shown))).withColumn("all_markers", once(F.array_join(F.transform("_c", lambda c: c["marker"]), "|")))
+    return df.select(key, "all_markers", F.explode("_shown").alias("x")).select(
+        key, "x.pos", "x.candidate", "x.candidate_marker", "x.candidate_count", "all_markers", "x.preceding", "x.following", "x.previous_marker", "x.previous_line"
     )
 
 
@@ -115,13 +124,18 @@ def boundary_prompt(questions: list[Question] = (), config: EngineConfig = Engin
     return F.concat_ws("\n", *map(F.lit, BOUNDARY_TASK), *parts, F.lit("Questions:\n" + canonical_text(list(questions), config)))
 
 
-def mapping_contexts(df: DataFrame, questions: list[Question], key: str = "sheet_id") -> DataFrame:
-    """One row per block with what an adjudicator is shown: the block, the ids mapped before it, and those not mapped yet."""
+def mapping_contexts(df: DataFrame, questions: list[Question], key: str = "sheet_id", at: Column | None = None) -> DataFrame:
+    """One row per block, or per block at a position of ``at``, with what an adjudicator is shown: the block, the ids mapped before it, and those not mapped yet."""
     ids = F.array(*(F.lit(i) for i in ordered_ids(questions))).cast("array<string>")
-    each = df.select(key, F.col("blocks").alias("_b"), F.explode("blocks").alias("x"))
-    earlier = F.filter(F.transform(F.slice("_b", F.lit(1), F.col("x.source_order") - 1), lambda b: b["resolved_question_id"]), lambda q: q.isNotNull())
-    each = each.withColumn("mapped", earlier)
-    return each.select(key, F.col("x.source_order").alias("pos"), F.col("x.text").alias("block"), F.col("x.detected_marker").alias("marker"), "mapped", F.array_except(ids, F.col("mapped")).alias("open_ids"))
+
+    def shown(x: Column) -> Column:
+        earlier = F.filter(F.transform(F.slice("_b", F.lit(1), x["source_order"] - 1), lambda b: b["resolved_question_id"]), lambda q: q.isNotNull())
+        return F.struct(x["source_order"].alias("pos"), x["text"].alias("block"), x["detected_marker"].alias("marker"), earlier.alias("mapped"))
+
+    df = df.withColumn("_b", F.col("blocks"))
+    chosen = F.col("_b") if at is None else F.filter(F.transform(at, lambda p: F.get("_b", p - 1)), lambda b: b.isNotNull())
+    each = df.withColumn("_shown", once(F.transform(chosen, shown))).select(key, F.explode("_shown").alias("x"))
+    return each.select(key, "x.pos", "x.block", "x.marker", "x.mapped", F.array_except(ids, F.col("x.mapped")).alias("open_ids"))
 
 
 def mapping_prompt(questions: list[Question], config: EngineConfig = EngineConfig()) -> Column:

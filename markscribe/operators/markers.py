@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from markscribe.functions.text import LINE_ENDS, ND, WS, integer_in, let, match_spans, uni_strip
+from markscribe.functions.folds import let, scan
+from markscribe.functions.text import LINE_ENDS, ND, WS, integer_in, match_spans, uni_strip
 
 # The marker grammar.
 STRONG_MARKER = rf"(?:Q{WS}*\.?{WS}*{ND}+|Question{WS}*(?:No\.?{WS}*)?{ND}+)"
@@ -21,10 +22,8 @@ def marker_number(marker: Column) -> Column:
 
 def lines_with_offsets(text: Column) -> Column:
     """array<struct<at, line>>: lines without their ends, and where they begin."""
-    empty = F.array().cast("array<struct<at:int,line:string>>")
-    zero = F.struct(F.lit(0).alias("at"), empty.alias("out"))
-    step = lambda acc, x: F.struct((acc["at"] + F.length(x) + 1).alias("at"), F.concat(acc["out"], F.array(F.struct(acc["at"].alias("at"), x.alias("line")))).alias("out"))
-    return F.aggregate(F.split(text, LINE_ENDS, -1), zero, step, lambda acc: acc["out"])
+    step = lambda at, x: F.struct((at + F.length(x) + 1).alias("state"), F.struct(at.alias("at"), x.alias("line")).alias("out"))
+    return scan(F.split(text, LINE_ENDS, -1), F.lit(0), step, "struct<at:int,line:string>")
 
 
 def _candidate(marker: Column, start: Column, end: Column, strength: str, line: Column) -> Column:

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import logging
 import os
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from markscribe.config import EngineConfig
 from markscribe.operators.assemble import debug_json, minimal_json
-from markscribe.plans.adjudicate import Adjudicator, structure_with
+from markscribe.plans.adjudicate import Adjudicator, adjudicate, structure_decided
 from markscribe.plans.pipeline import structure_sheets
 from markscribe.sources.canon import read_questions
-from markscribe.sources.sheets import scan_sheets, write_student_files
+from markscribe.sources.sheets import file_names, scan_sheets, write_student_files
 
 
 def configure_log(directory: str) -> logging.Logger:
@@ -30,18 +31,34 @@ def configure_log(directory: str) -> logging.Logger:
     return log
 
 
-def run_batch(spark: SparkSession, config: EngineConfig, adjudicator: Adjudicator | None = None) -> DataFrame:
-    """Structure every sheet of ``config.input_dir`` and write its files; malformed sheets are logged and skipped."""
+@dataclass
+class BatchResult:
+    """``results``: one row per sheet (student_id, path, ...); ``unreadable``: path, error; ``calls`` and ``failures`` as the adjudication has them."""
+
+    results: DataFrame
+    unreadable: DataFrame
+    calls: dict[str, int] = field(default_factory=dict)
+    failures: DataFrame | None = None
+
+
+def run_batch(spark: SparkSession, config: EngineConfig, adjudicator: Adjudicator | None = None) -> BatchResult:
+    """Structure every sheet of ``config.input_dir`` and write its files; malformed sheets and failed calls are logged and passed over."""
     log = configure_log(config.logs_dir)
     questions = read_questions(spark, config.model_answers_path)
     sheets, errors = scan_sheets(spark, config.input_dir)
     for row in errors.orderBy("path").toLocalIterator():
-        log.error("not valid UTF-8, skipped: %s", row.path)
-    if adjudicator:
-        results = structure_with(sheets, questions, config, adjudicator, key="student_id")
+        log.error("skipped: %s: %s", row.path, row.error)
+    out = BatchResult(sheets, errors)
+    if adjudicator and config.adjudicate and questions:
+        asked = adjudicate(sheets, questions, config, adjudicator, key="path")
+        out.calls, out.failures = asked.calls, asked.failures
+        for row in asked.failures.orderBy("path", "operation", "pos").toLocalIterator():
+            log.error("failed call: %s, %s %d: %s", row.path, row.operation, row.pos, row.error)
+        results = structure_decided(sheets, questions, config, asked.decisions, "path", "raw_text")
     else:
-        results = structure_sheets(sheets, questions, config, key="student_id")
-    files = results.select("student_id", minimal_json(F.col("student_id")).alias("minimal"), debug_json(F.col("student_id"), "raw_text").alias("debug"))
+        results = structure_sheets(sheets, questions, config, key="path")
+    out.results = file_names(results)
+    files = out.results.select("file_name", minimal_json(F.col("student_id")).alias("minimal"), debug_json(F.col("student_id"), "raw_text").alias("debug"))
     write_student_files(files, config.output_dir)
-    log.info("written to %s with %d questions", config.output_dir, len(questions))
-    return results
+    log.info("written to %s with %d questions; calls: %s", config.output_dir, len(questions), out.calls)
+    return out

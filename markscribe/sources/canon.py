@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from markscribe.config import Question
+from markscribe.config import Question, QuestionFormatError
 from markscribe.functions.text import LINE_ENDS, ND, WS, integer_in, match_spans, uni_strip
 
 # The grammar of headings, marks and inline markers.
@@ -90,11 +90,14 @@ def load_model_answers(rows: DataFrame, key: str = "path") -> DataFrame:
 
 
 def read_questions(spark: SparkSession, path: str, paper: bool = False) -> list[Question]:
-    """The canonical questions of a Markdown file, model answers or a question paper; none if it is missing."""
+    """The canonical questions of a Markdown file, model answers or a question paper; none if it is missing, an error if it is not UTF-8."""
     try:
-        text = spark.read.text(path, wholetext=True).select(F.lit(path).alias("path"), F.col("value").alias("text"))
+        file = spark.read.format("binaryFile").load(path).withColumn("text", F.col("content").cast("string"))
+        if not file.filter(~F.is_valid_utf8("text")).isEmpty():
+            raise QuestionFormatError(f"not valid UTF-8: {path}")
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return []
         raise
+    text = file.select(F.lit(path).alias("path"), "text")
     return questions_of((parse_question_paper if paper else parse_model_answers)(text))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from markscribe.functions.text import uni_strip
+from markscribe.sources.files import register
 
 
 def sheet_rows(files: DataFrame) -> DataFrame:
@@ -21,25 +22,24 @@ def nonblank(rows: DataFrame, text: str = "raw_text") -> DataFrame:
 
 
 def scan_sheets(spark: SparkSession, directory: str) -> tuple[DataFrame, DataFrame]:
-    """(sheets, errors): student_id, raw_text of valid, non-blank .txt files, and the paths of malformed ones.
+    """(sheets, errors): student_id, raw_text, path of the readable, non-blank .txt files, and path, error of the others.
 
-    File names that begin with a dot or an underscore are hidden by Spark's listing.
+    ``path`` tells sheets apart; files that differ in their suffix's case share a student_id.
     """
-    rows = sheet_rows(spark.read.format("binaryFile").load(directory))
-    return nonblank(rows).select("student_id", "raw_text"), rows.filter("raw_text is null").select("path")
+    register(spark)
+    rows = spark.read.format("markscribe_sheets").load(directory)
+    return nonblank(rows).select("student_id", "raw_text", "path"), rows.filter("error is not null").select("path", "error")
 
 
-def write_student_files(results: DataFrame, directory: str, key: str = "student_id", minimal: str = "minimal", debug: str = "debug") -> None:
-    """One ``<key>.json`` and ``debug/<key>_debug.json`` per row, UTF-8, indented, overwritten; ``directory`` is shared and mounted."""
+def file_names(results: DataFrame, key: str = "student_id", source: str = "path") -> DataFrame:
+    """Add ``file_name``: the key; of rows that share it only the last in order of ``source`` has it, the others add their source's name and a checksum of it."""
+    last = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(source))) == 1
+    name = F.try_element_at(F.split(source, "/"), F.lit(-1))
+    return results.withColumn("file_name", F.when(last, F.col(key)).otherwise(F.concat_ws("-", name, F.lower(F.hex(F.crc32(F.col(source).cast("binary")))))))
 
-    def write(rows) -> None:
-        import json
-        import pathlib
 
-        top = pathlib.Path(directory)
-        (top / "debug").mkdir(parents=True, exist_ok=True)
-        for row in rows:
-            for path, text in ((top / f"{row[0]}.json", row[1]), (top / "debug" / f"{row[0]}_debug.json", row[2])):
-                path.write_text(json.dumps(json.loads(text), ensure_ascii=False, indent=4) + "\n", encoding="utf-8")
-
-    results.select(key, minimal, debug).foreachPartition(write)
+def write_student_files(results: DataFrame, directory: str, name: str = "file_name", minimal: str = "minimal", debug: str = "debug") -> None:
+    """One ``<name>.json`` and ``debug/<name>_debug.json`` per row, UTF-8, indented, overwritten; all appear when the job has ended well."""
+    register(results.sparkSession)
+    files = F.array(F.struct(F.concat(name, F.lit(".json")).alias("name"), F.col(minimal).alias("text")), F.struct(F.concat(F.lit("debug/"), name, F.lit("_debug.json")).alias("name"), F.col(debug).alias("text")))
+    results.select(F.explode(files).alias("f")).select("f.name", "f.text").write.format("markscribe_json").mode("append").save(directory)
