@@ -7,6 +7,7 @@ Unicode (``WS``, ``ND``), spelled out because Java's shorthand classes are ASCII
 from __future__ import annotations
 
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -43,9 +44,43 @@ def _nfc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
 
 
+#: Runs of safe characters shorter than this are not worth a range.
+_LEAST_RUN = 64
+
+
+@lru_cache(1)
+def inert_ranges() -> list[tuple[int, int]]:
+    """Long runs of characters that stay as they are under NFC whatever stands beside them: no combining class, unchanged alone, and never the second part of a composition.
+
+    A text of such characters alone is in normal form (the quick check of the standard).
+    """
+    seconds = {*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)}  # vowels and finals of Hangul syllables
+    for c in map(chr, range(0x110000)):
+        parts = unicodedata.decomposition(c).split()
+        if len(parts) == 2 and parts[0][0] != "<" and unicodedata.normalize("NFC", "".join(chr(int(x, 16)) for x in parts)) == c:
+            seconds.add(int(parts[1], 16))
+    inert = lambda i: i not in seconds and not unicodedata.combining(chr(i)) and unicodedata.normalize("NFC", chr(i)) == chr(i)
+    runs, start = [], None
+    for i in range(0x110001):
+        ok = i < 0x110000 and not 0xD800 <= i < 0xE000 and inert(i)
+        if ok and start is None:
+            start = i
+        elif not ok and start is not None:
+            if i - start >= _LEAST_RUN:
+                runs.append((start, i - 1))
+            start = None
+    return runs
+
+
+def may_change(text: Column) -> Column:
+    """Whether NFC may change a text: it has a character outside ``inert_ranges``."""
+    inert = "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in inert_ranges())
+    return text.rlike(r"[^\x00-\x7f]") & text.rlike(f"[^{inert}]")
+
+
 def nfc(text: Column) -> Column:
-    """Unicode NFC; only rows with non-ASCII text are sent to Python."""
-    return F.coalesce(_nfc(F.when(text.rlike(r"[^\x00-\x7f]"), text)), text)
+    """Unicode NFC; only texts that it may change are sent to Python."""
+    return F.coalesce(_nfc(F.when(may_change(text), text)), text)
 
 
 def uni_strip(text: Column) -> Column:
