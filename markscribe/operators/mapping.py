@@ -15,16 +15,19 @@ def ordered_ids(questions: list[Question]) -> list[str]:
     return [q.question_id for q in questions]
 
 
-def decision_maps(decisions: DataFrame, key: str = "sheet_id") -> DataFrame:
-    """One row per document: boundary_decisions and mapping_decisions, map<int, DECISION> of validated decisions by position.
+def decision_map(decisions: Column, operation: str) -> Column:
+    """map<int, DECISION> by position of one operation's decisions in an array; of repeated decisions on one position the first in order of its fields stays."""
+    value = lambda d: F.struct(d["decision"], d["question_id"], d["confidence"].cast("double"), d["requires_human_review"], d["subject_match"]).cast(DECISION)
+    own = F.filter(decisions, lambda d: (d["operation"] == operation) & d["pos"].isNotNull())
+    entries = F.array_sort(F.transform(own, lambda d: F.struct(d["pos"].cast("int").alias("key"), value(d).alias("value"))))
+    return let(entries, lambda e: F.map_from_entries(F.filter(e, lambda x, i: (i == 0) | (x["key"] != F.get(e, i - 1)["key"]))))
 
-    Of repeated decisions on one position the first in order of its fields stays.
-    """
-    value = F.struct("decision", "question_id", F.col("confidence").cast("double").alias("confidence"), "requires_human_review", "subject_match").cast(DECISION)
-    entry = F.struct(F.col("pos").cast("int").alias("key"), value.alias("value"))
-    once_each = lambda e: F.map_from_entries(F.filter(e, lambda x, i: (i == 0) | (x["key"] != F.get(e, i - 1)["key"])))
-    of = lambda operation: let(F.array_sort(F.collect_list(F.when((F.col("operation") == operation) & F.col("pos").isNotNull(), entry))), once_each).alias(f"{operation}_decisions")
-    return decisions.groupBy(key).agg(of("boundary"), of("mapping"))
+
+def decision_maps(decisions: DataFrame, key: str = "sheet_id") -> DataFrame:
+    """One row per document: boundary_decisions and mapping_decisions, as ``decision_map`` has them."""
+    fields = ("operation", "pos", "decision", "question_id", "confidence", "requires_human_review", "subject_match")
+    own = decisions.groupBy(key).agg(F.collect_list(F.struct(*fields)).alias("_d"))
+    return own.select(key, *(decision_map(F.col("_d"), o).alias(f"{o}_decisions") for o in ("boundary", "mapping")))
 
 
 def is_prefix_block(b: Column, blocks: Column, ids: list[str], least: int) -> Column:

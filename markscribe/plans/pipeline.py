@@ -22,9 +22,9 @@ def detect(sheets: DataFrame, text: str = "raw_text") -> DataFrame:
     return sheets.withColumn("normalized", once(normalize_text(F.col(text)))).withColumn("candidates", once(detect_candidates(F.col("normalized"))))
 
 
-def resolve(detected: DataFrame, questions: list[Question], config: EngineConfig, decisions: DataFrame | None = None, key: str = "sheet_id") -> DataFrame:
-    """Fold, blocks and mapping of ``detect``'s rows."""
-    df, maps = detected, (None, None)
+def resolve(detected: DataFrame, questions: list[Question], config: EngineConfig, decisions: DataFrame | None = None, key: str = "sheet_id", maps: tuple = (None, None)) -> DataFrame:
+    """Fold, blocks and mapping of ``detect``'s rows; ``maps`` names columns that hold their decisions already."""
+    df = detected
     if decisions is not None:
         df, maps = df.join(decision_maps(decisions, key), key, "left"), ("boundary_decisions", "mapping_decisions")
     df = accept(df, questions, config, decisions=maps[0])
