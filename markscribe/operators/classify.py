@@ -7,7 +7,7 @@ decision table the replies arrive as a map from candidate position to decision.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from markscribe.config import EngineConfig, Question
@@ -24,6 +24,11 @@ def canonical_numbers(questions: list[Question]) -> list[int]:
     return sorted({q.number for q in questions})
 
 
+def ordinals(questions: DataFrame, key: str = "path") -> DataFrame:
+    """key, number, ordinal: the canonical order of each question set's distinct numbers."""
+    return questions.select(key, "number").distinct().withColumn("ordinal", F.row_number().over(Window.partitionBy(key).orderBy("number")) - 1)
+
+
 def _ordinal(number: Column, numbers: list[int]) -> Column:
     if not numbers:
         return F.lit(None).cast("int")

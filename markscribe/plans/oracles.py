@@ -159,6 +159,8 @@ def folded(candidates: str, replies: dict[str, str], ids: list[str], config) ->
   select concat_ws(chr(10), {", ".join(f"'{x}'" for x in BOUNDARY_TASK)}, {", ".join(f"concat('{label}: ', coalesce(cast({c} as varchar), '-'))" for label, c in BOUNDARY_PARTS)}, concat('Questions:', chr(10), 'none given')) as prompt
   from ({context})) group by all""",
         "cut_blocks": off + _BLOCKS + " select sheet_id, source_order, detected_marker, cast(source_start as int) as source_start, cast(source_end as int) as source_end, text from blocks",
+        "cut_blocks_exploded": off + _BLOCKS + " select sheet_id, source_order, detected_marker, cast(source_start as int) as source_start, cast(source_end as int) as source_end, text from blocks",
+        "merge_adjacent_exploded": on + " select sheet_id, source_order, resolved_question_id, source_start, source_end, confidence, status, text from merged",
         "strong_only_blocks": strong_only + _BLOCKS + " select sheet_id, source_order, detected_marker, text from blocks",
         "prefix_blocks": off + _BLOCKS + " select sheet_id, text from blocks where source_order = 1 and detected_marker is null",
         "structureless_docs": off + _BLOCKS + " select sheet_id, coalesce(structureless, false) as structureless from shape",

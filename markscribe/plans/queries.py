@@ -17,7 +17,8 @@ from markscribe.functions.text import logical_lines, normalize_text, once, strip
 from markscribe.operators import decisions as D
 from markscribe.operators.assemble import debug_json, minimal_json, with_accessors
 from markscribe.operators.blocks import with_blocks
-from markscribe.operators.classify import accept, canonical_numbers, enriched
+from markscribe.operators.classify import accept, enriched, ordinals
+from markscribe.operators.exploded import cut_rows, merge_rows, piece_rows
 from markscribe.operators.legacy import extract_question, is_question_line, normalize_label, segment
 from markscribe.operators.mapping import boundary_contexts, boundary_prompt, distinct_prompts, mapping_contexts
 from markscribe.operators.markers import candidate_is_safe, is_page_line
@@ -169,10 +170,20 @@ PAGE_LINES = "select -1 as sheet_id, x as line from (select explode(array('Page
 LABELS = "select explode(array('I', 'l', 'QI', 'Ql', '7', ' q3. ', 'Q-4', '', 'x', '1.')) as label"
 
 
+def _resolved_blocks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Blocks before they are merged, and pieces of text, as rows."""
+    df = resolve(detect(marked_sheets(spark, sf_dir)), QUESTIONS, ON, _decisions(spark, sf_dir))
+    return df.select("sheet_id", F.explode("blocks").alias("b")).select("sheet_id", "b.*"), piece_rows(df)
+
+
+def _cut_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = accept(detect(marked_sheets(spark, sf_dir)), QUESTIONS, OFF)
+    return cut_rows(df.select("sheet_id", F.explode("accepted").alias("a")).select("sheet_id", "a.*"), piece_rows(df))
+
+
 def _canonical_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id").collect()  # a question paper, a small dimension
-    numbers = canonical_numbers([Question(r.item_id + 1) for r in items])
-    return spark.createDataFrame([(n, i) for i, n in enumerate(numbers)], "number long, ordinal long")
+    """Ordinals of each paper's questions, in the order of the file reversed."""
+    return ordinals(parse_model_answers(_markdown(spark, sf_dir, _MODEL)).select("path", (F.lit(1000) - F.col("number")).alias("number")))
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,6 +227,8 @@ QUERIES = {
     "validate_decisions": lambda s, d: D.validate(_replies(s, d, BOUNDARY_REPLIES), IDS, "boundary"),
     "mapping_gate": lambda s, d: D.validate(_replies(s, d, MAPPING_REPLIES), IDS, "mapping").select("sheet_id", "pos", "decision", D.gate(0.85).alias("accepted")),
     "prompt_dedup": lambda s, d: distinct_prompts(boundary_contexts(detect(marked_sheets(s, d)), OFF).select(boundary_prompt().alias("prompt"))),
+    "cut_blocks_exploded": _cut_rows,
+    "merge_adjacent_exploded": lambda s, d: merge_rows(*_resolved_blocks(s, d)).select("sheet_id", "source_order", "resolved_question_id", "source_start", "source_end", "confidence", "status", "text"),
     "merge_adjacent": lambda s, d: _structured(s, d).select("sheet_id", F.explode("blocks").alias("b")).select("sheet_id", "b.source_order", "b.resolved_question_id", "b.source_start", "b.source_end", "b.confidence", "b.status"),
     "answers_by_question": lambda s, d: _structured(s, d).select("sheet_id", F.explode("questions").alias("q")).select("sheet_id", "q.question_id", F.size("q.answers").alias("n_answers"), F.array_join("q.answers", "\n--\n").alias("answers")),
     "unmapped_distinct": lambda s, d: _structured(s, d).select("sheet_id", F.posexplode("unmapped").alias("at", "text")),
@@ -276,7 +289,7 @@ ORACLES = {
     "unknown_strong": _C + f"select sheet_id, pos, number from cand where strength = 'strong' and not coalesce({_KNOWN}, false)",
     "suppressed_markers": _C + "select sheet_id, pos, marker from (select *, max(pos) over (partition by sheet_id, number) as last from cand) where number is not null and last > pos and not contains(marker, '→')",
     "numbered_runs": _C + "select sheet_id, pos, marker from (select *, lead(strength) over w as s2, lead(number) over w as n2 from cand window w as (partition by sheet_id order by pos)) where strength = 'weak' and s2 = 'weak' and n2 = number + 1 and not contains(marker, '→')",
-    "canonical_order": "select item_id + 1 as number, row_number() over (order by item_id) - 1 as ordinal from benchmark",
+    "canonical_order": f"select concat('paper', cast(item_id // {_PER_FILE} as string)) as path, cast(1000 - (item_id + 1) as int) as number, cast(row_number() over (partition by item_id // {_PER_FILE} order by item_id desc) - 1 as int) as ordinal from benchmark",
     "validate_decisions": _VALID,
     "mapping_gate": f"with r as ({MAPPING_REPLIES.format(_POSITIONS)}) select sheet_id, pos, case when decision = 'mapped' and not subject_match then 'ambiguous' else decision end as decision, decision = 'mapped' and subject_match and coalesce(confidence, 0) >= 0.85 as accepted from r",
     "parse_decisions": f"with r as (select *, (sheet_id + pos) % 8 as k from {_POSITIONS}) select sheet_id, pos, k <> 3 as parsed, "

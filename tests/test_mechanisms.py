@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from markscribe.config import EngineConfig, Question, QuestionFormatError
 from markscribe.functions.folds import distinct_in_order, pieces, runs, scan, span
 from markscribe.functions.text import inert_ranges, may_change, nfc, once
+from markscribe.operators.assemble import merge_adjacent
+from markscribe.operators.exploded import cut_rows, merge_rows, piece_rows
 from markscribe.operators.mapping import decision_maps
 from markscribe.plans.adjudicate import adjudicate, structure_with
 from markscribe.plans.batch import run_batch
-from markscribe.plans.pipeline import structure_sheets
+from markscribe.plans.pipeline import detect, resolve, structure_sheets
 from markscribe.sources import files
 from markscribe.sources.canon import read_questions
 from markscribe.sources.sheets import scan_sheets
@@ -70,6 +72,25 @@ def test_long_sheets_take_time_in_proportion(spark):
     assert t2 <= 2.3 * t1 + 1
 
 
+def test_exploded_blocks_equal_the_arrays(spark):
+    rng = random.Random(6)
+    parts = ["Q1 ", "Q2 ", "Q9 ", "\n1) ", "\n2. ", "\n3) ", "Page 3\n", "word é😀 ", "x" * 1500, " \n\n", "title"]
+    sheets = [(i, "".join(rng.choice(parts) for _ in range(rng.randrange(0, 14)))) for i in range(60)]
+    df = spark.createDataFrame(sheets, "sheet_id long, raw_text string")
+    fields = "sheet_id long, operation string, pos int, decision string, question_id string, confidence double, requires_human_review boolean, subject_match boolean"
+    rows = [(i, o, p, d, f"Q{1 + (i + p // 3) % 2}", 0.9, False, True) for i in range(60) for p in range(1, 16) for o, d in (("mapping", "mapped"), ("boundary", "question_boundary"))]
+    done = resolve(detect(df), FOUR, EngineConfig(adjudicate=True), spark.createDataFrame(rows, fields)).withColumn("_cut", once(pieces(F.col("normalized")))).cache()
+    texts = piece_rows(done)
+    names = ["source_order", "detected_marker", "source_start", "source_end", "text"]
+    found = lambda d, c: sorted((tuple(r) for r in d.select("sheet_id", *c).collect()), key=repr)
+    cut = cut_rows(done.select("sheet_id", F.explode("accepted").alias("a")).select("sheet_id", "a.*"), texts)
+    assert found(cut, names) == found(done.select("sheet_id", F.explode("blocks").alias("b")).select("sheet_id", "b.*"), names) != []
+    names += ["resolved_question_id", "confidence", "status"]
+    merged = merge_rows(done.select("sheet_id", F.explode("blocks").alias("b")).select("sheet_id", "b.*"), texts)
+    arrays = done.select("sheet_id", F.explode(merge_adjacent(F.col("_cut"), F.col("blocks"))).alias("b")).select("sheet_id", "b.*")
+    assert found(merged, names) == found(arrays, names) and arrays.count() < done.select(F.sum(F.size("blocks"))).first()[0]
+
+
 # --- normal form ---------------------------------------------------------------------------------
 
 
