@@ -72,7 +72,10 @@ class Model:
     shift: float
 
     def margins(self, found: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        total = lambda v: np.diff(np.concatenate([[0.0], np.cumsum(v, dtype=np.float64)])[bounds])
+        # each document's terms are added one after another, so that equal texts have equal scores wherever they stand
+        n = len(bounds) - 1
+        document = np.repeat(np.arange(n), np.diff(bounds))
+        total = lambda v: np.bincount(document, weights=v, minlength=n)
         r = self.ratio[found]
         norm = np.sqrt(np.maximum(total(r * r), 1e-12))
         return total(r * self.weight[found]) / norm + self.bias
@@ -140,7 +143,10 @@ def fit_rows(rows: list[np.ndarray], y: np.ndarray, share: float) -> Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS) -> Model:
-    """Fit on ``docs(doc_id, text)`` whose id has a label 0 or 1 in ``labels``; the sample is bounded by ``per_class``."""
+    """Fit on ``docs(doc_id, text)`` whose id has a label 0 or 1 in ``labels``; the sample is bounded by ``per_class``.
+
+    Of rows that share a sampled id the one with the smallest text teaches.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("id"), F.col(label).cast("int").alias("y")).filter("id is not null and y in (0, 1)")
     known = known.groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("other")).filter("y = other").select("id", "y")
     balance = dict(known.groupBy("y").count().collect())
@@ -149,7 +155,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
     for y in (0, 1):
         own = known.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(per_class)
         sample = own if sample is None else sample.unionAll(own)
-    joined = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string")).join(F.broadcast(sample), "id")
+    joined = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(sample), "id")
+    joined = joined.groupBy("id", "y").agg(F.min("text").alias("text"))  # rows that repeat an id teach once: the sample is bounded in rows
 
     def train(batches):
         rows, y, order = [], [], []

@@ -5,14 +5,15 @@ such a path. A token's occurrence vector is its count on every different page of
 into an order-free fingerprint; tokens of equal vectors form an equivalence class. A class is valid
 if it has two tokens or more and is on at least half of the host's pages and on ``LEAST_CONTENTS``;
 copies of a page count once. Valid classes nest by their paths into the host's template; a block of
-text in the class of a tag around it (it is there exactly when and as often as that tag) is template,
-all other text is data, and the places of data under a template tag are its slots.
+text in the class of a tag around it (it is there exactly when and as often as that tag) is template
+if all text of its place is; a place that has any other text is a slot of data, and so are the flow of
+the page and of the main slot: nothing is cut from them, however often it is there.
 
 The main slot is the outermost template tag named article or main; without one it is the whole
 page. From it the template's blocks are left out, and slots beside the article (menus, adverts and
 the like), which only names tell from the article: fixed lists of tags and of words in class, id and
 role. A class counts as such if all its words are in these lists or neutral, so ``related-posts`` is
-beside and ``related-work`` or ``has-sidebar`` is not; words around the outermost article or main
+beside and ``related-work`` or ``has-sidebar`` is not, on any block element; words around the outermost article or main
 element do not put it beside. Where template blocks would be more than half of the host's text, the
 pages are near copies of each other and their text is data. A page without its host's main slot uses
 its own article or main element, else its body.
@@ -31,6 +32,8 @@ import functools
 import hashlib
 import html as html_lib
 import re
+from collections import Counter
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -58,6 +61,8 @@ NEUTRAL_WORDS = frozenset(
     "unit wrap wrapper".split()
 )
 MAIN = ("article", "main")
+#: Levels that a path names.
+DEPTH = 64
 #: Different pages of a host that a class must be on.
 LEAST_CONTENTS = 3
 TOKENS = "host long, tag long, text long, pages long, fingerprint long, chars long, path string"
@@ -87,24 +92,55 @@ def _label(tag: str, attributes: str, beside: int) -> str:
     return ".".join([tag, *words[:4]]) + "!" * beside
 
 
-def _inside_beside(stack: list[tuple[str, str, int]]) -> bool:
-    """Whether the innermost element is beside: names count only from the outermost article or main on."""
-    first = next((i for i, s in enumerate(stack) if s[0] in MAIN), 0)
-    return any(s[2] > (i < first) for i, s in enumerate(stack))
+@dataclass(slots=True)
+class _Open:
+    """An open element: its path, and of the elements up to it how many are beside by a name or a tag, how many by their tag, and how many were before the outermost article or main."""
+
+    tag: str
+    path: tuple[str, ...]
+    beside: int
+    by_tag: int
+    before_main: int | None
+
+    @property
+    def inside_beside(self) -> bool:
+        """Names count only from the outermost article or main on."""
+        return self.by_tag > 0 or self.beside > (self.before_main or 0)
+
+
+_TOP = _Open("", (), 0, 0, None)
+#: Block elements that hold no other block, and those that one of their kind ends; they are open elements only if they are beside.
+_LINES = frozenset("p h1 h2 h3 h4 h5 h6 summary caption legend".split())
+_ITEMS = frozenset("li dt dd tr td th".split())
 
 
 def blocks(page: str) -> list[tuple[tuple[str, ...], bool, str]]:
-    """(path, beside, text) of every block of a page, empty ones left out, and (path, beside, "") where an element begins."""
+    """(path, beside, text) of every block of a page, empty ones left out, and (path, beside, "") where an element begins; elements nested deeper than DEPTH share a path."""
     out: list[tuple[tuple[str, ...], bool, str]] = []
-    stack: list[tuple[str, str, int]] = []  # tag, label, beside
-    path: tuple[str, ...] = ()
-    beside, text, at = False, [], 0
+    stack: list[_Open] = []
+    tags: Counter[str] = Counter()
+    text, at = [], 0
+
+    def top() -> _Open:
+        return stack[-1] if stack else _TOP
 
     def end_block() -> None:
         joined = " ".join(html_lib.unescape("".join(text)).split()) if text else ""
         text.clear()
         if joined:
-            out.append((path, beside, joined))
+            out.append((top().path, top().inside_beside, joined))
+
+    def open_element(tag: str, attributes: str, own: int) -> None:
+        last = top()
+        path = (*last.path, _label(tag, attributes, own)) if len(last.path) < DEPTH else last.path
+        before = last.beside if last.before_main is None and tag in MAIN else last.before_main
+        stack.append(_Open(tag, path, last.beside + (own > 0), last.by_tag + (own > 1), before))
+        tags[tag] += 1
+
+    def close_top() -> str:
+        tag = stack.pop().tag
+        tags[tag] -= 1
+        return tag
 
     while at < len(page):
         m = _TAG.search(page, at)
@@ -131,18 +167,18 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], bool, str]]:
                 text.append(" ")
             continue
         end_block()
-        if tag in STRUCTURE or tag in ("head", "title"):
-            if m[3]:
-                if any(s[0] == tag for s in stack):
-                    while stack.pop()[0] != tag:
-                        pass
-            elif tag not in ("html", "body", "head") or not any(s[0] == tag for s in stack):
-                own = _beside(tag, m[5], any(s[0] in MAIN for s in stack))
-                stack.append((tag, _label(tag, m[5], own), own))
-            path = tuple(s[1] for s in stack)
-            beside = _inside_beside(stack)
-            if not m[3]:
-                out.append((path, beside, ""))
+        if not m[3] and (top().tag in _LINES or (tag in _ITEMS and top().tag == tag)):
+            close_top()
+        if m[3]:
+            if tags[tag]:
+                while close_top() != tag:
+                    pass
+        elif tag in STRUCTURE or tag in ("head", "title"):
+            if tag not in ("html", "body", "head") or not tags[tag]:
+                open_element(tag, m[5], _beside(tag, m[5], bool(tags["article"] or tags["main"])))
+            out.append((top().path, top().inside_beside, ""))
+        elif m[5] and (own := _beside(tag, m[5], True)):
+            open_element(tag, m[5], own)
     end_block()
     return out
 
@@ -232,7 +268,12 @@ def host_templates(tokens: DataFrame) -> DataFrame:
     places = rows.filter("path is not null").select("host", "tag", F.col("path").alias("place"))
     texts = valid.filter("path is null").join(places, ["host", "tag"]).join(around, ["host", "fingerprint", "pages"])
     nested = (F.col("outer") == "") | (F.col("outer") == F.col("place")) | F.startswith("place", F.concat("outer", F.lit("/")))
-    fixed = texts.filter(nested).select("host", "all_chars", "tag", "text", "chars").distinct()
+    bare = F.col("place").rlike(r"^(?:html)?/?(?:body)?$") | F.coalesce(F.col("place") == F.col("main"), F.lit(False))
+    fixed = texts.filter(nested).join(main, "host", "left").filter(~bare).select("host", "all_chars", "tag", "text", "chars").distinct()
+    # a place with any text that is not template is a slot of data, and nothing is cut from it
+    held = rows.filter("path is null").groupBy("host", "tag").agg(F.count("*").alias("held"))
+    alike = fixed.groupBy("host", "tag").agg(F.count("*").alias("held"))
+    fixed = fixed.join(held.join(alike, ["host", "tag", "held"]), ["host", "tag"], "left_semi")
     fixed = fixed.groupBy("host", "all_chars").agg(F.sum("chars").alias("gone"), F.array_sort(F.collect_list(F.struct("tag", "text"))).alias("fixed"))
     fixed = fixed.filter("2 * gone <= all_chars").select("host", "fixed")
     return whole.select("host").join(main, "host", "left").join(fixed, "host", "left").filter("main is not null or fixed is not null")

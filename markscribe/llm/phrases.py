@@ -34,7 +34,7 @@ LEAST, LONGEST, TOP, WEIGHT, SHARE = 30, 4, 2000, 2_000_000, 80
 MOST, BITS = 1 << 21, 1 << 27
 PROBES = 4
 #: Bytes of text that a task works on at once, and grams that it hands over at once.
-SLICE, EMIT = 1 << 22, 1 << 16
+SLICE, EMIT = 1 << 21, 1 << 16
 
 _CUT, _BLANK = np.zeros(256, bool), np.zeros(256, bool)
 _CUT[list(CUTS)] = True
