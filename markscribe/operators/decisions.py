@@ -46,23 +46,28 @@ def coerce_number(x: Column) -> Column:
 def parse_replies(df: DataFrame, reply: str = "reply") -> DataFrame:
     """Add decision, question_id, confidence, requires_human_review, subject_match, parsed.
 
-    A code fence is dropped; if the rest is no JSON, the first flat object with a decision counts;
-    what cannot be parsed is an ambiguous decision for review.
+    A code fence is dropped; if the rest is not one JSON value from end to end, the first flat object
+    with a decision counts; what cannot be parsed is an ambiguous decision for review. A decision or a
+    confidence that is null in the reply is null here; only a field that is not there has a default.
     """
     bare = uni_strip(F.col(reply))
     bare = F.when(bare.startswith("```"), uni_strip(F.regexp_replace(bare, rf"(?is)\A```(?:json)?{WS}*|{WS}*```\z", ""))).otherwise(bare)
-    whole = F.try_parse_json(bare)
+    # the parser stops after a value and ignores the rest, so a reply is read as the first of a list that must end with its own last element
+    listed = F.try_parse_json(F.concat(F.lit("["), bare, F.lit(',"end"]')))
+    alone = (F.try_variant_get(listed, "$[1]", "string") == "end") & F.try_variant_get(listed, "$[2]", "variant").isNull()
+    whole = F.when(alone, F.try_variant_get(listed, "$[0]", "variant"))
     inner = F.filter(F.regexp_extract_all(bare, F.lit(r"(?s)\{.*?\}"), F.lit(0)), lambda o: F.try_variant_get(F.try_parse_json(o), "$.decision", "variant").isNotNull())
     df = df.withColumn("_v", F.when(whole.isNotNull(), whole).otherwise(F.try_parse_json(F.get(inner, F.lit(0)))))
     names = ("decision", "question_id", "confidence", "requires_human_review", "needs_human_review", "subject_match", "subject_compat")
     df = df.withColumn("parsed", F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False)))
     df = df.withColumns({f"_{n}": _field(F.col("_v"), n) for n in names})
     given = lambda n: F.col(f"_{n}")["s"].isNotNull()
-    review = F.when(given("requires_human_review"), coerce_bool(F.col("_requires_human_review"))).when(given("needs_human_review"), coerce_bool(F.col("_needs_human_review"))).otherwise(False)
+    there = lambda n: F.col(f"_{n}")["k"].isNotNull()
+    review = F.when(given("requires_human_review"), coerce_bool(F.col("_requires_human_review"))).when(there("needs_human_review"), coerce_bool(F.col("_needs_human_review"))).otherwise(False)
     out = {
-        "decision": F.when(~F.col("parsed"), "ambiguous").otherwise(F.coalesce(F.col("_decision")["s"], F.lit("ambiguous"))),
+        "decision": F.when(F.col("parsed") & there("decision"), F.col("_decision")["s"]).otherwise("ambiguous"),
         "question_id": F.col("_question_id")["s"],
-        "confidence": F.when(~F.col("parsed") | ~given("confidence"), 0.0).otherwise(coerce_number(F.col("_confidence"))),
+        "confidence": F.when(F.col("parsed") & there("confidence"), coerce_number(F.col("_confidence"))).otherwise(0.0),
         "requires_human_review": F.when(~F.col("parsed"), True).otherwise(review),
         "subject_match": F.when(given("subject_match"), coerce_bool(F.col("_subject_match"))).otherwise(coerce_bool(F.col("_subject_compat"))),
     }

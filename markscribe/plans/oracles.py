@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from markscribe.operators.mapping import BOUNDARY_PARTS, BOUNDARY_TASK
 
+# The page grammar, weak markers and what may follow a strong one, as in the operators.
 PAPER = "concat('paper', cast(item_id // {n} as string)) as path, cast(row_number() over (partition by item_id // {n} order by item_id) as int) as ord, concat('Q', cast(item_id + 1 as string)) as question_id, cast(item_id + 1 as int) as number"
 PAGE = r"regexp_matches({0}, '(?i)^\s*(?:page\s+\d+|fig(?:ure)?\s+\d+(?:\.\d+)?|table\s+\d+(?:\.\d+)?|chapter\s+\d+|continued(?:\s+on\s+next\s+page)?)\s*[.!:]?\s*$')"
 _SPACES = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
@@ -15,6 +16,9 @@ _WEAK = r"^\s*(?:\d+\s*\.\)|\d+\s*[):\]]|\d+\s*\.|\(\s*\d+\s*\)|\d+\s*→|[①
 _TAIL = r"^(\s*[.) :\-→]?)(?:\s|$)"
 
 
+AUDIT = ("calls", "boundary_calls", "mapping_calls", "model", "device", "dtype", "quantization", "duration_ms", "exam_id", "candidate_count", "accepted_count", "block_count", "review_count", "unmapped_count")
+
+
 def _strip(x: str) -> str:
     return f"trim({x}, {_SPACES})"
 
@@ -148,6 +152,11 @@ def folded(candidates: str, replies: dict[str, str], ids: list[str], config) ->
   substr(normalized, stop + 1, coalesce(lead(start) over w, least(length(normalized), stop + {half})) - stop) as following,
   lag(marker) over w as previous_marker, lag(line_text) over w as previous_line from info join norm using (sheet_id) window w as (partition by sheet_id order by pos), s as (partition by sheet_id)"""
     mapped_before = "string_agg(resolved_question_id, ',') over (partition by sheet_id order by source_order rows between unbounded preceding and 1 preceding)"
+    audit = f"""select sheet_id, cast(t.calls + m as int) as calls, t.calls as boundary_calls, cast(m as int) as mapping_calls, '{config.model}' as model, '{config.device}' as device, '{config.compute_dtype}' as dtype, '{config.quantization}' as quantization,
+  cast(0 as bigint) as duration_ms, '{config.exam_id}' as exam_id, cast(s.n_candidates as int) as candidate_count, cast(s.n_accepted as int) as accepted_count,
+  cast({count('ended_blocks')} as int) as block_count, cast({count('reviewed')} as int) as review_count, cast({count('unmapped')} as int) as unmapped_count
+  from (select s.*, case when structureless then 0 else least(n_blocks, greatest(0, {config.max_calls} - (select calls from totals x where x.sheet_id = s.sheet_id))) end as m from shape s) s join totals t using (sheet_id)"""
+    answers = lambda i: f"(select case count(*) when 0 then 'null'::json when 1 then to_json(any_value(e.text)) else to_json(list(e.text order by e.source_order)) end from ended_blocks e where e.sheet_id = s.sheet_id and e.resolved_question_id = '{i}')"
     return {
         "marker_offsets": info + 'select sheet_id, pos, start, stop as "end", marker from info',
         "header_preamble": info + "select sheet_id, meaningful from info where pos = 1",
@@ -173,11 +182,88 @@ def folded(candidates: str, replies: dict[str, str], ids: list[str], config) ->
         "review_distinct": on + ' select sheet_id, cast("at" as int) as "at", text, possible from reviewed',
         "unadjudicated": off + _BLOCKS + _mapped(None, ids, config) + f" select sheet_id, cast({count('unmapped')} as int) as n_unmapped, cast({count('reviewed')} as int) as n_review from norm s",
         "accessors": on + f" select cast(sheet_id as varchar) as student_id, cast({count('reviewed')} as int) as n_review, cast({count('unmapped')} as int) as n_unmapped, 'success' as processing_status from norm s",
-        "audit_counts": on + f""" select sheet_id, cast(t.calls + m as int) as calls, t.calls as boundary_calls, cast(m as int) as mapping_calls, '{config.model}' as model, '{config.device}' as device, '{config.compute_dtype}' as dtype, '{config.quantization}' as quantization,
-  cast(0 as bigint) as duration_ms, '{config.exam_id}' as exam_id, cast(s.n_candidates as int) as candidate_count, cast(s.n_accepted as int) as accepted_count,
-  cast({count('ended_blocks')} as int) as block_count, cast({count('reviewed')} as int) as review_count, cast({count('unmapped')} as int) as unmapped_count
-  from (select s.*, case when structureless then 0 else least(n_blocks, greatest(0, {config.max_calls} - (select calls from totals x where x.sheet_id = s.sheet_id))) end as m from shape s) s join totals t using (sheet_id)""",
+        "audit_counts": f"{on} {audit}",
+        "debug_json": on + f""" select sheet_id, cast(to_json({{'student': cast(sheet_id as varchar), 'questions': {{{", ".join(f"'{i}': {answers(i)}" for i in ids)}}},
+  'review': coalesce((select list({{'text': r.text, 'possible_questions': case when r.possible = '' then cast([] as varchar[]) else string_split(r.possible, ',') end}} order by r."at") from reviewed r where r.sheet_id = s.sheet_id), []),
+  'unmapped': coalesce((select list(u.text order by u."at") from unmapped u where u.sheet_id = s.sheet_id), []),
+  'audit': (select {{{", ".join(f"'{c}': a.{c}" for c in AUDIT)}}} from audit a where a.sheet_id = s.sheet_id),
+  'processed_text': (select raw_text from sheets x where x.sheet_id = s.sheet_id), 'normalized_text': normalized}}) as varchar) as json from norm s""".replace(" select sheet_id, cast(to_json", f", audit as ({audit}) select sheet_id, cast(to_json", 1),
         "minimal_json": on + f""" select sheet_id, cast(to_json({{'student_id': cast(sheet_id as varchar), 'exam_id': '{config.exam_id}',
   'answers': coalesce((select list({{'question_id': q.question_id, 'answer': e.text}} order by q.ord, e.source_order) from ended_blocks e join {listed} on e.resolved_question_id = q.question_id where e.sheet_id = s.sheet_id), []),
   'unmapped_content': coalesce((select list({{'text': u.text}} order by u."at") from unmapped u where u.sheet_id = s.sheet_id), [])}}) as varchar) as json from norm s""",
     }
+
+
+# The legacy grammar, spelled for an engine without look-around.
+_WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_NUMBER = r"[1-9]\p{Nd}*"
+_STEM = rf"Q(?:UESTION)?{_WS}*(?:NO\.?|N)?{_WS}*"
+_ASKS = rf"(?:In{_WS}+your{_WS}+own{_WS}+words,{_WS}*)?(?:Explain|Describe|Define|State|List|What{_WS}+is|What{_WS}+are|Why|How|When|Where|Who|Which)\b"
+
+
+def _bare(x: str) -> str:
+    """Without outer white space of any script."""
+    return f"regexp_replace(regexp_replace({x}, '\\A{_WS}+', ''), '{_WS}+\\z', '')"
+
+
+def _answered(x: str) -> str:
+    """A leading prompt sentence goes unless nothing would remain."""
+    rest = _bare(rf"regexp_replace({_bare(x)}, '(?i)\A{_ASKS}[^\n]*?[.!?](?:{_WS}|\z)', '')")
+    return f"case when {rest} <> '' then {rest} else {_bare(x)} end"
+
+
+def _next_marker(text: str) -> str:
+    """struct<skipped, marker> of the first marker after a text's first character, which only stands before it; the character that must follow a marker is cut off where it is not the marker's own."""
+    return rf"regexp_extract({text}, '(?is)\A(.*?[^A-Za-z0-9])(?:({_STEM}(?:{_NUMBER}|[IL]|[.:-])?)(?:{_WS}|\z|[.!?,;:)(\]])|({_NUMBER}{_WS}*[):.-])(?:{_WS}|\z))', ['skipped', 'stemmed', 'numbered'])"
+
+
+def legacy(lines: str) -> dict[str, str]:
+    """The legacy segmenter as a recursion from marker to marker, and the first marker of each line; ``lines`` are the common tables ``norm`` and ``lines``."""
+    number, roman = f"regexp_extract(marker, '{_NUMBER}')", f"upper(regexp_extract(marker, '(?i)\\A{_STEM}([IL])\\z', 1))"
+    raised = f"regexp_matches(marker, '(?i)\\A{_STEM}(?:[IL]|[.:-])\\z')"
+    segments = rf"""with recursive {lines},
+walk as (
+  select sheet_id, normalized, 0 as k, 0 as start, 0 as stop, cast(0 as bigint) as at_number, cast(null as varchar) as question, false as ended from norm
+  union all
+  select sheet_id, normalized, k + 1, stop + length(m.skipped) - 1, stop + length(m.skipped) - 1 + length(marker), coalesce(n, at_number), concat('Q', cast(n as varchar)), m.skipped = '' from (
+    select *, case when {number} <> '' then try_cast({number} as bigint) when {raised} then at_number + 1 end as n from (
+      select *, concat(m.stemmed, m.numbered) as marker from (
+        select *, {_next_marker("concat(case when stop = 0 then '|' else substr(normalized, stop, 1) end, substr(normalized, stop + 1))")} as m from walk where not ended)))
+  where m.skipped <> ''),
+marks as (select *, coalesce(lead(start) over (partition by sheet_id order by k), length(normalized)) as next from walk where k > 0 and question <> 'Q' and question is not null),
+cut as (select sheet_id, k, question, {_bare("substr(normalized, stop + 1, next - stop)")} as raw, not contains(substr(normalized, start + 1, stop - start + 1), chr(10)) as same_line from marks),
+cleaned as (select sheet_id, k, question, {_bare(f"regexp_replace(case when same_line then {_answered('raw')} else raw end, '{_WS}+', ' ', 'g')")} as answer from cut),
+found as (select sheet_id, question, string_agg(answer, ' ' order by k) as answer, min(k) as k from cleaned where answer <> '' group by sheet_id, question)
+select sheet_id, cast(row_number() over (partition by sheet_id order by k) - 1 as int) as "at", question, answer from found
+union all select sheet_id, 0, 'UNKNOWN', case when normalized = '' then 'Entire OCR Text' when exists (select 1 from marks m where m.sheet_id = n.sheet_id) then normalized else {_bare(f"regexp_replace(normalized, '{_WS}+', ' ', 'g')")} end
+from norm n where not exists (select 1 from found f where f.sheet_id = n.sheet_id)"""
+    label = f"case when {number} <> '' then {number} else {roman} end"
+    of_lines = rf"""with {lines},
+own as (select sheet_id, {_bare("line_text")} as line from lines),
+first as (select *, {_next_marker("concat('|', line)")} as m from own where line <> ''),
+told as (select *, concat(m.stemmed, m.numbered) as marker from first)
+select sheet_id, line, case when m.skipped = '' then null when {label} in ('I', 'L') then 'Q1' else concat('Q', {label}) end as question,
+  case when m.skipped = '' then '' else {_answered("substr(line, length(m.skipped) + length(marker))")} end as rest, m.skipped <> '' as is_question from told"""
+    return {"legacy_segments": segments, "question_lines": of_lines}
+
+
+def parsed(replies: str) -> str:
+    """Fields of raw replies (sheet_id, pos, reply) by JSON functions: fences go, or the first flat object with a decision counts."""
+
+    def field(name: str) -> str:
+        return f"v->>'$.{name}' as {name}, json_type(v, '$.{name}') as {name}_kind"
+
+    def boolean(x: str) -> str:
+        low = f"lower({_bare(x)})"
+        return f"""case when {x}_kind = 'BOOLEAN' then {x} = 'true' when {x}_kind in ('UBIGINT', 'BIGINT', 'DOUBLE') then case try_cast({x} as double) when 1 then true when 0 then false end
+      when {x}_kind = 'VARCHAR' then case when {low} in ('true', '1') then true when {low} in ('false', '0') then false end end"""
+
+    names = ("decision", "question_id", "confidence", "requires_human_review", "needs_human_review", "subject_match", "subject_compat")
+    return rf"""with r as ({replies}),
+bare as (select sheet_id, pos, case when starts_with({_bare("reply")}, '```') then {_bare(f"regexp_replace({_bare('reply')}, '(?i)^```(?:json)?{_WS}*|{_WS}*```$', '', 'g')")} else {_bare("reply")} end as t from r),
+value as (select sheet_id, pos, case when json_valid(t) then t::json else list_filter(regexp_extract_all(t, '(?s)\{{.*?\}}'), lambda x: json_valid(x) and json_type(case when json_valid(x) then x else '0' end, '$.decision') is not null)[1]::json end as v from bare),
+fields as (select sheet_id, pos, coalesce(json_type(v) = 'OBJECT', false) as parsed, {", ".join(field(x) for x in names)} from value)
+select sheet_id, pos, parsed, case when parsed and decision_kind is not null then decision else 'ambiguous' end as decision, question_id,
+  case when not parsed or confidence_kind is null then 0 when confidence_kind in ('UBIGINT', 'BIGINT', 'DOUBLE', 'VARCHAR') then try_cast({_bare("confidence")} as double) end::double as confidence,
+  case when not parsed then true when requires_human_review is not null then {boolean("requires_human_review")} when needs_human_review_kind is not null then {boolean("needs_human_review")} else false end as requires_human_review,
+  case when subject_match is not null then {boolean("subject_match")} else {boolean("subject_compat")} end as subject_match from fields"""

@@ -54,6 +54,7 @@ select -1 as sheet_id, concat('Q1', chr(160), chr(160), 'caf', 'e{chr(769)}', ch
 union all select -2, concat('<s>a</s>', chr(10), chr(10), chr(10), chr(10), '<|assistant|>b <|im_ start c ', chr(9), chr(10), ' ')
 union all select -3, concat(chr(160), ' ', chr(10))
 """
+# The patterns of tokens and markers, as in the operators.
 _SHEETS = f"sheets as (select sheet_id, string_agg(seg, chr(10) order by turn) as raw_text from ({SEGMENTS}) group by sheet_id)"
 _TOKENS = r"regexp_replace(regexp_replace({0}, '<\|(?:im_[A-Za-z0-9_]*|assistant|user|endoftext)(?:\|>)?', '', 'g'), '</?s>', '', 'g')"
 _STRIP = "trim({0}, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13), chr(28), chr(29), chr(30), chr(31), chr(133), chr(160)))"
@@ -246,18 +247,26 @@ QUERIES = {
     "legacy_segments": lambda s, d: marked_sheets(s, d).select("sheet_id", once(normalize_text(F.col("raw_text"))).alias("t")).select("sheet_id", once(segment(F.col("t"))).alias("s")).select("sheet_id", F.posexplode("s").alias("at", "x")).select("sheet_id", "at", "x.question", "x.answer"),
 }
 
-#: Raw replies as an adjudicator might send them.
+#: Raw replies as an adjudicator might send them: fields that hang on sheet and position, in varied JSON kinds, then wrapped, nested or broken.
 RAW_REPLIES = """
-select sheet_id, pos, case (sheet_id + pos) % 8
-  when 0 then '{"decision": "mapped", "question_id": "Q1", "confidence": 0.9, "subject_match": true}'
-  when 1 then concat('```json', chr(10), '{"decision": "continuation", "confidence": "0.5", "needs_human_review": "true"}', chr(10), '```')
-  when 2 then 'Sure: {"decision": "mapped", "confidence": 1, "subject_compat": 0} as asked'
-  when 3 then 'no json at all'
-  when 4 then '{"decision": "mapped", "confidence": "high", "requires_human_review": "maybe"}'
-  when 5 then '{"question_id": "4.", "requires_human_review": 1}'
-  when 6 then '{"decision": "unmapped", "confidence": true, "requires_human_review": false}'
-  else '{"decision": "ambiguous", "confidence": 2.5, "subject_match": "False"}' end as reply
-from ROWS
+select sheet_id, pos, case (sheet_id + 3 * pos) % 11
+  when 0 then concat('```json', chr(10), body, chr(10), '```')
+  when 1 then concat('``` ', body, '```')
+  when 2 then concat('Sure, ', body, ' as asked, not {"decision": "unmapped"}')
+  when 3 then concat('{"note": "first"} then ', body)
+  when 4 then concat('no json at ', cast(pos as string))
+  when 5 then concat('[', body, ']')
+  when 6 then concat(substr(body, 1, length(body) - 1), ', "extra": {"decision": "mapped", "page": [', cast(pos as string), ', null]}}')
+  when 7 then substr(body, 1, length(body) - 1)
+  when 8 then concat(chr(10), '  ', body, chr(10))
+  else body end as reply
+from (select sheet_id, pos, concat('{',
+    case (sheet_id + pos) % 6 when 0 then '' when 1 then '"decision": null, ' else concat('"decision": "', case (sheet_id + pos) % 4 when 0 then 'mapped' when 1 then 'unmapped' when 2 then 'ambiguous' else concat('kind ', cast(pos as string)) end, '", ') end,
+    case (sheet_id + pos) % 5 when 0 then '' when 1 then '"question_id": null, ' when 2 then concat('"question_id": ', cast(pos as string), ', ') else concat('"question_id": "Q', cast(pos as string), '", ') end,
+    case (2 * sheet_id + pos) % 7 when 0 then '"requires_human_review": true, ' when 1 then '"requires_human_review": "False", ' when 2 then '"needs_human_review": 1, ' when 3 then '"requires_human_review": "maybe", ' when 4 then '"requires_human_review": null, "needs_human_review": "true", ' when 5 then '"requires_human_review": 0, ' else '' end,
+    case (sheet_id + 2 * pos) % 6 when 0 then '"subject_match": true, ' when 1 then '"subject_match": " 0 ", ' when 2 then '"subject_compat": "TRUE", ' when 3 then '"subject_match": [true], ' when 4 then '"subject_match": 2, ' else '' end,
+    '"confidence": ', case (sheet_id + pos) % 8 when 0 then concat('0.', cast(pos as string)) when 1 then concat('"0.', cast(pos as string), '"') when 2 then 'true' when 3 then '"high"' when 4 then concat('" -', cast(pos as string), 'e-1 "') when 5 then 'null' when 6 then cast(pos as string) else '{"value": 1}' end,
+    '}') as body from ROWS)
 """
 
 
@@ -292,10 +301,7 @@ ORACLES = {
     "canonical_order": f"select concat('paper', cast(item_id // {_PER_FILE} as string)) as path, cast(1000 - (item_id + 1) as int) as number, cast(row_number() over (partition by item_id // {_PER_FILE} order by item_id desc) - 1 as int) as ordinal from benchmark",
     "validate_decisions": _VALID,
     "mapping_gate": f"with r as ({MAPPING_REPLIES.format(_POSITIONS)}) select sheet_id, pos, case when decision = 'mapped' and not subject_match then 'ambiguous' else decision end as decision, decision = 'mapped' and subject_match and coalesce(confidence, 0) >= 0.85 as accepted from r",
-    "parse_decisions": f"with r as (select *, (sheet_id + pos) % 8 as k from {_POSITIONS}) select sheet_id, pos, k <> 3 as parsed, "
-    "case k when 0 then 'mapped' when 1 then 'continuation' when 2 then 'mapped' when 4 then 'mapped' when 6 then 'unmapped' else 'ambiguous' end as decision, "
-    "case k when 0 then 'Q1' when 5 then '4.' end as question_id, case k when 0 then 0.9 when 1 then 0.5 when 2 then 1 when 3 then 0 when 5 then 0 when 7 then 2.5 end::double as confidence, "
-    "case k when 1 then true when 3 then true when 4 then null when 5 then true else false end as requires_human_review, case k when 0 then true when 2 then false when 7 then false end as subject_match from r",
+    "parse_decisions": oracles.parsed(RAW_REPLIES.replace("ROWS", _POSITIONS)),
     "model_answer_sections": f"select {oracles.PAPER.format(n=_PER_FILE)}, {_ONE_LINE} as question_text, cast(item_id % 9 + 1 as int) as max_marks, concat('Answer ', cast(item_id as string), chr(10), '### part', chr(10), '---') as model_answer from benchmark",
     "model_answer_map": f"select concat('paper', cast(item_id // {_PER_FILE} as string)) as path, concat('Q', cast(item_id + 1 as string)) as question_id, concat('Answer ', cast(item_id as string), chr(10), '### part', chr(10), '---') as model_answer from benchmark",
     "paper_headings": f"select {oracles.PAPER.format(n=_PER_FILE)}, {_ONE_LINE} as question_text, cast(item_id % 9 + 1 as int) as max_marks from benchmark",
@@ -306,3 +312,4 @@ ORACLES = {
 #: Positions in the text, the fold as a recursion, blocks, mapping and what is made of them.
 _REPLIES = {"boundary": f"select sheet_id, pos, decision, question_id, confidence, requires_human_review as review from ({_VALID})", "mapping": oracles.mapping_replies(MAPPING_REPLIES.format(_POSITIONS))}
 ORACLES |= oracles.folded(_CANDIDATES, _REPLIES, IDS, ON)
+ORACLES |= oracles.legacy(_LINES)

@@ -92,6 +92,16 @@ def test_replies(spark):
         ('{"decision":"mapped","question_id":"Q9","confidence":0.9,"subject_match":true}', True, "mapped", None, 0.9, True),
         ('{"decision":"mapped","question_id":"Q1","confidence":0.9,"subject_match":false}', True, "ambiguous", "Q1", 0.9, True),
         ('{"decision":"mapped","question_id":"1","confidence":7,"subject_match":true,"requires_human_review":"maybe"}', True, "mapped", "Q1", 1.0, False),
+        # the rest of a reply counts: what follows the first value makes it no JSON
+        ('{"note":"a"} then {"decision":"unmapped","confidence":0.9}', True, "unmapped", None, 0.9, False),
+        ('{"decision":"unmapped","confidence":0.9}}', True, "unmapped", None, 0.9, False),
+        ('{"decision":"mapped","question_id":"Q1","confidence":0.9,"of":{"page":1}} as asked', False, "ambiguous", None, 0.0, True),
+        ('1], [{"decision":"unmapped"}', True, "unmapped", None, 0.0, False),
+        # a null in the reply is no default
+        ('{"decision":null,"confidence":0.9}', True, "ambiguous", None, 0.9, True),
+        ('{"decision":"unmapped","confidence":null}', True, "unmapped", None, 0.0, True),
+        ('[{"decision":"unmapped","confidence":{"value":1}}', False, "ambiguous", None, 0.0, True),
+        ("", False, "ambiguous", None, 0.0, True),
     ]
     df = spark.createDataFrame([(r[0],) for r in rows], "reply string")
     got = D.validate(D.parse_replies(df), ["Q1", "Q4"], "mapping").collect()
