@@ -1,13 +1,15 @@
 """SentencePiece encoding by streaming Viterbi, and decoding.
 
-The piece scores of a public vocabulary are read as unigram log scores. The encoder reads one
-character at a time and keeps scores and back pointers only for the window that later pieces can
-still reach (the longest piece). Whenever the paths of all surviving nodes meet at one boundary, the
-ids before it are committed and forgotten, so memory does not grow with the text. Where no piece of
-the vocabulary can cross a position (before a word mark that follows another character, around a
-line end that no piece holds) all paths meet by construction, so the ids before it are committed:
-the text falls into segments there. Segments that fit into two windows are solved together, all
-distinct ones of a slice at once, position by position over the pieces' trie; longer ones stream.
+The piece scores of a public vocabulary are read as unigram log scores. The encoder goes from boundary
+to boundary and keeps scores only for the window that the next pieces can reach (the longest piece),
+and back pointers since the last commit. Every path carries its root, its last boundary up to a mark;
+whenever the paths to all boundaries ahead have one root, the ids before it are committed and
+forgotten, so memory does not grow with the text. Where no piece of the vocabulary can cross a
+position (before a word mark that follows another character, around a line end that no piece holds)
+all paths meet by construction, so the ids before it are committed and the text falls into segments
+there; long ones also where a block's pieces show it. All distinct segments of a slice that have one length stream together, as rows of arrays; few
+of a length stream one by one. Pieces are looked up in a trie, whole blocks at once; scores are sums
+from a segment's beginning, so neither way of streaming nor the commits change a comparison.
 
 Ties go to the piece that begins first. Characters outside the vocabulary become byte pieces.
 Defined cases: null or empty text has no ids; a text that holds U+2581 itself decodes to a space
@@ -29,6 +31,12 @@ from markscribe.llm.common import Table, code_points, distinct_strings, gather,
 MARK = "▁"
 #: Bytes of text that are encoded together.
 SLICE = 1 << 21
+#: Boundaries whose pieces are looked up together, and boundaries between two looks for a meeting of paths.
+BLOCK, STRIDE = 1024, 16
+#: Code points that a long segment is fed by, and rows of one length that are worth arrays.
+FED, LEAST_ROWS = 4096, 12
+#: No code point of any piece, and no id.
+END, NONE = (1 << 21) - 1, np.iinfo(np.int64).min
 SCHEMA = "doc_id long, n_ids long, ids_crc32 long, decoded_chars long, round_trip boolean"
 
 
@@ -56,7 +64,6 @@ class PieceModel:
             else:
                 self.ids[piece] = i
         self.longest = max(map(len, self.ids))
-        self.suffixes = {p[k:] for p in self.ids for k in range(len(p))}
         self.unknown_score = min(self.scores[i] for i in self.ids.values()) - 10
         self.segmented = not any(MARK in p.lstrip(MARK) for p in self.ids)
         self.lines_apart = not any("\n" in p for p in self.ids)
@@ -76,98 +83,179 @@ class PieceModel:
         self.piece[list(ends)] = list(ends.values())
 
 
+def matches(model: PieceModel, points: np.ndarray, n: int) -> list[np.ndarray]:
+    """By size - 1: ids of the pieces of that size from each of the first ``n`` columns of rows of code points (-1: none), as far as any piece goes; rows end in ``longest`` columns of END."""
+    found, node = [], np.zeros((len(points), n), np.int64)
+    for depth in range(model.longest):
+        alive = node >= 0
+        after = np.full(node.shape, -1, np.int64)
+        after[alive] = model.children.get(node[alive] << 21 | points[:, depth : depth + n][alive])
+        node = after
+        if depth and not (node >= 0).any():
+            break
+        found.append(np.where(node >= 0, model.piece[node], -1))
+    return found
+
+
 class StreamingViterbi:
-    """Feed text piece by piece; ids come out as soon as they are certain."""
+    """One text: feed it piece by piece; ids come out as soon as they are certain.
+
+    ``best``, ``width``, ``ids`` and ``root`` begin at ``base``, the last boundary whose ids are out, and
+    reach as far as the pieces from ``at``, the boundary taken up next. A root is the last boundary of a
+    path that is not beyond the mark where roots were last set.
+    """
 
     def __init__(self, model: PieceModel):
         self.model = model
-        self.text = ""
-        self.best: list[float] = [0.0]
-        self.back: list[tuple[int, int]] = [(0, -1)]
+        self.points = np.zeros(0, np.int64)
+        self.at = self.base = 0
+        self.best, self.width, self.ids, self.root = [0.0], [0], [0], [0]
         self.widest = 0
 
     def feed(self, text: str):
-        m = self.model
-        for k, char in enumerate(text):
-            self.text += char
-            self._extend()
-            self.widest = max(self.widest, len(self.best))
-            if k % 16 == 15 and (at := self._meeting()):
-                yield from self._commit(at)
+        yield from self.take(np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64))
+
+    def take(self, points: np.ndarray):
+        self.points = np.concatenate([self.points, points])
+        yield from self._run(len(self.points) - self.model.longest)
 
     def finish(self):
-        yield from self._commit(len(self.best) - 1)
-
-    def _extend(self) -> None:
-        m, text, end = self.model, self.text, len(self.text)
-        score, back = -np.inf, None
-        for start in range(end - 1, max(-1, end - 1 - m.longest), -1):
-            piece = text[start:end]
-            if piece not in m.suffixes:
-                break
-            i = m.ids.get(piece)
-            if i is not None and self.best[start] + m.scores[i] >= score:
-                score, back = self.best[start] + m.scores[i], (start, i)
-        if text[-1] not in m.ids:
-            alone = self.best[end - 1] + m.unknown_score
-            if alone > score:
-                score, back = alone, (end - 1, m.unknown)
-        self.best.append(score)
-        self.back.append(back)
-
-    def _meeting(self) -> int:
-        """The last boundary that the paths of all nodes later pieces can start from go through."""
-        live = set(range(max(0, len(self.best) - self.model.longest), len(self.best)))
-        while len(live) > 1:
-            last = max(live)
-            live.discard(last)
-            live.add(self.back[last][0])
-        return live.pop()
+        yield from self._run(len(self.points))
+        yield from self._commit(self.at)
+
+    def _run(self, n: int):
+        """Take up the next ``n`` boundaries, whose pieces are known to their ends."""
+        m, done = self.model, 0
+        while done < n:
+            size = min(BLOCK, n - done)
+            own = self.points[done : done + size + m.longest]
+            found = np.stack([f[0] for f in matches(m, np.concatenate([own, np.full(m.longest, END)])[None], size)])
+            start, depth = np.nonzero(found.T >= 0)
+            i = found[depth, start]
+            pieces = [*zip((depth + 1).tolist(), i.tolist(), m.score[i].tolist(), strict=True)]
+            bounds = np.searchsorted(start, np.arange(size + 1)).tolist()
+            for k, alone in enumerate((found[0] < 0).tolist()):
+                at = self.at - self.base
+                some = pieces[bounds[k] : bounds[k + 1]]
+                more = at + (some[-1][0] if some else 1) + 1 - len(self.best)
+                if more > 0:
+                    self.best += [-np.inf] * more
+                    self.width += [0] * more
+                    self.ids += [0] * more
+                    self.root += [0] * more
+                if alone:
+                    some.append((1, -1 - int(own[k]), m.unknown_score))
+                best, score, root = self.best, self.best[at], self.root[at]
+                for w, i, plus in some:
+                    to = at + w
+                    if score + plus > best[to]:
+                        best[to], self.width[to], self.ids[to], self.root[to] = score + plus, w, i, root
+                self.at += 1
+                if self.at % STRIDE == 0:
+                    self.widest = max(self.widest, len(self.best))
+                    yield from self._meet()
+            done += size
+        self.points = self.points[max(done, 0) :]
+
+    def _meet(self):
+        """Commit if the paths to all boundaries ahead have one root."""
+        live = [e for e in range(self.at - self.base, len(self.best)) if self.best[e] > -np.inf]
+        root = self.root[live[0]]
+        if all(self.root[e] == root for e in live):
+            for e in live:
+                self.root[e] = self.base + e - self.width[e]
+            yield from self._commit(root)
 
     def _commit(self, upto: int):
-        ids, at = [], upto
+        out, at = [], upto - self.base
         while at > 0:
-            start, i = self.back[at]
-            ids.append([self.model.bytes[b] for b in self.text[start:at].encode()] if i == self.model.unknown else [i])
-            at = start
-        self.text = self.text[upto:]
-        base = self.best[upto]
-        self.best = [s - base for s in self.best[upto:]]
-        self.back = [(s - upto, i) for s, i in self.back[upto:]]
-        for group in reversed(ids):
+            i = self.ids[at]
+            out.append([i] if i >= 0 else [self.model.bytes[b] for b in chr(-1 - i).encode()])
+            at -= self.width[at]
+        gone = upto - self.base
+        self.best, self.width, self.ids, self.root, self.base = self.best[gone:], self.width[gone:], self.ids[gone:], self.root[gone:], upto
+        for group in reversed(out):
             yield from group
 
 
-def solved(model: PieceModel, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the best paths of rows of code points, one row after another (a character outside the vocabulary: -1 - its code point), and how many each row has."""
-    n, length = points.shape
-    found, node = [], np.zeros((n, length), np.int64)
-    for depth in range(1, min(length, model.longest) + 1):
-        node = node[:, : length - depth + 1]
-        alive = node >= 0
-        after = np.full(node.shape, -1, np.int64)
-        after[alive] = model.children.get(node[alive] << 21 | points[:, depth - 1 :][alive])
-        node = after
-        found.append(np.where(node >= 0, model.piece[node], -1))
-    best = np.full((length + 1, n), -np.inf)
-    best[0] = 0
-    width, ids = np.zeros((length + 1, n), np.int64), np.zeros((length + 1, n), np.int64)
-    for end in range(1, length + 1):
-        for depth in range(1, min(end, len(found)) + 1):
-            i = found[depth - 1][:, end - depth]
-            score = np.where(i >= 0, best[end - depth] + model.score[i], -np.inf)
-            take = (i >= 0) & (score >= best[end])
-            best[end][take], width[end][take], ids[end][take] = score[take], depth, i[take]
-        alone = best[end - 1] + model.unknown_score
-        take = (found[0][:, end - 1] < 0) & (alone > best[end])
-        best[end][take], width[end][take], ids[end][take] = alone[take], 1, -1 - points[take, end - 1]
-    out, placed = np.zeros((n, length), np.int64), np.zeros((n, length), dtype=bool)
-    rows, end = np.arange(n), np.full(n, length)
-    while len(rows):
-        out[rows, end - 1], placed[rows, end - 1] = ids[end, rows], True
-        end = end - width[end, rows]
-        rows, end = rows[end > 0], end[end > 0]
-    return out[placed], placed.sum(axis=1)
+class StreamingRows:
+    """The same for rows of one length, all at once: scores in a ring as wide as the longest piece, back pointers since the last boundary that is common to all paths of each row."""
+
+    def __init__(self, model: PieceModel, points: np.ndarray):
+        self.model, (self.n, self.length) = model, points.shape
+        self.points = np.concatenate([points, np.full((self.n, model.longest), END)], axis=1)
+        self.size = min(self.length, model.longest) + 1
+        self.best = np.full((self.size, self.n), -np.inf)
+        self.best[0] = 0
+        self.width, self.ids, self.root = (np.zeros((self.size, self.n), np.int64) for _ in range(3))
+        self.base, self.first = np.zeros(self.n, np.int64), 0
+        self.widths, self.kept = (np.zeros((min(self.length + 1, 4 * model.longest), self.n), np.int64) for _ in range(2))
+        self.out = np.full((self.n, self.length), NONE)
+        self.widest = len(self.kept)
+
+    def run(self) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the best paths, one row after another (a character outside the vocabulary: -1 - its code point), and how many each row has."""
+        m = self.model
+        streams = self.length > m.longest  # shorter rows never leave the window
+        for at in range(self.length):
+            k = at % BLOCK
+            if k == 0:
+                found = matches(m, self.points[:, at : at + BLOCK + m.longest], min(BLOCK, self.length - at))
+                some = [f.any(axis=0).tolist() for f in (f >= 0 for f in found)]
+                alone = (found[0] < 0).any(axis=0).tolist()
+            own = at % self.size
+            for depth, f in enumerate(found):
+                if some[depth][k]:
+                    i = f[:, k]
+                    self._push(own, (at + depth + 1) % self.size, depth + 1, i, i >= 0, m.score[i], streams)
+            if alone[k]:
+                self._push(own, (at + 1) % self.size, 1, -1 - self.points[:, at], found[0][:, k] < 0, m.unknown_score, streams)
+            self.best[own] = -np.inf
+            if streams and at % STRIDE == STRIDE - 1:
+                self._meet(at)
+            self._keep(at + 1)
+        self._commit(np.arange(self.n), np.full(self.n, self.length))
+        placed = self.out != NONE
+        return self.out[placed], placed.sum(axis=1)
+
+    def _push(self, own: int, to: int, width: int, ids: np.ndarray, there: np.ndarray, plus, streams: bool) -> None:
+        score = self.best[own] + plus
+        take = there & (score > self.best[to])
+        np.copyto(self.best[to], score, where=take)
+        np.copyto(self.width[to], width, where=take)
+        np.copyto(self.ids[to], ids, where=take)
+        if streams:
+            np.copyto(self.root[to], self.root[own], where=take)
+
+    def _keep(self, at: int) -> None:
+        """Write down how the best path reaches a boundary that no later piece can change."""
+        if at - self.first == len(self.kept):
+            low = int(self.base.min())
+            if low > self.first:
+                for a in (self.widths, self.kept):
+                    a[: self.first - low] = a[low - self.first :].copy()
+                self.first = low
+            else:
+                self.widths, self.kept = (np.concatenate([a, np.zeros_like(a)]) for a in (self.widths, self.kept))
+                self.widest = len(self.kept)
+        self.widths[at - self.first], self.kept[at - self.first] = self.width[at % self.size], self.ids[at % self.size]
+
+    def _meet(self, at: int) -> None:
+        """Commit the rows in which the paths to all boundaries ahead of ``at`` have one root."""
+        root = self.root[(at + 1) % self.size].copy()
+        same = np.flatnonzero(((self.root == root) | (self.best == -np.inf)).all(axis=0))
+        ahead = at + 1 + (np.arange(self.size) - at - 1) % self.size
+        self.root[:, same] = ahead[:, None] - self.width[:, same]
+        on = same[root[same] > self.base[same]]
+        self._commit(on, root[on])
+        self.base[on] = root[on]
+
+    def _commit(self, rows: np.ndarray, end: np.ndarray) -> None:
+        while len(rows):
+            self.out[rows, end - 1] = self.kept[end - self.first, rows]
+            end = end - self.widths[end - self.first, rows]
+            going = end > self.base[rows]
+            rows, end = rows[going], end[going]
 
 
 class Codec:
@@ -181,19 +269,49 @@ class Codec:
         v = StreamingViterbi(self.model)
         return [*v.feed(marked), *v.finish()]
 
+    def _streamed(self, points: np.ndarray) -> list[int]:
+        v = StreamingViterbi(self.model)
+        return [*(i for k in range(0, len(points), FED) for i in v.take(points[k : k + FED])), *v.finish()]
+
+    def _uncrossed(self, points: np.ndarray) -> np.ndarray:
+        """Positions of a long segment that no piece crosses (0 among them): all paths meet there."""
+        m, found = self.model, []
+        farthest = 0
+        for k in range(0, len(points), BLOCK):
+            size = min(BLOCK, len(points) - k)
+            padded = np.concatenate([points[k : k + size + m.longest], np.full(m.longest, END)])[None]
+            reach = np.zeros(size, np.int64)
+            for depth, ids in enumerate(matches(m, padded, size)):
+                reach[ids[0] >= 0] = depth + 1
+            ends = np.maximum.accumulate(np.concatenate([[farthest], k + np.arange(size) + reach]))
+            found.append(k + np.flatnonzero(ends[:-1] <= k + np.arange(size)))
+            farthest = int(ends[-1])
+        return np.concatenate(found)
+
     def _segments(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of distinct segments, and where each segment's begin and how many they are."""
         points, at = code_points(data, offsets)
         points[points == 32] = ord(MARK)
+        long = np.flatnonzero(np.diff(at) > 2 * self.model.longest)
+        if not len(long):
+            return self._solved(points, at)
+        cuts = np.unique(np.concatenate([at, *(at[i] + self._uncrossed(points[at[i] : at[i + 1]]) for i in long)]))
+        ids, starts, sizes = self._solved(points, cuts)
+        of = np.searchsorted(at, cuts[:-1], "right") - 1
+        joined, bounds = gather(ids, starts, sizes, np.arange(len(cuts) - 1))
+        total = np.bincount(of, sizes, len(at) - 1).astype(np.int64)
+        return joined, bounds[np.searchsorted(cuts, at[:-1])], total
+
+    def _solved(self, points: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         length = np.diff(at)
         starts, sizes, parts, total = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64), [], 0
         for k in np.unique(length).tolist():
             own = np.flatnonzero(length == k)
             for rows in np.array_split(own, 1 + len(own) * k // (1 << 18)):
-                if k <= 2 * self.model.longest:
-                    ids, n = self._with_bytes(*solved(self.model, points[at[rows, None] + np.arange(k)]))
+                if len(rows) >= LEAST_ROWS:
+                    ids, n = self._with_bytes(*StreamingRows(self.model, points[at[rows, None] + np.arange(k)]).run())
                 else:
-                    each = [self.stream("".join(map(chr, points[at[i] : at[i + 1]].tolist()))) for i in rows]
+                    each = [self._streamed(points[at[i] : at[i + 1]]) for i in rows]
                     ids, n = np.array([i for x in each for i in x], np.int64), np.array([len(x) for x in each], np.int64)
                 sizes[rows] = n
                 starts[rows] = total + np.cumsum(n) - n

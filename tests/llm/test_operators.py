@@ -235,6 +235,28 @@ def test_viterbi_commits_where_paths_meet():
     assert [*early, *v.finish()] == best_path(model, text)
 
 
+@pytest.mark.parametrize("length", [1, 2, 15, 16, 17, 33, 64, 1023, 1025, 2600])
+def test_viterbi_of_rows(length):
+    """Rows of one length stream together: the paths are the best ones, and back pointers are let go at common boundaries."""
+    codec, rng = viterbi.Codec(queries.PIECES), random.Random(length)
+    rows = ["".join(rng.choice("internationalisierung▁漢字zz") for _ in range(length)) for _ in range(14)]
+    stream = viterbi.StreamingRows(codec.model, np.array([[ord(c) for c in r] for r in rows]))
+    ids, n = codec._with_bytes(*stream.run())
+    ends = np.cumsum(n)
+    assert stream.widest <= 16 * codec.model.longest
+    assert [ids[e - k : e].tolist() for e, k in zip(ends, n, strict=True)] == [best_path(codec.model, r) for r in rows]
+
+
+def test_viterbi_of_texts_without_spaces():
+    """Long segments fall apart where no piece crosses, in every script; the ids are those of the whole text."""
+    codec, rng = viterbi.Codec(queries.PIECES), random.Random(5)
+    scripts = ["的一是不了人我在有他漢字", "abcXYZ019+/", "สวัสดีครับ", "ab\u200dß", "の日本語をabc"]
+    texts = ["".join(rng.choice(a) for _ in range(2500)) for a in scripts] + ["word " + "x" * 1200 + " end"]
+    for first, ids, bounds in codec.encode(pa.array(texts)):
+        for i, text in enumerate(texts[first : first + len(bounds) - 1]):
+            assert ids[bounds[i] : bounds[i + 1]].tolist() == best_path(codec.model, viterbi.MARK + text.replace(" ", viterbi.MARK))
+
+
 def ratio_brute(texts, trusted, buckets):
     """Mean log ratio (thousandths) of every text, over XXH64 buckets of words and word pairs."""
     signed = lambda x: x - (1 << 64) if x >> 63 else x
