@@ -4,7 +4,7 @@ Two documents link when 100 * |A and B| >= 75 * |A or B| over their sets of five
 links between different sets are found:
 
 1. Sets. Words and shingles are hashed to 64 bits; documents of equal sets (128-bit digest) are one
-   class, represented by its smallest (doc_id, text digest).
+   class with a number of its own, represented by its smallest (doc_id, text digest).
 2. Support. A set that links with another shares at least 75 % of its shingles with it. Shingles are
    dealt to buckets, in packed blobs, and counted by class; classes with less than 75 % of shingles
    that some other class has cannot link and go no further.
@@ -36,6 +36,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -196,7 +197,7 @@ def blob_entries(buckets: int) -> int:
 
 
 def shared_counts(docs: DataFrame, buckets: int) -> DataFrame:
-    """key (64 bits of a set's digest), shared: how many of its shingles another set has too."""
+    """key (half of a set's digest; sets that have it in common may be given more), shared: how many of its shingles another set has too."""
     most = blob_entries(buckets)
 
     def settle(ids, owner, value):
@@ -208,9 +209,9 @@ def shared_counts(docs: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             for _, data, offsets in utf8_slices(batch.column(0)):
                 for s in shingle_sets(data, offsets):
-                    if len(s) and (key := digest(s)[0]) not in seen:
+                    if len(s) and (key := digest(s)) not in seen:
                         seen.add(key)
-                        for full in out.add(key, s):
+                        for full in out.add(key[0], s):
                             seen.clear()
                             yield full
         if out.owners:
@@ -347,21 +348,21 @@ def links(tested: DataFrame) -> DataFrame:
 
 
 def set_table(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """id (digest), n, shared and feats of the sets in ``classes(id, shared, doc)``; their documents are broadcast only if they are few."""
-    wanted = classes.select(F.col("id").alias("key"), "shared", F.col("doc").alias("_doc"))
+    """id, n, shared and feats of the sets in ``classes(id, d1, d2, shared, doc)``, told by both halves of their digests; their documents are broadcast only if they are few."""
+    wanted = classes.select("id", "d1", "d2", "shared", F.col("doc").alias("_doc"))
     few = classes.count() <= MOST_BROADCAST
     chosen = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").cast("string")).join(F.broadcast(wanted) if few else wanted, "_doc")
 
     def run(batch):
         rows = []
-        for _, data, offsets in utf8_slices(batch.column(2)):
-            rows += [(digest(s)[0], len(s), s.tobytes()) for s in shingle_sets(data, offsets)]
-        key, n, feats = zip(*rows, strict=True)
-        arrays = [pa.array(key, pa.int64()), pa.array(n, pa.int64()), batch.column(1), pa.array(feats, pa.binary()), batch.column(0)]
-        yield pa.RecordBatch.from_arrays(arrays, ["id", "n", "shared", "feats", "key"])
+        for _, data, offsets in utf8_slices(batch.column(4)):
+            rows += [(*digest(s), len(s), s.tobytes()) for s in shingle_sets(data, offsets)]
+        x, y, n, feats = zip(*rows, strict=True)
+        # a document's rows may hold several texts
+        own = pc.and_(pc.equal(batch.column(1), pa.array(x, pa.int64())), pc.equal(batch.column(2), pa.array(y, pa.int64())))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), batch.column(3), pa.array(feats, pa.binary())], ["id", "n", "shared", "feats"]).filter(own)
 
-    # a document's rows may hold several texts
-    return map_arrow(chosen.select("key", "shared", "text"), run, "id long, n long, shared long, feats binary, key long").filter("id = key").drop("key").dropDuplicates(["id"])
+    return map_arrow(chosen.select("id", "d1", "d2", "shared", "text"), run, "id long, n long, shared long, feats binary").dropDuplicates(["id"])
 
 
 def unresolved(lists: DataFrame, found: DataFrame) -> DataFrame:
@@ -460,14 +461,16 @@ def groups(docs: DataFrame) -> DataFrame:
     docs = spread(docs)
     meta = written(set_sizes(docs), "sizes")
     own = meta.filter("n_shingles > 0 and doc_id is not null")
-    classes = written(own.groupBy("d1", "d2", "n_shingles").agg(F.min(F.struct("doc_id", "t1", "t2")).alias("first")), "classes")
+    classes = own.groupBy("d1", "d2", "n_shingles").agg(F.min(F.struct("doc_id", "t1", "t2")).alias("first"))
+    # the table gives each class a number of its own, so halves of digests that fall together mix no sets
+    classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     entries = meta.agg(F.sum("n_shingles")).first()[0] or 0
     shared = shared_counts(docs, bucket_number(entries)).withColumnRenamed("key", "d1")
-    likely = classes.join(shared, "d1").filter(100 * F.col("shared") >= PERCENT * F.col("n_shingles")).select(F.col("d1").alias("id"), "shared", F.col("first.doc_id").alias("doc"))
+    likely = classes.join(shared, "d1").filter(100 * F.col("shared") >= PERCENT * F.col("n_shingles")).select("id", "d1", "d2", "shared", F.col("first.doc_id").alias("doc"))
     likely = written(likely, "likely")
     sets = written(set_table(docs, likely), "sets")
-    found = link_components(sets).select(F.col("id").alias("d1"), "component")
-    named = classes.join(found, "d1", "left").withColumn("component", F.coalesce("component", "d1"))
+    found = link_components(sets).select("id", "component")
+    named = classes.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     least = named.groupBy("component").agg(F.min("first").alias("least"))
     named = named.join(least, "component").select("d1", "d2", "n_shingles", "least")
     out = meta.join(named, ["d1", "d2", "n_shingles"], "left")

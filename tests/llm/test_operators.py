@@ -94,6 +94,17 @@ def test_jaccard_over_many_flushes(spark, monkeypatch):
     assert got == want and len({c for _, c in want.values()}) > 8
 
 
+def test_jaccard_tells_sets_by_both_halves_of_their_digests(spark):
+    """Two texts of one id, two classes whose first halves fall together: each class gets its own set, and one that no text has gets none."""
+    one, two = families(9, 1, 2, 60)
+    sets = [next(iter(jaccard.shingle_sets(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())])))) for t in (one, two)]
+    (a1, a2), (b1, b2) = map(jaccard.digest, sets)
+    docs = spark.createDataFrame([(5, one), (5, two), (6, two)], "doc_id long, text string")
+    classes = spark.createDataFrame([(0, a1, a2, 3, 5), (1, a1, b2, 3, 5), (2, b1, b2, 4, 5)], "id long, d1 long, d2 long, shared long, doc long")
+    got = {r.id: (r.n, r.shared, bytes(r.feats)) for r in jaccard.set_table(docs, classes).collect()}
+    assert got == {0: (len(sets[0]), 3, sets[0].tobytes()), 2: (len(sets[1]), 4, sets[1].tobytes())}
+
+
 def test_jaccard_finds_links_beside_the_star(spark):
     """Without the star's links, the finer keys alone find every link between components."""
     texts = families(5, 5, 14, 120)
