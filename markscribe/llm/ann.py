@@ -9,9 +9,11 @@ scan, and the cheapest setting that finds ``TARGET`` of them is taken (the last
 every bucket); as each table ships every vector once, while probes ship queries only, few tables and
 many probes are cheap. Scores within a bounded sample of the vectors give every query a least score
 that its nearest ones cannot fall below, so blocks return only rows that reach it. A query that still finds fewer than ``k`` rows is answered by a scan. All
-candidates of a bucket are scored exactly (double precision, original vectors), in blocks: a bucket
-of more than ``BLOCK`` rows is dealt over several blocks and its queries go to each, so no task holds
-a hot bucket. Identical vectors (by a 128-bit digest) are one candidate that carries its smallest
+candidates of a bucket are scored exactly (double precision, original vectors), in blocks: the rows of
+a bucket of more than ``BLOCK`` rows and the queries of one that more than ``QUERIES`` ask are dealt
+over a grid of blocks, each row to all blocks of its line and each query to all of its column, so no
+task holds a hot bucket or all queries; the scans are such grids too. Vectors travel, not pairs of
+ids: a query has thousands of candidates, so pairs would be many times the bytes. Identical vectors (by a 128-bit digest) are one candidate that carries its smallest
 ids, as ties go to smaller ids.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components take no part, as
@@ -29,8 +31,8 @@ from pyspark.sql import functions as F
 
 from markscribe.llm.common import map_arrow, map_batches, written
 
-#: Least and most tables, least probes; most rows of a block, least rows of the mean bucket.
-TABLES, MOST_TABLES, PROBES, BLOCK, BUCKET = 2, 40, 10, 4096, 100
+#: Least and most tables, least probes; mean rows and mean queries of a full block, least rows of the mean bucket.
+TABLES, MOST_TABLES, PROBES, BLOCK, QUERIES, BUCKET = 2, 40, 10, 4096, 8192, 100
 #: Rows of small tables (repeated vectors, large buckets) that are broadcast at most.
 MOST_BROADCAST = 1 << 18
 #: Queries whose true neighbours are scanned for, and the share of those that has to be found.
@@ -96,9 +98,9 @@ def codes(x: np.ndarray, table: int, axes: list[int], probes: int) -> np.ndarray
 def settings(queries: np.ndarray, neighbours: np.ndarray, of: np.ndarray, rows: int, asked: int, tables: int = TABLES, probes: int = PROBES) -> tuple[list[int], int, int, float]:
     """Axes, tables and probes that cost least of those finding TARGET of the neighbours (unit rows; neighbour i is one of query ``of[i]``), and the share they find.
 
-    The cost is in vectors sent: a table sends each row once and each query to every block of the
-    buckets it probes; scoring a whole block costs
-    as much as sending 64. Probing every bucket is the last resort.
+    The cost is in vectors sent: a table sends each row once for every ``QUERIES`` queries of its
+    bucket and each query to every block of the buckets it probes; scoring a whole block costs as
+    much as sending 64. Probing every bucket is the last resort.
     """
     offered = []
     for bucket in (BUCKET, 4 * BUCKET, 16 * BUCKET, 64 * BUCKET, rows):
@@ -120,7 +122,8 @@ def settings(queries: np.ndarray, neighbours: np.ndarray, of: np.ndarray, rows:
             for width in widths:
                 share = float((place < width).mean()) if len(of) else 1.0
                 mean = max(1.0, rows / buckets)
-                cost = (t + 1) * (rows + asked * width * (-(-mean // BLOCK) + 64 * mean / BLOCK))
+                chunks = max(1, -(-(asked * width) // (buckets * QUERIES)))
+                cost = (t + 1) * (rows * chunks + asked * width * (-(-mean // BLOCK) + 64 * mean / BLOCK))
                 if share >= TARGET and (best is None or cost < best[0]):
                     best = cost, axes, t + 1, width, share
             if widths[-1] == buckets:  # every bucket is probed: further tables find nothing new
@@ -202,6 +205,23 @@ def distinct_vectors(valid: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
     return once.unionByName(first), ids
 
 
+def bucket_sizes(own: DataFrame, asks: DataFrame) -> DataFrame:
+    """t, code, parts (blocks that the bucket's rows need), chunks (blocks that its queries need) of the buckets where either is more than one."""
+    both = own.select("t", "code", "kind").unionByName(asks.select("t", "code", "kind"))
+    need = lambda kind, most: F.greatest(F.lit(1), F.ceil(F.count_if(F.col("kind") == kind) / most).cast("int"))
+    return both.groupBy("t", "code").agg(need(0, BLOCK).alias("parts"), need(1, QUERIES).alias("chunks")).filter("parts > 1 or chunks > 1")
+
+
+def dealt(own: DataFrame, asks: DataFrame) -> DataFrame:
+    """Rows and queries with ``part`` and ``chunk``, their place in the bucket's grid of ``parts`` by ``chunks`` blocks (null: one); every row meets every query once."""
+    parts, chunks = (F.coalesce(c, F.lit(1)) for c in ("parts", "chunks"))
+    one = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    own = own.withColumn("part", one(parts)).withColumn("chunk", each(chunks))
+    asks = asks.withColumn("chunk", one(chunks)).withColumn("part", each(parts))
+    return own.drop("parts", "chunks").unionByName(asks.drop("parts", "chunks"))
+
+
 def nearest(rows: DataFrame, every: int = 20, k: int = 20, tables: int = TABLES, probes: int = PROBES) -> DataFrame:
     """The k nearest found of each query (vec_id divisible by ``every``): query_id, rank, vec_id, score.
 
@@ -215,6 +235,7 @@ def nearest(rows: DataFrame, every: int = 20, k: int = 20, tables: int = TABLES,
     dimension, total = sizes[0]
     valid = valid.filter(F.size("v") == dimension)
     unique, repeated = distinct_vectors(valid, k)
+    unique = written(unique, "unique")
     asked = written(valid.filter(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "key", "v").dropDuplicates(["query_id", "key"]), "asked")
     queries = asked.groupBy("key").agg(F.min("query_id").alias("u"), F.first("v").alias("v"))
     queries = written(queries, "queries")
@@ -246,7 +267,7 @@ def nearest(rows: DataFrame, every: int = 20, k: int = 20, tables: int = TABLES,
             x = _matrix(batch.column(1), dimension)
             unit = x / np.linalg.norm(x, axis=1, keepdims=True)
             raw = raws(x) if vectors else pa.nulls(len(x), pa.binary())
-            bound = least(x) if kind else pa.nulls(len(x), pa.float64())
+            bound = least(x) if kind and vectors else pa.nulls(len(x), pa.float64())
             for t in range(tables):
                 for column in codes(unit, t, axes, number).T:
                     yield pa.RecordBatch.from_arrays(
@@ -263,14 +284,10 @@ def nearest(rows: DataFrame, every: int = 20, k: int = 20, tables: int = TABLES,
 
         return run
 
-    # Buckets of more than a block's rows: counted over codes alone, so that vectors are sent once a table.
-    counted = map_arrow(unique.select("u", "v"), hashed(1, 0, vectors=False), shape).groupBy("t", "code").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    large = small(written(counted.filter("parts > 1"), "large-buckets"))
-    parts = F.coalesce("parts", F.lit(1))
-    own = map_arrow(unique.select("u", "v"), hashed(1, 0), shape).join(large, ["t", "code"], "left")
-    own = own.withColumn("part", F.pmod(F.xxhash64("id"), parts).cast("int")).drop("parts")
-    asks = map_arrow(queries.select("u", "v"), hashed(probes, 1), shape).join(large, ["t", "code"], "left")
-    asks = asks.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    # Buckets of more than a block's rows or queries: counted over codes alone, so that vectors are sent once a table.
+    sent = (unique.select("u", "v"), 1, 0), (queries.select("u", "v"), probes, 1)
+    large = small(written(bucket_sizes(*(map_arrow(some, hashed(number, kind, vectors=False), shape) for some, number, kind in sent)), "large-buckets"))
+    blocks = dealt(*(map_arrow(some, hashed(number, kind), shape).join(large, ["t", "code"], "left") for some, number, kind in sent))
 
     def block(group: pa.Table) -> pa.Table:
         kind, ids = group.column("kind").to_numpy(), group.column("id").to_numpy()
@@ -287,21 +304,18 @@ def nearest(rows: DataFrame, every: int = 20, k: int = 20, tables: int = TABLES,
             parts.append((qi[at + row][~far], ci[column][~far], score[~far]))
         return pa.table(dict(zip(("q", "u", "score"), (np.concatenate(p) for p in zip(*parts, strict=True)), strict=True)))
 
-    def ranked(own: DataFrame, asks: DataFrame) -> DataFrame:
-        both = own.select("t", "code", "part", "kind", "id", "least", "raw").unionByName(asks.select("t", "code", "part", "kind", "id", "least", "raw"))
-        found = both.groupBy("t", "code", "part").applyInArrow(block, "q long, u long, score double").groupBy("q", "u").agg(F.max("score").alias("score"))
+    def ranked(blocks: DataFrame) -> DataFrame:
+        found = blocks.groupBy("t", "code", "part", "chunk").applyInArrow(block, "q long, u long, score double").groupBy("q", "u").agg(F.max("score").alias("score"))
         return found.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "u"))).filter(F.col("r") <= k + 1)
 
     repeated = small(repeated)
-    best = written(ranked(own, asks).join(repeated, "u", "left"), "nearest")
+    best = written(ranked(blocks).join(repeated, "u", "left"), "nearest")
     enough = best.groupBy("q").agg(F.sum(F.coalesce(F.size("ids"), F.lit(1))).alias("n")).filter(F.col("n") > k).select("q")
     short = written(queries.join(enough, F.col("u") == F.col("q"), "left_anti").select("u", "v"), "short")
-    if short.limit(1).count():
-        parts = -(-total // BLOCK)
-        place = [F.lit(-1).alias("t"), F.lit(0).cast("long").alias("code"), "kind", "id", "least", "raw"]
-        own = map_arrow(unique.select("u", "v"), bare(0), shape).select(*place, F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"))
-        asks = map_arrow(short, bare(1), shape).select(*place, F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
-        scanned = ranked(own, asks).join(repeated, "u", "left")
+    if lacking := short.count():
+        grid = {"t": F.lit(-1), "parts": F.lit(-(-total // BLOCK)), "chunks": F.lit(-(-lacking // QUERIES))}
+        scanned = dealt(*(map_arrow(some, bare(kind), shape).withColumns(grid) for some, kind in ((unique.select("u", "v"), 0), (short, 1))))
+        scanned = ranked(scanned).join(repeated, "u", "left")
         best = best.join(short.select(F.col("u").alias("q")), "q", "left_anti").unionByName(scanned)
     wide = best.select("q", "score", F.explode(F.coalesce("ids", F.array("u"))).alias("vec_id"))
     wide = wide.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))).filter(F.col("r") <= k + 1).drop("r")

@@ -564,6 +564,31 @@ def test_nearest_with_joined_hashes(spark, monkeypatch):
     assert hit >= 0.9 * 20 * 150 and found[40][1][0] == 500
 
 
+@pytest.mark.parametrize("least", [True, False])
+def test_nearest_in_a_grid_of_blocks(spark, monkeypatch, least):
+    """A bucket's rows and its queries are both dealt over blocks, in tables and in the scan of what is lacking; probing every bucket is exact."""
+    rng = np.random.Generator(np.random.PCG64(13))
+    x = rng.integers(-3, 4, size=(2400, 8)).astype(np.float64)
+    x[:800] = x[0] + rng.integers(0, 2, size=(800, 8))  # one bucket holds a third of the rows and of the queries
+    x = x[np.abs(x).sum(axis=1) > 0]
+    monkeypatch.setattr(ann, "BLOCK", 50)
+    monkeypatch.setattr(ann, "QUERIES", 20)
+    monkeypatch.setattr(ann, "settings", lambda *a: ([8], 2 if least else 1, 16 if least else 0, 1.0))
+    deals, deal = [], ann.dealt
+    monkeypatch.setattr(ann, "dealt", lambda own, asks: deals.append(deal(own, asks)) or deals[-1])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in ann.nearest(df, every=4, k=7).collect()}
+    want = {}
+    for q in range(0, len(x), 4):
+        score = x @ x[q]
+        score[q] = -np.inf
+        want |= {(q, i + 1): (int(v), float(score[v])) for i, v in enumerate(np.lexsort((np.arange(len(x)), -score))[:7])}
+    assert got == want and len(deals) == (1 if least else 2)
+    sizes = deals[-1].groupBy("t", "code", "part", "chunk").agg(F.expr("count_if(kind = 0)"), F.expr("count_if(kind = 1)")).collect()
+    assert max(r[4] for r in sizes) <= 2 * 50 and max(r[5] for r in sizes) <= 2 * 20 + 5
+    assert max(r.part for r in sizes) > 2 and max(r.chunk for r in sizes) > 2
+
+
 def test_nearest_of_isolated_points_is_complete(spark):
     rng = np.random.Generator(np.random.PCG64(2))
     x = rng.normal(size=(2000, 32))
