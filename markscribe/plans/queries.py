@@ -24,6 +24,7 @@ from markscribe.operators.mapping import boundary_contexts, boundary_prompt, dis
 from markscribe.operators.markers import candidate_is_safe, is_page_line
 from markscribe.plans import oracles
 from markscribe.plans.pipeline import detect, resolve, structure_sheets
+from markscribe.plans.scratch import Scratch
 from markscribe.sources.canon import load_model_answers, parse_model_answers, parse_question_paper
 
 NUMBERS = (1, 2, 3, 4, 5)
@@ -171,10 +172,21 @@ PAGE_LINES = "select -1 as sheet_id, x as line from (select explode(array('Page
 LABELS = "select explode(array('I', 'l', 'QI', 'Ql', '7', ' q3. ', 'Q-4', '', 'x', '1.')) as label"
 
 
+def _as_rows(df: DataFrame, items: str) -> tuple[DataFrame, DataFrame]:
+    """The structs of ``items`` and the pieces of text, as rows.
+
+    The cut and the merge read both several times: sheets are written once, or the whole engine would
+    run anew for each reading.
+    """
+    scratch = Scratch(df.sparkSession)
+    done = scratch.table(df.select("sheet_id", items, "normalized"), "sheets")
+    scratch.keep("sheets")
+    return done.select("sheet_id", F.explode(items).alias("x")).select("sheet_id", "x.*"), piece_rows(done)
+
+
 def _resolved_blocks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Blocks before they are merged, and pieces of text, as rows."""
-    df = resolve(detect(marked_sheets(spark, sf_dir)), QUESTIONS, ON, _decisions(spark, sf_dir))
-    return df.select("sheet_id", F.explode("blocks").alias("b")).select("sheet_id", "b.*"), piece_rows(df)
+    return _as_rows(resolve(detect(marked_sheets(spark, sf_dir)), QUESTIONS, ON, _decisions(spark, sf_dir)), "blocks")
 
 
 def _cut_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ from markscribe.functions.text import inert_ranges, may_change, nfc, once
 from markscribe.operators.assemble import merge_adjacent
 from markscribe.operators.exploded import cut_rows, merge_rows, piece_rows
 from markscribe.operators.mapping import decision_maps
+from markscribe.plans import queries
 from markscribe.plans.adjudicate import adjudicate, structure_with
 from markscribe.plans.batch import run_batch
 from markscribe.plans.pipeline import detect, resolve, structure_sheets
@@ -91,6 +92,19 @@ def test_exploded_blocks_equal_the_arrays(spark):
     assert found(merged, names) == found(arrays, names) and arrays.count() < done.select(F.sum(F.size("blocks"))).first()[0]
 
 
+def _engine_runs_once(spark, name: str, array_name: str, names: list[str]) -> None:
+    """The query's rows come from written sheets, not from the engine over the input again, and equal those of the array form."""
+    small = "/root/testdata/sf0.001"
+    df = queries.QUERIES[name](spark, small)
+    assert df.inputFiles() and not [f for f in df.inputFiles() if "conversations" in f]
+    found = lambda d: sorted((tuple(r) for r in d.select("sheet_id", *names).collect()), key=repr)
+    assert found(df) == found(queries.QUERIES[array_name](spark, small)) != []
+
+
+def test_merge_of_rows_runs_the_engine_once(spark):
+    _engine_runs_once(spark, "merge_adjacent_exploded", "merge_adjacent", ["source_order", "resolved_question_id", "source_start", "source_end", "confidence", "status"])
+
+
 # --- normal form ---------------------------------------------------------------------------------
 
 
