@@ -190,8 +190,7 @@ def _resolved_blocks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
 
 
 def _cut_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = accept(detect(marked_sheets(spark, sf_dir)), QUESTIONS, OFF)
-    return cut_rows(df.select("sheet_id", F.explode("accepted").alias("a")).select("sheet_id", "a.*"), piece_rows(df))
+    return cut_rows(*_as_rows(accept(detect(marked_sheets(spark, sf_dir)), QUESTIONS, OFF), "accepted"))
 
 
 def _canonical_order(spark: SparkSession, sf_dir: str) -> DataFrame:

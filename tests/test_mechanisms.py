@@ -105,6 +105,10 @@ def test_merge_of_rows_runs_the_engine_once(spark):
     _engine_runs_once(spark, "merge_adjacent_exploded", "merge_adjacent", ["source_order", "resolved_question_id", "source_start", "source_end", "confidence", "status"])
 
 
+def test_cut_of_rows_runs_the_engine_once(spark):
+    _engine_runs_once(spark, "cut_blocks_exploded", "cut_blocks", ["source_order", "detected_marker", "source_start", "source_end", "text"])
+
+
 # --- normal form ---------------------------------------------------------------------------------
 
 
