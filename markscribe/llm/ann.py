@@ -37,6 +37,8 @@ TABLES, MOST_TABLES, PROBES, BLOCK, QUERIES, BUCKET = 2, 40, 10, 4096, 8192, 100
 MOST_BROADCAST = 1 << 18
 #: Queries whose true neighbours are scanned for, and the share of those that has to be found.
 SAMPLE, TARGET = 96, 0.95
+#: Vectors that are sent in about the time in which a query is compared with a whole block's rows (an estimate).
+SCORED = 8
 #: Vectors, chosen by hash of their ids, that give queries their least scores.
 LEAST_FROM = 4096
 
@@ -100,17 +102,18 @@ def settings(queries: np.ndarray, neighbours: np.ndarray, of: np.ndarray, rows:
 
     The cost is in vectors sent: a table sends each row once for every ``QUERIES`` queries of its
     bucket and each query to every block of the buckets it probes; scoring a whole block costs as
-    much as sending 64. Probing every bucket is the last resort.
+    much as sending ``SCORED``. Probing every bucket is the last resort.
     """
     offered = []
-    for bucket in (BUCKET, 4 * BUCKET, 16 * BUCKET, 64 * BUCKET, rows):
+    for bucket in (*(BUCKET << i for i in range(7)), rows):
         if (axes := plan(rows, queries.shape[1], bucket)) not in offered:
             offered.append(axes)
     best = None
-    for axes in offered:
+    for axes in (*offered[-2::-1], offered[-1]):  # large buckets first: few tables find enough, which bounds what smaller ones may cost
         if best and axes is offered[-1]:
             break
         buckets = int(np.prod([2 * n for n in axes]))
+        mean = max(1.0, rows / buckets)
         widths = sorted({min(buckets, probes << i) for i in range(8)} | ({buckets} if axes is offered[-1] else set()))
         place = np.full(len(of), widths[-1])  # of the neighbour's bucket among the query's probes, best of the tables so far
         for t in range(max(tables, MOST_TABLES)):
@@ -121,14 +124,11 @@ def settings(queries: np.ndarray, neighbours: np.ndarray, of: np.ndarray, rows:
                 continue
             for width in widths:
                 share = float((place < width).mean()) if len(of) else 1.0
-                mean = max(1.0, rows / buckets)
                 chunks = max(1, -(-(asked * width) // (buckets * QUERIES)))
-                cost = (t + 1) * (rows * chunks + asked * width * (-(-mean // BLOCK) + 64 * mean / BLOCK))
+                cost = (t + 1) * (rows * chunks + asked * width * (-(-mean // BLOCK) + SCORED * mean / BLOCK))
                 if share >= TARGET and (best is None or cost < best[0]):
                     best = cost, axes, t + 1, width, share
-            if widths[-1] == buckets:  # every bucket is probed: further tables find nothing new
-                break
-            if best and (t + 2) * rows > best[0]:  # further tables cost more than the best setting
+            if best and (t + 2) * (rows + asked * widths[0] * (1 + SCORED * mean / BLOCK)) > best[0]:  # further tables cost more than the best setting
                 break
     return best[1:]
 
@@ -206,9 +206,9 @@ def distinct_vectors(valid: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
 
 
 def bucket_sizes(own: DataFrame, asks: DataFrame) -> DataFrame:
-    """t, code, parts (blocks that the bucket's rows need), chunks (blocks that its queries need) of the buckets where either is more than one."""
-    both = own.select("t", "code", "kind").unionByName(asks.select("t", "code", "kind"))
-    need = lambda kind, most: F.greatest(F.lit(1), F.ceil(F.count_if(F.col("kind") == kind) / most).cast("int"))
+    """t, code, parts (blocks that the bucket's rows need), chunks (blocks that its queries need) of the buckets where either is more than one; from counts (t, code, kind, n)."""
+    both = own.unionByName(asks)
+    need = lambda kind, most: F.greatest(F.lit(1), F.ceil(F.sum(F.when(F.col("kind") == kind, F.col("n")).otherwise(0)) / most).cast("int"))
     return both.groupBy("t", "code").agg(need(0, BLOCK).alias("parts"), need(1, QUERIES).alias("chunks")).filter("parts > 1 or chunks > 1")
 
 
@@ -262,14 +262,23 @@ def nearest(rows: DataFrame, every: int = 20, k: int = 20, tables: int = TABLES,
     def raws(x):
         return pa.array([r.tobytes() for r in x.astype(kind_of)], pa.binary())
 
-    def hashed(number: int, kind: int, vectors: bool = True):
+    def counted(number: int, kind: int):
+        """How many rows of a batch are in (or ask for) each bucket."""
+
+        def run(batch):
+            x = unit(_matrix(batch.column(1), dimension))
+            for t in range(tables):
+                code, n = np.unique(codes(x, t, axes, number), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(code), t, np.int32)), pa.array(code), pa.array(np.full(len(code), kind, np.int32)), pa.array(n)], ["t", "code", "kind", "n"])
+
+        return run
+
+    def hashed(number: int, kind: int):
         def run(batch):
             x = _matrix(batch.column(1), dimension)
-            unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-            raw = raws(x) if vectors else pa.nulls(len(x), pa.binary())
-            bound = least(x) if kind and vectors else pa.nulls(len(x), pa.float64())
+            y, raw, bound = unit(x), raws(x), least(x) if kind else pa.nulls(len(x), pa.float64())
             for t in range(tables):
-                for column in codes(unit, t, axes, number).T:
+                for column in codes(y, t, axes, number).T:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(x), t, np.int32)), pa.array(column), pa.array(np.full(len(x), kind, np.int32)), batch.column(0), bound, raw], names
                     )
@@ -286,7 +295,7 @@ def nearest(rows: DataFrame, every: int = 20, k: int = 20, tables: int = TABLES,
 
     # Buckets of more than a block's rows or queries: counted over codes alone, so that vectors are sent once a table.
     sent = (unique.select("u", "v"), 1, 0), (queries.select("u", "v"), probes, 1)
-    large = small(written(bucket_sizes(*(map_arrow(some, hashed(number, kind, vectors=False), shape) for some, number, kind in sent)), "large-buckets"))
+    large = small(written(bucket_sizes(*(map_arrow(some, counted(number, kind), "t int, code long, kind int, n long") for some, number, kind in sent)), "large-buckets"))
     blocks = dealt(*(map_arrow(some, hashed(number, kind), shape).join(large, ["t", "code"], "left") for some, number, kind in sent))
 
     def block(group: pa.Table) -> pa.Table:

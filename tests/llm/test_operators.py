@@ -564,6 +564,22 @@ def test_nearest_with_joined_hashes(spark, monkeypatch):
     assert hit >= 0.9 * 20 * 150 and found[40][1][0] == 500
 
 
+def test_vectors_sent_grow_with_the_input():
+    """Five times the vectors, without any structure, are not sent much more than five times as often; the share found stays."""
+    rng, sent = np.random.default_rng(3), []
+    for rows in (10_256, 51_280):
+        x = rng.standard_normal((rows, 64))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        score = x[:96] @ x.T
+        np.fill_diagonal(score, -1)
+        near = np.argpartition(-score, 20, axis=1)[:, :20].ravel()
+        _, tables, probes, share = ann.settings(x[:96], x[near], np.repeat(np.arange(96), 20), rows, rows // 20)
+        assert share >= ann.TARGET
+        sent.append(tables * (rows + rows // 20 * probes))
+    assert sent[1] <= 10 * sent[0]
+
+
+
 @pytest.mark.parametrize("least", [True, False])
 def test_nearest_in_a_grid_of_blocks(spark, monkeypatch, least):
     """A bucket's rows and its queries are both dealt over blocks, in tables and in the scan of what is lacking; probing every bucket is exact."""
