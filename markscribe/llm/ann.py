@@ -8,7 +8,11 @@ and probes are needed is read off the input: the true neighbours of ``SAMPLE`` q
 scan, and the cheapest setting that finds ``TARGET`` of them is taken (the last one offered probes
 every bucket); as each table ships every vector once, while probes ship queries only, few tables and
 many probes are cheap. Scores within a bounded sample of the vectors give every query a least score
-that its nearest ones cannot fall below, so blocks return only rows that reach it. A query that still finds fewer than ``k`` rows is answered by a scan. All
+that its nearest ones cannot fall below, so blocks return only rows that reach it. Where the sample is a
+small part of the vectors it says little, and buckets are asked in steps: a few probes of the first table,
+its others, then the other tables, three times as many as before in each step. What a query has
+found raises its least score for the next step, so a step returns a few times ``k`` rows for a query,
+however many vectors there are. A query that still finds fewer than ``k`` rows is answered by a scan, in such steps too. All
 candidates of a bucket are scored exactly (double precision, original vectors), in blocks: the rows of
 a bucket of more than ``BLOCK`` rows and the queries of one that more than ``QUERIES`` ask are dealt
 over a grid of blocks, each row to all blocks of its line and each query to all of its column, so no
@@ -29,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from markscribe.llm.common import map_arrow, map_batches, written
+from markscribe.llm.common import forget, map_arrow, map_batches, written
 
 #: Least and most tables, least probes; mean rows and mean queries of a full block, least rows of the mean bucket.
 TABLES, MOST_TABLES, PROBES, BLOCK, QUERIES, BUCKET = 2, 40, 10, 4096, 8192, 100
@@ -41,6 +45,8 @@ SAMPLE, TARGET = 96, 0.95
 SCORED = 8
 #: Vectors, chosen by hash of their ids, that give queries their least scores.
 LEAST_FROM = 4096
+#: From more than so many times LEAST_FROM vectors on buckets are asked in steps; probes of the first step, and how many times as many probes, or tables, are asked with each further one.
+STEPS_FROM, FIRST, MORE_PROBES, MORE_TABLES = 4, 3, 16, 4
 
 
 def _hadamard(x: np.ndarray) -> np.ndarray:
@@ -205,11 +211,26 @@ def distinct_vectors(valid: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
     return once.unionByName(first), ids
 
 
+def ranges(n: int, first: int, more: int) -> list[tuple[int, int]]:
+    """0 to ``n`` in runs (begin, end) that end at ``first`` and then ``more`` times as far each."""
+    out = [(0, min(n, first))]
+    while out[-1][1] < n:
+        out.append((out[-1][1], min(n, more * out[-1][1])))
+    return out
+
+
+def steps(rows: int, tables: int, probes: int) -> list[tuple[int, int, int, int]]:
+    """Tables (begin, end) and probes (begin, end) of each step; the first table's rows are sent once in each of its steps, the others' in one."""
+    if rows <= STEPS_FROM * LEAST_FROM:
+        return [(0, tables, 0, probes)]
+    return [(0, 1, *p) for p in ranges(probes, FIRST, MORE_PROBES)] + [(*t, 0, probes) for t in ranges(tables, 1, MORE_TABLES)[1:]]
+
+
 def bucket_sizes(own: DataFrame, asks: DataFrame) -> DataFrame:
-    """t, code, parts (blocks that the bucket's rows need), chunks (blocks that its queries need) of the buckets where either is more than one; from counts (t, code, kind, n)."""
+    """step, t, code, parts (blocks that the bucket's rows need), chunks (blocks that its queries need) of the buckets where either is more than one; from counts (step, t, code, kind, n)."""
     both = own.unionByName(asks)
     need = lambda kind, most: F.greatest(F.lit(1), F.ceil(F.sum(F.when(F.col("kind") == kind, F.col("n")).otherwise(0)) / most).cast("int"))
-    return both.groupBy("t", "code").agg(need(0, BLOCK).alias("parts"), need(1, QUERIES).alias("chunks")).filter("parts > 1 or chunks > 1")
+    return both.groupBy("step", "t", "code").agg(need(0, BLOCK).alias("parts"), need(1, QUERIES).alias("chunks")).filter("parts > 1 or chunks > 1")
 
 
 def dealt(own: DataFrame, asks: DataFrame) -> DataFrame:
@@ -237,8 +258,18 @@ def nearest(rows: DataFrame, every: int = 20, k: int = 20, tables: int = TABLES,
     unique, repeated = distinct_vectors(valid, k)
     unique = written(unique, "unique")
     asked = written(valid.filter(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "key", "v").dropDuplicates(["query_id", "key"]), "asked")
+    basis = np.array([r.v for r in unique.orderBy(F.xxhash64("u"), "u").limit(LEAST_FROM).select("v").collect()], np.float64)
+
+    def least(batch):
+        """Adds the (k + 1)-th largest score of each row among the basis: candidates all, so the nearest k + 1 reach it."""
+        x, bound = _matrix(batch.column(1), dimension), np.full(len(batch), -np.inf)
+        if len(basis) > k and len(x):
+            score = np.concatenate([x[at : at + 256] @ basis.T for at in range(0, len(x), 256)])
+            bound = np.partition(score, -k - 1, axis=1)[:, -k - 1] - 1e-12 * np.abs(score).max(axis=1)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bound)], ["u", "v", "key", "least"])
+
     queries = asked.groupBy("key").agg(F.min("query_id").alias("u"), F.first("v").alias("v"))
-    queries = written(queries, "queries")
+    queries = written(map_arrow(queries.select("u", "v", "key"), least, f"u long, v {dict(valid.dtypes)['v']}, key struct<x:long,y:long>, least double"), "queries")
     some = queries.orderBy(F.xxhash64("u"), "u").limit(SAMPLE).collect()
     if not some:
         return rows.sparkSession.createDataFrame([], schema)
@@ -249,36 +280,33 @@ def nearest(rows: DataFrame, every: int = 20, k: int = 20, tables: int = TABLES,
     axes, tables, probes, _ = settings(unit(x), unit(y), np.array([r.n for r in pairs], np.int64), total, max(1, total // every), tables, probes)
     kind_of = np.float32 if dict(valid.dtypes)["v"] == "array<float>" else np.float64
     shape = "t int, code long, kind int, id long, least double, raw binary"
-    basis = np.array([r.v for r in unique.orderBy(F.xxhash64("u"), "u").limit(LEAST_FROM).select("v").collect()], np.float64)
-
-    def least(x):
-        """The (k + 1)-th largest score of each row among the basis: candidates all, so the nearest k + 1 reach it."""
-        if len(basis) <= k:
-            return pa.array(np.full(len(x), -np.inf))
-        score = np.concatenate([x[at : at + 256] @ basis.T for at in range(0, len(x), 256)])
-        return pa.array(np.partition(score, -k - 1, axis=1)[:, -k - 1] - 1e-12 * np.abs(score).max(axis=1))
     names = [c.split()[0] for c in shape.split(", ")]
 
     def raws(x):
         return pa.array([r.tobytes() for r in x.astype(kind_of)], pa.binary())
 
-    def counted(number: int, kind: int):
+    def asked_of(y, t, kind, first, end):
+        """The bucket that each unit row is in, or those that it asks, a column each."""
+        return codes(y, t, axes, probes)[:, first:end] if kind else codes(y, t, axes, 1)
+
+    def counted(kind: int):
         """How many rows of a batch are in (or ask for) each bucket."""
 
         def run(batch):
             x = unit(_matrix(batch.column(1), dimension))
-            for t in range(tables):
-                code, n = np.unique(codes(x, t, axes, number), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(code), t, np.int32)), pa.array(code), pa.array(np.full(len(code), kind, np.int32)), pa.array(n)], ["t", "code", "kind", "n"])
+            for i, (begin, stop, first, end) in enumerate(every_step):
+                for t in range(begin, stop):
+                    code, n = np.unique(asked_of(x, t, kind, first, end), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(code), c, np.int32)) for c in (i, t, kind)] + [pa.array(code), pa.array(n)], ["step", "t", "kind", "code", "n"])
 
         return run
 
-    def hashed(number: int, kind: int):
+    def hashed(kind: int, begin: int, stop: int, first: int, end: int):
         def run(batch):
             x = _matrix(batch.column(1), dimension)
-            y, raw, bound = unit(x), raws(x), least(x) if kind else pa.nulls(len(x), pa.float64())
-            for t in range(tables):
-                for column in codes(y, t, axes, number).T:
+            y, raw, bound = unit(x), raws(x), batch.column(2) if kind else pa.nulls(len(x), pa.float64())
+            for t in range(begin, stop):
+                for column in asked_of(y, t, kind, first, end).T:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(x), t, np.int32)), pa.array(column), pa.array(np.full(len(x), kind, np.int32)), batch.column(0), bound, raw], names
                     )
@@ -289,14 +317,14 @@ def nearest(rows: DataFrame, every: int = 20, k: int = 20, tables: int = TABLES,
         def run(batch):
             x = _matrix(batch.column(1), dimension)
             zero = np.zeros(len(x), np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(zero), pa.array(zero.astype(np.int64)), pa.array(zero + np.int32(kind)), batch.column(0), least(x) if kind else pa.nulls(len(x), pa.float64()), raws(x)], names)
+            yield pa.RecordBatch.from_arrays([pa.array(zero), pa.array(zero.astype(np.int64)), pa.array(zero + np.int32(kind)), batch.column(0), batch.column(2) if kind else pa.nulls(len(x), pa.float64()), raws(x)], names)
 
         return run
 
     # Buckets of more than a block's rows or queries: counted over codes alone, so that vectors are sent once a table.
-    sent = (unique.select("u", "v"), 1, 0), (queries.select("u", "v"), probes, 1)
-    large = small(written(bucket_sizes(*(map_arrow(some, counted(number, kind), "t int, code long, kind int, n long") for some, number, kind in sent)), "large-buckets"))
-    blocks = dealt(*(map_arrow(some, hashed(number, kind), shape).join(large, ["t", "code"], "left") for some, number, kind in sent))
+    every_step = steps(total, tables, probes)
+    sent = unique.select("u", "v"), queries.select("u", "v", "least")
+    large = small(written(bucket_sizes(*(map_arrow(some, counted(kind), "step int, t int, kind int, code long, n long") for kind, some in enumerate(sent))), "large-buckets"))
 
     def block(group: pa.Table) -> pa.Table:
         kind, ids = group.column("kind").to_numpy(), group.column("id").to_numpy()
@@ -313,19 +341,41 @@ def nearest(rows: DataFrame, every: int = 20, k: int = 20, tables: int = TABLES,
             parts.append((qi[at + row][~far], ci[column][~far], score[~far]))
         return pa.table(dict(zip(("q", "u", "score"), (np.concatenate(p) for p in zip(*parts, strict=True)), strict=True)))
 
-    def ranked(blocks: DataFrame) -> DataFrame:
-        found = blocks.groupBy("t", "code", "part", "chunk").applyInArrow(block, "q long, u long, score double").groupBy("q", "u").agg(F.max("score").alias("score"))
-        return found.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "u"))).filter(F.col("r") <= k + 1)
+    def ranked(blocks: DataFrame, before: DataFrame | None) -> DataFrame:
+        """q, u, score and r of the k + 1 nearest of blocks and of what was found before."""
+        found = blocks.groupBy("t", "code", "part", "chunk").applyInArrow(block, "q long, u long, score double")
+        found = found.unionByName(before.drop("r")) if before else found
+        found = found.groupBy("q", "u").agg(F.max("score").alias("score"))
+        found = written(found.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "u"))).filter(F.col("r") <= k + 1), "nearest")
+        if before:
+            forget(before)
+        return found
+
+    def raised(some: DataFrame, best: DataFrame | None) -> DataFrame:
+        """Queries (u, v, least) whose least score is the (k + 1)-th found so far, if that is larger."""
+        if best is None:
+            return some
+        found = best.filter(F.col("r") == k + 1).select(F.col("q").alias("u"), F.col("score").alias("found"))
+        return some.join(found, "u", "left").select("u", "v", F.greatest("least", "found").alias("least"))
 
+    best = None
+    for i, step in enumerate(every_step):
+        here = large.filter(F.col("step") == i).drop("step")
+        rows_and_queries = sent[0], raised(sent[1], best)
+        best = ranked(dealt(*(map_arrow(some, hashed(kind, *step), shape).join(here, ["t", "code"], "left") for kind, some in enumerate(rows_and_queries))), best)
     repeated = small(repeated)
-    best = written(ranked(blocks).join(repeated, "u", "left"), "nearest")
+    best = best.join(repeated, "u", "left")
     enough = best.groupBy("q").agg(F.sum(F.coalesce(F.size("ids"), F.lit(1))).alias("n")).filter(F.col("n") > k).select("q")
-    short = written(queries.join(enough, F.col("u") == F.col("q"), "left_anti").select("u", "v"), "short")
+    short = written(queries.join(enough, F.col("u") == F.col("q"), "left_anti").select("u", "v", "least"), "short")
     if lacking := short.count():
-        grid = {"t": F.lit(-1), "parts": F.lit(-(-total // BLOCK)), "chunks": F.lit(-(-lacking // QUERIES))}
-        scanned = dealt(*(map_arrow(some, bare(kind), shape).withColumns(grid) for some, kind in ((unique.select("u", "v"), 0), (short, 1))))
-        scanned = ranked(scanned).join(repeated, "u", "left")
-        best = best.join(short.select(F.col("u").alias("q")), "q", "left_anti").unionByName(scanned)
+        parts, scanned = -(-total // BLOCK), None
+        grid = {"t": F.lit(-1), "parts": F.lit(parts), "chunks": F.lit(-(-lacking // QUERIES))}
+        for begin, stop in ranges(parts, 1, MORE_TABLES) if total > STEPS_FROM * LEAST_FROM else [(0, parts)]:
+            among = lambda column: column.between(begin, stop - 1)  # noqa: E731, B023
+            rows_and_queries = sent[0].filter(among(F.pmod(F.xxhash64("u"), F.lit(parts)))), raised(short, scanned)
+            blocks = dealt(*(map_arrow(some, bare(kind), shape).withColumns(grid) for kind, some in enumerate(rows_and_queries)))
+            scanned = ranked(blocks.filter(among(F.col("part"))), scanned)
+        best = best.join(short.select(F.col("u").alias("q")), "q", "left_anti").unionByName(scanned.join(repeated, "u", "left"))
     wide = best.select("q", "score", F.explode(F.coalesce("ids", F.array("u"))).alias("vec_id"))
     wide = wide.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))).filter(F.col("r") <= k + 1).drop("r")
     out = asked.join(queries.select("key", F.col("u").alias("q")), "key").select("query_id", "q").join(wide, "q").filter("vec_id <> query_id")

@@ -605,6 +605,48 @@ def test_nearest_in_a_grid_of_blocks(spark, monkeypatch, least):
     assert max(r.part for r in sizes) > 2 and max(r.chunk for r in sizes) > 2
 
 
+def test_rows_returned_for_a_query_are_few(spark, monkeypatch):
+    """Where the sampled least scores say little, what earlier steps found bounds what blocks return; results are those of one step."""
+    from pyspark.sql.group import GroupedData
+
+    rng = np.random.Generator(np.random.PCG64(17))
+    x = rng.normal(size=(6000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(ann, "LEAST_FROM", 100)
+    monkeypatch.setattr(ann, "settings", lambda *a: ([16], 4, 10, 1.0))
+    made, apply = [], GroupedData.applyInArrow
+
+    def counting(self, *a):
+        made.append(apply(self, *a).count())
+        return apply(self, *a)
+
+    monkeypatch.setattr(GroupedData, "applyInArrow", counting)
+    got = ann.nearest(df).collect()
+    assert sum(made) <= 9 * 21 * 300 and len(got) == 20 * 300
+    monkeypatch.setattr(ann, "STEPS_FROM", 1 << 30)
+    assert sorted(got) == sorted(ann.nearest(df).collect())
+
+
+@pytest.mark.parametrize("probes", [0, 16])
+def test_nearest_in_steps_is_exact(spark, monkeypatch, probes):
+    """Steps over probes and tables, or over the parts of a scan, lose no neighbour and no tie."""
+    rng = np.random.Generator(np.random.PCG64(19))
+    x = rng.integers(-2, 3, size=(1500, 8)).astype(np.float64)
+    x[300:500] = x[0]
+    x = x[np.abs(x).sum(axis=1) > 0]
+    for name, value in (("BLOCK", 200), ("QUERIES", 100), ("LEAST_FROM", 50), ("settings", lambda *a: ([8], 2, probes, 1.0))):
+        monkeypatch.setattr(ann, name, value)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in ann.nearest(df, every=4, k=7).collect()}
+    want = {}
+    for q in range(0, len(x), 4):
+        score = x @ x[q]
+        score[q] = -np.inf
+        want |= {(q, i + 1): (int(v), float(score[v])) for i, v in enumerate(np.lexsort((np.arange(len(x)), -score))[:7])}
+    assert got == want
+
+
 def test_nearest_of_isolated_points_is_complete(spark):
     rng = np.random.Generator(np.random.PCG64(2))
     x = rng.normal(size=(2000, 32))
